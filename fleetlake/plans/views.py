@@ -413,4 +413,8 @@ def oracle_with(sql: str) -> str:
     ctes = [f"{n} AS ({ORACLE_VIEWS[n]})" for n in names if n in needed]
     if not ctes:
         return sql
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        # the statement has CTEs of its own: append them after the view CTEs
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + sql
