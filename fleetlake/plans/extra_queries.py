@@ -40,3 +40,9 @@ QUERY_SQL.update(B.ORACLE)
 QUERY_SQL.update(K.ORACLE)
 QUERY_SQL.update(V.ORACLE)
 QUERY_SQL["j5_interval_join_pairs"] = _J5_SQL
+
+from fleetlake.plans import ingest_queries as I  # noqa: E402
+
+for _fn in I.BUILDERS:
+    register(_fn.__name__, _fn)
+QUERY_SQL.update(I.ORACLE)
