@@ -73,8 +73,10 @@ class Lake(Mapping):
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def _has_data(self, path: str) -> bool:
+        """A committed table: parquet jobs leave ``_SUCCESS``, Delta tables a ``_delta_log``."""
         fs, p = self._fs(path)
-        return fs.exists(p) and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+        marker = "/_delta_log" if self.fmt == "delta" else "/_SUCCESS"
+        return fs.exists(p) and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + marker))
 
     def stage_path(self, name: str) -> str:
         return f"{self.root}/_staging/{simple_name(name)}-{uuid.uuid4().hex[:12]}"
