@@ -103,22 +103,31 @@ def q9_label_usage(t: Tables) -> DataFrame:
 
 
 def q10_working_vs_idle(t: Tables, as_of=AS_OF_EVENTS, days: int = 30) -> DataFrame:
+    """Working vs idle hours per asset over the last ``days``.
+
+    AVG(seconds / 3600.0) is computed as AVG(seconds) / 3600.0: the seconds are whole numbers, so the
+    sums are exact and the result does not depend on how rows are split into partitions (a double sum
+    does, in its last bits, which can flip a ROUND at a .xx5 tie).
+    """
     now = as_of_col(as_of)
     n = t["asset_net_working_hours_daily"]
     total = F.col("total_duration_seconds")
     h = n.where(F.col("date") >= days_ago(now, days)).select(
-        "asset_id", "date",
-        (F.col("working_seconds") / F.lit(3600.0)).alias("working_hours"),
-        (F.col("total_idle_duration_seconds") / F.lit(3600.0)).alias("idle_hours"),
-        (total / F.lit(3600.0)).alias("total_hours"),
+        "asset_id", "working_seconds", "total_idle_duration_seconds",
         F.when(total > 0, F.col("working_seconds") * F.lit(100.0) / total).otherwise(F.lit(0.0))
         .alias("efficiency_percentage"))
-    return (h.groupBy("asset_id")
-            .agg(F.count(F.lit(1)).alias("days_tracked"),
-                 F.round(F.avg("working_hours"), 2).alias("avg_working_hours"),
-                 F.round(F.avg("idle_hours"), 2).alias("avg_idle_hours"),
-                 F.round(F.avg("efficiency_percentage"), 2).alias("avg_efficiency_pct"),
-                 F.round(F.sum("working_hours"), 2).alias("total_working_hours"))
+    hours = lambda c: F.col(c) / F.lit(3600.0)
+    g = (h.groupBy("asset_id")
+         .agg(F.count(F.lit(1)).alias("days_tracked"),
+              F.avg("working_seconds").alias("_avg_work_s"),
+              F.avg("total_idle_duration_seconds").alias("_avg_idle_s"),
+              F.avg("efficiency_percentage").alias("_avg_eff"),
+              F.sum("working_seconds").alias("_sum_work_s")))
+    return (g.select("asset_id", "days_tracked",
+                     F.round(hours("_avg_work_s"), 2).alias("avg_working_hours"),
+                     F.round(hours("_avg_idle_s"), 2).alias("avg_idle_hours"),
+                     F.round("_avg_eff", 2).alias("avg_efficiency_pct"),
+                     F.round(hours("_sum_work_s"), 2).alias("total_working_hours"))
             .orderBy(F.desc("avg_efficiency_pct"), "asset_id"))
 
 
