@@ -133,11 +133,26 @@ class TestDataFleet(Mapping):
                         start.alias("updated_at"))
 
     def _history(self) -> DataFrame:
-        # consecutive orders of one customer form the history intervals; the newest stays open
-        w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+        """Consecutive orders of one customer form the history intervals; the newest stays open.
+
+        ``next = LEAD(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)``,
+        computed without a window over all orders of a customer (one customer may hold a third of all
+        orders, which would put them into one task). In that order the next row of an order that is
+        not the last of its (customer, date) is on the same date; the last one's next row is the
+        first order of the customer's next date. So the window only runs over distinct
+        (customer, date) pairs — at most one row per customer-day, bounded by the calendar — built
+        by a partial (map-side) aggregate, and the orders join back to it on (customer, date).
+        """
         o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                         "o_orderpriority")
-        return o.select("*", F.lead("o_orderdate").over(w).alias("_next"))
+        days = o.groupBy("o_custkey", "o_orderdate").agg(F.max("o_orderkey").alias("_last_key"))
+        w = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+        days = days.select(F.col("o_custkey").alias("_ck"), F.col("o_orderdate").alias("_od"), "_last_key",
+                           F.lead("o_orderdate").over(w).alias("_next_day"))
+        j = o.join(days, (o.o_custkey == days._ck) & (o.o_orderdate == days._od), "inner")
+        nxt = F.when(F.col("o_orderkey") == F.col("_last_key"), F.col("_next_day")).otherwise(F.col("o_orderdate"))
+        return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority",
+                        nxt.alias("_next"))
 
     @property
     def asset_site_history(self) -> DataFrame:

@@ -117,3 +117,31 @@ def test_q18_preaggregation_equals_naive_join(spark):
     ours = queries.q18_missing_from_tracking(t, as_of="2024-01-31 00:00:00")
     assert sorted((r.asset_id, r.last_reading_date, r.last_utilization_date, r.last_working_hours_date)
                   for r in ours.collect()) == sorted(tuple(r) for r in naive.collect())
+
+
+def test_history_intervals_equal_lead_window(spark, scratch):
+    """The history view's next-order date equals LEAD over all orders of a customer, with many orders
+    on one date and one customer holding most of the rows."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from fleetlake.plans.views import TestDataFleet
+
+    rnd = random.Random(7)
+    rows = []
+    for key in range(1, 3001):
+        cust = 1 if rnd.random() < 0.5 else rnd.randint(2, 40)      # customer 1 is hot
+        day = D(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 20))  # few dates: many ties
+        rows.append((key, cust, "F", 1.0, day, "1-URGENT"))
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                "o_orderdate timestamp, o_orderpriority string") \
+        .write.parquet(f"{scratch}/orders.parquet")
+    got = {(r.asset_site_history_id, r.exit_date)
+           for r in TestDataFleet(spark, scratch)["asset_site_history"].collect()}
+    o = spark.read.parquet(f"{scratch}/orders.parquet")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    want = {(r.o_orderkey, r.n) for r in o.select("o_orderkey", F.lead("o_orderdate").over(w).alias("n")).collect()}
+    assert got == want
+    assert sum(1 for _, n in got if n is None) == len({r[1] for r in rows})
