@@ -45,3 +45,23 @@ def to_double_lenient(c) -> Column:
 def to_boolean_lenient(c) -> Column:
     """Accepts true/false, t/f, yes/no, y/n, 1/0 (case-insensitive); anything else -> NULL."""
     return _c(c).try_cast("boolean")
+
+
+# Places kept before rounding a double (M1). A double carries ~16 significant digits; 12 places absorb
+# its binary error (2.175 is stored as 2.17499999999999982...) without moving a real digit.
+ROUND_SCALE = 12
+
+
+def round_half_up(c, digits: int) -> Column:
+    """``ROUND(x, digits)`` of a double, HALF_UP on its decimal value, as DOUBLE.
+
+    Engines disagree at a decimal tie: Spark rounds the shortest decimal text of the double (2.18),
+    others the binary value (2.17). Rounding the DECIMAL(38, 12) form gives the same answer everywhere;
+    ``sql_round`` is the same rule as SQL text.
+    """
+    return F.round(_c(c).cast(f"decimal(38,{ROUND_SCALE})"), digits).cast("double")
+
+
+def sql_round(expr: str, digits: int) -> str:
+    """SQL text of ``round_half_up`` (for SQL consumers and the oracle)."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,{ROUND_SCALE})), {digits}) AS DOUBLE)"

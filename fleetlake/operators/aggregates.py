@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlake.functions.casts import round_half_up
+
 
 def percent_of_total(grouped: DataFrame, count_col: str, out: str, digits: int = 2) -> DataFrame:
     """``ROUND(c * 100.0 / SUM(c) OVER (), digits)`` over an already grouped frame.
@@ -15,8 +17,8 @@ def percent_of_total(grouped: DataFrame, count_col: str, out: str, digits: int =
     whose keys have a small domain (status, make, label) — never to raw fact rows.
     """
     total = F.sum(count_col).over(Window.partitionBy())
-    return grouped.select("*", F.round(F.col(count_col).cast("double") * F.lit(100.0) / total.cast("double"),
-                                       digits).alias(out))
+    share = F.col(count_col).cast("double") * F.lit(100.0) / total.cast("double")
+    return grouped.select("*", round_half_up(share, digits).alias(out))
 
 
 def partition_total(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFrame:

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.functions.casts import round_half_up
 from fleetlake.functions.dates import as_of_col, days_ago
 from fleetlake.operators.aggregates import percent_of_total
 from fleetlake.plans.views import AS_OF_EVENTS
@@ -61,17 +62,17 @@ def k1_kpi_cards(t: Tables) -> DataFrame:
     u = t["asset_utilizations_daily"]
     a = t["assets"]
     cards = [
-        u.agg(F.round(F.avg("utilization_percentage"), 2).alias("value")).select(F.lit("fleet_utilization").alias("metric"), "value"),
-        u.agg(F.round(F.sum("active_run_seconds") / F.lit(3600.0), 2).alias("value")).select(F.lit("total_hours").alias("metric"), "value"),
+        u.agg(round_half_up(F.avg("utilization_percentage"), 2).alias("value")).select(F.lit("fleet_utilization").alias("metric"), "value"),
+        u.agg(round_half_up(F.sum("active_run_seconds") / F.lit(3600.0), 2).alias("value")).select(F.lit("total_hours").alias("metric"), "value"),
         a.agg(F.count_distinct("asset_id").cast("double").alias("value")).select(F.lit("asset_count").alias("metric"), "value"),
-        a.agg(F.round(F.sum("purchase_price"), 2).alias("value")).select(F.lit("fleet_value").alias("metric"), "value"),
+        a.agg(round_half_up(F.sum("purchase_price"), 2).alias("value")).select(F.lit("fleet_value").alias("metric"), "value"),
     ]
     return reduce(DataFrame.unionAll, cards)
 
 
 def k2_utilization_trend(t: Tables, target: float = DEFAULT_TARGET_UTILIZATION) -> DataFrame:
     return (t["asset_utilizations_daily"].groupBy("date")
-            .agg(F.round(F.avg("utilization_percentage"), 2).alias("avg_utilization"),
+            .agg(round_half_up(F.avg("utilization_percentage"), 2).alias("avg_utilization"),
                  F.count(F.lit(1)).alias("assets_reporting"))
             .select("date", "avg_utilization", "assets_reporting", F.lit(float(target)).alias("target_utilization"))
             .orderBy("date"))
@@ -86,7 +87,7 @@ def k4_top_assets(t: Tables, k: int = 10) -> DataFrame:
     """Top-k assets by total active hours (aggregate first, then attach names)."""
     per_asset = (t["asset_utilizations_daily"].groupBy(F.col("asset_id").alias("_uid"))
                  .agg((F.sum("active_run_seconds") / F.lit(3600.0)).alias("total_active_hours"),
-                      F.round(F.avg("utilization_percentage"), 2).alias("avg_utilization"),
+                      round_half_up(F.avg("utilization_percentage"), 2).alias("avg_utilization"),
                       F.count(F.lit(1)).alias("days_reported")))
     a = t["assets"].select("asset_id", "name", "make")
     return (a.join(per_asset, a.asset_id == per_asset._uid, "inner").drop("_uid")
@@ -114,30 +115,30 @@ def k7_star_view(t: Tables) -> DataFrame:
 E = f"TIMESTAMP '{AS_OF_EVENTS}'"
 
 _K1 = """
-    SELECT 'fleet_utilization' AS metric, ROUND(AVG(utilization_percentage), 2) AS value FROM {u}
-    UNION ALL SELECT 'total_hours', ROUND(SUM(active_run_seconds) / 3600.0, 2) FROM {u}
+    SELECT 'fleet_utilization' AS metric, CAST(ROUND(CAST(AVG(utilization_percentage) AS DECIMAL(38,12)), 2) AS DOUBLE) AS value FROM {u}
+    UNION ALL SELECT 'total_hours', CAST(ROUND(CAST(SUM(active_run_seconds) / 3600.0 AS DECIMAL(38,12)), 2) AS DOUBLE) FROM {u}
     UNION ALL SELECT 'asset_count', CAST(COUNT(DISTINCT asset_id) AS DOUBLE) FROM {a}
-    UNION ALL SELECT 'fleet_value', ROUND(SUM(purchase_price), 2) FROM {a}"""
+    UNION ALL SELECT 'fleet_value', CAST(ROUND(CAST(SUM(purchase_price) AS DECIMAL(38,12)), 2) AS DOUBLE) FROM {a}"""
 
 ORACLE = {
     "k1_kpi_cards": _K1.format(u="asset_utilizations_daily", a="assets"),
     "k2_utilization_trend": """
-        SELECT date, ROUND(AVG(utilization_percentage), 2) AS avg_utilization, COUNT(*) AS assets_reporting,
+        SELECT date, CAST(ROUND(CAST(AVG(utilization_percentage) AS DECIMAL(38,12)), 2) AS DOUBLE) AS avg_utilization, COUNT(*) AS assets_reporting,
                75.0::DOUBLE AS target_utilization
         FROM asset_utilizations_daily GROUP BY date""",
     "k3_make_distribution": """
         SELECT make, COUNT(*) AS asset_count,
-               ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS share_pct
+               CAST(ROUND(CAST(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS DECIMAL(38,12)), 2) AS DOUBLE) AS share_pct
         FROM assets GROUP BY make""",
     "k4_top_assets": """
         SELECT a.asset_id, a.name, a.make, SUM(u.active_run_seconds) / 3600.0 AS total_active_hours,
-               ROUND(AVG(u.utilization_percentage), 2) AS avg_utilization, COUNT(*) AS days_reported
+               CAST(ROUND(CAST(AVG(u.utilization_percentage) AS DECIMAL(38,12)), 2) AS DOUBLE) AS avg_utilization, COUNT(*) AS days_reported
         FROM assets a JOIN asset_utilizations_daily u ON a.asset_id = u.asset_id
         GROUP BY a.asset_id, a.name, a.make
         ORDER BY total_active_hours DESC, a.asset_id LIMIT 10""",
     "k5_status_split": """
         SELECT status, COUNT(*) AS asset_count,
-               ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS share_pct
+               CAST(ROUND(CAST(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS DECIMAL(38,12)), 2) AS DOUBLE) AS share_pct
         FROM assets GROUP BY status""",
     "k6_filtered_kpis": _K1.format(
         u=f"(SELECT * FROM asset_utilizations_daily WHERE date >= {E} - INTERVAL 14 DAY "

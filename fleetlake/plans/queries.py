@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.functions.casts import round_half_up
 from fleetlake.functions.dates import as_of_col, days_ago, days_between, hours_between, months_between_boundaries
 from fleetlake.operators.aggregates import percent_of_total
 from fleetlake.operators.intervals import interval_left_join
@@ -124,10 +125,10 @@ def q10_working_vs_idle(t: Tables, as_of=AS_OF_EVENTS, days: int = 30) -> DataFr
               F.avg("efficiency_percentage").alias("_avg_eff"),
               F.sum("working_seconds").alias("_sum_work_s")))
     return (g.select("asset_id", "days_tracked",
-                     F.round(hours("_avg_work_s"), 2).alias("avg_working_hours"),
-                     F.round(hours("_avg_idle_s"), 2).alias("avg_idle_hours"),
-                     F.round("_avg_eff", 2).alias("avg_efficiency_pct"),
-                     F.round(hours("_sum_work_s"), 2).alias("total_working_hours"))
+                     round_half_up(hours("_avg_work_s"), 2).alias("avg_working_hours"),
+                     round_half_up(hours("_avg_idle_s"), 2).alias("avg_idle_hours"),
+                     round_half_up("_avg_eff", 2).alias("avg_efficiency_pct"),
+                     round_half_up(hours("_sum_work_s"), 2).alias("total_working_hours"))
             .orderBy(F.desc("avg_efficiency_pct"), "asset_id"))
 
 

@@ -31,3 +31,16 @@ def test_boundary_date_diffs(spark):
     assert (r.h, r.d, r.m) == (2, 1, 1)          # boundaries crossed, not elapsed units
     assert r.ago == dt.datetime(2024, 12, 2, 0, 59)
     assert r.k == "2025-01" and r.ymd == "2025-02-01"
+
+
+def test_round_half_up_same_in_spark_and_sql(spark):
+    import duckdb
+
+    from fleetlake.functions.casts import round_half_up, sql_round
+
+    values = [2.175, 1.005, 0.125, 0.225, 2.5, 78.4999999, 7830 / 3600, 1 / 3, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()]
+    assert got[:4] == [2.18, 1.01, 0.13, 0.23] and got[5] == 78.5
+    sql = [duckdb.sql(f"SELECT {sql_round(repr(v) + '::DOUBLE', 2)}").fetchall()[0][0] for v in values]
+    assert got == sql
