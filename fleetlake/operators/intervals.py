@@ -3,9 +3,14 @@
 A plain equi-join on ``asset_id`` with the range as a residual compares every visit of an asset with
 every daily row of that asset. One asset with a third of all visits makes that quadratic in one task.
 Here both sides are keyed by (key, month): a daily row carries its own month, an interval is exploded
-into the months it overlaps (bounded by the calendar span of the data, not by row counts), and the
-range check stays as a residual inside one (key, month) bucket. Each (interval, point) pair still
-meets exactly once — in the point's month — so the result equals the naive join.
+into the months it overlaps (bounded by the calendar span, not by row counts), and the range check
+stays as a residual inside one (key, month) bucket. Each (interval, point) pair still meets exactly
+once — in the point's month — so the result equals the naive join.
+
+Months are capped at the month of the query clock ``cap`` (GETDATE): an open interval runs up to it,
+and anything later — points dated after the clock, intervals starting after it — shares that last
+bucket. So no pass over the data is needed to find how far open intervals reach; data after the
+clock (normally none) is still matched, just without month splitting.
 """
 
 from __future__ import annotations
@@ -19,8 +24,7 @@ def _month_start(c: Column) -> Column:
 
 
 def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start: str, end: str,
-                       point: str, open_end_until: Column | None = None,
-                       point_prefix: str = "_p_") -> DataFrame:
+                       point: str, cap: Column | None = None, point_prefix: str = "_p_") -> DataFrame:
     """``intervals LEFT JOIN points ON key = key AND point >= start AND (end IS NULL OR point <= end)``.
 
     Interval columns keep their names; point columns are prefixed with ``point_prefix``. An interval
@@ -28,20 +32,19 @@ def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start:
     NULLs (sum/avg/min/max/count(col)) are unchanged by those extra rows, so group by the interval's
     columns afterwards as the SQL form does.
 
-    ``open_end_until``: the last instant an open interval can reach. Default: newest point of the
-    point side (one small aggregate job).
+    ``cap``: the query clock (default ``current_timestamp()``); only sets the bucketing, never the result.
+    The pair (interval, point) meets in bucket ``min(month(point), cap_month)``, which lies in the
+    interval's range ``[min(month(start), cap_month), min(month(end), cap_month)]`` whenever
+    start <= point <= end, because ``min(., cap_month)`` keeps order.
     """
+    cap_month = _month_start(cap if cap is not None else F.current_timestamp())
     p = points.select([F.col(c).alias(point_prefix + c) for c in points.columns])
     pk, pt = point_prefix + key, point_prefix + point
-    if open_end_until is None:
-        newest = points.agg(F.max(point).alias("m")).first()["m"]
-        open_end_until = F.lit(newest).cast("timestamp") if newest is not None else F.col(start)
-    # an open interval reaches as far as the data can; a closed one to its end
-    last = F.when(F.col(end).isNull(), F.greatest(open_end_until, F.col(start))).otherwise(F.col(end))
-    months = F.sequence(_month_start(F.col(start)), _month_start(F.greatest(last, F.col(start))),
-                        F.expr("INTERVAL 1 MONTH"))
+    first = F.least(_month_start(F.col(start)), cap_month)
+    last = F.when(F.col(end).isNull(), cap_month).otherwise(F.least(_month_start(F.col(end)), cap_month))
+    months = F.sequence(first, F.greatest(last, first), F.expr("INTERVAL 1 MONTH"))
     left = intervals.select("*", F.explode(months).alias("_bucket"))
-    right = p.select("*", _month_start(F.col(pt)).alias("_p_bucket"))
+    right = p.select("*", F.least(_month_start(F.col(pt)), cap_month).alias("_p_bucket"))
     cond = ((F.col(key) == F.col(pk)) & (F.col("_bucket") == F.col("_p_bucket"))
             & (F.col(pt) >= F.col(start)) & (F.col(end).isNull() | (F.col(pt) <= F.col(end))))
     return left.join(right, cond, "left").drop("_bucket", "_p_bucket")

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fleetlake.functions.dates import as_of_col
 from fleetlake.operators.intervals import interval_left_join
 from fleetlake.plans import billing as B
 from fleetlake.plans import dashboard as K
 from fleetlake.plans import quality_checks as V
 from fleetlake.plans.oracle import QUERY_SQL
 from fleetlake.plans.registry import _on_fleet, register
+from fleetlake.plans.views import AS_OF_ORDERS
 
 
 def j5_interval_join_pairs(t):
     """The bucketed interval join alone: every (visit, daily row) pair with the day inside the visit."""
     sh = t["asset_site_history"].select("asset_site_history_id", "asset_id", "enter_date", "exit_date")
     sdu = t["asset_site_daily_utilizations"].select("asset_id", "date", "asset_site_daily_utilization_id")
-    j = interval_left_join(sh, sdu, key="asset_id", start="enter_date", end="exit_date", point="date")
+    j = interval_left_join(sh, sdu, key="asset_id", start="enter_date", end="exit_date", point="date",
+                           cap=as_of_col(AS_OF_ORDERS))
     return (j.where(F.col("_p_asset_site_daily_utilization_id").isNotNull())
             .select("asset_site_history_id", "asset_id",
                     F.col("_p_asset_site_daily_utilization_id").alias("asset_site_daily_utilization_id"),

@@ -212,7 +212,8 @@ def q14_site_rollup(t: Tables, as_of=AS_OF_ORDERS) -> DataFrame:
     a = t["assets"].select(F.col("asset_id").alias("_aid"), F.col("name").alias("asset_name"))
     visits = sh.join(a, sh.asset_id == a._aid, "inner").drop("_aid")
     sdu = t["asset_site_daily_utilizations"].select("asset_id", "date", "active_run_seconds")
-    j = interval_left_join(visits, sdu, key="asset_id", start="enter_date", end="exit_date", point="date")
+    j = interval_left_join(visits, sdu, key="asset_id", start="enter_date", end="exit_date", point="date",
+                           cap=now)
     g = (j.groupBy("site_name", "asset_id", "asset_name", "enter_date", "exit_date")
          .agg(F.avg("_p_active_run_seconds").alias("_avg_s"), F.sum("_p_active_run_seconds").alias("_sum_s")))
     return (g.select("site_name", "asset_id", "asset_name", "enter_date", "exit_date",

@@ -145,3 +145,31 @@ def test_history_intervals_equal_lead_window(spark, scratch):
     want = {(r.o_orderkey, r.n) for r in o.select("o_orderkey", F.lead("o_orderdate").over(w).alias("n")).collect()}
     assert got == want
     assert sum(1 for _, n in got if n is None) == len({r[1] for r in rows})
+
+
+@pytest.mark.parametrize("clock", [D(2024, 1, 1), D(2025, 3, 15), D(2030, 1, 1)])
+def test_interval_join_equals_naive_join_for_any_clock(spark, clock):
+    """Bucketing by (key, month) capped at the clock's month gives the naive join's pairs, also for
+    points dated after the clock and intervals that start after it (they share the last bucket)."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(11)
+    base = D(2024, 6, 1)
+    visits, daily = [], []
+    for i in range(300):
+        s = base + dt.timedelta(days=rnd.randint(0, 500), hours=rnd.choice([0, 0, 9]))
+        e = None if rnd.random() < 0.3 else s + dt.timedelta(days=rnd.randint(0, 90))
+        visits.append((i, rnd.choice("abc"), s, e))       # few keys: many visits per key
+    for k in "abcd":
+        for d in range(0, 600, 3):
+            daily.append((k, base + dt.timedelta(days=d), d))
+    v = spark.createDataFrame(visits, "vid int, asset_id string, enter_date timestamp, exit_date timestamp")
+    p = spark.createDataFrame(daily, "asset_id string, date timestamp, n int")
+    got = sorted((r.vid, r._p_n) for r in
+                 interval_left_join(v, p, "asset_id", "enter_date", "exit_date", "date", cap=F.lit(clock))
+                 .where("_p_n IS NOT NULL").collect())
+    want = sorted((vid, n) for vid, k, s, e in visits for k2, d, n in daily
+                  if k == k2 and d >= s and (e is None or d <= e))
+    assert got == want and len(want) > 1000
