@@ -17,7 +17,7 @@ import datetime as _dt
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.config import EndpointConfig, STATIC_ENDPOINTS, endpoint_config
@@ -56,12 +56,22 @@ def watermark(lake: Lake, cfg: EndpointConfig):
     if last is None:
         return None
     if lake.exists(cfg.table):
-        newest = lake.read(cfg.table).agg(F.max("date").alias("m")).first()["m"]
+        newest = newest_date(lake, cfg.table)
         if newest is not None:
             return newest.date() if isinstance(newest, _dt.datetime) else newest
     return last.date()
 
 
+def newest_date(lake: Lake, table: str, date_col: str = "date"):
+    """``MAX(date)`` of a loaded table. Daily tables are partitioned by date, so the folder names
+    answer it without reading a file; an unpartitioned table is scanned (date column only)."""
+    values = lake.partition_values(table, date_col)
+    if values is not None:
+        parsed = [_dt.datetime.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
+        return max(parsed) if parsed else None
+    return lake.read(table).agg(F.max(date_col).alias("m")).first()["m"]
+
+
 def since(df: DataFrame, wm, date_col: str = "date") -> DataFrame:
     """Rows on or after the watermark day (inclusive)."""
     if wm is None:
@@ -109,8 +119,9 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     if recs.isEmpty():                                                   # S13
         log.info("%s: no new or updated data", endpoint)
         return LoadResult(cfg.table, 0, skipped=True)
-    src = lake.stage(cfg.table + "_batch", prepare(recs, cfg))           # deduplicated batch, lineage cut
-    n = src.count()
+    obs = Observation("batch_rows")
+    src = lake.stage(cfg.table + "_batch", prepare(recs, cfg), observation=obs)  # deduplicated, lineage cut
+    n = obs.get["rows"]                                                  # counted while staging
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
                  evolve=evolve)

@@ -98,6 +98,20 @@ class Lake(Mapping):
         if fs.exists(p):
             fs.delete(p, True)
 
+    def partition_values(self, name: str, column: str) -> list[str] | None:
+        """Values of partition ``column`` from the folder names alone (no file is read), unescaped;
+        None when the table is not partitioned by ``column``. Bounded by the number of partitions."""
+        from urllib.parse import unquote
+
+        fs, p = self._fs(self.path(name))
+        if not fs.exists(p):
+            return None
+        prefix = column + "="
+        dirs = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+        if not any(d.startswith(prefix) for d in dirs):
+            return None
+        return [unquote(d[len(prefix):]) for d in dirs if d.startswith(prefix)]
+
     def delete_partition(self, name: str, column: str, value: str) -> None:
         fs, p = self._fs(f"{self.path(name)}/{column}={value}")
         if fs.exists(p):
@@ -141,9 +155,13 @@ class Lake(Mapping):
             w = w.partitionBy(*partition_by)
         w.save(self.path(name))
 
-    def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Materialise ``df`` to a fresh path on shared storage and return it read back (cuts lineage)."""
+    def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = (),
+              observation: Observation | None = None) -> DataFrame:
+        """Materialise ``df`` to a fresh path on shared storage and return it read back (cuts lineage).
+        With ``observation``, the row count of the written data is observed during the same pass."""
         p = self.stage_path(name)
+        if observation is not None:
+            df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
         w = df.write.format(self.fmt).mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -91,3 +91,16 @@ def test_static_refresh_and_control(spark, scratch):
     c = lake.read(CONTROL_TABLE).collect()
     assert len(c) == 1 and c[0].status == "success"
     assert sorted(lake.tables()) == ["asset_warranties", "assets", CONTROL_TABLE]
+
+
+def test_newest_date_from_partition_folders(spark, scratch):
+    from fleetlake.plans.ingest import newest_date
+
+    lake = Lake(spark, scratch + "/lake")
+    df = spark.createDataFrame([("a", dt.datetime(2025, 1, d)) for d in (3, 11, 7)], "asset_id string, date timestamp")
+    lake.overwrite("daily", df, partition_by=["date"])
+    assert lake.partition_values("daily", "date") is not None
+    assert newest_date(lake, "daily") == dt.datetime(2025, 1, 11)
+    lake.overwrite("flat", df)                                             # not partitioned: scanned
+    assert lake.partition_values("flat", "date") is None
+    assert newest_date(lake, "flat") == dt.datetime(2025, 1, 11)
