@@ -51,8 +51,11 @@ def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], evo
 
 
 def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str], partition_col: str | None = "date",
-                 evolve: bool = False) -> None:
-    """Upsert ``source`` into table ``name`` of ``lake``; creates the table when it does not exist."""
+                 evolve: bool = False, source_staged: bool = False) -> None:
+    """Upsert ``source`` into table ``name`` of ``lake``; creates the table when it does not exist.
+
+    The source is read more than once below, so it is staged first unless ``source_staged`` says it
+    already is a read of written files (the loaders stage their deduplicated batch)."""
     if not lake.exists(name):
         lake.overwrite(name, source, partition_by=[partition_col] if partition_col else ())
         return
@@ -63,7 +66,7 @@ def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str],
         return
 
     source, target = align_source(source, target, evolve)
-    src = lake.stage(name + "_src", source)            # read once below, twice in the plan
+    src = source if source_staged else lake.stage(name + "_src", source)   # read several times below
     src_keys = src.select(*keys)
     touched_src = src.select(partition_col).distinct()
     if partition_col in keys:

@@ -124,7 +124,7 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     n = obs.get["rows"]                                                  # counted while staging
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
-                 evolve=evolve)
+                 evolve=evolve, source_staged=True)
     res = verify(lake, cfg, keys, n)
     lake.log_run(endpoint, now, n)                                       # only after a successful write
     return res
