@@ -149,7 +149,8 @@ class TestDataFleet(Mapping):
         w = Window.partitionBy("o_custkey").orderBy("o_orderdate")
         days = days.select(F.col("o_custkey").alias("_ck"), F.col("o_orderdate").alias("_od"), "_last_key",
                            F.lead("o_orderdate").over(w).alias("_next_day"))
-        j = o.join(days, (o.o_custkey == days._ck) & (o.o_orderdate == days._od), "inner")
+        # null-safe keys: an order without customer or date still gets its row, as under LEAD
+        j = o.join(days, o.o_custkey.eqNullSafe(days._ck) & o.o_orderdate.eqNullSafe(days._od), "inner")
         nxt = F.when(F.col("o_orderkey") == F.col("_last_key"), F.col("_next_day")).otherwise(F.col("o_orderdate"))
         return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority",
                         nxt.alias("_next"))

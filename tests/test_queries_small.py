@@ -135,6 +135,8 @@ def test_history_intervals_equal_lead_window(spark, scratch):
         cust = 1 if rnd.random() < 0.5 else rnd.randint(2, 40)      # customer 1 is hot
         day = D(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 20))  # few dates: many ties
         rows.append((key, cust, "F", 1.0, day, "1-URGENT"))
+    rows += [(5001, None, "F", 1.0, D(1995, 1, 3), "1-URGENT"), (5002, 1, "F", 1.0, None, "1-URGENT"),
+             (5003, 1, "F", 1.0, None, "1-URGENT")]                  # NULL customer / date: rows kept
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                                 "o_orderdate timestamp, o_orderpriority string") \
         .write.parquet(f"{scratch}/orders.parquet")
@@ -144,7 +146,9 @@ def test_history_intervals_equal_lead_window(spark, scratch):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     want = {(r.o_orderkey, r.n) for r in o.select("o_orderkey", F.lead("o_orderdate").over(w).alias("n")).collect()}
     assert got == want
-    assert sum(1 for _, n in got if n is None) == len({r[1] for r in rows})
+    assert len(got) == len(rows)
+    # every customer's newest order is open, plus order 5002 whose next row (5003) has no date
+    assert sum(1 for _, n in got if n is None) == len({r[1] for r in rows}) + 1
 
 
 @pytest.mark.parametrize("clock", [D(2024, 1, 1), D(2025, 3, 15), D(2030, 1, 1)])
