@@ -41,3 +41,21 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = e.queries(), e.oracle_sql()
     assert "q14_site_rollup" in q and set(o) <= set(q)
+
+
+def test_shuffle_partitions_sized_from_input(spark, monkeypatch):
+    from fleetlake import session
+    from fleetlake.plans.views import BASE_TABLES
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    paths = [f"/root/testdata/sf0.01/{t}.parquet" for t in BASE_TABLES]
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session.size_shuffle_partitions(spark, paths) == base           # small input: left alone
+    assert spark.conf.get(key, None) is None
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 64 * 1024)
+    try:
+        n = session.size_shuffle_partitions(spark, paths)
+        assert n == -(-session.input_bytes(spark, paths) // (64 * 1024)) and n > base
+        assert int(spark.conf.get(key)) == n
+    finally:
+        spark.conf.unset(key)
