@@ -81,9 +81,7 @@ def normalize(df: DataFrame, cfg: EndpointConfig, daily: bool | None = None, kee
     if flatten_structs:                                         # N14
         df = flatten_struct_columns(df, keep)
     fields = [f for f in df.schema.fields if f.name not in keep]
-    configured = cfg.configured if daily else (cfg.configured - set(DOUBLE_COLS))
-    # N2 only for columns that are not configured and could hold a value
-    candidates = [f.name for f in fields if f.name not in configured and not isinstance(f.dataType, T.NullType)]
+    candidates = _n2_candidates(df, cfg, daily, keep)
     blanks = all_null_columns(df, candidates) if blank_all_null else set()
     exprs = []
     for f in fields:
@@ -93,6 +91,28 @@ def normalize(df: DataFrame, cfg: EndpointConfig, daily: bool | None = None, kee
     return df.select(*exprs)
 
 
+def _n2_candidates(df: DataFrame, cfg: EndpointConfig, daily: bool, keep: tuple[str, ...]) -> list[str]:
+    """N2 applies only to columns that are not configured and could hold a value (input names)."""
+    configured = cfg.configured if daily else (cfg.configured - set(DOUBLE_COLS))
+    return [f.name for f in df.schema.fields if f.name not in keep and f.name not in configured
+            and not isinstance(f.dataType, T.NullType)]
+
+
+def blank_candidates(df: DataFrame, cfg: EndpointConfig, daily: bool | None = None,
+                     keep: tuple[str, ...] = ()) -> list[str]:
+    """Output names of the columns N2 may blank, for ``normalize(..., blank_all_null=False)`` whose
+    N2 is applied later with ``blank_columns`` (e.g. once their NULL counts were observed on write)."""
+    daily = cfg.daily if daily is None else daily
+    return [cfg.renames.get(c, c) for c in _n2_candidates(df, cfg, daily, keep)]
+
+
+def blank_columns(df: DataFrame, blanks: set[str]) -> DataFrame:
+    """N2 after the fact: each named column becomes "" in every row."""
+    if not blanks:
+        return df
+    return df.select(*[F.lit("").alias(c) if c in blanks else F.col(f"`{c}`") for c in df.columns])
+
+
 def flatten_struct_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One level of struct fields becomes ``parent_field`` columns (``select s.*`` with prefixes)."""
     cols = []

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.config import EndpointConfig, STATIC_ENDPOINTS, endpoint_config
 from fleetlake.operators.dedup import keep_last
-from fleetlake.operators.normalize import normalize
+from fleetlake.operators.normalize import blank_candidates, blank_columns, normalize
 from fleetlake.operators.quality import table_profile
 from fleetlake.operators.upsert import upsert_table
 from fleetlake.sources.pages import SEQ, read_pages
@@ -95,10 +95,10 @@ def merge_keys(cfg: EndpointConfig, columns: list[str]) -> list[str]:
     return keys if keys is not None else [c for c in columns if c != SEQ]
 
 
-def prepare(records: DataFrame, cfg: EndpointConfig) -> DataFrame:
+def prepare(records: DataFrame, cfg: EndpointConfig, blank_all_null: bool = True) -> DataFrame:
     """Normalise, then keep the last record per key (dedup after casts, so two spellings of a day
-    are one key). Drops ``_seq``."""
-    norm = normalize(records, cfg, keep=(SEQ,))
+    are one key). Drops ``_seq``. ``blank_all_null=False`` leaves N2 to the caller."""
+    norm = normalize(records, cfg, keep=(SEQ,), blank_all_null=blank_all_null)
     keys = dedup_keys(cfg, norm.columns)
     if keys is None:
         keys = [c for c in norm.columns if c != SEQ]
@@ -119,9 +119,15 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     if recs.isEmpty():                                                   # S13
         log.info("%s: no new or updated data", endpoint)
         return LoadResult(cfg.table, 0, skipped=True)
-    obs = Observation("batch_rows")
-    src = lake.stage(cfg.table + "_batch", prepare(recs, cfg), observation=obs)  # deduplicated, lineage cut
-    n = obs.get["rows"]                                                  # counted while staging
+    # the deduplicated batch is staged (lineage cut); its row count and the non-NULL count of every
+    # column N2 may blank are observed while it is written, so N2 costs no pass of its own
+    candidates = blank_candidates(recs, cfg, keep=(SEQ,))
+    obs = Observation("batch")
+    staged = lake.stage(cfg.table + "_batch", prepare(recs, cfg, blank_all_null=False), observation=obs,
+                        metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
+    m = obs.get
+    n = m["rows"]
+    src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0})   # N2
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
                  evolve=evolve, source_staged=True)

@@ -156,12 +156,13 @@ class Lake(Mapping):
         w.save(self.path(name))
 
     def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = (),
-              observation: Observation | None = None) -> DataFrame:
+              observation: Observation | None = None, metrics: Sequence = ()) -> DataFrame:
         """Materialise ``df`` to a fresh path on shared storage and return it read back (cuts lineage).
-        With ``observation``, the row count of the written data is observed during the same pass."""
+        With ``observation``, the row count (``rows``) and any extra aggregate ``metrics`` of the
+        written data are observed during the same pass."""
         p = self.stage_path(name)
         if observation is not None:
-            df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+            df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
         w = df.write.format(self.fmt).mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
