@@ -121,3 +121,18 @@ def test_daily_load_blanks_all_null_columns_of_the_deduplicated_batch(spark, scr
     assert {x.note for x in rows.values()} == {""}                       # all NULL after dedup -> ""
     assert rows["c"].memo == "kept" and rows["a"].memo is None
     assert rows["a"].active_run_seconds == 120 and dict(t.dtypes)["utilization_percentage"] == "double"
+
+
+def test_failed_write_raises_and_logs_nothing(spark, scratch):
+    """An error while saving propagates; no run-log row is written and the table is unchanged."""
+    import pytest
+
+    lake = Lake(spark, scratch + "/lake")
+    _land(scratch + "/b1", 0, [_rec("a", 1, 100)])
+    load_daily(spark, lake, scratch + "/b1", EP, now=dt.datetime(2025, 1, 2, 2))
+    # the next batch lacks target columns: the upsert refuses it (no evolve)
+    _land(scratch + "/b2", 0, [{"asset_id": "a", "date": "2025-01-02", "active_run_seconds": "5"}])
+    with pytest.raises(ValueError):
+        load_daily(spark, lake, scratch + "/b2", EP, now=dt.datetime(2025, 1, 3, 2))
+    assert lake.read(RUN_LOG_TABLE).count() == 1
+    assert [(r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect()] == [("a", 100)]
