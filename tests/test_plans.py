@@ -23,3 +23,30 @@ def test_plan_shape(spark, name):
     for table, width in (("lineitem", 11), ("orders", 6), ("events", 6)):
         for m in re.finditer(rf"{table}\.parquet.*?ReadSchema: struct<([^>]*)>", plan, re.S):
             assert m.group(1).count(":") < width, f"{name}: full-width scan of {table}"
+
+
+def _plan(spark, name):
+    return entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_lead_runs_over_customer_days_not_orders(spark):
+    """The LEAD of the history views has a (customer, date) aggregate below it, never raw orders."""
+    lines = _plan(spark, "q11_org_change_rate").splitlines()
+    at = next(i for i, l in enumerate(lines) if "Window [lead(" in l)
+    below = [l for l in lines[at + 1:] if re.search(r"(HashAggregate|Scan)", l)]
+    assert "HashAggregate(keys=[o_custkey" in below[0] and "o_orderdate" in below[0]
+
+
+def test_interval_join_keyed_by_asset_and_month(spark):
+    plan = _plan(spark, "q14_site_rollup")
+    assert re.search(r"Join \[asset_id#\d+L, _bucket#\d+\], \[_p_asset_id#\d+L, _p_bucket#\d+\]", plan)
+
+
+@pytest.mark.parametrize("name,partial", [("i4_keep_last_events", "partial_max_by("),
+                                          ("b1_expanded_billing", "partial_sum(_days"),
+                                          ("q18_missing_from_tracking", "partial_max(date")])
+def test_partial_aggregate_before_shuffle(spark, name, partial):
+    """Hot keys are reduced per map task: the partial aggregate sits below the exchange."""
+    lines = _plan(spark, name).splitlines()
+    at = next(i for i, l in enumerate(lines) if partial in l)
+    assert any("Exchange hashpartitioning" in l for l in lines[:at])
