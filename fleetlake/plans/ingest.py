@@ -3,9 +3,9 @@
 E1  pages -> records -> normalise (one select) -> overwrite table -> metrics; after all tables
     succeeded, stamp the control row. Any failure aborts before the stamp.
 E2  last successful run (I1) -> watermark = newest loaded date, else the run's date (I2) ->
-    records with date >= watermark (I3, inclusive: the last day is re-read) -> empty: stop, no log (S13)
-    -> normalise -> keep-last per merge key / (asset_id, date) / whole row (I4-I6) -> upsert (I7-I9) or
-    create partitioned by date (S6) -> row count + duplicates in one pass (I10, I11) -> warn (I12) ->
+    records with date >= watermark (I3, inclusive: the last day is re-read) -> normalise -> keep-last
+    per merge key / (asset_id, date) / whole row (I4-I6) -> stage (rows counted) -> empty: stop, no log
+    (S13) -> upsert (I7-I9) or create partitioned by date (S6) -> row count + duplicates in one pass (I10, I11) -> warn (I12) ->
     append the run log (I13). A failing write raises and logs nothing (I14).
 A batch is complete or it fails: there is no "keep the partial pages and log success".
 Driver traffic: the watermark scalar, the metric row, the set of touched dates (bounded by days).
@@ -116,17 +116,19 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     recs = records if records is not None else read_pages(spark, landed)
     if "date" in recs.columns:
         recs = since(recs, wm, "date")
-    if recs.isEmpty():                                                   # S13
-        log.info("%s: no new or updated data", endpoint)
-        return LoadResult(cfg.table, 0, skipped=True)
+    if not [c for c in recs.columns if c != SEQ]:                       # nothing landed at all
+        return _nothing_new(cfg)
     # the deduplicated batch is staged (lineage cut); its row count and the non-NULL count of every
-    # column N2 may blank are observed while it is written, so N2 costs no pass of its own
+    # column N2 may blank are observed while it is written, so neither the emptiness check nor N2
+    # costs a pass of its own
     candidates = blank_candidates(recs, cfg, keep=(SEQ,))
     obs = Observation("batch")
     staged = lake.stage(cfg.table + "_batch", prepare(recs, cfg, blank_all_null=False), observation=obs,
                         metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
     m = obs.get
     n = m["rows"]
+    if n == 0:                                                           # S13: no write, no run-log row
+        return _nothing_new(cfg)
     src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0})   # N2
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
@@ -136,6 +138,11 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     return res
 
 
+def _nothing_new(cfg: EndpointConfig) -> LoadResult:
+    log.info("%s: no new or updated data", cfg.endpoint)
+    return LoadResult(cfg.table, 0, skipped=True)
+
+
 def verify(lake: Lake, cfg: EndpointConfig, keys: list[str], records: int) -> LoadResult:
     """I10-I12 in one aggregation pass over the table."""
     t = lake.read(cfg.table)

@@ -136,3 +136,11 @@ def test_failed_write_raises_and_logs_nothing(spark, scratch):
         load_daily(spark, lake, scratch + "/b2", EP, now=dt.datetime(2025, 1, 3, 2))
     assert lake.read(RUN_LOG_TABLE).count() == 1
     assert [(r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect()] == [("a", 100)]
+
+
+def test_empty_page_is_no_new_data(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    _land(scratch + "/empty", 0, [])
+    r = load_daily(spark, lake, scratch + "/empty", EP, now=dt.datetime(2025, 1, 2, 2))
+    assert r.skipped and r.records == 0
+    assert not lake.exists("asset_utilizations_daily") and not lake.exists(RUN_LOG_TABLE)
