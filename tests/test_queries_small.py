@@ -177,3 +177,29 @@ def test_interval_join_equals_naive_join_for_any_clock(spark, clock):
     want = sorted((vid, n) for vid, k, s, e in visits for k2, d, n in daily
                   if k == k2 and d >= s and (e is None or d <= e))
     assert got == want and len(want) > 1000
+
+
+def test_billing_properties_on_test_data(spark):
+    """Over the derived fleet at sf0.001: per asset-month the department charges add up to
+    rate x tier, and the days on job never exceed the days of the month (handover days once)."""
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as entry
+
+    charges = entry.queries()["b3_monthly_charges"](spark, "/root/testdata/sf0.001")
+    rates = entry.queries()["b1_expanded_billing"](spark, "/root/testdata/sf0.001") \
+        .select("asset_id", "MonthYear", "internal_rental_rate").distinct()
+    per_month = (charges.groupBy("asset_id", "MonthYear")
+                 .agg(F.sum("monthly_charge").alias("charged"), F.sum("days_on_job").alias("days"),
+                      F.max("billing_tier").alias("tier"))
+                 .join(rates, ["asset_id", "MonthYear"]))
+    rows = per_month.collect()
+    assert len(rows) > 100
+    for r in rows:
+        month_days = (dt.date(int(r.MonthYear[:4]) + int(r.MonthYear[5:]) // 12, int(r.MonthYear[5:]) % 12 + 1, 1)
+                      - dt.date(int(r.MonthYear[:4]), int(r.MonthYear[5:]), 1)).days
+        assert 1 <= r.days <= month_days
+        if r.internal_rental_rate is None:
+            assert r.charged is None
+        else:
+            assert r.charged == pytest.approx(r.internal_rental_rate * r.tier, rel=1e-9, abs=1e-9)
