@@ -156,10 +156,20 @@ def verify(lake: Lake, cfg: EndpointConfig, keys: list[str], records: int) -> Lo
 # E1 -------------------------------------------------------------------------------------------------------
 def load_static(spark: SparkSession, lake: Lake, landed: str, endpoint: str,
                 records: DataFrame | None = None) -> LoadResult:
+    """E1 for one endpoint. N2 is decided by the write itself: the non-NULL count of every column it
+    may blank is observed while the table is written; only if a column turns out all-NULL (rare) is
+    the table rewritten, from a staged copy, with that column as "". The landed JSON is parsed once
+    for the write instead of once more for N2."""
     cfg = endpoint_config(endpoint)
     recs = records if records is not None else read_pages(spark, landed)
-    df = normalize(recs, cfg, keep=(SEQ,)).drop(SEQ) if SEQ in recs.columns else normalize(recs, cfg)
-    m = write_with_metrics(df, lambda d: lake.overwrite(cfg.table, d))
+    keep = (SEQ,) if SEQ in recs.columns else ()
+    candidates = blank_candidates(recs, cfg, keep=keep)
+    df = normalize(recs, cfg, keep=keep, blank_all_null=False).drop(*keep)
+    m = write_with_metrics(df, lambda d: lake.overwrite(cfg.table, d),
+                           metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
+    blanks = {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0}
+    if blanks:                                                            # N2
+        lake.overwrite(cfg.table, lake.stage(cfg.table, blank_columns(lake.read(cfg.table), blanks)))
     return LoadResult(cfg.table, m["rows"], m["rows"], 0, m["columns"])
 
 

@@ -196,12 +196,13 @@ def persisted(df: DataFrame):
         df.unpersist()
 
 
-def write_with_metrics(df: DataFrame, write) -> dict:
+def write_with_metrics(df: DataFrame, write, metrics: Sequence = ()) -> dict:
     """Run ``write(df_observed)`` and return the rows and columns seen by that same pass
-    (no second scan). Duplicate counts need a distinct aggregate, which observation does not allow;
-    they come from ``operators.quality.table_profile`` on the written table."""
+    (no second scan), plus any extra aggregate ``metrics``. Duplicate counts need a distinct
+    aggregate, which observation does not allow; they come from ``operators.quality.table_profile``
+    on the written table."""
     obs = Observation("load_metrics")
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("rows"), *metrics]
     observed = df.observe(obs, *aggs)
     write(observed)
     m = dict(obs.get)

@@ -79,15 +79,19 @@ def test_stream_equals_batch(spark, scratch):
 def test_static_refresh_and_control(spark, scratch):
     landing = scratch + "/landing"
     _land(landing + "/assets", 0, [{"asset_id": "x1", "year": "2019", "billable": "Yes",
-                                    "updated_at": "2025-01-01T10:00:00", "specs": {"hp": 120}}])
+                                    "updated_at": "2025-01-01T10:00:00", "specs": {"hp": 120}, "notes": None},
+                                   {"asset_id": "x2", "notes": None, "engine_year": None}])
     _land(landing + "/asset-warranties", 0, [{"asset_warranty_id": "w1", "asset_id": "x1", "expired": "false"}])
     lake = Lake(spark, scratch + "/lake")
     from fleetlake.config import ENDPOINTS
     res = refresh_static(spark, lake, landing, endpoints=(ENDPOINTS["assets"], ENDPOINTS["asset-warranties"]),
                          now=dt.datetime(2025, 1, 2))
-    assert [r.records for r in res] == [1, 1]
-    a = lake.read("assets").first()
+    assert [r.records for r in res] == [2, 1]
+    t = lake.read("assets")
+    a = t.where("asset_id = 'x1'").first()
     assert a.year == 2019 and a.billable is True and a.specs == '{"hp":120}'
+    # An all-NULL column that is not configured becomes "", a configured one keeps its type
+    assert {r.notes for r in t.collect()} == {""} and dict(t.dtypes)["engine_year"] == "bigint"
     c = lake.read(CONTROL_TABLE).collect()
     assert len(c) == 1 and c[0].status == "success"
     assert sorted(lake.tables()) == ["asset_warranties", "assets", CONTROL_TABLE]
