@@ -59,6 +59,12 @@ def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str],
     if not lake.exists(name):
         lake.overwrite(name, source, partition_by=[partition_col] if partition_col else ())
         return
+    with lake.staging():                                 # this upsert's staged copies go when it succeeds
+        _upsert_existing(lake, name, source, keys, partition_col, evolve, source_staged)
+
+
+def _upsert_existing(lake: Lake, name: str, source: DataFrame, keys: Sequence[str], partition_col: str | None,
+                     evolve: bool, source_staged: bool) -> None:
     target = lake.read(name)
     if partition_col is None or partition_col not in target.columns:
         merged = lake.stage(name, upsert_frames(target, source, keys, evolve))

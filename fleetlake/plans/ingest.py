@@ -118,6 +118,12 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
         recs = since(recs, wm, "date")
     if not [c for c in recs.columns if c != SEQ]:                       # nothing landed at all
         return _nothing_new(cfg)
+    with lake.staging():                                                 # staged copies go on success
+        return _load_batch(lake, cfg, recs, endpoint, now, evolve)
+
+
+def _load_batch(lake: Lake, cfg: EndpointConfig, recs: DataFrame, endpoint: str, now: _dt.datetime,
+                evolve: bool) -> LoadResult:
     # the deduplicated batch is staged (lineage cut); its row count and the non-NULL count of every
     # column N2 may blank are observed while it is written, so neither the emptiness check nor N2
     # costs a pass of its own
@@ -169,7 +175,8 @@ def load_static(spark: SparkSession, lake: Lake, landed: str, endpoint: str,
                            metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
     blanks = {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0}
     if blanks:                                                            # N2
-        lake.overwrite(cfg.table, lake.stage(cfg.table, blank_columns(lake.read(cfg.table), blanks)))
+        with lake.staging():
+            lake.overwrite(cfg.table, lake.stage(cfg.table, blank_columns(lake.read(cfg.table), blanks)))
     return LoadResult(cfg.table, m["rows"], m["rows"], 0, m["columns"])
 
 

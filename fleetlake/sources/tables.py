@@ -62,6 +62,7 @@ class Lake(Mapping):
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        self._staged: list[str] = []
 
     # paths and file system -------------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -167,8 +168,21 @@ class Lake(Mapping):
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(p)
+        self._staged.append(p)
         return self.spark.read.format(self.fmt).load(p)
 
+    @contextmanager
+    def staging(self):
+        """Scope of one load: the copies it staged are deleted when the block succeeds (nothing
+        reads them afterwards); after a failure they stay for inspection."""
+        mark = len(self._staged)
+        yield
+        for p in self._staged[mark:]:
+            fs, path = self._fs(p)
+            if fs.exists(path):
+                fs.delete(path, True)
+        del self._staged[mark:]
+
     # Control table --------------------------------------------------------------------------------
     def init_control(self, pipeline: str, now) -> bool:
         """Create the one-row control table with status 'initialized' unless it exists."""

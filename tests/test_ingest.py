@@ -148,3 +148,15 @@ def test_empty_page_is_no_new_data(spark, scratch):
     r = load_daily(spark, lake, scratch + "/empty", EP, now=dt.datetime(2025, 1, 2, 2))
     assert r.skipped and r.records == 0
     assert not lake.exists("asset_utilizations_daily") and not lake.exists(RUN_LOG_TABLE)
+
+
+def test_staged_copies_are_removed_after_a_successful_load(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    _land(scratch + "/b1", 0, [_rec("a", 1, 100), _rec("b", 1, 10)])
+    _land(scratch + "/b2", 0, [_rec("a", 1, 150), _rec("c", 2, 20)])
+    load_daily(spark, lake, scratch + "/b1", EP, now=dt.datetime(2025, 1, 2, 2))
+    load_daily(spark, lake, scratch + "/b2", EP, now=dt.datetime(2025, 1, 3, 2))
+    staging = scratch + "/lake/_staging"
+    assert not os.path.isdir(staging) or os.listdir(staging) == []
+    got = sorted((r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect())
+    assert got == [("a", 150), ("b", 10), ("c", 20)]
