@@ -54,8 +54,13 @@ def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str],
                  evolve: bool = False, source_staged: bool = False) -> None:
     """Upsert ``source`` into table ``name`` of ``lake``; creates the table when it does not exist.
 
+    Plain file tables only: copy-on-write swaps and deletes partition folders, which a transaction-log
+    format (Delta, Iceberg) must do through its own MERGE instead.
+
     The source is read more than once below, so it is staged first unless ``source_staged`` says it
     already is a read of written files (the loaders stage their deduplicated batch)."""
+    if lake.fmt != "parquet":
+        raise NotImplementedError(f"copy-on-write upsert is for parquet tables; use MERGE INTO on {lake.fmt}")
     if not lake.exists(name):
         lake.overwrite(name, source, partition_by=[partition_col] if partition_col else ())
         return
