@@ -25,7 +25,6 @@ Mapping (asset = customer):
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
