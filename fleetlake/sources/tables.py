@@ -200,6 +200,16 @@ class Lake(Mapping):
         self.append(RUN_LOG_TABLE, self.spark.createDataFrame([(endpoint, now, int(records))], RUN_LOG_SCHEMA))
 
 
+def register_views(tables: Mapping[str, DataFrame], names: Sequence[str] | None = None) -> list[str]:
+    """Expose fleet tables (a ``Lake``, ``CatalogTables`` or the test-data fleet) as session temp views,
+    so ad-hoc Spark SQL runs on them by their table names. Views are lazy: nothing is read here."""
+    out = []
+    for name in (names if names is not None else list(tables)):
+        tables[name].createOrReplaceTempView(simple_name(name))
+        out.append(simple_name(name))
+    return out
+
+
 @contextmanager
 def persisted(df: DataFrame):
     """Cache for the duration of a block that reuses ``df``, and release it afterwards."""

@@ -81,3 +81,20 @@ def test_control_init_drop_reload_persist_metrics(spark, scratch):
         assert cached.is_cached
         assert cached.count() == 4
     assert not cached.is_cached
+
+
+def test_register_views_for_sql(spark):
+    from fleetlake.plans.queries import ROW_COUNT_TABLES
+    from fleetlake.plans.views import TestDataFleet
+    from fleetlake.sources.tables import register_views
+
+    fleet = TestDataFleet(spark, "/root/testdata/sf0.001")
+    assert register_views(fleet, ROW_COUNT_TABLES) == list(ROW_COUNT_TABLES)
+    try:
+        got = spark.sql("""SELECT a.status, COUNT(DISTINCT a.asset_id) AS n
+                           FROM assets a JOIN asset_site_history h ON a.asset_id = h.asset_id
+                           GROUP BY a.status""").collect()
+        assert sum(r.n for r in got) == fleet["asset_site_history"].select("asset_id").distinct().count()
+    finally:
+        for n in ROW_COUNT_TABLES:
+            spark.catalog.dropTempView(n)
