@@ -86,15 +86,19 @@ def _upsert_existing(lake: Lake, name: str, source: DataFrame, keys: Sequence[st
         cond = [target[k] == src_keys[k] for k in keys]
         moved_from = target.join(src_keys, cond, "left_semi").select(partition_col).distinct()
         touched = touched_src.unionByName(moved_from).distinct()
-    # target rows of the touched partitions: partition pruning keeps the scan to those dates
-    t_touched = target.join(touched, partition_col, "left_semi")
+    # target rows of the touched partitions: partition pruning keeps the scan to those dates; null-safe,
+    # so rows in the NULL partition are kept like any other
+    tc = F.col(partition_col)
+    touched = touched.select(tc.alias("_part"))
+    t_touched = target.join(touched, target[partition_col].eqNullSafe(touched["_part"]), "left_semi")
     cond = [t_touched[k] == src_keys[k] for k in keys]
     new_content = t_touched.join(src_keys, cond, "left_anti").unionByName(src)
     staged = lake.stage(name, new_content, partition_by=[partition_col])
     # touched partitions with no rows left, found before the swap replaces the files `touched` reads;
     # the set of touched dates is bounded by the calendar, not by rows
     present = staged.select(partition_col).distinct()
-    emptied = [r[0] for r in touched.join(present, partition_col, "left_anti").collect()]
+    emptied = [r[0] for r in touched.join(present, touched["_part"].eqNullSafe(present[partition_col]), "left_anti")
+               .collect()]
     lake.overwrite_partitions(name, staged, [partition_col])
     for value in emptied:
         lake.delete_partition(name, partition_col, _partition_value(value))
@@ -105,6 +109,8 @@ def _partition_value(v) -> str:
     import datetime as _dt
     from urllib.parse import quote
 
+    if v is None:
+        return "__HIVE_DEFAULT_PARTITION__"
     if isinstance(v, _dt.datetime):
         s = v.strftime("%Y-%m-%d %H:%M:%S")
         if v.microsecond:

@@ -89,3 +89,24 @@ def test_partitioned_upsert_equals_dict_merge_and_is_idempotent(spark, target, s
     assert sorted(tuple(r) for r in lake.read("t").select("id", "v", "date").collect()) == want
     upsert_table(lake, "t", src, ["id"])
     assert sorted(tuple(r) for r in lake.read("t").select("id", "v", "date").collect()) == want
+
+
+def test_partitioned_upsert_with_null_dates(spark, scratch):
+    """Rows without a date live in the default partition; they are matched, kept and emptied like others."""
+    lake = Lake(spark, scratch)
+    d1 = dt.datetime(2025, 1, 1)
+    target = spark.createDataFrame([(1, 1, None), (2, 2, None), (3, 3, d1), (4, 4, d1)],
+                                   "id long, v long, date timestamp")
+    lake.overwrite("t", target, partition_by=["date"])
+    # id 1 changes inside the NULL partition, id 3 moves into it, id 2 stays
+    upsert_table(lake, "t", spark.createDataFrame([(1, 10, None), (3, 30, None)], "id long, v long, date timestamp"),
+                 ["id"])
+    key = lambda r: (r[0],)
+    assert sorted((tuple(r) for r in lake.read("t").select("id", "v", "date").collect()), key=key) == \
+        [(1, 10, None), (2, 2, None), (3, 30, None), (4, 4, d1)]
+    # every row leaves the NULL partition: it is removed
+    upsert_table(lake, "t", spark.createDataFrame([(1, 11, d1), (2, 12, d1), (3, 13, d1)],
+                                                  "id long, v long, date timestamp"), ["id"])
+    assert sorted(tuple(r) for r in lake.read("t").select("id", "v", "date").collect()) == \
+        [(1, 11, d1), (2, 12, d1), (3, 13, d1), (4, 4, d1)]
+    assert lake.partition_values("t", "date") == ["2025-01-01 00:00:00"]
