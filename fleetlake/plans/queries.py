@@ -92,14 +92,27 @@ def q8_expired_warranties(t: Tables) -> DataFrame:
 
 
 def q9_label_usage(t: Tables) -> DataFrame:
+    """Assets per label: ``labels LEFT JOIN associations (currently applied)``, grouped by label.
+
+    Written as SQL, the association rows are the non-preserved side of the outer join: they cannot
+    be broadcast, and AQE only splits skew on the preserved side, so a label holding a third of all
+    associations would be joined in one task. Instead the associations inner-join the labels (the
+    label side can be broadcast; a skewed association side can be split), distinct assets are
+    counted per label group with a partial aggregate, and the label groups join that small result
+    null-safely — a label without associations still gets 0.
+    """
     al = t["asset_labels"]
-    # the ON-clause predicate filters the right side before the outer join
     ala = (t["asset_label_associations"].where(F.col("currently_applied"))
            .select(F.col("asset_label_id").alias("_lid"), "asset_id"))
-    j = al.join(ala, al.asset_label_id == ala._lid, "left")
-    return (j.groupBy("label_name", "label_color", "deactivated")
-            .agg(F.count_distinct("asset_id").alias("assets_with_label"))
-            .select("label_name", "label_color", "assets_with_label", "deactivated")
+    group = ["label_name", "label_color", "deactivated"]
+    counted = (ala.join(al.select("asset_label_id", *group), ala._lid == al.asset_label_id, "inner")
+               .groupBy(*[F.col(c).alias("_" + c) for c in group])
+               .agg(F.count_distinct("asset_id").alias("_n")))
+    labels = al.select(*group).distinct()
+    cond = [labels[c].eqNullSafe(counted["_" + c]) for c in group]
+    return (labels.join(counted, cond, "left")
+            .select("label_name", "label_color", F.coalesce(F.col("_n"), F.lit(0)).alias("assets_with_label"),
+                    "deactivated")
             .orderBy(F.desc("assets_with_label"), "label_name"))
 
 
