@@ -14,13 +14,15 @@ it the same query runs continuously.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.config import endpoint_config
-from fleetlake.plans.ingest import load_daily
+from fleetlake.plans.ingest import LoadResult, load_daily, merge_keys, verify
 from fleetlake.sources.pages import SEQ
 from fleetlake.sources.tables import Lake
 
@@ -33,15 +35,30 @@ def _records(pages: DataFrame, page_schema: T.StructType) -> DataFrame:
     return exploded.select(*cols, (F.col("_offset") + F.col("_pos")).alias(SEQ))
 
 
+@dataclass
+class StreamLoad:
+    query: StreamingQuery
+    verified: LoadResult | None = None     # the table check after an availableNow run
+
+
 def run_incremental_stream(spark: SparkSession, lake: Lake, landing_dir: str, endpoint: str,
                            checkpoint_dir: str, page_schema: T.StructType, available_now: bool = True,
-                           max_files_per_trigger: int | None = None, now: _dt.datetime | None = None):
-    """Start the stream; with ``available_now`` it returns after all landed files are loaded."""
-    endpoint_config(endpoint)  # unknown endpoints get the empty config, like the batch loader
+                           max_files_per_trigger: int | None = None, now: _dt.datetime | None = None,
+                           verify_each_batch: bool | None = None) -> StreamLoad:
+    """Start the stream; with ``available_now`` it returns after all landed files are loaded.
+
+    The whole-table check (row count, duplicate keys) is a full pass over the table, so an
+    ``available_now`` run does it once after the last micro-batch instead of after every one; a
+    continuous stream checks per batch unless ``verify_each_batch=False``. Every micro-batch still
+    appends its run-log row."""
+    cfg = endpoint_config(endpoint)  # unknown endpoints get the empty config, like the batch loader
+    per_batch = (not available_now) if verify_each_batch is None else verify_each_batch
+    loaded = [0]                           # rows merged by this run's micro-batches (foreachBatch runs here)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        load_daily(spark, lake, landing_dir, endpoint, now=now, records=_records(batch, page_schema),
-                   use_watermark=False)
+        res = load_daily(spark, lake, landing_dir, endpoint, now=now, records=_records(batch, page_schema),
+                         use_watermark=False, verify_table=per_batch)
+        loaded[0] += res.records
 
     reader = spark.readStream.schema(page_schema)
     if max_files_per_trigger:
@@ -50,6 +67,10 @@ def run_incremental_stream(spark: SparkSession, lake: Lake, landing_dir: str, en
     w = pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    if not available_now:
+        return StreamLoad(q)
+    q.awaitTermination()
+    verified = None
+    if not per_batch and lake.exists(cfg.table):
+        verified = verify(lake, cfg, merge_keys(cfg, lake.read(cfg.table).columns), loaded[0])
+    return StreamLoad(q, verified)

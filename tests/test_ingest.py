@@ -68,8 +68,11 @@ def test_stream_equals_batch(spark, scratch):
     load_daily(spark, batch_lake, landing + "/*", EP, now=dt.datetime(2025, 1, 3))
     stream_lake = Lake(spark, scratch + "/stream")
     schema = page_schema_of(spark, landing + "/*")
-    run_incremental_stream(spark, stream_lake, landing + "/*", EP, scratch + "/ckpt", schema,
-                           max_files_per_trigger=1, now=dt.datetime(2025, 1, 3))
+    run = run_incremental_stream(spark, stream_lake, landing + "/*", EP, scratch + "/ckpt", schema,
+                                 max_files_per_trigger=1, now=dt.datetime(2025, 1, 3))
+    # two micro-batches, two run-log rows, one table check at the end
+    assert stream_lake.read(RUN_LOG_TABLE).count() == 2
+    assert (run.verified.records, run.verified.table_rows, run.verified.duplicates) == (4, 3, 0)
     rows = lambda lk: sorted((r.asset_id, r.date, r.active_run_seconds)
                              for r in lk.read("asset_utilizations_daily").collect())
     assert rows(batch_lake) == rows(stream_lake)
