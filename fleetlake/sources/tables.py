@@ -134,8 +134,19 @@ class Lake(Mapping):
         return self.spark.read.format(self.fmt).load(self.path(name))
 
     # S5 / S6 / S7 -----------------------------------------------------------------------------------
-    def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Replace table and schema. ``df`` must not read this table (use ``stage`` first)."""
+    @staticmethod
+    def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        """Rows of one partition value gathered before a partitioned write: otherwise every task of a
+        wide stage writes its own small file into every date it holds. REBALANCE lets AQE merge small
+        groups to the advisory size and split a hot date into several files."""
+        return df.hint("rebalance", *partition_by) if partition_by else df
+
+    def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = (),
+                  rebalance: bool = True) -> None:
+        """Replace table and schema. ``df`` must not read this table (use ``stage`` first).
+        ``rebalance=False`` when ``df`` already reads files grouped by the partition column."""
+        if rebalance:
+            df = self._rebalanced(df, partition_by)
         w = df.write.format(self.fmt).mode("overwrite")
         if self.fmt == "delta":
             w = w.option("overwriteSchema", "true")
@@ -145,7 +156,8 @@ class Lake(Mapping):
         w.option("partitionOverwriteMode", "static").save(self.path(name))
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
+        """Replace only the partitions present in ``df`` (dynamic partition overwrite). ``df`` is a
+        staged copy, already written one partition folder per value, so it is not rebalanced again."""
         (df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).save(self.path(name)))
 
@@ -164,7 +176,7 @@ class Lake(Mapping):
         p = self.stage_path(name)
         if observation is not None:
             df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
-        w = df.write.format(self.fmt).mode("error")
+        w = self._rebalanced(df, partition_by).write.format(self.fmt).mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(p)
