@@ -208,8 +208,27 @@ class Lake(Mapping):
         self.overwrite(CONTROL_TABLE, self.spark.createDataFrame([(pipeline, now, status)], CONTROL_SCHEMA))
 
     # Run log ----------------------------------------------------------------------------------------
-    def log_run(self, endpoint: str, now, records: int) -> None:
+    def log_run(self, endpoint: str, now, records: int, compact_at: int = 256) -> None:
+        """Append one row; every append is a small file, so past ``compact_at`` files the log is
+        rewritten as one (from a staged copy) and reads of it stay one file, not thousands. The log is
+        bounded by endpoints x runs (a few thousand rows a year), so one file is the right size."""
         self.append(RUN_LOG_TABLE, self.spark.createDataFrame([(endpoint, now, int(records))], RUN_LOG_SCHEMA))
+        if self.data_files(RUN_LOG_TABLE) > compact_at:
+            with self.staging():
+                self.overwrite(RUN_LOG_TABLE, self.stage(RUN_LOG_TABLE, self.read(RUN_LOG_TABLE).coalesce(1)))
+
+    def data_files(self, name: str) -> int:
+        """Number of data files of a table (file-system listing only)."""
+        fs, p = self._fs(self.path(name))
+        if not fs.exists(p):
+            return 0
+        it = fs.listFiles(p, True)
+        n = 0
+        while it.hasNext():
+            f = it.next().getPath().getName()
+            if not f.startswith(("_", ".")):
+                n += 1
+        return n
 
 
 def register_views(tables: Mapping[str, DataFrame], names: Sequence[str] | None = None) -> list[str]:

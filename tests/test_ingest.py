@@ -163,3 +163,12 @@ def test_staged_copies_are_removed_after_a_successful_load(spark, scratch):
     assert not os.path.isdir(staging) or os.listdir(staging) == []
     got = sorted((r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect())
     assert got == [("a", 150), ("b", 10), ("c", 20)]
+
+
+def test_run_log_is_compacted(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    for i in range(5):
+        lake.log_run(EP, dt.datetime(2025, 1, 1 + i, 2), i, compact_at=3)
+    assert lake.data_files(RUN_LOG_TABLE) <= 3
+    assert sorted(r.records_processed for r in lake.read(RUN_LOG_TABLE).collect()) == [0, 1, 2, 3, 4]
+    assert last_successful_run(lake, EP) == dt.datetime(2025, 1, 5, 2)
