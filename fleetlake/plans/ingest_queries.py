@@ -11,12 +11,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.config import EndpointConfig
+from fleetlake.config import EndpointConfig, endpoint_config
 from fleetlake.functions.dates import day_start
 from fleetlake.operators.dedup import keep_last
 from fleetlake.operators.normalize import normalize
 from fleetlake.operators.upsert import upsert_table
-from fleetlake.plans.ingest import load_daily, load_static
+from fleetlake.plans.ingest import load_daily, load_static, prepare
 from fleetlake.plans.views import TestDataFleet
 from fleetlake.session import shared_dir
 from fleetlake.sources.csv import read_csv, write_csv
@@ -133,6 +133,31 @@ def e1_static_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("assets")
 
 
+def i6_exact_row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An endpoint with neither merge key nor (asset_id, date) — the status of every order line
+    (order, return flag, line status) served as pages; the loader's own dedup step collapses
+    whole-row duplicates (lines of one order with the same flags) to one row each."""
+    li = TestDataFleet(spark, sf_dir)["lineitem"]
+    landing = shared_dir(spark, "landing-line-status")
+    rows = li.select("l_orderkey", "l_returnflag", "l_linestatus",
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
+    land_pages(rows, landing, "seq")
+    cfg = endpoint_config("order-line-status")            # unknown endpoint: empty config, whole-row dedup
+    return prepare(read_pages(spark, landing), cfg)
+
+
+def n14_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events served with ``props`` as a nested object, loaded with struct fields promoted to
+    top-level columns (``props_k``) instead of JSON text."""
+    ev = TestDataFleet(spark, sf_dir)["events"]
+    landing = shared_dir(spark, "landing-events-nested")
+    land_pages(ev.select("event_id", "ts", "user_id", "event_type", "value",
+                         F.from_json("props", "k bigint").alias("props"), F.col("event_id").alias("seq")),
+               landing, "seq")
+    cfg = EndpointConfig("events", "events", datetime_cols=("ts",), long_int_cols=("event_id", "user_id"))
+    return normalize(read_pages(spark, landing), cfg, keep=(SEQ,), flatten_structs=True).drop(SEQ)
+
+
 _DAILY_ROWS_SQL = """
     SELECT user_id AS asset_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
            CAST(COUNT(*) * 3600 AS BIGINT) AS active_run_seconds,
@@ -172,7 +197,12 @@ ORACLE = {
         SELECT asset_id, name, make, model, status, purchase_price, billable,
                CAST(CAST(updated_at AS DATE) AS TIMESTAMP) AS updated_on FROM assets""",
     "e1_static_refresh": "SELECT * FROM assets",
+    "i6_exact_row_dedup": """
+        SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem""",
+    "n14_flatten_events": """
+        SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value,
+               CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events""",
 }
 
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
-            s2_csv_assets, e1_static_refresh)
+            s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events)
