@@ -50,3 +50,14 @@ def test_partial_aggregate_before_shuffle(spark, name, partial):
     lines = _plan(spark, name).splitlines()
     at = next(i for i, l in enumerate(lines) if partial in l)
     assert any("Exchange hashpartitioning" in l for l in lines[:at])
+
+
+def test_q9_outer_join_sees_only_aggregated_counts(spark):
+    """Q9's one outer join has the per-group distinct counts as its non-preserved side; the association
+    rows only meet the labels in an inner join (where a hot label can be split or the labels broadcast)."""
+    plan = _plan(spark, "q9_label_usage")
+    assert len(re.findall(r"LeftOuter", plan)) == 1
+    lines = plan.splitlines()
+    at = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(coalesce(_label_name" in l)
+    assert "count(distinct asset_id" in lines[at + 1]
+    assert re.search(r"Join \[_lid#\d+L\], \[asset_label_id#\d+L\], Inner", plan)
