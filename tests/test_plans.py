@@ -61,3 +61,12 @@ def test_q9_outer_join_sees_only_aggregated_counts(spark):
     at = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(coalesce(_label_name" in l)
     assert "count(distinct asset_id" in lines[at + 1]
     assert re.search(r"Join \[_lid#\d+L\], \[asset_label_id#\d+L\], Inner", plan)
+
+
+def test_readings_running_total_runs_over_asset_days(spark):
+    """The per-asset running total (readings view) windows over one row per asset-day (an aggregate of
+    the events), so a hot asset's window holds at most one row per calendar day."""
+    lines = _plan(spark, "q16_daily_consistency").splitlines()
+    at = next(i for i, l in enumerate(lines) if "Window [sum(" in l)
+    below = [l for l in lines[at + 1:] if re.search(r"(HashAggregate|Scan)", l)]
+    assert "HashAggregate(keys=[user_id" in below[0]

@@ -59,3 +59,15 @@ def test_shuffle_partitions_sized_from_input(spark, monkeypatch):
         assert int(spark.conf.get(key)) == n
     finally:
         spark.conf.unset(key)
+
+
+def test_shuffle_partitions_cap_at_100_tb(spark, monkeypatch):
+    from fleetlake import session
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "input_bytes", lambda s, paths: 100 * 1024 ** 4)
+    try:
+        assert session.size_shuffle_partitions(spark, ["/x"]) == session.MAX_SHUFFLE_PARTITIONS
+        assert int(spark.conf.get(key)) == session.MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.unset(key)
