@@ -24,19 +24,27 @@ DEFAULT_TARGET_UTILIZATION = 75.0  # the dashboard's target line; the figure its
 
 
 class FilteredFleet(Mapping):
-    """K6: a view of the fleet restricted by asset attributes and a date range."""
+    """K6: a view of the fleet restricted by asset attributes and a date range.
 
-    def __init__(self, t: Tables, make=None, status=None, date_from=None, date_to=None):
+    ``make`` / ``status`` and any other asset column in ``asset_filters`` ({column: allowed values})
+    restrict the assets; every fact keyed by ``asset_id`` is cut to those assets with a semi join (the
+    fact stays the preserved, splittable side) and daily facts to the date range."""
+
+    def __init__(self, t: Tables, make=None, status=None, date_from=None, date_to=None,
+                 asset_filters: Mapping | None = None):
         self.t = t
-        self.make, self.status, self.date_from, self.date_to = make, status, date_from, date_to
+        self.date_from, self.date_to = date_from, date_to
+        self.asset_filters = {k: list(v) for k, v in (asset_filters or {}).items()}
+        if make is not None:
+            self.asset_filters["make"] = list(make)
+        if status is not None:
+            self.asset_filters["status"] = list(status)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "assets":
             a = self.t["assets"]
-            if self.make is not None:
-                a = a.where(F.col("make").isin(list(self.make)))
-            if self.status is not None:
-                a = a.where(F.col("status").isin(list(self.status)))
+            for column, allowed in self.asset_filters.items():
+                a = a.where(F.col(column).isin(allowed))
             return a
         df = self.t[name]
         if name in ("asset_utilizations_daily", "asset_net_working_hours_daily", "asset_readings_daily",
@@ -45,9 +53,9 @@ class FilteredFleet(Mapping):
                 df = df.where(F.col("date") >= self.date_from)
             if self.date_to is not None:
                 df = df.where(F.col("date") <= self.date_to)
-            if self.make is not None or self.status is not None:
-                keys = self["assets"].select(F.col("asset_id").alias("_k"))
-                df = df.join(keys, df.asset_id == keys._k, "left_semi")
+        if self.asset_filters and "asset_id" in df.columns:
+            keys = self["assets"].select(F.col("asset_id").alias("_k"))
+            df = df.join(keys, df.asset_id == keys._k, "left_semi")
         return df
 
     def __iter__(self):

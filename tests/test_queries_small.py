@@ -227,3 +227,27 @@ def test_q9_rewrite_equals_naive_left_join(spark):
         GROUP BY al.label_name, al.label_color, al.deactivated""").collect()), key=key)
     assert got == want
     assert (None, "grey", 1, False) in got and ("Spare", "green", 0, False) in got and ("Heavy", "red", 52, False) in got
+
+
+def test_filtered_fleet_any_asset_column(spark):
+    """K6: filters on any asset column reach every fact keyed by asset_id; KPI cards follow."""
+    from fleetlake.plans import dashboard
+
+    t = {
+        "assets": spark.createDataFrame([(1, "CAT", "Active", "320", 10.0), (2, "CAT", "Active", "336", 20.0),
+                                         (3, "Deere", "Idle", "320", 30.0)],
+                                        "asset_id long, make string, status string, model string, purchase_price double"),
+        "asset_utilizations_daily": spark.createDataFrame(
+            [(1, D(2025, 1, 1), 50.0, 3600), (2, D(2025, 1, 1), 70.0, 7200), (3, D(2025, 1, 2), 90.0, 10800),
+             (1, D(2024, 12, 1), 10.0, 1800)],
+            "asset_id long, date timestamp, utilization_percentage double, active_run_seconds long"),
+        "asset_dt_codes": spark.createDataFrame([(100, 1), (101, 3)], "asset_dt_code_id long, asset_id long"),
+    }
+    f = dashboard.FilteredFleet(t, asset_filters={"model": ["320"]}, date_from=D(2025, 1, 1))
+    assert sorted(r.asset_id for r in f["assets"].collect()) == [1, 3]
+    assert sorted(r.asset_id for r in f["asset_utilizations_daily"].collect()) == [1, 3]
+    assert sorted(r.asset_dt_code_id for r in f["asset_dt_codes"].collect()) == [100, 101]
+    cards = {r.metric: r.value for r in dashboard.k1_kpi_cards(f).collect()}
+    assert cards == {"fleet_utilization": 70.0, "total_hours": 4.0, "asset_count": 2.0, "fleet_value": 40.0}
+    g = dashboard.FilteredFleet(t, make=["CAT"], asset_filters={"model": ["320"]})
+    assert [r.asset_id for r in g["assets"].collect()] == [1]
