@@ -74,10 +74,21 @@ class Lake(Mapping):
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def _has_data(self, path: str) -> bool:
-        """A committed table: parquet jobs leave ``_SUCCESS``, Delta tables a ``_delta_log``."""
+        """A committed table: parquet jobs leave ``_SUCCESS``, Delta tables a ``_delta_log``. Where the
+        cluster turns success markers off, a folder holding data files counts as a table."""
         fs, p = self._fs(path)
+        if not fs.exists(p):
+            return False
         marker = "/_delta_log" if self.fmt == "delta" else "/_SUCCESS"
-        return fs.exists(p) and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + marker))
+        if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + marker)):
+            return True
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        if self.fmt != "delta" and conf.get("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") == "false":
+            it = fs.listFiles(p, True)
+            while it.hasNext():
+                if not it.next().getPath().getName().startswith(("_", ".")):
+                    return True
+        return False
 
     def stage_path(self, name: str) -> str:
         return f"{self.root}/_staging/{simple_name(name)}-{uuid.uuid4().hex[:12]}"

@@ -98,3 +98,20 @@ def test_register_views_for_sql(spark):
     finally:
         for n in ROW_COUNT_TABLES:
             spark.catalog.dropTempView(n)
+
+
+def test_tables_found_without_success_markers(spark, scratch):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    old = conf.get(key)
+    conf.set(key, "false")
+    try:
+        lake = Lake(spark, scratch + "/lake")
+        lake.overwrite("t", spark.range(3))
+        assert not os.path.exists(lake.path("t") + "/_SUCCESS")
+        assert lake.exists("t") and lake.tables() == ["t"] and not lake.exists("missing")
+    finally:
+        if old is None:
+            conf.unset(key)
+        else:
+            conf.set(key, old)
