@@ -142,7 +142,13 @@ class Lake(Mapping):
         return len(self.tables())
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(name))
+        """The table's rows. Parquet footers are merged: an upsert with ``evolve=True`` adds columns only
+        to the partitions it rewrites, and without merging the schema of one old file would hide them
+        (Spark merges footers in a distributed job; older files read the new columns as NULL)."""
+        r = self.spark.read.format(self.fmt)
+        if self.fmt == "parquet":
+            r = r.option("mergeSchema", "true")
+        return r.load(self.path(name))
 
     # S5 / S6 / S7 -----------------------------------------------------------------------------------
     @staticmethod

@@ -110,3 +110,16 @@ def test_partitioned_upsert_with_null_dates(spark, scratch):
     assert sorted(tuple(r) for r in lake.read("t").select("id", "v", "date").collect()) == \
         [(1, 11, d1), (2, 12, d1), (3, 13, d1), (4, 4, d1)]
     assert lake.partition_values("t", "date") == ["2025-01-01 00:00:00"]
+
+
+def test_evolved_columns_visible_after_partitioned_upsert(spark, scratch):
+    """evolve=True adds a column to the rewritten partitions only; reads still see it (NULL elsewhere)."""
+    lake = Lake(spark, scratch)
+    d = [dt.datetime(2025, 1, i) for i in range(1, 6)]
+    lake.overwrite("t", spark.createDataFrame([(i, i * 10, d[i]) for i in range(4)], "id long, v long, date timestamp"),
+                   partition_by=["date"])
+    upsert_table(lake, "t", spark.createDataFrame([(9, 90, d[4], "new"), (1, 11, d[1], "upd")],
+                                                  "id long, v long, date timestamp, extra string"), ["id"], evolve=True)
+    t = lake.read("t")
+    assert "extra" in t.columns
+    assert sorted((r.id, r.extra) for r in t.collect()) == [(0, None), (1, "upd"), (2, None), (3, None), (9, "new")]
