@@ -76,7 +76,10 @@ def _upsert_existing(lake: Lake, name: str, source: DataFrame, keys: Sequence[st
         lake.overwrite(name, merged)
         return
 
+    added = [c for c in source.columns if c not in target.columns]
     source, target = align_source(source, target, evolve)
+    if evolve and added:
+        lake.mark_schema_evolved(name)                   # only rewritten partitions get the new columns
     src = source if source_staged else lake.stage(name + "_src", source)   # read several times below
     src_keys = src.select(*keys)
     touched_src = src.select(partition_col).distinct()

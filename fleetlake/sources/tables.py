@@ -141,15 +141,27 @@ class Lake(Mapping):
     def __len__(self):
         return len(self.tables())
 
+    MERGE_SCHEMA_MARKER = "_merge_schema"
+
     def read(self, name: str) -> DataFrame:
-        """The table's rows. Parquet footers are merged: an upsert with ``evolve=True`` adds columns only
-        to the partitions it rewrites, and without merging the schema of one old file would hide them
-        (Spark merges footers in a distributed job; older files read the new columns as NULL)."""
+        """The table's rows. An upsert with ``evolve=True`` adds columns only to the partitions it
+        rewrites and leaves a marker; such a table is read with merged parquet footers (a distributed
+        job; older files read the new columns as NULL), otherwise the schema of one old file would hide
+        the new columns. Tables without the marker skip that job."""
         r = self.spark.read.format(self.fmt)
-        if self.fmt == "parquet":
+        if self.fmt == "parquet" and self._has_marker(name):
             r = r.option("mergeSchema", "true")
         return r.load(self.path(name))
 
+    def mark_schema_evolved(self, name: str) -> None:
+        """Record that files of ``name`` differ in columns; a full overwrite removes the marker."""
+        fs, p = self._fs(f"{self.path(name)}/{self.MERGE_SCHEMA_MARKER}")
+        fs.create(p, True).close()
+
+    def _has_marker(self, name: str) -> bool:
+        fs, p = self._fs(f"{self.path(name)}/{self.MERGE_SCHEMA_MARKER}")
+        return fs.exists(p)
+
     # S5 / S6 / S7 -----------------------------------------------------------------------------------
     @staticmethod
     def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

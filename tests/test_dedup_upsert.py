@@ -123,3 +123,6 @@ def test_evolved_columns_visible_after_partitioned_upsert(spark, scratch):
     t = lake.read("t")
     assert "extra" in t.columns
     assert sorted((r.id, r.extra) for r in t.collect()) == [(0, None), (1, "upd"), (2, None), (3, None), (9, "new")]
+    assert lake._has_marker("t")                         # reads of this table merge footers
+    lake.overwrite("t", lake.stage("t", t), partition_by=["date"])
+    assert not lake._has_marker("t") and "extra" in lake.read("t").columns   # one schema again
