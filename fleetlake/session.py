@@ -8,6 +8,7 @@ our own folder when that setting is unset, which is the case in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,12 +41,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a scratch one only when none is set."""
+    """Return the cluster's checkpoint folder. Only a local master without one gets a scratch folder of its own:
+    anywhere else the executors would not see what the driver wrote there."""
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -55,45 +59,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
-
-# Shuffle sizing: aim each initial shuffle partition at about this much input, AQE coalesces below it
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32768
-
-
-def input_bytes(spark: SparkSession, paths) -> int:
-    """Total bytes under ``paths`` from file-system metadata (no file is opened)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            total += fs.getContentSummary(p).getLength()
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, paths) -> int:
-    """Start shuffles with enough partitions for the input at hand (about 128 MB of input each).
-
-    AQE can merge small shuffle partitions after the fact but never splits a large one (outside skew
-    joins), so the initial count must fit the biggest stage: 200 partitions over 100 TB would spill.
-    The count is only raised, never lowered below the session's ``spark.sql.shuffle.partitions``,
-    and is set as AQE's initial partition number, so small stages still coalesce to few tasks.
-    """
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = -(-input_bytes(spark, paths) // TARGET_PARTITION_BYTES)
-    n = max(base, min(want, MAX_SHUFFLE_PARTITIONS))
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = spark.conf.get(key, None)
-    if n > base and (current is None or int(current) < n):
-        if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
-            spark.conf.set(key, str(n))
-        else:
-            spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n

@@ -43,31 +43,16 @@ def test_entry_contract(spark):
     assert "q14_site_rollup" in q and set(o) <= set(q)
 
 
-def test_shuffle_partitions_sized_from_input(spark, monkeypatch):
-    from fleetlake import session
-    from fleetlake.plans.views import BASE_TABLES
-
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    paths = [f"/root/testdata/sf0.01/{t}.parquet" for t in BASE_TABLES]
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert session.size_shuffle_partitions(spark, paths) == base           # small input: left alone
-    assert spark.conf.get(key, None) is None
-    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 64 * 1024)
-    try:
-        n = session.size_shuffle_partitions(spark, paths)
-        assert n == -(-session.input_bytes(spark, paths) // (64 * 1024)) and n > base
-        assert int(spark.conf.get(key)) == n
-    finally:
-        spark.conf.unset(key)
+def test_scratch_folder_only_for_a_local_master(monkeypatch):
+    from types import SimpleNamespace
 
-
-def test_shuffle_partitions_cap_at_100_tb(spark, monkeypatch):
+    import pytest
     from fleetlake import session
 
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    monkeypatch.setattr(session, "input_bytes", lambda s, paths: 100 * 1024 ** 4)
-    try:
-        assert session.size_shuffle_partitions(spark, ["/x"]) == session.MAX_SHUFFLE_PARTITIONS
-        assert int(spark.conf.get(key)) == session.MAX_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.unset(key)
+    def fake(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(fake("spark://host:7077"))
+    assert "fleetlake-ckpt-" in session.ensure_checkpoint_dir(fake("local[4]"))
