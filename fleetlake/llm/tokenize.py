@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from fleetlake.llm.words import LOWER_SPACES, mapped
+
 CACHE_UNITS = 1_000_000
 CALL_UNITS = 4096
 _LOADED: dict[str, tuple] = {}
@@ -100,23 +102,12 @@ def _values(loaded: tuple, units: list[bytes], value) -> list:
     return [cache[u] for u in units]
 
 
-_LOWER_SPACES = bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\v\f\r", b"     "))
-
-
-def _mapped(texts: pa.Array, table: bytes) -> pa.Array:
-    """The texts with each byte replaced by its entry of ``table`` (which must leave bytes over 127 alone)."""
-    texts = pa.concat_arrays([texts.cast(pa.large_string())])  # whole buffers, also where ``texts`` is a slice
-    _, offsets, data = texts.buffers()
-    data = pa.py_buffer(data.to_pybytes().translate(table)) if data is not None else data
-    return pa.LargeStringArray.from_buffers(len(texts), offsets, data, offset=texts.offset)
-
-
 def space_free_ids(path: str, texts: pa.Array) -> list[bytes]:
     """Ids (little-endian uint32) of each text, for tokenizers that lower case and drop white space.
 
     Splits on the six ASCII white-space bytes; other white space stays inside its unit for the library.
     """
-    lists = pc.split_pattern(_mapped(texts, _LOWER_SPACES), " ")  # other letters are lowered by the library
+    lists = pc.split_pattern(mapped(texts, LOWER_SPACES), " ")  # other letters are lowered by the library
     units = lists.flatten().dictionary_encode()
     ids = pa.array(_values(load(path), units.dictionary.cast(pa.large_binary()).to_pylist(), np.ndarray.tobytes), pa.large_binary())
     ids = ids.take(units.indices)
