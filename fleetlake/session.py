@@ -61,3 +61,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package where the driver found it (a path that an
+    executor lacks does no harm: there the package is installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
