@@ -8,14 +8,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.session import shared_dir
+from fleetlake.session import shared_dir, workers_import
 
 # rows per Arrow batch sent to a Python worker: 1024 texts of 100 KB stay near 100 MB
 ARROW_ROWS = 1024
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches that carry whole texts to Python workers."""
+    """Bound the Arrow batches that carry whole texts to Python workers, which must find this package."""
+    workers_import(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, near_dedup, packing, token_counts, warc
+from fleetlake.llm import chat, near_dedup, packing, quality_model, quality_rules, token_counts, toxicity, warc
 from fleetlake.llm.common import prepare, read_table
 from fleetlake.session import shared_dir
 
@@ -16,11 +16,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality_model.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), shared_dir(spark, "token-cache"))
@@ -47,7 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(conversations))
 
 
-QUERIES = {f.__name__: f for f in (op2_setsketch_near_dedup, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_setsketch_near_dedup, op5_quality_rules, op6_quality_classifier, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format)}
 
 
 def oracle_statements() -> dict[str, str]:
