@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontamination, near_dedup, packing, quality_model, quality_rules, token_counts, toxicity, warc
+from fleetlake.llm import chat, decontamination, near_dedup, packing, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
 from fleetlake.llm.common import prepare, read_table
 from fleetlake.session import shared_dir
 
@@ -31,6 +31,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -67,7 +72,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(conversations))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_setsketch_near_dedup, op3_benchmark_decontamination, op5_quality_rules, op6_quality_classifier, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_setsketch_near_dedup, op3_benchmark_decontamination, op4_substring_dedup, op5_quality_rules, op6_quality_classifier, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format)}
 
 
 def oracle_statements() -> dict[str, str]:
