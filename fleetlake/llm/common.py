@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +25,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_OPEN: list[list[DataFrame]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: lineage ends there and any
     executor can be lost without recomputing what came before."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    for made in _OPEN:
+        made.append(back)
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: all that was made of them is itself staged."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """The tables staged inside, for whoever knows when they may go."""
+    made: list[DataFrame] = []
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+
+
+def small_or_not(table: DataFrame, rows: int) -> DataFrame:
+    """The staged ``table`` marked for broadcast if it has at most ``rows`` rows; as it is otherwise."""
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", id_type: str = "bigint") -> DataFrame:

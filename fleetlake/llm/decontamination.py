@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import prepare, staged, texts
+from fleetlake.llm.common import prepare, small_or_not, staged, texts
 
 # fixed masks: places of a window that a seed hashes
 MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 6, 9), (0, 1, 2, 5, 8, 9))
@@ -81,10 +81,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = sorted(r["n"] for r in known.select(F.size("t").alias("n")).where(F.col("n") < SPAN).distinct().collect())  # at most SPAN lengths
     masks = [*MASKS, *(tuple(range(n)) for n in short)]
     seeds = staged(_seeds(known, masks, True).select("key", "item_id", F.col("at").alias("item_at")), "seeds")
-    if seeds.count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
     places = _seeds(texts(docs).select("doc_id", tokens(F.col("text")).alias("t")), masks, False)
-    hits = places.join(seeds, "key")
+    hits = places.join(small_or_not(seeds, BROADCAST_SEEDS), "key")
     first = F.greatest(F.col("at") - AROUND, F.lit(0))
     around = F.slice("t", first + 1, F.least(F.size("t") - first, F.lit(SPAN + 2 * AROUND)))
     hits = (hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), F.struct(F.col("at"), first.alias("from"), around.alias("w")).alias("hit"))
@@ -104,5 +102,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item (rows with a null doc_id stay)."""
     found = staged(contaminated(docs, benchmark).select(F.col("doc_id").alias("found_id")).where("found_id is not null").distinct(), "contaminated")
-    found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return docs.join(found, docs["doc_id"].cast("bigint") == F.col("found_id"), "left_anti")
+    return docs.join(small_or_not(found, BROADCAST_IDS), docs["doc_id"].cast("bigint") == F.col("found_id"), "left_anti")

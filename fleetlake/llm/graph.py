@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import staged
+from fleetlake.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,6 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
                         .select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")), "labels")
         jump = nearer.select(F.col("node").alias("to"), F.col("label").alias("further"))
         jumped = staged(nearer.join(jump, nearer["label"] == jump["to"]).select("node", "was", F.least("label", "further").alias("label")), "labels")
-        labels = jumped.select("node", "label")
+        discard(labels, nearer)
+        labels = jumped
         if not jumped.where("label < was").limit(1).count():
+            discard(both)
             return labels
+        labels = staged(jumped.select("node", "label"), "labels")
+        discard(jumped)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches_of_bytes, prepare, staged, texts
+from fleetlake.llm.common import batches_of_bytes, discard, prepare, small_or_not, staged, texts
 from fleetlake.llm.graph import components
 from fleetlake.llm.words import shingle_sets
 
@@ -161,12 +161,13 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     """Of the pairs (a, b), those whose full sets reach the limit. Only the texts that a pair names are read into sets."""
     pairs = staged(pairs, "pairs")
     ids = staged(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"), "ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    full = texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_with_sets(k), "doc_id bigint, shingles binary")
+    full = texts(docs).join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_with_sets(k), "doc_id bigint, shingles binary")
     full = staged(full.dropDuplicates(["doc_id", "shingles"]), "sets")
     first = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     second = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a bigint, b bigint")
+    links = staged(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a bigint, b bigint"), "links")
+    discard(pairs, ids, full)
+    return links
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -191,11 +192,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     likely = (stars.join(two, "b").join(one, "a").select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
               .mapInArrow(_estimated(percent), "a bigint, b bigint"))
-    links = staged(_confirm(docs, likely, k, percent), "links")
+    links = _confirm(docs, likely, k, percent)
     label = components(links)
 
     comp = members.join(label, members["rep"] == label["node"], "left").select("key", "rep", "leader", "size", F.coalesce("label", "rep").alias("comp"))
     comp = staged(comp, "member-components")
+    discard(members, buckets, label)
     split = comp.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                     F.min(F.when(F.col("rep") == F.col("leader"), F.col("comp"))).alias("home")).where("low <> high")
     split = staged(split.select(F.col("key").alias("split_key"), "home"), "split")
@@ -209,6 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     across = sent.groupBy("key", "block", "probes").applyInPandas(_across(percent), "a bigint, b bigint").distinct()
     more = _confirm(docs, across, k, percent)
     label = components(links.union(more))
+    discard(comp, split, links, more)
 
     found = (sketches.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
              .join(label, F.col("rep") == F.col("node"), "left"))

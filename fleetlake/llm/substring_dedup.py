@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches_of_bytes, prepare, staged, texts
+from fleetlake.llm.common import batches_of_bytes, discard, prepare, small_or_not, staged, texts
 from fleetlake.llm.words import hashed_words, runs
 
 K, WINDOW = 6, 14
@@ -209,8 +209,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
              .mapInArrow(_chained, PAIRS))
     pairs = staged(pairs, "chains")
     ids = staged(pairs.select("doc_id").union(pairs.select("source")).distinct(), "ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    words = staged(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_word_table, "doc_id bigint, words binary"), "words")
+    discard(seeds, first)
+    words = staged(rows.join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_word_table, "doc_id bigint, words binary"), "words")
 
     def cut(low: str, high: str, name: str) -> list:
         start = F.greatest(F.array_min(low) - MARGIN, F.lit(0))
@@ -218,7 +218,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     own = pairs.join(words, "doc_id").select(*pairs.columns, *cut("d0", "d1", "d"))
     both = own.join(words.withColumnRenamed("doc_id", "source"), "source").select(*own.columns, *cut("s0", "s1", "s"))
-    return both.mapInArrow(_aligned, SPANS).dropDuplicates(["doc_id", "dup_of", "start_word", "n_words"])
+    spans = staged(both.mapInArrow(_aligned, SPANS).dropDuplicates(["doc_id", "dup_of", "start_word", "n_words"]), "spans")
+    discard(pairs, ids, words)
+    return spans
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
