@@ -7,10 +7,9 @@ into the months it overlaps (bounded by the calendar span, not by row counts), a
 stays as a residual inside one (key, month) bucket. Each (interval, point) pair still meets exactly
 once — in the point's month — so the result equals the naive join.
 
-Months are capped at the month of the query clock ``cap`` (GETDATE): an open interval runs up to it,
-and anything later — points dated after the clock, intervals starting after it — shares that last
-bucket. So no pass over the data is needed to find how far open intervals reach; data after the
-clock (normally none) is still matched, just without month splitting.
+A closed interval spans its own months; an open one runs to the newest point of its own key, which a
+map-side maximum per key finds. No query clock takes part, so a bucket holds one key's points of one month
+whatever the clock says.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ def _month_start(c: Column) -> Column:
 
 
 def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start: str, end: str,
-                       point: str, cap: Column | None = None, point_prefix: str = "_p_") -> DataFrame:
+                       point: str, point_prefix: str = "_p_") -> DataFrame:
     """``intervals LEFT JOIN points ON key = key AND point >= start AND (end IS NULL OR point <= end)``.
 
     Interval columns keep their names; point columns are prefixed with ``point_prefix``. An interval
@@ -32,19 +31,22 @@ def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start:
     NULLs (sum/avg/min/max/count(col)) are unchanged by those extra rows, so group by the interval's
     columns afterwards as the SQL form does.
 
-    ``cap``: the query clock (default ``current_timestamp()``); only sets the bucketing, never the result.
-    The pair (interval, point) meets in bucket ``min(month(point), cap_month)``, which lies in the
-    interval's range ``[min(month(start), cap_month), min(month(end), cap_month)]`` whenever
-    start <= point <= end, because ``min(., cap_month)`` keeps order.
+    The pair (interval, point) meets in the point's month, which lies in the interval's months whenever
+    start <= point <= end, and, for an open interval, whenever start <= point, as no point of the key is newer
+    than the month it runs to.
     """
-    cap_month = _month_start(cap if cap is not None else F.current_timestamp())
     p = points.select([F.col(c).alias(point_prefix + c) for c in points.columns])
     pk, pt = point_prefix + key, point_prefix + point
-    first = F.least(_month_start(F.col(start)), cap_month)
-    last = F.when(F.col(end).isNull(), cap_month).otherwise(F.least(_month_start(F.col(end)), cap_month))
-    months = F.sequence(first, F.greatest(last, first), F.expr("INTERVAL 1 MONTH"))
-    left = intervals.select("*", F.explode(months).alias("_bucket"))
-    right = p.select("*", F.least(_month_start(F.col(pt)), cap_month).alias("_p_bucket"))
+    newest = p.groupBy(F.col(pk).alias("_key")).agg(F.max(pt).alias("_newest"))
+    # only open intervals (few per key) look for it; closed ones pass by
+    opened = intervals.where(F.col(end).isNull())
+    opened = opened.join(newest, opened[key] == newest["_key"], "left").drop("_key").withColumn("_last", F.coalesce("_newest", start)).drop("_newest")
+    ranged = intervals.where(F.col(end).isNotNull()).withColumn("_last", F.col(end)).unionByName(opened)
+    first = _month_start(F.col(start))
+    last = F.greatest(_month_start(F.col("_last")), first)
+    # a NULL start spans no month and matches no point, but the interval stays (explode_outer)
+    left = ranged.select("*", F.explode_outer(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("_bucket")).drop("_last")
+    right = p.select("*", _month_start(F.col(pt)).alias("_p_bucket"))
     cond = ((F.col(key) == F.col(pk)) & (F.col("_bucket") == F.col("_p_bucket"))
             & (F.col(pt) >= F.col(start)) & (F.col(end).isNull() | (F.col(pt) <= F.col(end))))
     return left.join(right, cond, "left").drop("_bucket", "_p_bucket")
