@@ -1,8 +1,8 @@
 """Pro-rated monthly rental charges.
 
 B1  ExpandedAssetBilling: organisation-history intervals -> days on job per (asset, month, department).
-    Day rule: date grain, an interval covers [from_day, to_day); the handover day belongs to the
-    department that starts on it; an open interval runs through the day of ``as_of``.
+    Day rule: date grain, both ends count; but a handover day, on which another interval of the asset
+    starts, belongs to the department that starts. An open interval runs through the day of ``as_of``.
     Intervals are exploded into the *months* they overlap (not into days) and the overlap is counted
     arithmetically, so a multi-year interval costs one row per month.
 B2  billing tier from the asset's total days in that month: >=22 -> 1.00, >=15 -> 0.75, >=8 -> 0.50,
@@ -28,9 +28,15 @@ TIERS = ((22, 1.00), (15, 0.75), (8, 0.50), (1, 0.25))
 def expanded_asset_billing(org_history: DataFrame, financials: DataFrame, as_of=AS_OF_ORDERS) -> DataFrame:
     """B1: (asset_id, MonthYear, organization_department, days_on_job, internal_rental_rate)."""
     now = as_of_col(as_of)
-    end_excl = F.coalesce(F.to_date("to_date"), F.date_add(F.to_date(now), 1))
     h = org_history.select("asset_id", "organization_department", "from_date", "to_date")
-    x = month_day_overlaps(h, "from_date", end_excl, month_col="_month")
+    # how many intervals of an asset start on a day: on an end day, any but the interval itself makes it a handover
+    starts = (h.groupBy(F.col("asset_id").alias("_aid"), F.to_date("from_date").alias("_day")).agg(F.count(F.lit(1)).alias("_starts")))
+    end_day = F.to_date("to_date")
+    h = h.join(starts, (h["asset_id"] == starts["_aid"]) & (end_day == starts["_day"]), "left")
+    itself = F.when(F.to_date("from_date") == end_day, 1).otherwise(0)
+    handover = F.coalesce(F.col("_starts"), F.lit(0)) > itself
+    end_excl = F.when(end_day.isNull(), F.date_add(F.to_date(now), 1)).when(handover, end_day).otherwise(F.date_add(end_day, 1))
+    x = month_day_overlaps(h.select("asset_id", "organization_department", "from_date", end_excl.alias("_end")), "from_date", F.col("_end"), month_col="_month")
     # summed map-side first: an asset holding a third of all intervals is reduced per task before
     # the shuffle; the tier window in B2 then shuffles only these sums (<= departments per asset-month)
     days = (x.select("asset_id", month_key("_month").alias("MonthYear"), "organization_department", "_days")
@@ -68,38 +74,31 @@ def b3_monthly_charges(t: Mapping[str, DataFrame], as_of=AS_OF_ORDERS) -> DataFr
     return monthly_charges(b1_expanded_billing(t, as_of))
 
 
-_EXPANDED_SQL = """
-    intervals AS (
-        SELECT asset_id, organization_department, CAST(from_date AS DATE) AS s,
-               COALESCE(CAST(to_date AS DATE), CAST(TIMESTAMP '{as_of}' AS DATE) + 1) AS e
-        FROM asset_organization_history),
-    months AS (
-        SELECT asset_id, organization_department, s, e,
-               CAST(unnest(generate_series(date_trunc('month', s), date_trunc('month', e - 1), INTERVAL 1 MONTH))
-                    AS DATE) AS ms
-        FROM intervals WHERE e > s),
-    ExpandedAssetBilling AS (
-        SELECT d.asset_id, d.MonthYear, d.organization_department, d.days_on_job, f.internal_rental_rate
-        FROM (SELECT asset_id, strftime(ms, '%Y-%m') AS MonthYear, organization_department,
-                     CAST(SUM(date_diff('day', greatest(s, ms), least(e, CAST(ms + INTERVAL 1 MONTH AS DATE))))
-                          AS BIGINT) AS days_on_job
-              FROM months GROUP BY asset_id, strftime(ms, '%Y-%m'), organization_department) d
-        LEFT JOIN asset_financials f ON d.asset_id = f.asset_id)"""
+# Oracles from the rule: one row per day of the calendar that an interval holds (not months and overlaps, as above)
+_DAYS_SQL = """
+    held AS (
+        SELECT h.asset_id, h.organization_department, CAST(day AS DATE) AS day
+        FROM asset_organization_history h,
+             unnest(generate_series(CAST(h.from_date AS DATE), CAST(COALESCE(h.to_date, TIMESTAMP '{as_of}') AS DATE), INTERVAL 1 DAY)) AS u(day)
+        WHERE h.to_date IS NULL OR CAST(day AS DATE) < CAST(h.to_date AS DATE)
+           OR (SELECT count(*) FROM asset_organization_history o
+               WHERE o.asset_id = h.asset_id AND CAST(o.from_date AS DATE) = CAST(h.to_date AS DATE))
+              = CASE WHEN CAST(h.from_date AS DATE) = CAST(h.to_date AS DATE) THEN 1 ELSE 0 END),
+    billed AS (
+        SELECT held.asset_id, strftime(day, '%Y-%m') AS month_year, organization_department, count(*) AS days_held
+        FROM held GROUP BY ALL)"""
 
 ORACLE = {
-    "b1_expanded_billing": "WITH " + _EXPANDED_SQL.format(as_of=AS_OF_ORDERS) + """
-        SELECT asset_id, MonthYear, organization_department, days_on_job, internal_rental_rate
-        FROM ExpandedAssetBilling""",
-    "b3_monthly_charges": "WITH " + _EXPANDED_SQL.format(as_of=AS_OF_ORDERS) + """
-        SELECT asset_id, MonthYear, organization_department, days_on_job, billing_tier,
-               (CAST(days_on_job AS DOUBLE) / CAST(total_days AS DOUBLE)) * (internal_rental_rate * billing_tier)
-                   AS monthly_charge
-        FROM (SELECT *,
-                     SUM(days_on_job) OVER (PARTITION BY asset_id, MonthYear) AS total_days,
-                     CASE WHEN SUM(days_on_job) OVER (PARTITION BY asset_id, MonthYear) >= 22 THEN 1.00::DOUBLE
-                          WHEN SUM(days_on_job) OVER (PARTITION BY asset_id, MonthYear) >= 15 THEN 0.75::DOUBLE
-                          WHEN SUM(days_on_job) OVER (PARTITION BY asset_id, MonthYear) >= 8 THEN 0.50::DOUBLE
-                          WHEN SUM(days_on_job) OVER (PARTITION BY asset_id, MonthYear) >= 1 THEN 0.25::DOUBLE
-                          ELSE 0.0::DOUBLE END AS billing_tier
-              FROM ExpandedAssetBilling) b""",
+    "b1_expanded_billing": "WITH " + _DAYS_SQL.format(as_of=AS_OF_ORDERS) + """
+        SELECT asset_id, month_year AS "MonthYear", organization_department, days_held AS days_on_job,
+               (SELECT max(f.internal_rental_rate) FROM asset_financials f WHERE f.asset_id = billed.asset_id) AS internal_rental_rate
+        FROM billed""",
+    "b3_monthly_charges": "WITH " + _DAYS_SQL.format(as_of=AS_OF_ORDERS) + """,
+    tiers(least_days, share) AS (VALUES (22, 1.00::DOUBLE), (15, 0.75::DOUBLE), (8, 0.50::DOUBLE), (1, 0.25::DOUBLE), (0, 0.0::DOUBLE)),
+    months AS (SELECT asset_id, month_year, sum(days_held) AS days FROM billed GROUP BY ALL),
+    rated AS (SELECT asset_id, month_year, days, max(share) AS share FROM months JOIN tiers ON days >= least_days GROUP BY ALL)
+        SELECT asset_id, month_year AS "MonthYear", organization_department, days_held AS days_on_job, share AS billing_tier,
+               CAST(days_held AS DOUBLE) / CAST(days AS DOUBLE)
+                   * ((SELECT max(f.internal_rental_rate) FROM asset_financials f WHERE f.asset_id = billed.asset_id) * share) AS monthly_charge
+        FROM billed JOIN rated USING (asset_id, month_year)""",
 }
