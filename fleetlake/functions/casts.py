@@ -39,7 +39,28 @@ def to_long_lenient(c, src_type: T.DataType | None = None) -> Column:
 
 
 def to_double_lenient(c) -> Column:
-    return _c(c).try_cast("double")
+    """String/number -> DOUBLE; NaN -> NULL, so one bad cell does not spoil an average."""
+    x = _c(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+_NESTED = (T.StructType, T.MapType, T.ArrayType, T.BinaryType, T.VariantType)
+
+
+def to_type_lenient(c, src_type: T.DataType, to: T.DataType) -> Column:
+    """A cell as the stored type of its column: what does not fit is NULL, objects become their JSON text."""
+    c = _c(c)
+    if src_type == to:
+        return c
+    if isinstance(src_type, (T.StructType, T.MapType, T.ArrayType)):
+        c, src_type = F.to_json(c), T.StringType()
+    if isinstance(to, T.StringType):
+        return c.cast("string")
+    if isinstance(to, T.LongType):
+        return to_long_lenient(c, src_type)
+    if isinstance(to, T.DoubleType):
+        return to_double_lenient(c)
+    return c.try_cast(to)
 
 
 def to_boolean_lenient(c) -> Column:

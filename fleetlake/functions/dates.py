@@ -56,8 +56,3 @@ def day_start(ts) -> Column:
 def month_key(ts) -> Column:
     """``MonthYear`` key, ``yyyy-MM``."""
     return F.date_format(_c(ts), "yyyy-MM")
-
-
-def ymd(ts) -> Column:
-    """``strftime('%Y-%m-%d')``."""
-    return F.date_format(_c(ts), "yyyy-MM-dd")

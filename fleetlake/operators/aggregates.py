@@ -19,13 +19,3 @@ def percent_of_total(grouped: DataFrame, count_col: str, out: str, digits: int =
     total = F.sum(count_col).over(Window.partitionBy())
     share = F.col(count_col).cast("double") * F.lit(100.0) / total.cast("double")
     return grouped.select("*", round_half_up(share, digits).alias(out))
-
-
-def partition_total(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys)`` written once and reused by every consumer."""
-    return df.select("*", F.sum(value).over(Window.partitionBy(*keys)).alias(out))
-
-
-def duplicate_metric(df: DataFrame, keys: Sequence[str], out: str = "duplicates") -> DataFrame:
-    """``COUNT(*) - COUNT(DISTINCT keys)``; rows with a NULL key part count as duplicates."""
-    return df.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias(out))

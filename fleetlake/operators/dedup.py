@@ -30,9 +30,3 @@ def keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFra
             .agg(F.max_by(row, order).alias("_row"))
             .select(*keys, "_row.*")
             .select(*df.columns))
-
-
-def keep_last_row(df: DataFrame, seq: Sequence[str]) -> DataFrame:
-    """Exact-row dedup: identical rows (ignoring ``seq``) collapse to one, the last by ``seq``."""
-    data_cols = [c for c in df.columns if c not in seq]
-    return keep_last(df, data_cols, seq)

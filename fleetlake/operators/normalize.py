@@ -29,7 +29,7 @@ from fleetlake.functions.casts import (to_boolean_lenient, to_double_lenient, to
                                        to_timestamp_lenient)
 
 # Spark simple type names that are stored as they are
-ALLOWED_SIMPLE = {"string", "bigint", "double", "boolean", "date", "timestamp", "int", "long", "float"}
+ALLOWED_SIMPLE = {"string", "bigint", "double", "boolean", "date", "timestamp", "int", "float"}
 
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -48,6 +48,9 @@ def _column_expr(name: str, dtype: T.DataType, cfg: EndpointConfig, double_cols:
     if blank:                                                   # N2
         return F.lit("")
     typed = False
+    configured = name in cfg.datetime_cols or name in cfg.long_int_cols or name in cfg.boolean_cols or name in double_cols
+    if configured and isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
+        c, dtype = F.to_json(c, _JSON_OPTS), T.StringType()     # its text does not cast, so the cell is NULL
     if name in cfg.datetime_cols:                               # N3
         c, dtype, typed = to_timestamp_lenient(c), T.TimestampType(), True
     if name in cfg.long_int_cols:                               # N4

@@ -7,10 +7,14 @@ match, so a NULL-keyed row stays on both sides, as MERGE does. The source must h
 On a table partitioned by ``date`` only the touched partitions are rewritten (copy-on-write):
   touched = dates of the source  UNION  dates of target rows whose key the source replaces
             (a row may move to another date);
+  the dates become literals of the target's scan, so no other partition's files are opened (a key without the date
+  costs one scan of the keys and dates of the table, to find moved rows);
   new content of the touched partitions is staged to shared storage, then swapped in with dynamic
   partition overwrite; a touched partition that ends up empty is deleted explicitly (dynamic
   overwrite would leave it, and with it the moved row, in place).
-Untouched partitions are never read or written.
+All files of a table have its stored schema: a batch is cast to it, and ``evolve`` rewrites the table when it adds a column.
+Replaying a batch leaves the same table, but for rows with a NULL key: these match nothing and are added again,
+as MERGE does.
 """
 
 from __future__ import annotations
@@ -20,26 +24,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.functions.casts import to_type_lenient
 from fleetlake.sources.tables import Lake
 
 
 def align_source(source: DataFrame, target: DataFrame, evolve: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Make the source fit the target's columns. Extra source columns are ignored unless ``evolve``;
-    a target column missing from the source is an error unless ``evolve`` (then it is NULL)."""
-    tcols, scols = target.columns, source.columns
-    missing = [c for c in tcols if c not in scols]
-    extra = [c for c in scols if c not in tcols]
-    if missing and not evolve:
-        raise ValueError(f"source lacks target columns {missing}; pass evolve=True to fill them with NULL")
-    if evolve:
-        for c in missing:
-            source = source.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
-        for c in extra:
-            target = target.withColumn(c, F.lit(None).cast(source.schema[c].dataType))
-        cols = tcols + extra
-    else:
-        cols = tcols
-    return source.select(*cols), target.select(*cols)
+    """Make the source fit the target: each column cast to the target's type (what does not fit is NULL), a column
+    that the source lacks NULL. Extra source columns are ignored unless ``evolve`` adds them to the target."""
+    have = {f.name: f.dataType for f in source.schema}
+    cols = [to_type_lenient(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in target.schema]
+    extra = [c for c in source.columns if c not in target.columns] if evolve else []
+    kept = [F.lit(None).cast(have[c]).alias(c) for c in extra]
+    return source.select(*cols, *(F.col(f"`{c}`") for c in extra)), target.select("*", *kept)
 
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], evolve: bool = False) -> DataFrame:
@@ -59,8 +56,6 @@ def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str],
 
     The source is read more than once below, so it is staged first unless ``source_staged`` says it
     already is a read of written files (the loaders stage their deduplicated batch)."""
-    if lake.fmt != "parquet":
-        raise NotImplementedError(f"copy-on-write upsert is for parquet tables; use MERGE INTO on {lake.fmt}")
     if not lake.exists(name):
         lake.overwrite(name, source, partition_by=[partition_col] if partition_col else ())
         return
@@ -76,47 +71,33 @@ def _upsert_existing(lake: Lake, name: str, source: DataFrame, keys: Sequence[st
         lake.overwrite(name, merged)
         return
 
-    added = [c for c in source.columns if c not in target.columns]
+    added = [c for c in source.columns if c not in target.columns] if evolve else []
     source, target = align_source(source, target, evolve)
-    if evolve and added:
-        lake.mark_schema_evolved(name)                   # only rewritten partitions get the new columns
-    src = source if source_staged else lake.stage(name + "_src", source)   # read several times below
+    # read several times below, so it is staged; a source that is a read of written files already needs only its casts
+    src = source if source_staged else lake.stage(name + "_src", source)
     src_keys = src.select(*keys)
-    touched_src = src.select(partition_col).distinct()
-    if partition_col in keys:
-        touched = touched_src
-    else:
-        cond = [target[k] == src_keys[k] for k in keys]
-        moved_from = target.join(src_keys, cond, "left_semi").select(partition_col).distinct()
-        touched = touched_src.unionByName(moved_from).distinct()
-    # target rows of the touched partitions: partition pruning keeps the scan to those dates; null-safe,
-    # so rows in the NULL partition are kept like any other
-    tc = F.col(partition_col)
-    touched = touched.select(tc.alias("_part"))
-    t_touched = target.join(touched, target[partition_col].eqNullSafe(touched["_part"]), "left_semi")
-    cond = [t_touched[k] == src_keys[k] for k in keys]
-    new_content = t_touched.join(src_keys, cond, "left_anti").unionByName(src)
+    if added:
+        # every file of a table has one schema: a new column rewrites the table, once
+        merged = target.join(src_keys, [target[k] == src_keys[k] for k in keys], "left_anti").unionByName(src)
+        lake.overwrite(name, lake.stage(name, merged, partition_by=[partition_col]), partition_by=[partition_col], rebalance=False)
+        return
+    # the touched dates as text, as Spark's session writes them: bounded by the calendar, free of the driver's clock
+    day = F.col(partition_col).cast("string").alias("day")
+    dates = {r["day"] for r in src.select(day).distinct().collect()}
+    if partition_col not in keys:
+        # a row may move: one scan of the target's keys and dates finds where it was
+        where_now = target.select(*keys, partition_col)
+        moved = where_now.join(src_keys, [where_now[k] == src_keys[k] for k in keys], "left_semi")
+        dates |= {r["day"] for r in moved.select(day).distinct().collect()}
+    # literals, so the scan lists only those partitions
+    kind = target.schema[partition_col].dataType
+    known = [F.lit(d).cast(kind) for d in sorted(d for d in dates if d is not None)]
+    touched = F.col(partition_col).isin(*known) if known else F.lit(False)
+    if None in dates:
+        touched = touched | F.col(partition_col).isNull()
+    here = target.where(touched)
+    new_content = here.join(src_keys, [here[k] == src_keys[k] for k in keys], "left_anti").unionByName(src)
     staged = lake.stage(name, new_content, partition_by=[partition_col])
-    # touched partitions with no rows left, found before the swap replaces the files `touched` reads;
-    # the set of touched dates is bounded by the calendar, not by rows
-    present = staged.select(partition_col).distinct()
-    emptied = [r[0] for r in touched.join(present, touched["_part"].eqNullSafe(present[partition_col]), "left_anti")
-               .collect()]
+    left = {r["day"] for r in staged.select(day).distinct().collect()}
     lake.overwrite_partitions(name, staged, [partition_col])
-    for value in emptied:
-        lake.delete_partition(name, partition_col, _partition_value(value))
-
-
-def _partition_value(v) -> str:
-    """The directory value Spark writes for a partition value."""
-    import datetime as _dt
-    from urllib.parse import quote
-
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(v, _dt.datetime):
-        s = v.strftime("%Y-%m-%d %H:%M:%S")
-        if v.microsecond:
-            s += f".{v.microsecond:06d}".rstrip("0")
-        return quote(s, safe=" ").replace(":", "%3A")
-    return str(v)
+    lake.delete_partitions(name, partition_col, dates - left)

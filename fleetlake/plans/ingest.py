@@ -41,13 +41,22 @@ class LoadResult:
     skipped: bool = False
 
 
+def _now(spark: SparkSession) -> _dt.datetime:
+    """The session's clock, as the instant that ``createDataFrame`` stores for a naive local time."""
+    return _dt.datetime.now(_dt.timezone.utc).astimezone()
+
+
 # I1 - I3 -------------------------------------------------------------------------------------------------
 def last_successful_run(lake: Lake, endpoint: str):
     """Newest ``last_run_time`` of ``endpoint`` in the run log, or None."""
     if not lake.exists(RUN_LOG_TABLE):
         return None
-    return (lake.read(RUN_LOG_TABLE).where(F.col("endpoint_name") == endpoint)
-            .agg(F.max("last_run_time").alias("m")).first()["m"])
+    return _runs_of(lake, endpoint).agg(F.max("last_run_time").alias("m")).first()["m"]
+
+
+def _runs_of(lake: Lake, endpoint: str) -> DataFrame:
+    """The endpoint's run log, read from its own folder."""
+    return lake.read(RUN_LOG_TABLE).where(F.col("endpoint") == endpoint)
 
 
 def watermark(lake: Lake, cfg: EndpointConfig):
@@ -59,7 +68,8 @@ def watermark(lake: Lake, cfg: EndpointConfig):
         newest = newest_date(lake, cfg.table)
         if newest is not None:
             return newest.date() if isinstance(newest, _dt.datetime) else newest
-    return last.date()
+    # the run's day in the session's zone, not the driver's
+    return _runs_of(lake, cfg.endpoint).agg(F.to_date(F.max("last_run_time")).alias("d")).first()["d"]
 
 
 def newest_date(lake: Lake, table: str, date_col: str = "date"):
@@ -73,10 +83,11 @@ def newest_date(lake: Lake, table: str, date_col: str = "date"):
 
 
 def since(df: DataFrame, wm, date_col: str = "date") -> DataFrame:
-    """Rows on or after the watermark day (inclusive)."""
+    """Rows on or after the watermark day (inclusive). Rows without a date are kept by every load: they
+    can't be told to be old, and the upsert places them by key."""
     if wm is None:
         return df
-    return df.where(F.to_date(F.col(date_col)) >= F.lit(wm).cast("date"))
+    return df.where(F.col(date_col).isNull() | (F.to_date(F.col(date_col)) >= F.lit(wm).cast("date")))
 
 
 # dedup choice ------------------------------------------------------------------------------------------
@@ -95,10 +106,12 @@ def merge_keys(cfg: EndpointConfig, columns: list[str]) -> list[str]:
     return keys if keys is not None else [c for c in columns if c != SEQ]
 
 
-def prepare(records: DataFrame, cfg: EndpointConfig, blank_all_null: bool = True) -> DataFrame:
-    """Normalise, then keep the last record per key (dedup after casts, so two spellings of a day
+def prepare(records: DataFrame, cfg: EndpointConfig, blank_all_null: bool = True, wm=None) -> DataFrame:
+    """Normalise, drop what is older than the watermark (a date that can't be read is NULL by then), keep the last record per key (dedup after casts, so two spellings of a day
     are one key). Drops ``_seq``. ``blank_all_null=False`` leaves N2 to the caller."""
     norm = normalize(records, cfg, keep=(SEQ,), blank_all_null=blank_all_null)
+    if "date" in norm.columns:
+        norm = since(norm, wm)
     keys = dedup_keys(cfg, norm.columns)
     if keys is None:
         keys = [c for c in norm.columns if c != SEQ]
@@ -113,31 +126,31 @@ def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now:
     turns the watermark off: a file stream only ever sees new files). ``verify_table=False`` skips
     the whole-table check (I10-I12), for a caller that verifies once after several batches."""
     cfg = endpoint_config(endpoint)
-    now = now or _dt.datetime.now()
+    now = now or _now(spark)
     wm = watermark(lake, cfg) if use_watermark else None
     recs = records if records is not None else read_pages(spark, landed)
-    if "date" in recs.columns:
-        recs = since(recs, wm, "date")
     if not [c for c in recs.columns if c != SEQ]:                       # nothing landed at all
         return _nothing_new(cfg)
     with lake.staging():                                                 # staged copies go on success
-        return _load_batch(lake, cfg, recs, endpoint, now, evolve, verify_table)
+        return _load_batch(lake, cfg, recs, endpoint, now, evolve, verify_table, wm)
 
 
 def _load_batch(lake: Lake, cfg: EndpointConfig, recs: DataFrame, endpoint: str, now: _dt.datetime,
-                evolve: bool, verify_table: bool) -> LoadResult:
+                evolve: bool, verify_table: bool, wm) -> LoadResult:
     # the deduplicated batch is staged (lineage cut); its row count and the non-NULL count of every
     # column N2 may blank are observed while it is written, so neither the emptiness check nor N2
     # costs a pass of its own
     candidates = blank_candidates(recs, cfg, keep=(SEQ,))
     obs = Observation("batch")
-    staged = lake.stage(cfg.table + "_batch", prepare(recs, cfg, blank_all_null=False), observation=obs,
+    staged = lake.stage(cfg.table + "_batch", prepare(recs, cfg, blank_all_null=False, wm=wm), observation=obs,
                         metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
     m = obs.get
     n = m["rows"]
     if n == 0:                                                           # S13: no write, no run-log row
         return _nothing_new(cfg)
-    src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0})   # N2
+    # N2, on the first load or where the table's column is text: an all-NULL number stays NULL
+    stored = {f.name: f.dataType.simpleString() for f in lake.read(cfg.table).schema} if lake.exists(cfg.table) else {}
+    src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0 and stored.get(c, "string") == "string"})
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
                  evolve=evolve, source_staged=True)
@@ -185,7 +198,7 @@ def load_static(spark: SparkSession, lake: Lake, landed: str, endpoint: str,
 def refresh_static(spark: SparkSession, lake: Lake, landing_root: str, pipeline: str = "fleet_static_tables",
                    endpoints=STATIC_ENDPOINTS, now: _dt.datetime | None = None) -> list[LoadResult]:
     """All static endpoints in turn; the control row says 'success' only if every one loaded."""
-    now = now or _dt.datetime.now()
+    now = now or _now(spark)
     lake.init_control(pipeline, now)
     results = [load_static(spark, lake, f"{landing_root}/{c.endpoint}", c.endpoint) for c in endpoints]
     lake.stamp_control(pipeline, now, "success")

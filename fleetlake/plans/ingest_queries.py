@@ -26,7 +26,6 @@ from fleetlake.streaming.incremental import run_incremental_stream
 
 CUT_TARGET = "2024-01-20 00:00:00"      # first load: days before this
 CUT_SOURCE = "2024-01-18 12:00:00"      # second load: events from here on (day 18 is partial -> changed)
-SECOND_BATCH_SEQ = 1_000_000_000_000    # second landing's offsets come after the first's
 
 
 def _events_daily_rows(events: DataFrame) -> DataFrame:
@@ -62,7 +61,6 @@ def _land_two_batches(spark, sf_dir, landing):
     ev = TestDataFleet(spark, sf_dir)["events"]
     first = _events_daily_rows(ev.where(F.col("ts") < F.lit(CUT_TARGET).cast("timestamp_ntz")))
     second = _events_daily_rows(ev.where(F.col("ts") >= F.lit(CUT_SOURCE).cast("timestamp_ntz")))
-    second = second.withColumn("seq", F.col("seq") + F.lit(SECOND_BATCH_SEQ))
     land_pages(first, f"{landing}/batch1", "seq")
     land_pages(second, f"{landing}/batch2", "seq")
 

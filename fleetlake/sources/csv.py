@@ -3,7 +3,9 @@
 Format facts of these files: header row, UTF-8 with a byte-order mark, dates as ``M/d/yyyy``,
 booleans as ``Yes``/``No``, whole-number doubles written without a fraction (``19``), and codes that
 look numeric but are text (model ``320``) — so the schema is declared, never inferred.
-Spark's CSV reader drops the BOM; dates and booleans are parsed leniently (bad cell -> NULL).
+Spark's CSV reader drops the BOM; dates and booleans are parsed leniently (bad cell -> NULL). Cells may hold quotes
+(doubled) and line breaks; columns are found by their header, so a sheet with another order of columns reads the
+same, and one that lacks a declared column fails.
 """
 
 from __future__ import annotations
@@ -33,8 +35,16 @@ UTILIZATION_CSV_SCHEMA = T.StructType([
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, date_cols: Sequence[str] = (),
              bool_cols: Sequence[str] = (), date_format: str = "M/d/yyyy") -> DataFrame:
-    raw = (spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-           .schema(schema).csv(path))
+    reader = (spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", True))
+    # every cell as text under the sheets' own headers, then the declared types
+    found = reader.option("inferSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in found.columns]
+    if missing:
+        raise ValueError(f"the sheet lacks the columns {missing}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in found.columns])
+    sheet = reader.schema(text).option("enforceSchema", False).csv(path)
+    raw = sheet.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields))
     cols = []
     for f in raw.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -57,4 +67,4 @@ def write_csv(df: DataFrame, path: str, date_cols: Sequence[str] = (), bool_cols
         elif c in bool_cols:
             x = F.when(x, "Yes").when(~x, "No")
         cols.append(x.alias(c))
-    df.select(*cols).write.option("header", True).csv(path)
+    df.select(*cols).write.option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -2,8 +2,12 @@
 
 A page is a JSON object ``{"offset": <row offset of the request>, "results": [record, ...]}``. Pages are
 landed as JSON-lines files (one page per line; a file may hold many pages) or as one pretty-printed
-page per file (``multi_line=True``). The records of all pages are concatenated in offset order: every
-record gets ``_seq = offset + position``, a total order used by keep-last dedup.
+page per file (``multi_line=True``). Each landing is a folder; folders sort by name in the order they
+landed. Every record gets ``_seq``, a struct that orders all records for keep-last dedup: landing folder,
+page (its offset where it has one, then its file and place in it), position in the page. So a landing whose offsets
+start at 0 again still comes after the one before, and pages without an offset keep their order.
+
+A page that is not whole JSON, or that has no ``results``, fails the read: a batch is complete or it fails.
 
 Schema: Spark's JSON inference over *all* records (``samplingRatio=1``) gives the union of the record
 keys (ragged records) and widens a column that holds objects beside scalars to string, keeping each
@@ -22,25 +26,36 @@ SEQ = "_seq"
 def read_pages(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                multi_line: bool = False) -> DataFrame:
     """Records of all landed pages under ``path`` as a flat DataFrame plus ``_seq``."""
-    reader = spark.read.option("samplingRatio", 1.0).option("multiLine", multi_line)
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if schema is not None:
-        reader = reader.schema(schema)
-    pages = reader.json(path)
-    if "results" not in pages.columns:
+        return page_records(reader.schema(schema).json(path))
+    pages = reader.option("samplingRatio", 1.0).json(path)
+    if not pages.columns:                                               # nothing landed
         return spark.createDataFrame([], T.StructType([T.StructField(SEQ, T.LongType())]))
-    offset = F.col("offset").cast("bigint") if "offset" in pages.columns else F.lit(0).cast("bigint")
-    recs = pages.select(offset.alias("_offset"), F.posexplode("results").alias("_pos", "_rec"))
+    return page_records(pages)
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """One row per record of ``pages`` (a batch or a stream of JSON files), with ``_seq``."""
+    if "results" not in pages.columns:
+        raise ValueError("the landed pages have no results")
     rec_type = pages.schema["results"].dataType.elementType
+    offset = F.col("offset").try_cast("bigint") if "offset" in pages.columns else F.lit(None).cast("bigint")
+    # lines of one file block are read in order by one task, so its running id orders them
+    page = F.struct(F.regexp_extract("_metadata.file_path", "^(.*)/", 1).alias("landing"), F.coalesce(offset, F.lit(0)).alias("offset"),
+                    F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    whole = F.when(F.col("results").isNull(), F.raise_error(F.concat(F.lit("a page without results in "), F.col("_metadata.file_path")))).otherwise(F.col("results"))
+    recs = pages.select(page.alias("_page"), whole.alias("_results")).select("_page", F.posexplode("_results").alias("_pos", "_rec"))
     if isinstance(rec_type, T.StructType):
         cols = [F.col("_rec").getField(f.name).alias(f.name) for f in rec_type.fields]
     else:
         cols = [F.col("_rec").alias("value")]
-    return recs.select(*cols, (F.col("_offset") + F.col("_pos")).alias(SEQ))
+    return recs.select(*cols, F.struct("_page.*", F.col("_pos").alias("pos")).alias(SEQ))
 
 
 def page_schema_of(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
     """The inferred page schema of what is landed now (a stream fixes its schema at start)."""
-    return spark.read.option("samplingRatio", 1.0).option("multiLine", multi_line).json(path).schema
+    return spark.read.option("mode", "FAILFAST").option("samplingRatio", 1.0).option("multiLine", multi_line).json(path).schema
 
 
 def land_pages(df: DataFrame, path: str, seq_col: str, page_size: int = 100,

@@ -1,6 +1,6 @@
 """A lake of named tables on shared storage, plus catalog tables.
 
-``Lake`` keeps each table as a parquet (or Delta, when installed) directory under one root on the
+``Lake`` keeps each table as a parquet directory under one root on the
 cluster's shared file system. Writes never overwrite a path that the same job reads: new content is
 staged to a fresh path first and the table is rewritten from the stage, so a lost executor can
 recompute any task from files that still exist.
@@ -60,8 +60,8 @@ class CatalogTables(Mapping):
 class Lake(Mapping):
     """Named tables as directories under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         self._staged: list[str] = []
 
     # paths and file system -------------------------------------------------------------------
@@ -74,16 +74,15 @@ class Lake(Mapping):
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def _has_data(self, path: str) -> bool:
-        """A committed table: parquet jobs leave ``_SUCCESS``, Delta tables a ``_delta_log``. Where the
-        cluster turns success markers off, a folder holding data files counts as a table."""
+        """A committed table: parquet jobs leave ``_SUCCESS``. Where the cluster turns success markers off, a
+        folder holding data files counts as a table."""
         fs, p = self._fs(path)
         if not fs.exists(p):
             return False
-        marker = "/_delta_log" if self.fmt == "delta" else "/_SUCCESS"
-        if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + marker)):
+        if fs.exists(self._fs(path + "/_SUCCESS")[1]):
             return True
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        if self.fmt != "delta" and conf.get("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") == "false":
+        if conf.get("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") == "false":
             it = fs.listFiles(p, True)
             while it.hasNext():
                 if not it.next().getPath().getName().startswith(("_", ".")):
@@ -124,10 +123,16 @@ class Lake(Mapping):
             return None
         return [unquote(d[len(prefix):]) for d in dirs if d.startswith(prefix)]
 
-    def delete_partition(self, name: str, column: str, value: str) -> None:
-        fs, p = self._fs(f"{self.path(name)}/{column}={value}")
-        if fs.exists(p):
-            fs.delete(p, True)
+    def delete_partitions(self, name: str, column: str, values: set) -> None:
+        """Delete the folders of the partitions whose value, as the session's text, is in ``values`` (None: NULL)."""
+        from urllib.parse import unquote
+
+        fs, p = self._fs(self.path(name))
+        gone = {"__HIVE_DEFAULT_PARTITION__" if v is None else v for v in values}
+        for status in fs.listStatus(p) if gone else ():
+            folder, _, value = status.getPath().getName().partition("=")
+            if folder == column and unquote(value) in gone:
+                fs.delete(status.getPath(), True)
 
     # Mapping ------------------------------------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
@@ -141,26 +146,9 @@ class Lake(Mapping):
     def __len__(self):
         return len(self.tables())
 
-    MERGE_SCHEMA_MARKER = "_merge_schema"
-
     def read(self, name: str) -> DataFrame:
-        """The table's rows. An upsert with ``evolve=True`` adds columns only to the partitions it
-        rewrites and leaves a marker; such a table is read with merged parquet footers (a distributed
-        job; older files read the new columns as NULL), otherwise the schema of one old file would hide
-        the new columns. Tables without the marker skip that job."""
-        r = self.spark.read.format(self.fmt)
-        if self.fmt == "parquet" and self._has_marker(name):
-            r = r.option("mergeSchema", "true")
-        return r.load(self.path(name))
-
-    def mark_schema_evolved(self, name: str) -> None:
-        """Record that files of ``name`` differ in columns; a full overwrite removes the marker."""
-        fs, p = self._fs(f"{self.path(name)}/{self.MERGE_SCHEMA_MARKER}")
-        fs.create(p, True).close()
-
-    def _has_marker(self, name: str) -> bool:
-        fs, p = self._fs(f"{self.path(name)}/{self.MERGE_SCHEMA_MARKER}")
-        return fs.exists(p)
+        """The table's rows. All files of a table have one schema."""
+        return self.spark.read.parquet(self.path(name))
 
     # S5 / S6 / S7 -----------------------------------------------------------------------------------
     @staticmethod
@@ -176,26 +164,42 @@ class Lake(Mapping):
         ``rebalance=False`` when ``df`` already reads files grouped by the partition column."""
         if rebalance:
             df = self._rebalanced(df, partition_by)
-        w = df.write.format(self.fmt).mode("overwrite")
-        if self.fmt == "delta":
-            w = w.option("overwriteSchema", "true")
+        # written aside and swapped in when whole: a write that fails leaves the old table as it was
+        fresh = self.stage_path(name)
+        w = df.write.mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        # a full replace must not keep old partitions, whatever the session's overwrite mode
-        w.option("partitionOverwriteMode", "static").save(self.path(name))
+        w.parquet(fresh)
+        self._swap(fresh, self.path(name))
+
+    def _swap(self, fresh: str, path: str) -> None:
+        """Put the folder ``fresh`` in the place of ``path``. The old one steps aside first and comes back if the
+        new one can't take its place."""
+        fs, target = self._fs(path)
+        _, new = self._fs(fresh)
+        _, old = self._fs(self.stage_path("replaced"))
+        there = fs.exists(target)
+        if there and not fs.rename(target, old):
+            raise OSError(f"{path} can't be moved aside")
+        if not fs.rename(new, target):
+            if there:
+                fs.rename(old, target)
+            raise OSError(f"{fresh} can't take the place of {path}")
+        if there:
+            fs.delete(old, True)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
         """Replace only the partitions present in ``df`` (dynamic partition overwrite). ``df`` is a
         staged copy, already written one partition folder per value, so it is not rebalanced again."""
-        (df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).save(self.path(name)))
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """S7."""
-        w = df.write.format(self.fmt).mode("append")
+        w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(self.path(name))
+        w.parquet(self.path(name))
 
     def stage(self, name: str, df: DataFrame, partition_by: Sequence[str] = (),
               observation: Observation | None = None, metrics: Sequence = ()) -> DataFrame:
@@ -205,12 +209,12 @@ class Lake(Mapping):
         p = self.stage_path(name)
         if observation is not None:
             df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
-        w = self._rebalanced(df, partition_by).write.format(self.fmt).mode("error")
+        w = self._rebalanced(df, partition_by).write.mode("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(p)
+        w.parquet(p)
         self._staged.append(p)
-        return self.spark.read.format(self.fmt).load(p)
+        return self.spark.read.parquet(p)
 
     @contextmanager
     def staging(self):
@@ -237,27 +241,14 @@ class Lake(Mapping):
         self.overwrite(CONTROL_TABLE, self.spark.createDataFrame([(pipeline, now, status)], CONTROL_SCHEMA))
 
     # Run log ----------------------------------------------------------------------------------------
-    def log_run(self, endpoint: str, now, records: int, compact_at: int = 256) -> None:
-        """Append one row; every append is a small file, so past ``compact_at`` files the log is
-        rewritten as one (from a staged copy) and reads of it stay one file, not thousands. The log is
-        bounded by endpoints x runs (a few thousand rows a year), so one file is the right size."""
-        self.append(RUN_LOG_TABLE, self.spark.createDataFrame([(endpoint, now, int(records))], RUN_LOG_SCHEMA))
-        if self.data_files(RUN_LOG_TABLE) > compact_at:
-            with self.staging():
-                self.overwrite(RUN_LOG_TABLE, self.stage(RUN_LOG_TABLE, self.read(RUN_LOG_TABLE).coalesce(1)))
-
-    def data_files(self, name: str) -> int:
-        """Number of data files of a table (file-system listing only)."""
-        fs, p = self._fs(self.path(name))
-        if not fs.exists(p):
-            return 0
-        it = fs.listFiles(p, True)
-        n = 0
-        while it.hasNext():
-            f = it.next().getPath().getName()
-            if not f.startswith(("_", ".")):
-                n += 1
-        return n
+    def log_run(self, endpoint: str, now, records: int) -> None:
+        """Append one row. Each endpoint has a folder of its own, so its last run is found without the others' files."""
+        row = self.spark.createDataFrame([(endpoint, now, int(records))], RUN_LOG_SCHEMA)
+        self.append(RUN_LOG_TABLE, row.withColumn("endpoint", F.col("endpoint_name")), partition_by=["endpoint"])
+
+    def runs(self) -> DataFrame:
+        """The run log."""
+        return self.read(RUN_LOG_TABLE).select(*RUN_LOG_SCHEMA.names)
 
 
 def register_views(tables: Mapping[str, DataFrame], names: Sequence[str] | None = None) -> list[str]:
@@ -270,16 +261,6 @@ def register_views(tables: Mapping[str, DataFrame], names: Sequence[str] | None
     return out
 
 
-@contextmanager
-def persisted(df: DataFrame):
-    """Cache for the duration of a block that reuses ``df``, and release it afterwards."""
-    df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def write_with_metrics(df: DataFrame, write, metrics: Sequence = ()) -> dict:
     """Run ``write(df_observed)`` and return the rows and columns seen by that same pass
     (no second scan), plus any extra aggregate ``metrics``. Duplicate counts need a distinct

@@ -18,23 +18,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.config import endpoint_config
 from fleetlake.plans.ingest import LoadResult, load_daily, merge_keys, verify
-from fleetlake.sources.pages import SEQ
+from fleetlake.sources.pages import page_records
 from fleetlake.sources.tables import Lake
 
 
-def _records(pages: DataFrame, page_schema: T.StructType) -> DataFrame:
-    rec_type = page_schema["results"].dataType.elementType
-    offset = F.col("offset").cast("bigint") if "offset" in pages.columns else F.lit(0).cast("bigint")
-    exploded = pages.select(offset.alias("_offset"), F.posexplode("results").alias("_pos", "_rec"))
-    cols = [F.col("_rec").getField(f.name).alias(f.name) for f in rec_type.fields]
-    return exploded.select(*cols, (F.col("_offset") + F.col("_pos")).alias(SEQ))
-
-
 @dataclass
 class StreamLoad:
     query: StreamingQuery
@@ -56,14 +47,15 @@ def run_incremental_stream(spark: SparkSession, lake: Lake, landing_dir: str, en
     loaded = [0]                           # rows merged by this run's micro-batches (foreachBatch runs here)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        res = load_daily(spark, lake, landing_dir, endpoint, now=now, records=_records(batch, page_schema),
+        res = load_daily(spark, lake, landing_dir, endpoint, now=now, records=page_records(batch),
                          use_watermark=False, verify_table=per_batch)
         loaded[0] += res.records
 
     reader = spark.readStream.schema(page_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.json(landing_dir)
+    # the file of each page goes along: it orders the records within the batch
+    pages = reader.option("mode", "FAILFAST").json(landing_dir).select("*", "_metadata")
     w = pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()

@@ -17,5 +17,5 @@ def spark():
 
 @pytest.fixture()
 def scratch(spark):
-    """A fresh folder under the session's checkpoint folder."""
-    return shared_dir(spark, "test")
+    """A fresh folder under the session's checkpoint folder, as a local path (Python reads and writes there too)."""
+    return shared_dir(spark, "test").removeprefix("file:")

@@ -130,16 +130,19 @@ def test_daily_load_blanks_all_null_columns_of_the_deduplicated_batch(spark, scr
     assert rows["a"].active_run_seconds == 120 and dict(t.dtypes)["utilization_percentage"] == "double"
 
 
-def test_failed_write_raises_and_logs_nothing(spark, scratch):
+def test_failed_write_raises_and_logs_nothing(spark, scratch, monkeypatch):
     """An error while saving propagates; no run-log row is written and the table is unchanged."""
     import pytest
 
     lake = Lake(spark, scratch + "/lake")
     _land(scratch + "/b1", 0, [_rec("a", 1, 100)])
     load_daily(spark, lake, scratch + "/b1", EP, now=dt.datetime(2025, 1, 2, 2))
-    # the next batch lacks target columns: the upsert refuses it (no evolve)
     _land(scratch + "/b2", 0, [{"asset_id": "a", "date": "2025-01-02", "active_run_seconds": "5"}])
-    with pytest.raises(ValueError):
+
+    def full(*args, **kwargs):
+        raise OSError("no space left")
+    monkeypatch.setattr(Lake, "overwrite_partitions", full)
+    with pytest.raises(OSError):
         load_daily(spark, lake, scratch + "/b2", EP, now=dt.datetime(2025, 1, 3, 2))
     assert lake.read(RUN_LOG_TABLE).count() == 1
     assert [(r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect()] == [("a", 100)]
@@ -165,10 +168,50 @@ def test_staged_copies_are_removed_after_a_successful_load(spark, scratch):
     assert got == [("a", 150), ("b", 10), ("c", 20)]
 
 
-def test_run_log_is_compacted(spark, scratch):
+def test_run_log_is_only_appended(spark, scratch):
     lake = Lake(spark, scratch + "/lake")
     for i in range(5):
-        lake.log_run(EP, dt.datetime(2025, 1, 1 + i, 2), i, compact_at=3)
-    assert lake.data_files(RUN_LOG_TABLE) <= 3
-    assert sorted(r.records_processed for r in lake.read(RUN_LOG_TABLE).collect()) == [0, 1, 2, 3, 4]
+        lake.log_run(EP, dt.datetime(2025, 1, 1 + i, 2), i)
+        lake.log_run("another", dt.datetime(2025, 2, 1 + i, 2), i)
+    assert sorted(r.records_processed for r in lake.runs().where(f"endpoint_name = '{EP}'").collect()) == [0, 1, 2, 3, 4]
     assert last_successful_run(lake, EP) == dt.datetime(2025, 1, 5, 2)
+
+
+def test_a_cut_page_fails_the_load(spark, scratch):
+    import pytest
+
+    lake = Lake(spark, scratch + "/lake")
+    _land(scratch + "/b1", 0, [_rec("a", 1, 100)])
+    load_daily(spark, lake, scratch + "/b1", EP, now=dt.datetime(2025, 1, 2, 2))
+    for n, bad in enumerate(('{"offset": 0, "results": [{"asset_id": "b", "da', '{"offset": 0, "error": "later"}')):
+        folder = f"{scratch}/bad{n}"
+        _land(folder, 0, [_rec("b", 2, 1)])
+        with open(os.path.join(folder.removeprefix("file:"), "zz.json"), "w") as f:
+            f.write(bad + "\n")
+        with pytest.raises(Exception):
+            load_daily(spark, lake, folder, EP, now=dt.datetime(2025, 1, 3, 2))
+    assert [(r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect()] == [("a", 100)]
+    assert lake.runs().count() == 1
+
+
+def test_later_landing_wins_whatever_its_offsets(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    _land(scratch + "/in/day1", 0, [_rec("a", 1, 111), _rec("b", 1, 5)])
+    _land(scratch + "/in/day2", 0, [_rec("a", 1, 222)])
+    load_daily(spark, lake, scratch + "/in/*", EP, now=dt.datetime(2025, 1, 2, 2))
+    assert sorted((r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect()) == [("a", 222), ("b", 5)]
+
+
+def test_drift_sparse_batches_and_bad_dates(spark, scratch):
+    """Types that drift, a column that a batch lacks or has all NULL, objects and unreadable dates: the stored types stay."""
+    lake = Lake(spark, scratch + "/lake")
+    good = {"asset_id": "a", "date": "2025-01-01", "active_run_seconds": 10, "n": 100, "note": "x"}
+    _land(scratch + "/b1", 0, [good, {**good, "asset_id": "nodate", "date": "n/a"}])
+    _land(scratch + "/b2", 0, [{"asset_id": "b", "date": "2025-01-02", "active_run_seconds": {"v": 1}, "n": 7.5}, {"asset_id": "nodate2", "date": "n/a", "n": None}])
+    _land(scratch + "/b3", 0, [{"asset_id": "c", "date": "2025-01-03", "n": "text"}])
+    for i in (1, 2, 3):
+        load_daily(spark, lake, f"{scratch}/b{i}", EP, now=dt.datetime(2025, 1, 1 + i, 2))
+    t = lake.read("asset_utilizations_daily")
+    assert dict(t.dtypes)["n"] == "bigint" and dict(t.dtypes)["active_run_seconds"] == "bigint"
+    got = {r.asset_id: (r.date and r.date.day, r.active_run_seconds, r.n, r.note) for r in t.collect()}
+    assert got == {"a": (1, 10, 100, "x"), "nodate": (None, 10, 100, "x"), "b": (2, None, 7, None), "nodate2": (None, None, None, None), "c": (3, None, None, None)}

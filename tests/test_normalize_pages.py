@@ -30,7 +30,7 @@ def test_ragged_nested_pages(spark, scratch):
         ]},
     ])
     recs = read_pages(spark, landing)
-    assert sorted(r[SEQ] for r in recs.collect()) == [0, 1, 2]
+    assert [r.asset_id for r in sorted(recs.collect(), key=lambda r: r[SEQ])] == ["a1", "a2", "a3"]
     cfg = EndpointConfig("x", "x", datetime_cols=("date", "missing_col"), long_int_cols=("hours",),
                          boolean_cols=("ok",))
     out = normalize(recs, cfg, keep=(SEQ,))

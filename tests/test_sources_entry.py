@@ -56,3 +56,22 @@ def test_scratch_folder_only_for_a_local_master(monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(fake("spark://host:7077"))
     assert "fleetlake-ckpt-" in session.ensure_checkpoint_dir(fake("local[4]"))
+
+
+def test_csv_quotes_line_breaks_and_column_order(spark, scratch):
+    import os
+
+    import pytest
+    from fleetlake.sources.csv import UTILIZATION_CSV_SCHEMA, read_csv
+
+    os.makedirs(scratch)
+    with open(scratch + "/sheet.csv", "w", encoding="utf-8-sig", newline="") as f:
+        f.write('date,asset_id,site_name,utilization_percentage,active_hours,assignee_name\r\n'
+                '8/1/2025,a1,"36"" blade, ""north""",19,7.5,"two\nlines"\r\n1/31/2025,a2,,x,,\r\n')
+    got = read_csv(spark, scratch, UTILIZATION_CSV_SCHEMA, date_cols=("date",)).orderBy("asset_id").collect()
+    assert [tuple(r)[2:] for r in got] == [(19.0, 7.5, '36" blade, "north"', "two\nlines"), (None, None, None, None)]
+    assert [(r.asset_id, r.date.month, r.date.day) for r in got] == [("a1", 8, 1), ("a2", 1, 31)]
+    with open(scratch + "/sheet.csv", "w") as f:
+        f.write("asset_id,date\na,8/1/2025\n")
+    with pytest.raises(ValueError, match="utilization_percentage"):
+        read_csv(spark, scratch, UTILIZATION_CSV_SCHEMA)
