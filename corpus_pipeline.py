@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm import decontamination, near_dedup, packing, quality_model, substring_dedup
-from fleetlake.llm.common import discard, prepare, read_table, scratch, small_or_not, staged
+from fleetlake.llm.common import discard, prepare, read_table, scratch, small_or_not, staged, without_ids
 from fleetlake.llm.queries import tokenizer_file
 
 # what the stage before has staged: it may go when the next stage is called, as its result is then written
@@ -42,11 +42,10 @@ FEW = 1_000_000  # ids (16 bytes each) that are broadcast at most; more join by
 @stage(first=True)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. A row is judged by its own text, also where ids repeat or are null."""
-    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    judged = quality_model.scored_documents(docs, read_table(spark, sf_dir, "labels"), also={"text_hash": text_hash})
-    rejected = staged(judged.where("not kept").select(F.col("doc_id").alias("rejected_id"), F.col("text_hash").alias("rejected_hash")).distinct(), "rejected")
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("rejected_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("rejected_hash"))
-    return docs.join(small_or_not(rejected, FEW), same, "left_anti")
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    judged = quality_model.scored_documents(docs, read_table(spark, sf_dir, "labels"), also={"text_hash": own})
+    rejected = small_or_not(staged(judged.where("not kept").select("doc_id", "text_hash").distinct(), "rejected"), FEW)
+    return docs.join(rejected, docs["doc_id"].cast("bigint").eqNullSafe(rejected["doc_id"]) & (own == rejected["text_hash"]), "left_anti")
 
 
 @stage()
@@ -54,12 +53,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
     found = staged(near_dedup.near_duplicates(docs, k=5, percent=80).select("doc_id", "kept").where("doc_id is not null"), "kept")
     gone = staged(found.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    left = docs.join(small_or_not(gone, FEW), docs["doc_id"].cast("bigint") == F.col("gone_id"), "left_anti")
-    again = staged(found.where("kept").groupBy(F.col("doc_id").alias("again_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id"), "again")
+    left = without_ids(docs, gone, FEW)
+    again = staged(found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "again")
     if not again.limit(1).count():
         return left
-    few, here = small_or_not(again, FEW), left["doc_id"].cast("bigint") == F.col("again_id")
-    return left.join(few, here, "left_anti").unionByName(left.join(few, here, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return without_ids(left, again, FEW).unionByName(without_ids(left, again, FEW, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 @stage()

@@ -65,6 +65,20 @@ def small_or_not(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, rows: int, how: str = "left_anti") -> DataFrame:
+    """``docs`` whose doc_id is not (``left_semi``: is) in the staged one-column table ``ids``."""
+    ids = small_or_not(ids, rows)
+    return docs.join(ids, docs["doc_id"].cast("bigint") == ids[ids.columns[0]], how)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", id_type: str = "bigint") -> DataFrame:
     """(id, text) only, null text as empty; every other column, whatever its name, is left behind."""
     return docs.select(F.col(id_col).cast(id_type).alias("doc_id"),

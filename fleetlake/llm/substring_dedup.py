@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches_of_bytes, discard, prepare, small_or_not, staged, texts
+from fleetlake.llm.common import batches_of_bytes, discard, free_name, prepare, small_or_not, staged, texts
 from fleetlake.llm.words import hashed_words, runs
 
 K, WINDOW = 6, 14
@@ -237,29 +237,30 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = _column(batch, "spans").to_pylist()
-        raw = _column(batch, "text").to_pylist()
-        new = [t if s is None or t is None else without(t.encode(), [(x["a"], x["b"]) for x in s]).decode() for t, s in zip(raw, spans, strict=True)]
-        i = batch.schema.get_field_index("text")
-        cols = [pa.array(new, pa.string()) if j == i else batch.column(j) for j in range(batch.num_columns)]
-        names = batch.schema.names
-        keep = [j for j, n in enumerate(names) if n != "spans"]
-        # a text that was all repeated passages leaves no document
-        left = pa.array([s is None or bool(t and t.strip(" \t\n\v\f\r")) for t, s in zip(new, spans, strict=True)])
-        yield pa.RecordBatch.from_arrays([cols[j] for j in keep], [names[j] for j in keep]).filter(left)
+def _cut(name: str):
+    """``name``: the column of spans, which goes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, raw = _column(batch, name).to_pylist(), _column(batch, "text").to_pylist()
+            new = [t if s is None or t is None else without(t.encode(), [(x["a"], x["b"]) for x in s]).decode() for t, s in zip(raw, spans, strict=True)]
+            # a text that was all repeated passages leaves no document
+            left = pa.array([s is None or bool(t and t.strip(" \t\n\v\f\r")) for t, s in zip(new, spans, strict=True)])
+            kept = [n for n in batch.schema.names if n != name]
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else _column(batch, n) for n in kept], kept).filter(left)
+    return run
 
 
 def cut_passages(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the words of ``spans`` (doc_id, start_word, n_words) cut out of their text, and n_chars to match;
     documents of which nothing is left are gone."""
     prepare(docs.sparkSession)
-    per = spans.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_set(F.struct(F.col("start_word").alias("a"), (F.col("start_word") + F.col("n_words")).alias("b"))).alias("spans"))
-    per = staged(per, "cuts")
-    per = F.broadcast(per) if per.agg(F.coalesce(F.sum(F.size("spans") + 2), F.lit(0))).first()[0] <= BROADCAST_IDS else per
-    marked = docs.join(per, docs["doc_id"].cast("bigint") == F.col("span_id"), "left").drop("span_id")
-    done = marked.mapInArrow(_cut, docs.schema)
+    key, name = free_name(docs, "span_id"), free_name(docs, "spans")
+    place = F.struct(F.col("start_word").alias("a"), (F.col("start_word") + F.col("n_words")).alias("b"))
+    per = staged(spans.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(place).alias(name)), "cuts")
+    rows = per.agg(F.coalesce(F.sum(F.size(name) + 2), F.lit(0))).first()[0]  # a passage counts as an id of 16 bytes
+    per = F.broadcast(per) if rows <= BROADCAST_IDS else per
+    marked = docs.join(per, docs["doc_id"].cast("bigint") == per[key], "left").drop(key)
+    done = marked.mapInArrow(_cut(name), docs.schema)
     if "n_chars" not in docs.columns:
         return done
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
