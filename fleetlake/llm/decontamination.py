@@ -9,8 +9,8 @@ the item) that has a hit is verified on the tokens around it: the pair is report
 An item shorter than the masks is one seed of all its tokens; items below ``MIN_TOKENS`` tokens say too little
 and are not looked for. Items with equal tokens are reported once, under the smallest id.
 
-The documents are scanned once, and nothing of them is shuffled but hits (one per document, item and diagonal, reduced
-in the task that found them). The seeds of the benchmark are broadcast if a count shows that they are no more than
+The documents are scanned once (once more if some item is shorter than the masks), and nothing of them is shuffled but
+hits (one per document, item and diagonal, reduced in the task that found them). The seeds of the benchmark are broadcast if a count shows that they are no more than
 ``BROADCAST_SEEDS``; more of them join by a shuffle of the documents' seeds.
 
 Defined results: null or empty texts hold nothing and are never reported; rows with a null doc_id are looked at and
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import prepare, small_or_not, staged, texts
+from fleetlake.llm.common import prepare, small_or_not, staged, texts, without_ids
 
 # fixed masks: places of a window that a seed hashes
 MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 6, 9), (0, 1, 2, 5, 8, 9))
@@ -38,24 +38,20 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seed(array: str, at: Column, mask: tuple[int, ...], tag: int) -> Column:
-    return F.xxhash64(F.lit(tag), *(F.get(array, at + k) for k in mask))
+def _hash(at: Column, mask: tuple[int, ...], tag: int) -> Column:
+    """Hash of the tokens of ``t`` at the mask's places, from ``at`` on."""
+    return F.xxhash64(F.lit(tag), *(F.get("t", at + k) for k in mask))
 
 
-def _seeds(rows: DataFrame, masks: list[tuple[int, ...]], whole: bool) -> DataFrame:
-    """``rows`` (with ``t``) times their seeds: mask number ``m``, place ``at`` and ``key``. ``whole``: contiguous masks
-    only where they cover the array (items), else at every place where they fit (documents)."""
-    many = len(masks)
-    spread = rows.withColumn("i", F.explode_outer(F.when(F.size("t") >= MIN_TOKENS, F.sequence(F.lit(0), F.size("t") * many - 1))))
-    spread = spread.where("i is not null").withColumn("m", F.col("i") % many).withColumn("at", F.floor(F.col("i") / many).cast("int"))
-    key = F.lit(None).cast("bigint")
-    for n, mask in enumerate(masks):
-        spaced = n < len(MASKS)
-        room = F.col("at") + mask[-1] < F.size("t")
-        if whole and not spaced:
-            room = (F.col("at") == 0) & (F.size("t") == len(mask))
-        key = F.when((F.col("m") == n) & room, _seed("t", F.col("at"), mask, len(mask) if not spaced else 0)).otherwise(key)
-    return spread.withColumn("key", key).where("key is not null").drop("i")
+def _every(rows: DataFrame, span: int) -> DataFrame:
+    """``rows`` (with ``t``) times the places ``at`` where ``span`` tokens fit."""
+    fits = F.when(F.size("t") >= span, F.sequence(F.lit(0), F.size("t") - span))
+    return rows.withColumn("at", F.explode_outer(fits)).where("at is not null")
+
+
+def _spaced(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``t`` and ``at``) times the ``key`` of each mask."""
+    return rows.withColumn("key", F.explode(F.array(*(_hash(F.col("at"), m, n) for n, m in enumerate(MASKS)))))
 
 
 def items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -78,11 +74,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start is missing)."""
     prepare(docs.sparkSession)
     known = items(benchmark)
-    short = sorted(r["n"] for r in known.select(F.size("t").alias("n")).where(F.col("n") < SPAN).distinct().collect())  # at most SPAN lengths
-    masks = [*MASKS, *(tuple(range(n)) for n in short)]
-    seeds = staged(_seeds(known, masks, True).select("key", "item_id", F.col("at").alias("item_at")), "seeds")
-    places = _seeds(texts(docs).select("doc_id", tokens(F.col("text")).alias("t")), masks, False)
-    hits = places.join(small_or_not(seeds, BROADCAST_SEEDS), "key")
+    long = _every(known.where(F.size("t") >= SPAN), SPAN)
+    seeds = staged(_spaced(long).select("key", "item_id", F.col("at").alias("item_at")), "seeds")
+    # all masks look at the window's ends: a place whose ends are no item's has no seed, and is passed over by one look-up
+    ends = staged(long.select(_hash(F.col("at"), (0, SPAN - 1), -1).alias("ends")).distinct(), "seed-ends")
+    rows = texts(docs).select("doc_id", tokens(F.col("text")).alias("t"))
+    places = _every(rows, SPAN).withColumn("ends", _hash(F.col("at"), (0, SPAN - 1), -1)).join(small_or_not(ends, BROADCAST_SEEDS), "ends", "left_semi")
+    hits = _spaced(places).join(small_or_not(seeds, BROADCAST_SEEDS), "key").drop("ends")
+    short = sorted(r["n"] for r in known.select(F.size("t").alias("n")).where(F.col("n") < SPAN).distinct().collect())  # fewer than SPAN lengths
+    if short:
+        # all tokens of an item shorter than the window; their first MIN_TOKENS are looked up first
+        head, places = tuple(range(MIN_TOKENS)), _every(rows, MIN_TOKENS)
+        whole = _every(known.where(F.size("t") < SPAN), MIN_TOKENS).where("at = 0")
+        own = F.coalesce(*(F.when(F.size("t") == n, _hash(F.col("at"), tuple(range(n)), -n)) for n in short))
+        seeds = staged(whole.select(own.alias("key"), "item_id", F.col("at").alias("item_at")), "short-seeds")
+        heads = staged(whole.select(_hash(F.col("at"), head, 0).alias("head")).distinct(), "short-heads")
+        places = places.withColumn("head", _hash(F.col("at"), head, 0)).join(small_or_not(heads, BROADCAST_SEEDS), "head", "left_semi")
+        keys = F.array_compact(F.array(*(F.when(F.col("at") + n <= F.size("t"), _hash(F.col("at"), tuple(range(n)), -n)) for n in short)))
+        hits = hits.unionByName(places.withColumn("key", F.explode(keys)).join(small_or_not(seeds, BROADCAST_SEEDS), "key").drop("head"))
     first = F.greatest(F.col("at") - AROUND, F.lit(0))
     around = F.slice("t", first + 1, F.least(F.size("t") - first, F.lit(SPAN + 2 * AROUND)))
     hits = (hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), F.struct(F.col("at"), first.alias("from"), around.alias("w")).alias("hit"))
@@ -102,4 +111,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item (rows with a null doc_id stay)."""
     found = staged(contaminated(docs, benchmark).select(F.col("doc_id").alias("found_id")).where("found_id is not null").distinct(), "contaminated")
-    return docs.join(small_or_not(found, BROADCAST_IDS), docs["doc_id"].cast("bigint") == F.col("found_id"), "left_anti")
+    return without_ids(docs, found, BROADCAST_IDS)
