@@ -8,10 +8,11 @@ the candidate buckets; a pair's similarity is estimated by maximum likelihood fr
 larger, smaller and equal, given both set sizes; what may reach the limit is verified on the full sets.
 
 No pairs within a group are listed. Documents with equal sets are one class. In each bucket every class is
-first compared with the bucket's smallest; connected components follow. Only buckets that still hold more than
-one component are looked at again: there, classes outside the smallest one's component are compared with
-all others, in blocks that stay in memory, and only pairs from different components that may reach the
-limit leave a block. So no link between different components is left out, however large the group.
+first compared with the bucket's smallest, its leader; connected components follow. The classes that share a bucket with
+one leader are its cluster. Only clusters that still hold more than one component are looked at again: there, classes
+outside the leader's component are compared with all others, in blocks that stay in memory with their full sets, and
+a block returns verified links that join components, at most one less than it has classes. So no link between
+different components is left out, however large the group, and no more rows leave a block than entered it.
 
 A pair of similarity 0.8 shares no band with a chance of 2e-5 (0.8^6 over 36 bands), which is all that
 can be missed; one at 0.85, 1e-8.
@@ -133,36 +134,58 @@ def _verified(percent: int):
         for batch in batches:
             out = []
             for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _reaches(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent):
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
     return run
 
 
+def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _across(percent: int):
-    """Pairs of a block: probes against rows, from different components."""
+    """Verified links of a block, probes against rows, from different components; none that links already found imply."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        probes, others = rows[rows["probe"]], rows[~rows["probe"]]
-        regs = [np.frombuffer(b"".join(r["registers"]), "<u2").reshape(-1, REGISTERS) if len(r) else np.zeros((0, REGISTERS), "u2") for r in (probes, others)]
-        found = []
-        comp, rep, n = others["comp"].to_numpy(), others["rep"].to_numpy(), others["n"].to_numpy()
-        for i, (r, c, size) in enumerate(zip(probes["rep"], probes["comp"], probes["n"], strict=True)):
-            apart = np.flatnonzero(comp != c)
+        regs = np.frombuffer(b"".join(rows["registers"]), "<u2").reshape(-1, REGISTERS)
+        sets = [np.frombuffer(x, "<u8") for x in rows["shingles"]]
+        rep, comp, n, probe = (rows[c].to_numpy() for c in ("rep", "comp", "n", "probe"))
+        root = {c: c for c in comp.tolist()}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        others, found = np.flatnonzero(~probe), []
+        for i in np.flatnonzero(probe).tolist():
+            apart = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+            equal = (regs[apart] == regs[i]).sum(1)
+            apart = apart[equal >= (percent / 100 - 2 * MARGIN) * REGISTERS]  # far from any estimate that may reach
             if len(apart):
-                keep = _may_reach(np.broadcast_to(regs[0][i], (len(apart), REGISTERS)), regs[1][apart], np.full(len(apart), size), n[apart], percent)
-                found += [(min(r, x), max(r, x)) for x in rep[apart[keep]].tolist()]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+                apart = apart[_may_reach(np.broadcast_to(regs[i], (len(apart), REGISTERS)), regs[apart], np.full(len(apart), n[i]), n[apart], percent)]
+            for j in apart.tolist():
+                a, b = top(comp[i]), top(comp[j])
+                if a != b and _reaches(sets[i], sets[j], percent):
+                    root[max(a, b)] = min(a, b)
+                    found.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
     return run
 
 
+def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingles) of the documents that the staged ``ids`` (doc_id) name; no other text becomes a set."""
+    full = texts(docs).join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_with_sets(k), "doc_id bigint, shingles binary")
+    return staged(full.dropDuplicates(["doc_id", "shingles"]), "sets")
+
+
 def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full sets reach the limit. Only the texts that a pair names are read into sets."""
+    """Of the pairs (a, b), those whose full sets reach the limit."""
     pairs = staged(pairs, "pairs")
     ids = staged(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"), "ids")
-    full = texts(docs).join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_with_sets(k), "doc_id bigint, shingles binary")
-    full = staged(full.dropDuplicates(["doc_id", "shingles"]), "sets")
+    full = _sets(docs, ids, k)
     first = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     second = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     links = staged(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a bigint, b bigint"), "links")
@@ -184,34 +207,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     width = 2 * ROWS
     keys = F.array(*(F.xxhash64(F.lit(b), F.substring("registers", b * width + 1, width)) for b in range(BANDS)))
     bands = classes.select("rep", F.explode(keys).alias("key"))
-    buckets = staged(bands.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    members = staged(bands.join(buckets, "key").select("key", "rep", "leader", "size"), "members")
+    buckets = staged(bands.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader"), "buckets")
+    members = staged(bands.join(buckets, "key").select("leader", "rep").distinct(), "members")
 
     one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("registers_a"))
     two = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("registers_b"))
-    stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     likely = (stars.join(two, "b").join(one, "a").select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
               .mapInArrow(_estimated(percent), "a bigint, b bigint"))
     links = _confirm(docs, likely, k, percent)
     label = components(links)
 
-    comp = members.join(label, members["rep"] == label["node"], "left").select("key", "rep", "leader", "size", F.coalesce("label", "rep").alias("comp"))
-    comp = staged(comp, "member-components")
+    # a leader's cluster: every class that shares a bucket with it, once, with its component
+    near = staged(members.join(label, members["rep"] == label["node"], "left").select("leader", "rep", F.coalesce("label", "rep").alias("comp")), "clusters")
     discard(members, buckets, label)
-    split = comp.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                    F.min(F.when(F.col("rep") == F.col("leader"), F.col("comp"))).alias("home")).where("low <> high")
-    split = staged(split.select(F.col("key").alias("split_key"), "home"), "split")
-    rest = comp.join(split, comp["key"] == split["split_key"]).withColumn("outside", F.col("comp") != F.col("home"))
-    blocks = F.ceil(F.col("size") / BLOCK)
-    own = F.pmod(F.xxhash64("rep"), blocks)
-    every = F.sequence(F.lit(0).cast("bigint"), (blocks - 1).cast("bigint"))
-    sent = (rest.select("key", "rep", "comp", F.lit(False).alias("probe"), own.alias("block"), F.explode(every).alias("probes"))
-            .unionByName(rest.where("outside").select("key", "rep", "comp", F.lit(True).alias("probe"), F.explode(every).alias("block"), own.alias("probes"))))
-    sent = sent.join(classes.select("rep", "n", "registers"), "rep")
-    across = sent.groupBy("key", "block", "probes").applyInPandas(_across(percent), "a bigint, b bigint").distinct()
-    more = _confirm(docs, across, k, percent)
+    home = F.min(F.when(F.col("rep") == F.col("leader"), F.col("comp")))
+    split = near.groupBy("leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), home.alias("home"), F.count(F.lit(1)).alias("size"))
+    split = staged(split.where("low <> high").select(F.col("leader").alias("split_leader"), "home", F.ceil(F.col("size") / BLOCK).alias("blocks")), "split")
+    rest = staged(near.join(split, near["leader"] == split["split_leader"]).select("leader", "rep", "comp", "home", "blocks"), "split-clusters")
+    ids = staged(rest.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    full = _sets(docs, ids, k)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("bigint"), (F.col("blocks") - 1).cast("bigint"))
+    sent = (rest.select("leader", "rep", "comp", F.lit(False).alias("probe"), own.alias("block"), F.explode(every).alias("probes"))
+            .unionByName(rest.where("comp <> home").select("leader", "rep", "comp", F.lit(True).alias("probe"), F.explode(every).alias("block"), own.alias("probes"))))
+    sent = (sent.join(classes.select("rep", "n", "registers"), "rep").join(full, F.col("rep") == full["doc_id"])
+            .select("leader", "block", "probes", "rep", "comp", "probe", "n", "registers", "shingles"))
+    more = staged(sent.groupBy("leader", "block", "probes").applyInPandas(_across(percent), "a bigint, b bigint").distinct(), "links")
     label = components(links.union(more))
-    discard(comp, split, links, more)
+    discard(near, split, rest, ids, full, links, more)
 
     found = (sketches.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
              .join(label, F.col("rep") == F.col("node"), "left"))
