@@ -7,6 +7,7 @@ Each builder writes under a fresh folder of ``spark.checkpoint.dir`` (the cluste
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,12 @@ from fleetlake.functions.dates import day_start
 from fleetlake.operators.dedup import keep_last
 from fleetlake.operators.normalize import normalize
 from fleetlake.operators.upsert import upsert_table
-from fleetlake.plans.ingest import load_daily, load_static, prepare
+from fleetlake.plans.ingest import load_daily, load_static, prepare, refresh_static
 from fleetlake.plans.views import TestDataFleet
 from fleetlake.session import shared_dir
 from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.pages import SEQ, land_pages, page_schema_of, read_pages
-from fleetlake.sources.tables import Lake
+from fleetlake.sources.tables import CONTROL_TABLE, Lake
 from fleetlake.streaming.incremental import run_incremental_stream
 
 CUT_TARGET = "2024-01-20 00:00:00"      # first load: days before this
@@ -156,6 +157,72 @@ def n14_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(read_pages(spark, landing), cfg, keep=(SEQ,), flatten_structs=True).drop(SEQ)
 
 
+def _utc(*args) -> _dt.datetime:
+    return _dt.datetime(*args, tzinfo=_dt.timezone.utc)
+
+
+def s7_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after a first load, an incremental one, and one that brings nothing."""
+    root = shared_dir(spark, "s7")
+    _land_two_batches(spark, sf_dir, f"{root}/landing")
+    lake, ep = Lake(spark, f"{root}/lake"), "asset-utilizations-daily"
+    nothing = spark.read.json(f"{root}/landing/batch1").select("offset", F.slice("results", 1, 0).alias("results"))
+    nothing.write.json(f"{root}/landing/empty")
+    for i, batch in enumerate(("batch1", "batch2", "empty")):
+        load_daily(spark, lake, f"{root}/landing/{batch}", ep, now=_utc(2024, 1, 20 + i, 2))
+    return lake.runs()
+
+
+def s8_static_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three static tables refreshed twice; each loaded table's rows beside the control row."""
+    t = TestDataFleet(spark, sf_dir)
+    root = shared_dir(spark, "s8")
+    lake, names = Lake(spark, f"{root}/lake"), {"assets": "asset_id", "asset-labels": "asset_label_id", "asset-registrations": "asset_id"}
+    endpoints = [endpoint_config(e) for e in names]
+    for run in (0, 1):
+        for cfg in endpoints:
+            rows = t[cfg.table].select("*", F.col(names[cfg.endpoint]).alias("seq"))
+            land_pages(rows if run else rows.where("seq % 2 = 0"), f"{root}/landing{run}/{cfg.endpoint}", "seq")
+        refresh_static(spark, lake, f"{root}/landing{run}", endpoints=endpoints, now=_utc(2024, 2, 1 + run, 2))
+    counts = [lake.read(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count", F.lit("fleet_static_tables").alias("pipeline_name"))
+              for n in lake.tables() if n != CONTROL_TABLE]
+    return reduce(DataFrame.unionAll, counts).join(lake.read(CONTROL_TABLE), "pipeline_name")
+
+
+def i4_surrogate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: a daily endpoint with a key of its own; the second landing moves its readings a day on and repeats each, last one wins."""
+    ev = TestDataFleet(spark, sf_dir)["events"]
+    root = shared_dir(spark, "i4")
+    lake, ep = Lake(spark, f"{root}/lake"), "asset-readings-daily"
+    rows = ev.select(F.col("event_id").alias("asset_reading_daily_id"), F.col("user_id").alias("asset_id"), day_start("ts").alias("date"),
+                     F.floor("value").cast("bigint").alias("cumulative_hours_end_of_day"), F.col("event_id").alias("seq"))
+    land_pages(rows.where(F.col("date") < F.lit(CUT_TARGET).cast("timestamp")), f"{root}/day1", "seq")
+    later = rows.where(F.col("date") >= F.lit(CUT_SOURCE).cast("timestamp")).withColumn("date", F.col("date") + F.expr("INTERVAL 1 DAY"))
+    twice = later.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        "asset_reading_daily_id", "asset_id", "date", (F.col("cumulative_hours_end_of_day") * F.col("n")).alias("cumulative_hours_end_of_day"),
+        (F.col("seq") * 2 + F.col("n")).alias("seq"))
+    land_pages(twice, f"{root}/day2", "seq")
+    load_daily(spark, lake, f"{root}/day1", ep, now=_utc(2024, 1, 20, 2))
+    load_daily(spark, lake, f"{root}/day2", ep, now=_utc(2024, 1, 31, 2))
+    return lake.read("asset_readings_daily")
+
+
+def e2_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch whose count has a fraction, whose configured column is an object, and that lacks a column: stored types stay."""
+    ev = TestDataFleet(spark, sf_dir)["events"]
+    root = shared_dir(spark, "e2-drift")
+    lake, ep = Lake(spark, f"{root}/lake"), "asset-utilizations-daily"
+    level = (F.col("active_run_seconds") / 3600).cast("bigint")
+    first = _events_daily_rows(ev.where(F.col("ts") < F.lit(CUT_TARGET).cast("timestamp_ntz"))).withColumn("level", level)
+    second = _events_daily_rows(ev.where(F.col("ts") >= F.lit(CUT_SOURCE).cast("timestamp_ntz")))
+    second = second.select("asset_id", "date", "seq", (level + 0.5).alias("level"), F.struct(F.col("active_run_seconds").alias("v")).alias("active_run_seconds"))
+    land_pages(first, f"{root}/day1", "seq")
+    land_pages(second, f"{root}/day2", "seq")
+    load_daily(spark, lake, f"{root}/day1", ep, now=_utc(2024, 1, 20, 2))
+    load_daily(spark, lake, f"{root}/day2", ep, now=_utc(2024, 1, 31, 2))
+    return lake.read("asset_utilizations_daily")
+
+
 _DAILY_ROWS_SQL = """
     SELECT user_id AS asset_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
            CAST(COUNT(*) * 3600 AS BIGINT) AS active_run_seconds,
@@ -166,6 +233,27 @@ _FIRST = _DAILY_ROWS_SQL.format(cond=f"ts < TIMESTAMP '{CUT_TARGET}'")
 _SECOND = _DAILY_ROWS_SQL.format(cond=f"ts >= TIMESTAMP '{CUT_SOURCE}'")
 
 ORACLE = {
+    "s7_run_log": f"""
+        WITH t AS ({_FIRST}), s AS ({_SECOND})
+        SELECT 'asset-utilizations-daily' AS endpoint_name, TIMESTAMP '2024-01-20 02:00:00' AS last_run_time, count(*) AS records_processed FROM t
+        UNION ALL
+        SELECT 'asset-utilizations-daily', TIMESTAMP '2024-01-21 02:00:00', count(*) FROM s WHERE date >= (SELECT max(date) FROM t)""",
+    "s8_static_refresh": """
+        SELECT table_name, row_count, 'fleet_static_tables' AS pipeline_name, TIMESTAMP '2024-02-02 02:00:00' AS last_run_time, 'success' AS status
+        FROM (SELECT 'assets' AS table_name, count(*) AS row_count FROM assets UNION ALL SELECT 'asset_labels', count(*) FROM asset_labels
+              UNION ALL SELECT 'asset_registrations', count(*) FROM asset_registrations)""",
+    "i4_surrogate_load": f"""
+        WITH reading AS (SELECT event_id AS asset_reading_daily_id, user_id AS asset_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
+                                CAST(floor(value) AS BIGINT) AS cumulative_hours_end_of_day FROM events),
+             early AS (SELECT * FROM reading WHERE date < TIMESTAMP '{CUT_TARGET}'),
+             late AS (SELECT * REPLACE (date + INTERVAL 1 DAY AS date, cumulative_hours_end_of_day * 2 AS cumulative_hours_end_of_day)
+                      FROM reading WHERE date >= TIMESTAMP '{CUT_SOURCE}'),
+             taken AS (SELECT * FROM late WHERE date >= (SELECT max(date) FROM early))
+        SELECT * FROM taken UNION ALL SELECT * FROM early ANTI JOIN taken USING (asset_reading_daily_id)""",
+    "e2_type_drift": f"""
+        WITH t AS ({_FIRST}), s AS (SELECT * FROM ({_SECOND}) x WHERE date >= (SELECT max(date) FROM t))
+        SELECT asset_id, date, active_run_seconds, utilization_percentage, updated_at, active_run_seconds // 3600 AS level FROM t ANTI JOIN s USING (asset_id, date)
+        UNION ALL SELECT asset_id, date, NULL, NULL, NULL, active_run_seconds // 3600 FROM s""",
     "s1_pages_events": """
         SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value,
                replace(props, ': ', ':') AS props FROM events""",
@@ -203,4 +291,5 @@ ORACLE = {
 }
 
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
-            s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events)
+            s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events, s7_run_log, s8_static_refresh,
+            i4_surrogate_load, e2_type_drift)

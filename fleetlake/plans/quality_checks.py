@@ -54,9 +54,44 @@ def v5_date_ranges(t: Tables, as_of=AS_OF_EVENTS) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+# The same checks over the order lines, which do repeat keys, lack values and lie outside the range
+LINE_KEYS = ("l_orderkey", "l_linenumber")
+LINE_CLOCK = "1996-06-30 00:00:00"
+
+
+def _lines(t: Tables) -> DataFrame:
+    """Order lines where no discount, no tax and a first-of-month ship date count as not known."""
+    ship = F.col("l_shipdate").cast("timestamp")
+    return t["lineitem"].select(*LINE_KEYS, F.nullif("l_discount", F.lit(0.0)).alias("l_discount"), F.nullif("l_tax", F.lit(0.0)).alias("l_tax"),
+                                F.when(F.dayofmonth(ship) > 1, ship).alias("l_shipdate"))
+
+
+def v2_repeated_order_lines(t: Tables) -> DataFrame:
+    """Q2, V2: the keys that occur more than once, and how often."""
+    return t["lineitem"].groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("duplicate_count")).where("duplicate_count > 1")
+
+
+def v3_line_profile(t: Tables) -> DataFrame:
+    """Q3, V1, V3, V5, I11 over input that has something to find."""
+    clock = F.lit(LINE_CLOCK).cast("timestamp")
+    return table_profile(_lines(t), keys=LINE_KEYS, critical=("l_discount", "l_tax"), date_col="l_shipdate", date_max=clock)
+
+
 E = f"TIMESTAMP '{AS_OF_EVENTS}'"
 
 ORACLE = {
+    "v2_repeated_order_lines": """
+        SELECT l_orderkey, l_linenumber, duplicate_count
+        FROM (SELECT l_orderkey, l_linenumber, row_number() OVER key AS nth, count(*) OVER key_all AS duplicate_count FROM lineitem
+              WINDOW key AS (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate), key_all AS (PARTITION BY l_orderkey, l_linenumber))
+        WHERE nth = 2""",
+    "v3_line_profile": f"""
+        SELECT (SELECT count(*) FROM lineitem) AS row_count,
+               (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates,
+               (SELECT count(*) FROM lineitem WHERE l_discount = 0) AS "null_l_discount", (SELECT count(*) FROM lineitem WHERE l_tax = 0) AS "null_l_tax",
+               (SELECT min(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem WHERE day(l_shipdate) > 1) AS min_date,
+               (SELECT max(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem WHERE day(l_shipdate) > 1) AS max_date,
+               (SELECT count(*) FROM lineitem WHERE day(l_shipdate) = 1 OR l_shipdate > TIMESTAMP '{LINE_CLOCK}') AS rows_out_of_range""",
     "v1_null_asset_ids": "SELECT CAST(COUNT(*) FILTER (WHERE asset_id IS NULL) AS BIGINT) AS null_count FROM assets",
     "v2_duplicate_asset_days": """
         SELECT asset_id, date, COUNT(*) AS duplicate_count FROM asset_utilizations_daily
