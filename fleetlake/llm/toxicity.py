@@ -42,6 +42,7 @@ reported reports reporting claimed alleged shouted
 sagte sagt schrieb nannte genannt zitiert wort begriff beleidigung beschimpfte
 dit disait écrit écrivait appelé mot terme insulte cité citation
 dijo dice escribió llamó palabra término insulto citó cita""".split())
+_LETTER_OF = str.maketrans(LOOK_ALIKES)
 _OPENING, _CLOSING = "\"“„«‹‘", "\"”“»›’"
 _TRIM = re.compile(r"^[^\w@$]+|[^\w@$]+$")
 _LETTERS = re.compile(r"[^\W\d_]")
@@ -150,6 +151,48 @@ def hit_features(text: str, find) -> np.ndarray:
     return np.concatenate([np.log1p(counts), counts[:3] > 0, [counts[3] > 2], shares])
 
 
+def shortened(word: str, most: int) -> set[str]:
+    """The word without any up to ``most`` of its letters."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:i] + w[i + 1:] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
+def unmasked(word: str) -> str:
+    """The word with the letters that its signs look like."""
+    return word.translate(_LETTER_OF)
+
+
+class Trie:
+    """Terms that allow the same number of edits, and a test that passes over words far from all of them."""
+
+    def __init__(self, terms: list[str], edits: int):
+        self.terms, self.edits, self.root = terms, edits, build_trie(terms)
+        self.low, self.high = min(map(len, terms)) - edits, max(map(len, terms)) + edits
+        # a word within so many edits (a swap is one) of a term is equal to it once each has lost at most so many letters
+        self.shortened = set().union(*(shortened(x, edits) for t in terms for x in (t, unmasked(t))))
+
+    def edits_to(self, word: str) -> int | None:
+        if not self.low <= len(word) <= self.high or self.shortened.isdisjoint(shortened(unmasked(word), self.edits)):
+            return None
+        found = nearest_term(word, self.root, self.edits)
+        return found[1] if found else None
+
+
+# per byte: its letter's bit (either case), whether it is an ASCII letter or digit, whether it begins a character, and whether
+# it may stand for another letter (look-alikes; first bytes of the few characters whose lower case is ASCII)
+_BIT = np.array([1 << (b | 32) - 97 if chr(b).isalpha() and b < 128 else 0 for b in range(256)], "u4")
+_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)], "i4")
+_START = np.array([b & 0xC0 != 0x80 for b in range(256)], "i4")
+_SIGN = np.array([chr(b) in LOOK_ALIKES or b in (0xC4, 0xE2) for b in range(256)], "i4")
+
+
+def _letter_bits(term: str) -> int:
+    return int(np.bitwise_or.reduce(_BIT[list(term.encode())])) if term else 0
+
+
 class Finder:
     """Kind of a word's hit (0, 1, 2: edits to its nearest term; 3: a stem), remembered for the words seen (bounded)."""
 
@@ -157,16 +200,33 @@ class Finder:
         self.seen: dict = {}
         limit = dict(limits)
         self.stems = build_trie(stems)
-        # a trie for each number of edits that its terms allow, and the word lengths that can reach one
-        self.tries = []
+        self.short_stems = [x for x in stems if not any(x != y and x.startswith(y) for y in stems)]
+        self.tries = []  # one for each number of edits that its terms allow
         for edits in (0, 1, 2):
             some = [t for t in terms if limit.get(t, allowed_edits(len(t))) == edits]
             if some:
-                self.tries.append((edits, build_trie(some), min(map(len, some)) - edits, max(map(len, some)) + edits))
+                self.tries.append(Trie(some, edits))
+
+    def possible(self, distinct: pa.Array) -> np.ndarray:
+        """Words that may be a hit, by their letters alone: an edit takes at most one letter of a term away and adds
+        at most one character."""
+        words = distinct.cast(pa.large_binary())
+        ends = np.frombuffer(words.buffers()[1], "<i8", len(words) + 1 + words.offset)[words.offset:]
+        data = np.frombuffer(words.buffers()[2] or b"", "u1")
+        if not len(words):
+            return np.zeros(0, bool)
+        bits = np.bitwise_or.reduceat(_BIT[data], ends[:-1])
+        alnum, chars, signs = (np.add.reduceat(t[data], ends[:-1]) for t in (_ALNUM, _START, _SIGN))
+        out = np.zeros(len(words), bool)
+        for edits, terms in [*((t.edits, t.terms) for t in self.tries), (0, self.short_stems)]:
+            for term in terms:
+                missing = np.bitwise_count(np.uint32(_letter_bits(term)) & ~bits)
+                longest = len(term) + edits if terms is not self.short_stems else 1 << 30
+                out |= (missing <= edits + signs) & (alnum <= longest) & (chars >= len(term) - edits)
+        return out
 
     def kind(self, word: str) -> int | None:
-        found = [nearest_term(word, trie, edits) for edits, trie, low, high in self.tries if low <= len(word) <= high]
-        edits = min((x[1] for x in found if x), default=None)
+        edits = min((e for trie in self.tries if (e := trie.edits_to(word)) is not None), default=None)
         if edits == 0:
             return 0
         node = self.stems
@@ -207,7 +267,8 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
 def _batch_features(text: pa.Array, raw: list[bytes], find: Finder) -> np.ndarray:
     """Features of every text. Each distinct word of the batch is looked up once; only texts with a hit are read again."""
     distinct, index, starts = split_words(text, lower=False)
-    hit = np.array([find(w) is not None for w in distinct.to_pylist()], bool) if len(distinct) else np.zeros(0, bool)
+    hit = find.possible(distinct)
+    hit[hit] = [find(w) is not None for w in distinct.filter(pa.array(hit)).to_pylist()]
     sums = np.concatenate([[0], np.cumsum(hit[index])])
     out = np.zeros((len(raw), len(HIT_FEATURES)))
     for i in np.flatnonzero(sums[starts[1:]] > sums[starts[:-1]]).tolist():
@@ -254,9 +315,9 @@ def _best(counted: DataFrame) -> list[str]:
 def _misspelt(terms: tuple):
     """(word, the term it may be a misspelling of, edits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = [(e, build_trie([t for t in terms if allowed_edits(len(t)) == e])) for e in (1, 2)]
+        tries = [Trie(some, e) for e in (1, 2) if (some := [t for t in terms if allowed_edits(len(t)) == e])]
         for batch in batches:
-            found = [(w, *near) for w in batch.column(0).to_pylist() for e, trie in tries if (near := nearest_term(w, trie, e)) and near[1]]
+            found = [(w, *nearest_term(w, trie.root, trie.edits)) for w in batch.column(0).to_pylist() for trie in tries if trie.edits_to(w)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate((pa.string(), pa.string(), pa.int32()))], ["word", "near", "edits"])
     return run
 
