@@ -20,7 +20,7 @@ from fleetlake.operators.upsert import upsert_table
 from fleetlake.plans.ingest import load_daily, load_static, prepare, refresh_static
 from fleetlake.plans.views import TestDataFleet
 from fleetlake.session import shared_dir
-from fleetlake.sources.csv import read_csv, write_csv
+from fleetlake.sources.csv import UTILIZATION_CSV_SCHEMA, read_csv, write_csv
 from fleetlake.sources.pages import SEQ, land_pages, page_schema_of, read_pages
 from fleetlake.sources.tables import CONTROL_TABLE, Lake
 from fleetlake.streaming.incremental import run_incremental_stream
@@ -157,6 +157,32 @@ def n14_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(read_pages(spark, landing), cfg, keep=(SEQ,), flatten_structs=True).drop(SEQ)
 
 
+def s2_csv_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The utilisation sheet, its columns in another order, with quotes, commas and line breaks in cells."""
+    u = TestDataFleet(spark, sf_dir)["asset_utilizations_daily"]
+    path = shared_dir(spark, "csv-utilization")
+    site = F.concat(F.lit('Pit "'), F.col("asset_id").cast("string"), F.lit('", north'))
+    sheet = u.select("date", F.col("asset_id").cast("string").alias("asset_id"), F.col("active_run_seconds").cast("double").alias("active_hours"),
+                     "utilization_percentage", F.when(F.col("asset_id") % 3 > 0, F.concat(F.lit("line 1\nline "), F.col("asset_id").cast("string"))).alias("assignee_name"),
+                     F.when(F.col("asset_id") % 2 > 0, site).alias("site_name"))
+    write_csv(sheet, path, date_cols=("date",))
+    return read_csv(spark, path, UTILIZATION_CSV_SCHEMA, date_cols=("date",))
+
+
+def n8_normalize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2-N11 over order lines with nested, binary, decimal, small and all-NULL columns, and cells that do not fit their configured type."""
+    li = TestDataFleet(spark, sf_dir)["lineitem"]
+    odd = F.col("l_linenumber") % 2 > 0
+    rows = li.select(
+        "l_orderkey", "l_linenumber", F.encode("l_returnflag", "UTF-8").alias("flag_bytes"), F.col("l_quantity").cast("decimal(12,2)").alias("amount"),
+        F.col("l_linenumber").cast("smallint").alias("small"), F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag")).alias("nested"),
+        F.array("l_orderkey", "l_partkey").alias("keys"), F.lit(None).cast("string").alias("never"), F.lit(None).alias("void"),
+        F.when(odd, "12.7").otherwise("n/a").alias("count_text"), F.when(odd, "2025-01-02T03:04:05Z").otherwise("soon").alias("at"),
+        F.when(odd, "Yes").otherwise("maybe").alias("ok"), F.struct(F.col("l_partkey").alias("v")).alias("year"))
+    cfg = EndpointConfig("lines", "lines", datetime_cols=("at",), long_int_cols=("count_text", "year", "absent"), boolean_cols=("ok",))
+    return normalize(rows, cfg)
+
+
 def _utc(*args) -> _dt.datetime:
     return _dt.datetime(*args, tzinfo=_dt.timezone.utc)
 
@@ -233,6 +259,19 @@ _FIRST = _DAILY_ROWS_SQL.format(cond=f"ts < TIMESTAMP '{CUT_TARGET}'")
 _SECOND = _DAILY_ROWS_SQL.format(cond=f"ts >= TIMESTAMP '{CUT_SOURCE}'")
 
 ORACLE = {
+    "s2_csv_utilization": """
+        SELECT CAST(asset_id AS VARCHAR) AS asset_id, date, utilization_percentage, CAST(active_run_seconds AS DOUBLE) AS active_hours,
+               CASE WHEN asset_id % 2 > 0 THEN 'Pit "' || asset_id || '", north' END AS site_name,
+               CASE WHEN asset_id % 3 > 0 THEN 'line 1' || chr(10) || 'line ' || asset_id END AS assignee_name
+        FROM asset_utilizations_daily""",
+    "n8_normalize_types": """
+        SELECT l_orderkey, l_linenumber, base64(encode(l_returnflag)) AS flag_bytes, CAST(CAST(l_quantity AS DECIMAL(12,2)) AS DOUBLE) AS amount,
+               CAST(l_linenumber AS VARCHAR) AS small, '{"n":' || l_linenumber || ',"flag":"' || l_returnflag || '"}' AS nested,
+               '[' || l_orderkey || ',' || l_partkey || ']' AS keys, '' AS never, '' AS void,
+               CASE WHEN l_linenumber % 2 > 0 THEN CAST(12 AS BIGINT) END AS count_text,
+               CASE WHEN l_linenumber % 2 > 0 THEN TIMESTAMP '2025-01-02 03:04:05' END AS at,
+               CASE WHEN l_linenumber % 2 > 0 THEN true END AS ok, CAST(NULL AS BIGINT) AS year
+        FROM lineitem""",
     "s7_run_log": f"""
         WITH t AS ({_FIRST}), s AS ({_SECOND})
         SELECT 'asset-utilizations-daily' AS endpoint_name, TIMESTAMP '2024-01-20 02:00:00' AS last_run_time, count(*) AS records_processed FROM t
@@ -292,4 +331,4 @@ ORACLE = {
 
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
             s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events, s7_run_log, s8_static_refresh,
-            i4_surrogate_load, e2_type_drift)
+            i4_surrogate_load, e2_type_drift, s2_csv_utilization, n8_normalize_types)
