@@ -30,7 +30,7 @@ from fleetlake.llm.words import split_words
 
 LEXICON_TERMS = 5_000  # best words kept, and as many stems; the trie goes to every task
 MIN_SUPPORT, MIN_SHARE = 4, 0.7  # witnesses of a term, and the lower bound of the share of them that are toxic
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 WINDOW = 12  # words on either side that a hit's context reaches
 PREDICTED_AT = 0.7
 

@@ -28,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import prepare, staged
+from fleetlake.llm.common import prepare, small_or_not, staged
 
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20  # a task starts another file after this much record text
 CHUNK = 1 << 18
+BROADCAST_REVISITS = 200_000  # revisits (about 150 bytes each) that are broadcast at most; more join by a shuffle
 DATE = "2025-01-01T00:00:00Z"
 FILES = "path string, records bigint, bytes bigint"
 INDEX = "path string, record_id string, offset bigint, length bigint"
@@ -55,8 +56,8 @@ def _files(path: str):
 def with_revisits(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, refers_to): digests choose the response of equal payloads.
 
-    Payloads don't move: digests alone are grouped (with a map-side minimum), and what goes back to a page is
-    its response's id.
+    Digests alone are grouped (with a map-side minimum), and what goes back to a page is its response's id. Payloads
+    move only if there are more than BROADCAST_REVISITS revisits.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
@@ -65,7 +66,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     again = (large.join(staged(first.where("n > 1"), "responses"), "payload_digest").where("page_id > first_id")
              .groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("payload_digest", "first_id"))).alias("firsts")))
-    return rows.join(again, "page_id", "left").select(*rows.columns, F.col("firsts")[F.col("payload_digest")].alias("refers_to"))
+    return rows.join(small_or_not(staged(again, "revisits"), BROADCAST_REVISITS), "page_id", "left").select(*rows.columns, F.col("firsts")[F.col("payload_digest")].alias("refers_to"))
 
 
 def _record_id(page_id) -> str:
