@@ -8,7 +8,6 @@ and chart is computed over the same filtered fleet.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,13 +68,13 @@ def k1_kpi_cards(t: Tables) -> DataFrame:
     """Fleet utilisation, total hours, asset count, fleet value — one row per card."""
     u = t["asset_utilizations_daily"]
     a = t["assets"]
-    cards = [
-        u.agg(round_half_up(F.avg("utilization_percentage"), 2).alias("value")).select(F.lit("fleet_utilization").alias("metric"), "value"),
-        u.agg(round_half_up(F.sum("active_run_seconds") / F.lit(3600.0), 2).alias("value")).select(F.lit("total_hours").alias("metric"), "value"),
-        a.agg(F.count_distinct("asset_id").cast("double").alias("value")).select(F.lit("asset_count").alias("metric"), "value"),
-        a.agg(round_half_up(F.sum("purchase_price"), 2).alias("value")).select(F.lit("fleet_value").alias("metric"), "value"),
-    ]
-    return reduce(DataFrame.unionAll, cards)
+    # one pass over each table, then a row per card
+    def cards(row: DataFrame, *names: str) -> DataFrame:
+        return row.select(F.inline(F.array(*(F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names))))
+    use = u.agg(round_half_up(F.avg("utilization_percentage"), 2).alias("fleet_utilization"),
+                round_half_up(F.sum("active_run_seconds") / F.lit(3600.0), 2).alias("total_hours"))
+    fleet = a.agg(F.count_distinct("asset_id").cast("double").alias("asset_count"), round_half_up(F.sum("purchase_price"), 2).alias("fleet_value"))
+    return cards(use, "fleet_utilization", "total_hours").unionAll(cards(fleet, "asset_count", "fleet_value"))
 
 
 def k2_utilization_trend(t: Tables, target: float = DEFAULT_TARGET_UTILIZATION) -> DataFrame:
