@@ -16,7 +16,9 @@ def _pages(spark, rows):
     return spark.createDataFrame([(*r, "p", "q", 1) for r in rows], PAGES)
 
 
-def test_round_trip(spark, scratch):
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_round_trip(spark, scratch, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_REVISITS", broadcast)
     big, other = "é<p>" * 60, "WARC/1.1\r\n\r\n" * 40
     rows = [(5, "http://a/", big), (3, "http://b/ x\r\ny", big), (9, None, big), (4, "", other), (6, "not a url", other), (1, "http://c", None), (2, "http://d", ""),
             (7, "http://e", "small"), (8, "http://f", "small"), (None, "http://g", big), (5, "http://a/", big)]
