@@ -3,14 +3,14 @@
 Tokens are lower-case runs of letters and digits. A seed hashes the tokens at the places of a fixed mask and
 ignores the ones between, so a substituted token breaks only the seeds that look at it. Seeds of the
 benchmark join seeds of every place of every document. Each diagonal (place in the document less place in
-the item) that has a hit is verified on the tokens around it: the pair is reported if some stretch of
+the item) is verified on the tokens around its hits: the pair is reported if some stretch of
 ``STRETCH`` aligned tokens (or the whole item, if shorter) agrees in at least ``AGREE`` percent.
 
 An item shorter than the masks is one seed of all its tokens; items below ``MIN_TOKENS`` tokens say too little
 and are not looked for. Items with equal tokens are reported once, under the smallest id.
 
 The documents are scanned once (once more if some item is shorter than the masks), and nothing of them is shuffled but
-hits (one per document, item and diagonal, reduced in the task that found them). The seeds of the benchmark are broadcast if a count shows that they are no more than
+hits (one per document, item, diagonal and stretch of AROUND places, reduced in the task that found them). The seeds of the benchmark are broadcast if a count shows that they are no more than
 ``BROADCAST_SEEDS``; more of them join by a shuffle of the documents' seeds.
 
 Defined results: null or empty texts hold nothing and are never reported; rows with a null doc_id are looked at and
@@ -29,7 +29,7 @@ from fleetlake.llm.common import prepare, small_or_not, staged, texts, without_i
 MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 6, 9), (0, 1, 2, 5, 8, 9))
 SPAN = 10
 MIN_TOKENS, STRETCH, AGREE = 5, 13, 75
-AROUND = 24  # tokens on either side of a hit that are verified
+AROUND = 24  # tokens before a hit that are verified, and twice as many behind it
 BROADCAST_SEEDS = 1_000_000
 BROADCAST_IDS = 1_000_000
 
@@ -93,12 +93,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = F.array_compact(F.array(*(F.when(F.col("at") + n <= F.size("t"), _hash(F.col("at"), tuple(range(n)), -n)) for n in short)))
         hits = hits.unionByName(places.withColumn("key", F.explode(keys)).join(small_or_not(seeds, BROADCAST_SEEDS), "key").drop("head"))
     first = F.greatest(F.col("at") - AROUND, F.lit(0))
-    around = F.slice("t", first + 1, F.least(F.size("t") - first, F.lit(SPAN + 2 * AROUND)))
-    hits = (hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), F.struct(F.col("at"), first.alias("from"), around.alias("w")).alias("hit"))
-            .groupBy("doc_id", "item_id", "diagonal").agg(F.min("hit").alias("hit")))
+    around = F.slice("t", first + 1, F.least(F.size("t") - first, F.lit(SPAN + 3 * AROUND)))
+    # the first hit of every AROUND places of a diagonal; what is verified reaches past the last place that it stands for
+    part = F.floor(F.col("at") / AROUND).alias("part")
+    hits = (hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), part, F.struct(F.col("at"), first.alias("from"), around.alias("w")).alias("hit"))
+            .groupBy("doc_id", "item_id", "diagonal", "part").agg(F.min("hit").alias("hit")))
     # the item's tokens beside those of the document that they align with; past the document's end there are none
     low = F.greatest(F.col("hit.from") - F.col("diagonal"), F.lit(0))
-    high = F.least(F.size("t"), F.col("hit.at") - F.col("diagonal") + SPAN + AROUND)
+    high = F.least(F.size("t"), F.col("hit.at") - F.col("diagonal") + SPAN + 2 * AROUND)
     pairs = (hits.join(known, "item_id")
              .withColumn("low", low).withColumn("high", high)
              .select("doc_id", "item_id", "diagonal", F.slice("t", F.col("low") + 1, F.col("high") - F.col("low")).alias("b"),

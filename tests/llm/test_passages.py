@@ -156,6 +156,23 @@ def test_leaks(spark, documents):
     assert dc.contaminated(documents(rows), benchmark.limit(0)).count() == 0
 
 
+def test_leaks_of_long_items(spark, documents):
+    """A lone seed far before the copied part, on the same diagonal, does not hide it."""
+    rnd = random.Random(12)
+    item = _words(rnd, 400)
+    rows = []
+    for i, at in enumerate((30, 90, 200, 380)):
+        other = [f"x{rnd.randint(0, 9999)}" for _ in range(400)]
+        for k in dc.MASKS[0]:
+            other[5 + k] = item[5 + k]            # a seed, but no stretch
+        other[at:at + 20] = item[at:at + 20]
+        rows.append((i, " ".join(other)))
+    rows.append((9, " ".join(rows[0][1].split()[:25] + rows[0][1].split()[50:])))
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(documents(rows), benchmark).collect()}
+    assert got == brute_leaks(rows, [(1, " ".join(item))]) == {(i, 1) for i in range(4)}
+
+
 def test_leaks_run_without_python(spark, documents):
     benchmark = spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(30)))], "item_id bigint, text string")
     plan = dc.contaminated(documents([(1, "a b")]), benchmark)._jdf.queryExecution().executedPlan().toString()
