@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from fleetlake.session import shared_dir, workers_import
 
-# rows per Arrow batch sent to a Python worker: 1024 texts of 100 KB stay near 100 MB
-ARROW_ROWS = 1024
+# an Arrow batch between the JVM and a Python worker: at most this many rows and about this many bytes
+ARROW_ROWS, ARROW_BYTES = 1024, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches that carry whole texts to Python workers, which must find this package."""
     workers_import(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
