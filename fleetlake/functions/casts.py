@@ -44,9 +44,6 @@ def to_double_lenient(c) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-_NESTED = (T.StructType, T.MapType, T.ArrayType, T.BinaryType, T.VariantType)
-
-
 def to_type_lenient(c, src_type: T.DataType, to: T.DataType) -> Column:
     """A cell as the stored type of its column: what does not fit is NULL, objects become their JSON text."""
     c = _c(c)

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlake.functions.dates import as_of_col
 from fleetlake.operators.intervals import interval_left_join
 from fleetlake.plans import billing as B
 from fleetlake.plans import dashboard as K
 from fleetlake.plans import quality_checks as V
 from fleetlake.plans.oracle import QUERY_SQL
 from fleetlake.plans.registry import _on_fleet, register
-from fleetlake.plans.views import AS_OF_ORDERS
 
 
 def j5_interval_join_pairs(t):

@@ -8,19 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.config import DAILY_ENDPOINTS
 from fleetlake.functions.dates import as_of_col
 from fleetlake.operators.quality import table_profile
 from fleetlake.plans.views import AS_OF_EVENTS
 
 Tables = Mapping[str, DataFrame]
 
-# Merge key of each daily table; None means the composite (asset_id, date)
-MERGE_KEYS = {
-    "asset_readings_daily": ("asset_reading_daily_id",),
-    "asset_utilizations_daily": ("asset_id", "date"),
-    "asset_site_daily_utilizations": ("asset_site_daily_utilization_id",),
-    "asset_net_working_hours_daily": ("asset_net_working_hour_daily_id",),
-}
+# key of each daily table: its merge key, or asset and date where it has none
+MERGE_KEYS = {c.table: (c.merge_key,) if c.merge_key else ("asset_id", "date") for c in DAILY_ENDPOINTS}
 
 
 def v1_null_asset_ids(t: Tables) -> DataFrame:

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.config import DAILY_ENDPOINTS
 from fleetlake.functions.casts import round_half_up
 from fleetlake.functions.dates import as_of_col, days_ago, days_between, hours_between, months_between_boundaries
 from fleetlake.operators.aggregates import percent_of_total
@@ -348,20 +349,12 @@ def q19_run_log(t: Tables) -> DataFrame:
         .orderBy(F.desc("last_run_time"), "endpoint_name")
 
 
-DAILY_ENDPOINTS = {
-    "asset-readings-daily": "asset_readings_daily",
-    "asset-utilizations-daily": "asset_utilizations_daily",
-    "asset-site-daily-utilizations": "asset_site_daily_utilizations",
-    "asset-net-working-hours-daily": "asset_net_working_hours_daily",
-}
-
-
 def q20_missing_data_check(t: Tables) -> DataFrame:
     """Per daily endpoint: newest loaded date against the newest successful run."""
     runs = (t["pipeline_last_run"].groupBy(F.col("endpoint_name").alias("_ep"))
             .agg(F.max("last_run_time").alias("last_run_time")))
     parts = [t[table].agg(F.max("date").alias("max_date")).select(F.lit(ep).alias("endpoint_name"), "max_date")
-             for ep, table in DAILY_ENDPOINTS.items()]
+             for ep, table in ((c.endpoint, c.table) for c in DAILY_ENDPOINTS)]
     dates = reduce(DataFrame.unionAll, parts)
     j = dates.join(runs, dates.endpoint_name == runs._ep, "left")
     return j.select("endpoint_name", "max_date", "last_run_time",

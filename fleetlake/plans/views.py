@@ -29,6 +29,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetlake.config import DAILY_ENDPOINTS
 from fleetlake.functions.dates import day_start
 
 # Fixed clocks of the test data (GETDATE replacement): the day after the data ends.
@@ -272,10 +273,8 @@ class TestDataFleet(Mapping):
     @property
     def pipeline_last_run(self) -> DataFrame:
         parts = []
-        for endpoint, table in (("asset-readings-daily", "asset_readings_daily"),
-                                ("asset-utilizations-daily", "asset_utilizations_daily"),
-                                ("asset-site-daily-utilizations", "asset_site_daily_utilizations"),
-                                ("asset-net-working-hours-daily", "asset_net_working_hours_daily")):
+        for cfg in DAILY_ENDPOINTS:
+            endpoint, table = cfg.endpoint, cfg.table
             t = self[table]
             parts.append(t.groupBy("date").agg(F.count(F.lit(1)).alias("records_processed"))
                          .select(F.lit(endpoint).alias("endpoint_name"),
