@@ -224,7 +224,8 @@ def normalise_archives(spark: SparkSession, folder: str, files: DataFrame) -> Da
     fs, top = _files(folder)
     fs.create_dir(f"{top}/members")
     listing = f"{folder}/member-index"
-    files.select("path").repartition(F.col("path")).mapInArrow(_normalise(folder), INDEX).write.parquet(listing)
+    # a task per file: the listing is tiny, and adaptive execution would put all of it into one
+    files.select("path").repartition(max(1, files.count())).mapInArrow(_normalise(folder), INDEX).write.parquet(listing)
     return spark.read.schema(INDEX).parquet(listing)
 
 
@@ -276,7 +277,9 @@ def _read(folder: str, with_payload: bool):
 
 def read_archives(folder: str, index: DataFrame, with_payload: bool = True) -> DataFrame:
     """RECORDS read from the members that ``index`` points at. Responses are checked against their digest."""
-    return index.select("path", "offset", "length").mapInArrow(_read(folder, with_payload), RECORDS)
+    files = max(1, index.select("path").distinct().count())
+    members = index.select("path", "offset", "length").repartition(files, "path").sortWithinPartitions("path", "offset")
+    return members.mapInArrow(_read(folder, with_payload), RECORDS)
 
 
 def archived_pages(pages: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
