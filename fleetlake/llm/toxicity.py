@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches_of_bytes, prepare, staged, texts
+from fleetlake.llm.common import batches_of_bytes, prepare, remember, staged, texts
 from fleetlake.llm.labelled import LABELLED_ROWS, labelled_sample
 from fleetlake.llm.words import split_words
 
 LEXICON_TERMS = 5_000  # best words kept, and as many stems; the trie goes to every task
 MIN_SUPPORT, MIN_SHARE = 4, 0.7  # witnesses of a term, and the lower bound of the share of them that are toxic
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 WINDOW = 12  # words on either side that a hit's context reaches
 PREDICTED_AT = 0.7
 
@@ -257,6 +257,7 @@ def _finder(lexicon: tuple) -> Finder:
     if lexicon not in _FINDERS:
         _FINDERS.clear()
         _FINDERS[lexicon] = Finder(*map(list, lexicon))
+    remember("finders", _FINDERS.clear)
     return _FINDERS[lexicon]
 
 
@@ -279,7 +280,7 @@ def _batch_features(text: pa.Array, raw: list[bytes], find: Finder) -> np.ndarra
 def _featured(lexicon: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _finder(lexicon)
-        for part, raw in batches_of_bytes(batches):
+        for part, raw in batches_of_bytes(batches, uses="finders"):
             x = _batch_features(_column(part, "text"), raw, find)
             yield pa.RecordBatch.from_arrays([_column(part, "label"), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
     return run
@@ -288,7 +289,7 @@ def _featured(lexicon: tuple):
 def _scored(lexicon: tuple, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _finder(lexicon)
-        for part, raw in batches_of_bytes(batches):
+        for part, raw in batches_of_bytes(batches, uses="finders"):
             x = _batch_features(_column(part, "text"), raw, find)
             score = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
             yield pa.RecordBatch.from_arrays([_column(part, "doc_id"), _column(part, "held_out"), pa.array(score),
@@ -331,7 +332,8 @@ def learn_lexicon(train: DataFrame) -> tuple[tuple[str, ...], tuple[str, ...], t
     of the documents in which they stand twice or more. A word whose stem is chosen is left to the stem. A word allows only
     the edits within which no more than CLEAN_NEAR of the clean documents hold a word.
     """
-    words = F.transform(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", ""))
+    # each word from its first letter to its last
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}(?:[^\x20\x09-\x0D]*\p{L})?"), F.lit(0))
     split = train.select("label_id", "label", words.alias("w"))
     total = F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n")
 
