@@ -181,23 +181,42 @@ def aligned(d: np.ndarray, s: np.ndarray, d0: int, d1: int, s0: int, s1: int) ->
     return d0, d1, s0, s1, common_words(d[d0:d1], s[s0:s1]) if d1 - d0 >= MIN_WORDS else 0
 
 
+def passages(d: np.ndarray, s: np.ndarray, segments_: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(start, words, source start, source words, equal words) of the passages that the segments align to.
+
+    Longest segments first; one that lies within a passage already found adds nothing and is passed over (a text that
+    repeats itself matches its source at every turn). Passages that overlap are one, with the alignment of the longest.
+    """
+    found: list[tuple[int, int, int, int, int]] = []
+    for d0, d1, s0, s1 in sorted(segments_, key=lambda x: (x[0] - x[1], x)):
+        if not any(a <= d0 and d1 <= b for a, b, *_ in found):
+            a, b, x, y, same = aligned(d, s, d0, d1, s0, s1)
+            if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x):
+                found.append((a, b, x, y, same))
+    out: list[list] = []
+    for a, b, x, y, same in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+            out[-1][2] = max(out[-1][2], (b - a, x, y, same))
+        else:
+            out.append([a, b, (b - a, x, y, same)])
+    return [(a, b - a, x, y - x, same) for a, b, (_, x, y, same) in out]
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in SPANS.split(", ")]
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            d, s = np.frombuffer(r["dw"], "<u4"), np.frombuffer(r["sw"], "<u4")
-            done: set = set()
-            for d0, d1, s0, s1 in zip(r["d0"], r["d1"], r["s0"], r["s1"], strict=True):
-                a, b, x, y, same = aligned(d, s, d0 - r["d_from"], d1 - r["d_from"], s0 - r["s_from"], s1 - r["s_from"])
-                if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x) and (a, b) not in done:
-                    done.add((a, b))
-                    out.append((r["doc_id"], r["source"], a + r["d_from"], b - a, x + r["s_from"], y - x, same))
+            d, s, by, sy = np.frombuffer(r["dw"], "<u4"), np.frombuffer(r["sw"], "<u4"), r["d_from"], r["s_from"]
+            here = [(d0 - by, d1 - by, s0 - sy, s1 - sy) for d0, d1, s0, s1 in zip(r["d0"], r["d1"], r["s0"], r["s1"], strict=True)]
+            out += [(r["doc_id"], r["source"], a + by, n, x + sy, m, same) for a, n, x, m, same in passages(d, s, here)]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(7)], names)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """SPANS: for every document the passages that a document of smaller id holds too, in words from 0."""
+    """SPANS: for every document the passages that a document of smaller id holds too, in words from 0; where passages
+    overlap they are one, and source_start, source_words and equal_words are those of its longest alignment."""
     prepare(docs.sparkSession)
     rows = texts(docs).where("doc_id is not null")
     seeds = staged(rows.mapInArrow(_seeded, "seed bigint, doc_id bigint, pos int"), "seeds")
