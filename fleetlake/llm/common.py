@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetlake.session import shared_dir, workers_import
 
 # an Arrow batch between the JVM and a Python worker: at most this many rows and about this many bytes
-ARROW_ROWS, ARROW_BYTES = 1024, 8 << 20
+ARROW_ROWS, ARROW_BYTES = 1024, 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -98,13 +99,37 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def batches_of_bytes(batches: Iterable[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Arrow batches cut so that their ``text`` column holds about ``most`` bytes; texts come as UTF-8 bytes."""
+# what operators remember in a Python worker between tasks: name -> function that forgets it
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remember(name: str, forget: Callable[[], None]) -> None:
+    _REMEMBERED[name] = forget
+
+
+def batches_of_bytes(batches: Iterable[pa.RecordBatch], most: int = 4 << 20, uses: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Arrow batches cut so that their ``text`` column holds about ``most`` bytes; texts come as UTF-8 bytes.
+
+    Spark reuses its Python workers from one operator to the next: what others than ``uses`` remember there is
+    forgotten first, and freed memory is given back to the machine at the end of a task.
+    """
     import pyarrow.compute as pc
 
+    for name in [n for n in _REMEMBERED if n != uses]:
+        _REMEMBERED.pop(name)()
     for batch in batches:
         col = batch.column(batch.schema.get_field_index("text"))
         for a, b in slices(pc.binary_length(col).to_pylist(), most):
             part = batch.slice(a, b - a)
             raw = part.column(part.schema.get_field_index("text")).cast(pa.binary())
             yield part, raw.to_pylist()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the operating system: a worker that waits for its next task should be small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass

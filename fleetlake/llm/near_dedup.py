@@ -43,7 +43,7 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 MARGIN = 0.15  # five standard errors of the estimate at 0.8
-BLOCK = 256
+BLOCK = 128  # classes of a block; with their full sets they are in memory together
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that are broadcast at most; more join by a shuffle
 SKETCHES = "doc_id bigint, n_shingles bigint, digest binary, registers binary"
 

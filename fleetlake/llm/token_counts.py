@@ -42,7 +42,7 @@ def stored_counts(spark: SparkSession, cache_dir: str, version: str) -> DataFram
 
 def _counted(path: str):
     def run(batches):
-        for part, _ in batches_of_bytes(batches):
+        for part, _ in batches_of_bytes(batches, uses="tokenizers"):
             counts = byte_level_counts(path, part.column(part.schema.get_field_index("text")))
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("digest")), pa.array(counts, pa.int64())],
                                              ["digest", "n_tokens"])

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from fleetlake.llm.common import remember
 from fleetlake.llm.words import LOWER_SPACES, mapped
 
 CACHE_UNITS = 1_000_000
@@ -36,6 +37,7 @@ def load(path: str):
         for token, i in tokenizer.get_vocab().items():
             edge[0, i], edge[1, i] = token.endswith("</w>"), token.startswith("\u0120")
         _LOADED[path] = (tokenizer, {}, edge)
+    remember("tokenizers", _LOADED.clear)
     return _LOADED[path]
 
 
@@ -85,21 +87,17 @@ def _values(loaded: tuple, units: list[bytes], value) -> list:
     """The value of every unit. Only units that are not in the cache go to the library.
 
     A comma or full stop at the end of a unit, after an ASCII letter, is always split off, so ``word.``
-    needs no call of its own once ``word`` is known.
+    is neither encoded nor kept once ``word`` is known.
     """
     tokenizer, cache, edge = loaded
-    todo = [u for u in units if u not in cache]
-    if len(cache) + len(todo) > CACHE_UNITS:
+    stems = [u[:-1] if u[-1:] in (b".", b",") and u[-2:-1].isalpha() else u for u in units]
+    new = {u for u in stems if u not in cache}
+    if len(cache) + len(new) > CACHE_UNITS:
         cache.clear()
-        todo = units
-    ends = [u for u in todo if u[-1:] in (b".", b",") and u[-2:-1].isalpha()]
-    new = set(todo).difference(ends)
-    new.update(u[:-1] for u in ends)
-    new.update((b".", b","))
-    cache.update(_encode(tokenizer, edge, [u for u in new if u not in cache], value))
-    for u in ends:
-        cache[u] = cache[u[:-1]] + cache[u[-1:]]
-    return [cache[u] for u in units]
+        new = set(stems)
+    new.update(u for u in (b".", b",") if u not in cache)
+    cache.update(_encode(tokenizer, edge, list(new), value))
+    return [cache[s] if len(s) == len(u) else cache[s] + cache[u[-1:]] for u, s in zip(units, stems, strict=True)]
 
 
 def space_free_ids(path: str, texts: pa.Array) -> list[bytes]:

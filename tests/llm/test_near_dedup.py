@@ -53,7 +53,7 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("k", "block"), [(4, 256), (5, 16)])
+@pytest.mark.parametrize(("k", "block"), [(4, 128), (5, 16)])
 def test_same_as_all_pairs(documents, corpus, monkeypatch, k, block):
     monkeypatch.setattr(nd, "BLOCK", block)
     if block == 16:
