@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetlake.session import shared_dir, workers_import
 
 # an Arrow batch between the JVM and a Python worker: at most this many rows and about this many bytes
-ARROW_ROWS, ARROW_BYTES = 1024, 4 << 20
+ARROW_ROWS, ARROW_BYTES = 2048, 6 << 20
 
 
 def prepare(spark: SparkSession) -> None:

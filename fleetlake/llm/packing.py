@@ -43,7 +43,7 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
 
     def run(batches):
         part_id, ranks = TaskContext.get().partitionId(), Counter()
-        for part, _ in batches_of_bytes(batches, uses="tokenizers"):
+        for part, _ in batches_of_bytes(batches, 6 << 20, uses="tokenizers"):
             doc_ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
             cols: list[list] = [[] for _ in range(8 if with_ids else 7)]
             for doc, ids in zip(doc_ids, space_free_ids(path, part.column(part.schema.get_field_index("text"))), strict=True):

@@ -15,6 +15,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 from fleetlake.llm.common import remember
 from fleetlake.llm.words import LOWER_SPACES, mapped
@@ -100,19 +101,86 @@ def _values(loaded: tuple, units: list[bytes], value) -> list:
     return [cache[s] if len(s) == len(u) else cache[s] + cache[u[-1:]] for u, s in zip(units, stems, strict=True)]
 
 
+class IdTable:
+    """Ids of units, found by the units' 64-bit hashes: arrays of some 25 bytes a unit, where a dictionary takes 140.
+
+    Two of a million units share a hash with a chance below 1e-7.
+    """
+
+    def __init__(self):
+        self.keys, self.rows = np.zeros(0, "u8"), np.zeros(0, "i4")  # sorted hashes, and the row of each
+        self.starts, self.lengths, self.ids = np.zeros(0, "i4"), np.zeros(0, "i4"), np.zeros(0, "<u4")
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key; -1 where there is none."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return np.where(self.keys[at] == keys, self.rows[at], np.int32(-1)) if len(self.keys) else np.full(len(keys), -1, "i4")
+
+    def add(self, keys: np.ndarray, values: list[np.ndarray]) -> None:
+        lengths = np.array([len(v) for v in values], "i4")
+        rows = len(self.starts) + np.arange(len(keys), dtype="i4")
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths, dtype="i4") - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, *values])
+        keys, rows = np.concatenate([self.keys, keys]), np.concatenate([self.rows, rows])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.rows = keys[order], rows[order]
+
+
+def _hashes(units: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, units), "u8", len(units))
+
+
+def _unit_rows(loaded: tuple, table: IdTable, units: list[bytes]) -> np.ndarray:
+    """Rows of the two parts of every unit: the unit, and the comma or full stop at its end (an empty row where there is
+    none). After an ASCII letter these are always split off, so ``word.`` needs no row once ``word`` has one."""
+    tokenizer, _, edge = loaded
+    ends = [u[-1:] if u[-1:] in (b".", b",") and u[-2:-1].isalpha() else b"" for u in units]
+    stems = [u[:len(u) - len(e)] for u, e in zip(units, ends, strict=True)]
+    keys, marks = _hashes(stems), [b"", b".", b","]
+    rows = table.find(keys)
+    if len(table.keys) + np.count_nonzero(rows < 0) > CACHE_UNITS:
+        table.__init__()
+        rows[:] = -1
+    unknown = np.flatnonzero(rows < 0)
+    missing = {stems[i]: k for i, k in zip(unknown.tolist(), keys[unknown], strict=True)}
+    missing.update((m, k) for m, k in zip(marks, _hashes(marks), strict=True) if table.find(np.array([k]))[0] < 0)
+    if missing:
+        got = _encode(tokenizer, edge, [u for u in missing if u], np.asarray)
+        got[b""] = np.zeros(0, "<u4")
+        table.add(np.array(list(missing.values()), "u8"), [got[u] for u in missing])
+        rows[unknown] = table.find(keys[unknown])
+    mark = dict(zip(marks, table.find(_hashes(marks)).tolist(), strict=True))
+    return np.column_stack([rows, np.array([mark[e] for e in ends], "i4")]) if units else np.zeros((0, 2), "i4")
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` one after the other."""
+    ends = np.cumsum(lengths, dtype="i4")
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(len(at), dtype="i4")
+    return ids[at]
+
+
 def space_free_ids(path: str, texts: pa.Array) -> list[bytes]:
     """Ids (little-endian uint32) of each text, for tokenizers that lower case and drop white space.
 
     Splits on the six ASCII white-space bytes; other white space stays inside its unit for the library.
     """
+    loaded = load(path)
+    table = loaded[1].setdefault("ids", IdTable())
     lists = pc.split_pattern(mapped(texts, LOWER_SPACES), " ")  # other letters are lowered by the library
-    units = lists.flatten().dictionary_encode()
-    ids = pa.array(_values(load(path), units.dictionary.cast(pa.large_binary()).to_pylist(), np.ndarray.tobytes), pa.large_binary())
-    ids = ids.take(units.indices)
-    ends = np.frombuffer(ids.buffers()[1], dtype="<i8", count=len(ids) + 1) if len(ids) else np.zeros(1, "<i8")
-    at = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype("i8")]
-    data = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] is not None else memoryview(b"")
-    return [bytes(data[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    words = lists.flatten().dictionary_encode()
+    rows = _unit_rows(loaded, table, words.dictionary.cast(pa.large_binary()).to_pylist()).ravel()
+    lengths = table.lengths[rows]
+    ids = _gathered(table.ids, table.starts[rows], lengths)  # of each distinct unit
+    each = lengths.reshape(-1, 2).sum(1, dtype="i4")
+    index = words.indices.to_numpy()
+    per_word = each[index]
+    out = _gathered(ids, (np.cumsum(each, dtype="i4") - each)[index], per_word)
+    at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype("i8")
+    ends = np.concatenate([np.zeros(1, "i4"), np.cumsum(per_word, dtype="i4")])[at].tolist()
+    return [out[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 # white space other than single spaces and line feeds between visible characters; \0 marks the cuts below
