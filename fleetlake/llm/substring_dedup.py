@@ -7,7 +7,8 @@ so matches grow with the words and not with the square of a group. The matches o
 are chained: the best score ending in a match is that of the best chain before it in both texts, less a cost
 for the words skipped, found by a Fenwick tree over the source positions. Chains are cut at gaps over
 ``MAX_GAP`` words, extended while the texts agree, and aligned (longest common subsequence). A passage of at
-least ``MIN_WORDS`` words that agrees in at least ``AGREE`` percent is reported, and may be cut out of the later document.
+least ``MIN_WORDS`` words that agrees in at least ``AGREE`` percent is reported, and may be cut out of the later document;
+a segment that agrees less gives its longest stretches that are passages.
 
 Places move as narrow rows, with a map-side minimum per seed; the join that brings a seed's source back has written
 tables on both sides, so AQE splits a seed that a third of all documents share. Chaining streams over documents in
@@ -37,6 +38,7 @@ GAP_COST = 0.01  # of a skipped word, where a match counts 1
 MARGIN = 64  # words beyond a chain's ends that its extension may reach
 DROP = 6  # an extension ends where it has lost this much (a word that agrees gains 1, another loses 2)
 MIN_WORDS, AGREE = 50, 80
+TURNS = 32  # places of one run in a source that are all matched
 BROADCAST_IDS = 1_000_000
 PAIRS = "doc_id bigint, source bigint, d0 array<int>, d1 array<int>, s0 array<int>, s1 array<int>"
 SPANS = "doc_id bigint, dup_of bigint, start_word bigint, n_words bigint, source_start bigint, source_words bigint, equal_words bigint"
@@ -101,14 +103,12 @@ def chains(pos: np.ndarray, source: np.ndarray) -> list[list[int]]:
     return out
 
 
-def segments(pos: np.ndarray, source: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(first word, end, first source word, end) of every chain, cut at gaps over MAX_GAP words."""
+def segments(pos: np.ndarray, source: np.ndarray) -> list[list[int]]:
+    """The matches of every chain, cut at gaps over MAX_GAP words."""
     out = []
     for chain in chains(pos, source):
-        p, s = pos[chain], source[chain]
-        cuts = np.flatnonzero((np.diff(p) > MAX_GAP) | (np.diff(s) > MAX_GAP)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(chain)], strict=True):
-            out.append((int(p[a]), int(p[b - 1]) + K, int(s[a]), int(s[b - 1]) + K))
+        cuts = np.flatnonzero((np.diff(pos[chain]) > MAX_GAP) | (np.diff(source[chain]) > MAX_GAP)) + 1
+        out += [chain[a:b] for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(chain)], strict=True)]
     return out
 
 
@@ -121,7 +121,8 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
         out = []
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
-            d0, d1, s0, s1 = zip(*segments(rows[a:b, 2], rows[a:b, 3]), strict=True)
+            p, s = rows[a:b, 2], rows[a:b, 3]
+            d0, d1, s0, s1 = zip(*((int(p[x[0]]), int(p[x[-1]]) + K, int(s[x[0]]), int(s[x[-1]]) + K) for x in segments(p, s)), strict=True)
             out.append({"doc_id": int(rows[a, 0]), "source": int(rows[a, 1]), "d0": d0, "d1": d1, "s0": s0, "s1": s1})
         return pa.RecordBatch.from_pylist(out, fields)
 
@@ -181,18 +182,130 @@ def aligned(d: np.ndarray, s: np.ndarray, d0: int, d1: int, s0: int, s1: int) ->
     return d0, d1, s0, s1, common_words(d[d0:d1], s[s0:s1]) if d1 - d0 >= MIN_WORDS else 0
 
 
-def passages(d: np.ndarray, s: np.ndarray, segments_: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(start, words, source start, source words, equal words) of the passages that the segments align to.
+def matches(d: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal runs of K words in both texts, in order of the first: of every diagonal run of them each K-th and the last.
+
+    A run of words that the source holds over TURNS times is matched with its first place and with that of the same turn.
+    """
+    x, y = runs(d.astype("u8"), K), runs(s.astype("u8"), K)
+    order = np.argsort(y, kind="stable")
+    left, right = (np.searchsorted(y[order], x, side) for side in ("left", "right"))
+    n = right - left
+    few = np.where(n <= TURNS, n, 0)
+    p = np.repeat(np.arange(len(x)), few)
+    at = np.repeat(left - np.cumsum(few) + few, few) + np.arange(len(p))
+    often = np.flatnonzero(n > TURNS)
+    if len(often):
+        by = often[np.argsort(x[often], kind="stable")]
+        turn = np.arange(len(by)) - np.searchsorted(x[by], x[by], "left")
+        p, at = np.concatenate([p, by, by]), np.concatenate([at, left[by], left[by] + np.minimum(turn, n[by] - 1)])
+    q = order[at] if len(at) else at
+    by = np.lexsort((p, p - q))
+    p, q = p[by], q[by]
+    starts = np.flatnonzero(np.concatenate([[True], (np.diff(p - q) != 0) | (np.diff(p) > 1)])) if len(p) else np.zeros(0, "i8")
+    lengths = np.diff(np.concatenate([starts, [len(p)]]))
+    turn = np.arange(len(p)) - np.repeat(starts, lengths)
+    kept = (turn % K == 0) | (turn == np.repeat(lengths, lengths) - 1)
+    p, q = p[kept], q[kept]
+    by = np.lexsort((-q, p))  # of one place the later source first: a chain takes a place once
+    return p[by], q[by]
+
+
+def common_pairs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """A longest common subsequence as pairs of places."""
+    places: dict[int, int] = {}
+    for i, w in enumerate(b.tolist()):
+        places[w] = places.get(w, 0) | (1 << i)
+    full = (1 << len(b)) - 1
+    rows = [full]
+    for w in a.tolist():
+        kept = rows[-1] & places.get(w, 0)
+        rows.append(((rows[-1] + kept) | (rows[-1] - kept)) & full)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if rows[i] >> (j - 1) & 1:
+                j -= 1
+                out.append((i, j))
+    return out[::-1]
+
+
+def paired(d: np.ndarray, s: np.ndarray, p: list[int], q: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the words that align along a chain and MARGIN words beyond it, and whether a seed holds them."""
+    n, k = min(p[0], MARGIN), min(q[0], MARGIN)
+    out = [(p[0] - n + i, q[0] - k + j, False) for i, j in common_pairs(d[p[0] - n:p[0]], s[q[0] - k:q[0]])]
+    a, b = p[0], q[0]  # the first words that are not aligned yet
+    for x, y in zip(p, q, strict=True):
+        taken = max(a - x, b - y, 0)
+        if taken < K:
+            out += [(a + i, b + j, False) for i, j in common_pairs(d[a:x + taken], s[b:y + taken])]
+            out += [(x + i, y + i, True) for i in range(taken, K)]
+            a, b = x + K, y + K
+    out += [(a + i, b + j, False) for i, j in common_pairs(d[a:a + MARGIN], s[b:b + MARGIN])]
+    return tuple(np.array(c) for c in zip(*out, strict=True))
+
+
+def longest(i: np.ndarray, j: np.ndarray) -> tuple[int, int] | None:
+    """The longest stretch of aligned words, first and last, that is a passage by MIN_WORDS and AGREE."""
+    k = np.arange(len(i))
+    f, g = 100 * k - AGREE * i, 100 * k - AGREE * j
+    far = np.full(len(i), len(i))
+    for x in (f, g):
+        rest = np.maximum.accumulate(x[::-1])[::-1]
+        far = np.minimum(far, np.searchsorted(-rest, 100 - AGREE - x, "right") - 1)
+    best, found = MIN_WORDS - 1, None
+    for a in np.argsort(i - i[far], kind="stable").tolist():
+        if i[far[a]] - i[a] + 1 <= best:
+            break
+        here = slice(a, far[a] + 1)
+        b = a + int(np.flatnonzero((f[here] >= f[a] + AGREE - 100) & (g[here] >= g[a] + AGREE - 100))[-1])
+        if i[b] - i[a] + 1 > best:
+            best, found = i[b] - i[a] + 1, (a, b)
+    return found
+
+
+def stretches(i: np.ndarray, j: np.ndarray, seed: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(start, end, source start, end) of the passages among aligned words, longest first. Where no seed lies, their
+    ends lose what does not agree (a word that agrees gains 1, another loses 2)."""
+    out, work = [], [(0, len(i))]
+    while work:
+        low, high = work.pop()
+        best = longest(i[low:high], j[low:high]) if 100 * (high - low) >= AGREE * MIN_WORDS else None
+        if best is None:
+            continue
+        a, b = best[0] + low, best[1] + low
+        held = np.flatnonzero(seed[a:b + 1])
+        score = np.cumsum(1 - 2 * np.concatenate([[0], np.maximum(np.diff(i[a:b + 1]), np.diff(j[a:b + 1])) - 1]))
+        if len(held):
+            x, y = a + int(np.argmin(score[:held[0] + 1])), a + int(held[-1]) + int(np.argmax(score[held[-1]:]))
+            if i[y] - i[x] + 1 >= MIN_WORDS and (y - x + 1) * 100 >= AGREE * (max(i[y] - i[x], j[y] - j[x]) + 1):
+                a, b = x, y
+        out.append((int(i[a]), int(i[b]) + 1, int(j[a]), int(j[b]) + 1))
+        work += [(low, a), (b + 1, high)]
+    return out
+
+
+def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(start, words, source start, source words, equal words) of the passages that two texts share.
 
     Longest segments first; one that lies within a passage already found adds nothing and is passed over (a text that
-    repeats itself matches its source at every turn). Passages that overlap are one, with the alignment of the longest.
+    repeats itself matches its source at every turn). A segment that does not agree as a whole gives the stretches of it that
+    do. Passages that overlap are one, with the alignment of the longest.
     """
+    p, q = matches(d, s)
     found: list[tuple[int, int, int, int, int]] = []
-    for d0, d1, s0, s1 in sorted(segments_, key=lambda x: (x[0] - x[1], x)):
-        if not any(a <= d0 and d1 <= b for a, b, *_ in found):
-            a, b, x, y, same = aligned(d, s, d0, d1, s0, s1)
-            if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x):
-                found.append((a, b, x, y, same))
+    for chain in sorted(segments(p, q), key=lambda x: (p[x[0]] - p[x[-1]], p[x[0]], q[x[0]])) if len(p) else ():
+        d0, d1, s0, s1 = int(p[chain[0]]), int(p[chain[-1]]) + K, int(q[chain[0]]), int(q[chain[-1]]) + K
+        if any(a <= d0 and d1 <= b for a, b, *_ in found):
+            continue
+        a, b, x, y, same = aligned(d, s, d0, d1, s0, s1)
+        if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x):
+            found.append((a, b, x, y, same))
+        else:
+            found += [(*z, common_words(d[z[0]:z[1]], s[z[2]:z[3]])) for z in stretches(*paired(d, s, p[chain].tolist(), q[chain].tolist()))]
     out: list[list] = []
     for a, b, x, y, same in sorted(found):
         if out and a < out[-1][1]:
@@ -209,8 +322,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in batch.to_pylist():
             d, s, by, sy = np.frombuffer(r["dw"], "<u4"), np.frombuffer(r["sw"], "<u4"), r["d_from"], r["s_from"]
-            here = [(d0 - by, d1 - by, s0 - sy, s1 - sy) for d0, d1, s0, s1 in zip(r["d0"], r["d1"], r["s0"], r["s1"], strict=True)]
-            out += [(r["doc_id"], r["source"], a + by, n, x + sy, m, same) for a, n, x, m, same in passages(d, s, here)]
+            out += [(r["doc_id"], r["source"], a + by, n, x + sy, m, same) for a, n, x, m, same in passages(d, s)]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(7)], names)
 
 

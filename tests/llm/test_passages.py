@@ -46,6 +46,31 @@ def test_common_words():
         assert sd.common_words(a, b) == table[-1, -1]
 
 
+def _ids(words):
+    return np.array([hash(w) & 0xFFFFFFFF for w in words], "u4")
+
+
+def test_common_pairs():
+    rnd = np.random.default_rng(5)
+    for _ in range(100):
+        a, b = rnd.integers(0, 6, rnd.integers(0, 30)), rnd.integers(0, 6, rnd.integers(0, 30))
+        got = sd.common_pairs(a, b)
+        assert len(got) == sd.common_words(a, b) and all(a[i] == b[j] for i, j in got)
+        assert all(x < u and y < v for (x, y), (u, v) in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("gap", [25, 35, 40, 45])
+def test_passages_beside_foreign_words(gap):
+    """Two shared passages, with other words between them in one text or both, and one passage beside a stray seed."""
+    for n in range(20):
+        one, two, x, y, z = ([f"{k}{n}.{i}" for i in range(size)] for k, size in zip("abxyz", (55, 55, gap, gap, 30)))
+        source = z + one + x + two + z
+        for text in (one + y + two, z[::-1] + one + two[:0] + y + two, one + two + z[::-1], one + [f"q{i}" for i in range(50)] + z[-6:]):
+            got = {i for a, m, *_ in sd.passages(_ids(text), _ids(source)) for i in range(a, a + m)}
+            want = {i for i, w in enumerate(text) if w in set(one) | set(two)}
+            assert want <= got and len(got - want) <= gap + 6
+
+
 @pytest.fixture(scope="module")
 def planted():
     """Documents with passages: exact, with substitutions, with insertions; others without any."""
