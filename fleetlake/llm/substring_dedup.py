@@ -2,9 +2,9 @@
 
 Words are lower-cased runs of non-space bytes. Of every ``WINDOW`` adjacent ``K``-word seeds of a document the one with
 the smallest hash is kept, so two equal runs of ``K + WINDOW - 1`` words share a seed. Each seed's first place (smallest doc_id,
-then position) is its source; every other document's places of the seed are matched with that source alone,
+then position) gives its source; every other document's places of the seed are matched with that source's places alone,
 so matches grow with the words and not with the square of a group. The matches of a document with one source document
-are chained: the best score ending in a match is that of the best chain before it in both texts, less a cost
+are chained, and the windows around them matched again on every seed, whoever owns it: the best score ending in a match is that of the best chain before it in both texts, less a cost
 for the words skipped, found by a Fenwick tree over the source positions. Chains are cut at gaps over
 ``MAX_GAP`` words, extended while the texts agree, and aligned (longest common subsequence). A passage of at
 least ``MIN_WORDS`` words that agrees in at least ``AGREE`` percent is reported, and may be cut out of the later document;
@@ -335,12 +335,17 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     first = (seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
                                        F.min_by("pos", F.struct("doc_id", "pos")).alias("source_pos")).where("source < last"))
     first = staged(first.select("seed", "source", "source_pos"), "seed-sources")
-    matches = seeds.join(first, "seed").where("doc_id <> source").select("doc_id", "source", "pos", "source_pos")
-    pairs = (matches.repartition("doc_id").sortWithinPartitions("doc_id", "source", "pos", "source_pos")
+    # a source's later places of its own seeds; of one that it holds over TURNS times the first alone
+    later = (seeds.join(first, "seed").where("doc_id = source").groupBy("seed", "source").agg(F.collect_set("pos").alias("at"))
+             .where((F.size("at") > 1) & (F.size("at") <= TURNS)).select("seed", "source", F.explode("at").alias("source_pos")))
+    later = staged(later.join(first, ["seed", "source", "source_pos"], "left_anti").select(*first.columns), "later-places")
+    # the pairs' later matches come beside the others; of one place the later source first, as a chain takes a place once
+    matches = first.unionByName(later).join(seeds, "seed").where("doc_id <> source").select("doc_id", "source", "pos", "source_pos")
+    pairs = (matches.repartition("doc_id").sortWithinPartitions("doc_id", "source", "pos", F.desc("source_pos"))
              .mapInArrow(_chained, PAIRS))
     pairs = staged(pairs, "chains")
     ids = staged(pairs.select("doc_id").union(pairs.select("source")).distinct(), "ids")
-    discard(seeds, first)
+    discard(seeds, first, later)
     words = staged(rows.join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_word_table, "doc_id bigint, words binary"), "words")
 
     def cut(low: str, high: str, name: str) -> list:

@@ -110,6 +110,22 @@ def test_planted_passages(documents, planted):
         assert r["equal_words"] >= sum(m.size for m in difflib.SequenceMatcher(None, d, s, autojunk=False).get_matching_blocks())
 
 
+def test_passages_of_shared_owners(documents):
+    """Seeds that another document owns, and passages at a later place of their source, are found too."""
+    rnd = random.Random(21)
+    rows, want = [], {}
+    for n in range(12):
+        p, x, y, z = (_words(rnd, k, 10**7) for k in (60, 20, 150, 90))
+        rows += [(100 * n + 1, p[:30] + x), (100 * n + 2, y + p), (100 * n + 3, p[:15] + ["inserted"] + p[15:])]
+        want[100 * n + 3] = 55
+        # the source holds half of it early, the whole of it 400 words later
+        rows += [(100 * n + 5, z[:45] + _words(rnd, 400, 10**7) + z), (100 * n + 6, x + z)]
+        want[100 * n + 6] = 85
+    got = sd.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])).collect()
+    for i, least in want.items():
+        assert max((r["equal_words"] for r in got if r["doc_id"] == i), default=0) >= least, i
+
+
 def test_cut(documents, planted):
     rows, want = planted
     docs = documents([*rows, (200, rows[0][1]), (201, None), (202, "")])
