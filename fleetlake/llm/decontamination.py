@@ -6,10 +6,10 @@ benchmark join seeds of every place of every document. Each diagonal (place in t
 the item) is verified on the tokens around its hits: the pair is reported if some stretch of
 ``STRETCH`` aligned tokens (or the whole item, if shorter) agrees in at least ``AGREE`` percent.
 
-An item shorter than the masks is one seed of all its tokens; items below ``MIN_TOKENS`` tokens say too little
-and are not looked for. Items with equal tokens are reported once, under the smallest id.
+No choice of the tokens that may differ breaks every seed; items shorter than a stretch have masks of their own, by length. Items below
+``MIN_TOKENS`` tokens say too little and are not looked for. Items with equal tokens are reported once, under the smallest id.
 
-The documents are scanned once (once more if some item is shorter than the masks), and nothing of them is shuffled but
+The documents are scanned once, and nothing of them is shuffled but
 hits (one per document, item, diagonal and stretch of AROUND places, reduced in the task that found them). The seeds of the benchmark are broadcast if a count shows that they are no more than
 ``BROADCAST_SEEDS``; more of them join by a shuffle of the documents' seeds.
 
@@ -25,9 +25,20 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import prepare, small_or_not, staged, texts, without_ids
 
-# fixed masks: places of a window that a seed hashes
-MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 6, 9), (0, 1, 2, 5, 8, 9))
-SPAN = 10
+# places of a window that a seed hashes. By length of an item (longer ones: of a stretch), fixed masks of which one, at some place, looks
+# at none of the tokens that may differ, whichever they are
+FAMILIES = {5: ((0, 1, 2), (0, 1, 3)),
+            6: ((0, 1, 2, 3), (0, 1, 3, 4)),
+            7: ((0, 1, 3, 4),),
+            8: ((0, 1, 3, 4), (0, 1, 2, 3), (0, 1, 5, 6)),
+            9: ((0, 1, 3, 4), (0, 1, 5, 6)),
+            10: ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4)),
+            11: ((0, 1, 3, 5, 6), (0, 1, 2, 5, 6)),
+            12: ((0, 1, 2, 4, 5), (0, 1, 3, 7, 8), (0, 1, 4, 6, 7), (0, 1, 3, 4, 5)),
+            13: ((0, 1, 2, 4, 5), (0, 1, 6, 8, 9), (0, 1, 3, 4, 5))}
+MASKS = FAMILIES[13]
+HEAD = (0, 1)  # places that all masks look at
+SPAN = 13
 MIN_TOKENS, STRETCH, AGREE = 5, 13, 75
 AROUND = 24  # tokens before a hit that are verified, and twice as many behind it
 BROADCAST_SEEDS = 1_000_000
@@ -49,9 +60,10 @@ def _every(rows: DataFrame, span: int) -> DataFrame:
     return rows.withColumn("at", F.explode_outer(fits)).where("at is not null")
 
 
-def _spaced(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``t`` and ``at``) times the ``key`` of each mask."""
-    return rows.withColumn("key", F.explode(F.array(*(_hash(F.col("at"), m, n) for n, m in enumerate(MASKS)))))
+def _spaced(rows: DataFrame, masks: list[tuple[int, ...]], wanted=lambda m: F.lit(True)) -> DataFrame:
+    """``rows`` (with ``t`` and ``at``) times the ``key`` of each mask that is wanted and fits."""
+    keys = (F.when(wanted(m) & (F.col("at") + m[-1] < F.size("t")), _hash(F.col("at"), m, sum(1 << k for k in m))) for m in masks)
+    return rows.withColumn("key", F.explode(F.array_compact(F.array(*keys))))
 
 
 def items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -74,37 +86,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     start is missing)."""
     prepare(docs.sparkSession)
     known = items(benchmark)
-    long = _every(known.where(F.size("t") >= SPAN), SPAN)
-    seeds = staged(_spaced(long).select("key", "item_id", F.col("at").alias("item_at")), "seeds")
-    # all masks look at the window's ends: a place whose ends are no item's has no seed, and is passed over by one look-up
-    ends = staged(long.select(_hash(F.col("at"), (0, SPAN - 1), -1).alias("ends")).distinct(), "seed-ends")
+    size = F.least(F.size("t"), F.lit(STRETCH))
+    lengths = [r["n"] for r in known.select(size.alias("n")).distinct().collect()]  # at most nine
+    masks = sorted({m for n in lengths for m in FAMILIES[n]}) or list(MASKS)
+    seeds = _spaced(_every(known, MIN_TOKENS - 2), masks, lambda m: size.isin([n for n in FAMILIES if m in FAMILIES[n]]))
+    seeds = staged(seeds.select("key", "item_id", F.col("at").alias("item_at"), _hash(F.col("at"), HEAD, -1).alias("head")), "seeds")
+    # all masks look at the window's head: a place whose head is no seed's is passed over by one look-up
+    heads = staged(seeds.select("head").distinct(), "seed-heads")
     rows = texts(docs).select("doc_id", tokens(F.col("text")).alias("t"))
-    places = _every(rows, SPAN).withColumn("ends", _hash(F.col("at"), (0, SPAN - 1), -1)).join(small_or_not(ends, BROADCAST_SEEDS), "ends", "left_semi")
-    hits = _spaced(places).join(small_or_not(seeds, BROADCAST_SEEDS), "key").drop("ends")
-    short = sorted(r["n"] for r in known.select(F.size("t").alias("n")).where(F.col("n") < SPAN).distinct().collect())  # fewer than SPAN lengths
-    if short:
-        # all tokens of an item shorter than the window; their first MIN_TOKENS are looked up first
-        head, places = tuple(range(MIN_TOKENS)), _every(rows, MIN_TOKENS)
-        whole = _every(known.where(F.size("t") < SPAN), MIN_TOKENS).where("at = 0")
-        own = F.coalesce(*(F.when(F.size("t") == n, _hash(F.col("at"), tuple(range(n)), -n)) for n in short))
-        seeds = staged(whole.select(own.alias("key"), "item_id", F.col("at").alias("item_at")), "short-seeds")
-        heads = staged(whole.select(_hash(F.col("at"), head, 0).alias("head")).distinct(), "short-heads")
-        places = places.withColumn("head", _hash(F.col("at"), head, 0)).join(small_or_not(heads, BROADCAST_SEEDS), "head", "left_semi")
-        keys = F.array_compact(F.array(*(F.when(F.col("at") + n <= F.size("t"), _hash(F.col("at"), tuple(range(n)), -n)) for n in short)))
-        hits = hits.unionByName(places.withColumn("key", F.explode(keys)).join(small_or_not(seeds, BROADCAST_SEEDS), "key").drop("head"))
+    places = _every(rows, MIN_TOKENS - 2).withColumn("head", _hash(F.col("at"), HEAD, -1)).join(small_or_not(heads, BROADCAST_SEEDS), "head", "left_semi")
+    hits = _spaced(places, masks).drop("head").join(small_or_not(seeds, BROADCAST_SEEDS).drop("head"), "key")
     first = F.greatest(F.col("at") - AROUND, F.lit(0))
     around = F.slice("t", first + 1, F.least(F.size("t") - first, F.lit(SPAN + 3 * AROUND)))
     # the first hit of every AROUND places of a diagonal; what is verified reaches past the last place that it stands for
     part = F.floor(F.col("at") / AROUND).alias("part")
     hits = (hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"), part, F.struct(F.col("at"), first.alias("from"), around.alias("w")).alias("hit"))
             .groupBy("doc_id", "item_id", "diagonal", "part").agg(F.min("hit").alias("hit")))
-    # the item's tokens beside those of the document that they align with; past the document's end there are none
-    low = F.greatest(F.col("hit.from") - F.col("diagonal"), F.lit(0))
+    # the item's tokens beside those of the document that they align with; before its start and past its end there are none
+    low = F.greatest(F.col("hit.at") - AROUND - F.col("diagonal"), F.lit(0))
     high = F.least(F.size("t"), F.col("hit.at") - F.col("diagonal") + SPAN + 2 * AROUND)
-    pairs = (hits.join(known, "item_id")
-             .withColumn("low", low).withColumn("high", high)
+    before = F.greatest(-(F.col("low") + F.col("diagonal")), F.lit(0))
+    beside = F.slice("hit.w", F.col("low") + F.col("before") + F.col("diagonal") - F.col("hit.from") + 1, F.col("high") - F.col("low") - F.col("before"))
+    pairs = (hits.join(known, "item_id").withColumn("low", low).withColumn("high", high).withColumn("before", before)
              .select("doc_id", "item_id", "diagonal", F.slice("t", F.col("low") + 1, F.col("high") - F.col("low")).alias("b"),
-                     F.slice("hit.w", F.col("low") + F.col("diagonal") - F.col("hit.from") + 1, F.col("high") - F.col("low")).alias("d")))
+                     F.concat(F.array_repeat(F.lit(None).cast("string"), F.col("before").cast("int")), beside).alias("d")))
     found = pairs.withColumn("a", _agreement()).where(F.col("a.equal") * 100 >= F.col("a.length") * AGREE)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("a.equal"), F.col("a.length"), (-F.col("diagonal")).alias("back"))).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.back")).alias("doc_start"), F.col("best.equal").alias("equal_tokens"), F.col("best.length").alias("compared_tokens"))

@@ -1,5 +1,6 @@
 """Repeated passages and benchmark leaks against brute force."""
 import difflib
+import itertools
 import random
 import re
 
@@ -226,3 +227,33 @@ def test_leaks_by_shuffle(spark, documents, monkeypatch):
     item = " ".join(f"b{i}" for i in range(30))
     benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     assert [tuple(r)[:3] for r in dc.contaminated(documents([(1, "a b"), (2, f"c {item} d")]), benchmark).collect()] == [(2, 1, 1)]
+
+
+def test_masks_leave_no_change_out():
+    """Whichever tokens of a stretch differ, some mask at some place looks at none of them."""
+    for n, masks in dc.FAMILIES.items():
+        differ = n - -(-n * dc.AGREE // 100)
+        for lost in itertools.combinations(range(n), differ):
+            assert any(not {at + k for k in m} & set(lost) for m in masks for at in range(n - m[-1])), (n, lost)
+        assert all(m[:2] == dc.HEAD for m in masks)
+    assert list(dc.FAMILIES) == list(range(dc.MIN_TOKENS, dc.STRETCH + 1))
+
+
+def test_leaks_with_changes(spark, documents):
+    """Items of every length with as many tokens changed as may be, and copies cut off by a document's ends."""
+    rnd = random.Random(8)
+    items = [(n, " ".join(_words(rnd, n, 10**6))) for n in [*range(5, 20), 30]]
+    rows = []
+    for n, item in items:
+        words = item.split()
+        for _ in range(12):
+            new, k = list(words), min(n, dc.STRETCH)
+            at = rnd.randint(0, n - k)
+            for j in [*rnd.sample(range(at, at + k), k - -(-k * dc.AGREE // 100)), *range(at), *range(at + k, n)]:
+                new[j] = "other"
+            rows.append((len(rows), " ".join(_words(rnd, 9) + new + _words(rnd, 9))))
+        for cut in (2, 3, 4, 10):
+            rows += [(len(rows), " ".join(words[cut:] + _words(rnd, 5))), (len(rows) + 1, " ".join(_words(rnd, 5) + words[:-cut]))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(documents(rows), benchmark).collect()}
+    assert got == brute_leaks(rows, items)
