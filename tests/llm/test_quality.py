@@ -107,3 +107,11 @@ def test_classifier_edges(documents, labels):
     got = qm.quality_scores(documents(rows), labels(known)).collect()
     assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
     assert qm.quality_scores(documents([]), labels([(1, 1, 1)])).count() == 0
+
+
+def test_target_is_of_all_trusted_labels(documents, labels):
+    """The bound on fitted rows does not bound the target: a hidden half still shapes the scores."""
+    docs = documents([(i, f"good{i} plain{i} " * 8 if i % 2 else f"bad{i} junk{i} " * 8) for i in range(80)])
+    marks = labels([(i, i % 2, 0) for i in range(80)])
+    few, every = ({r["doc_id"]: r["score"] for r in qr.quality_rules(docs, marks, rows=n).collect()} for n in (4, 1000))
+    assert few == pytest.approx(every) and len(set(every.values())) > 1
