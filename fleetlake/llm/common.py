@@ -30,12 +30,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _OPEN: list[list[DataFrame]] = []
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: lineage ends there and any
     executor can be lost without recomputing what came before."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.staged_at = path
     for made in _OPEN:

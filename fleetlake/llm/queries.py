@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat, decontamination, near_dedup, packing, quality_model, quality_rules, substring_dedup, token_counts, toxicity, warc
+from fleetlake.llm import (chat, decontamination, filter_audit, html_text, near_dedup, packing, quality_model, quality_rules, substring_dedup, token_counts, toxicity,
+                           vector_codes, warc)
 from fleetlake.llm.common import prepare, read_table
 from fleetlake.session import shared_dir
 
@@ -72,7 +73,23 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(conversations))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_setsketch_near_dedup, op3_benchmark_decontamination, op4_substring_dedup, op5_quality_rules, op6_quality_classifier, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_text.main_text(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_setsketch_near_dedup, op3_benchmark_decontamination, op4_substring_dedup, op5_quality_rules, op6_quality_classifier, op7_token_counts, op8_best_fit_packing, op9_warc, op10_chat_format,
+                                  op11_vector_codes, op12_filter_audit, op13_html_extraction)}
 
 
 _OP2_SQL = r"""
@@ -111,4 +128,5 @@ FROM rendered GROUP BY conv_id"""
 
 def oracle_statements() -> dict[str, str]:
     """DuckDB SQL where SQL can say it; the other queries are held against brute force in ``tests/llm``."""
-    return {"op2_setsketch_near_dedup": _OP2_SQL, "op9_warc": _OP9_SQL, "op10_chat_format": _OP10_SQL}
+    return {"op2_setsketch_near_dedup": _OP2_SQL, "op9_warc": _OP9_SQL, "op10_chat_format": _OP10_SQL, "op12_filter_audit": filter_audit.SQL,
+            "op11_vector_codes": vector_codes.SQL}
