@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 
 @dataclass(frozen=True)
 class EndpointConfig:
@@ -126,3 +128,42 @@ def endpoint_config(endpoint: str, table: str | None = None) -> EndpointConfig:
     if endpoint in ENDPOINTS:
         return ENDPOINTS[endpoint]
     return EndpointConfig(endpoint, table or endpoint.replace("-", "_"))
+
+
+# Ids and texts of the fourteen tables (the typed columns follow from the endpoints above)
+TEXT_COLS = {
+    "asset_financials": ("asset_id",),
+    "assets": ("asset_id", "name", "make", "model", "status"),
+    "asset_assignee_history": ("asset_id", "assignee_name"),
+    "asset_label_associations": ("asset_id", "asset_label_id"),
+    "asset_dt_codes": ("asset_dt_code_id", "asset_id"),
+    "asset_labels": ("asset_label_id", "label_name", "label_color"),
+    "asset_organization_history": ("asset_id", "organization_department"),
+    "asset_registrations": ("asset_id",),
+    "asset_site_history": ("asset_id", "site_name"),
+    "asset_warranties": ("asset_warranty_id", "asset_id"),
+    "asset_readings_daily": ("asset_reading_daily_id", "asset_id"),
+    "asset_utilizations_daily": ("asset_id",),
+    "asset_site_daily_utilizations": ("asset_site_daily_utilization_id", "asset_id"),
+    "asset_net_working_hours_daily": ("asset_net_working_hour_daily_id", "asset_id"),
+}
+# The shared double measures that a table is known to hold
+MEASURES = {
+    "asset_utilizations_daily": ("utilization_percentage", "asset_target_work_hours", "asset_target_work_miles"),
+    "asset_site_daily_utilizations": ("asset_target_work_hours",),
+    "asset_net_working_hours_daily": ("working_percentage",),
+}
+
+
+def declared_schema(cfg: EndpointConfig) -> T.StructType:
+    """V6: the columns a loaded table of ``cfg`` is known to have, by their names in the table."""
+    types: dict[str, T.DataType] = {c: T.StringType() for c in TEXT_COLS.get(cfg.table, ())}
+    for cols, kind in ((cfg.datetime_cols, T.TimestampType()), (cfg.long_int_cols, T.LongType()), (cfg.boolean_cols, T.BooleanType()),
+                       (MEASURES.get(cfg.table, ()), T.DoubleType())):
+        types.update({cfg.renames.get(c, c): kind for c in cols})
+    return T.StructType([T.StructField(n, k) for n, k in types.items()])
+
+
+def declared_schemas() -> dict[str, T.StructType]:
+    """The declared schemas of all fourteen tables."""
+    return {c.table: declared_schema(c) for c in STATIC_ENDPOINTS + DAILY_ENDPOINTS}

@@ -31,16 +31,25 @@ def to_long_lenient(c, src_type: T.DataType | None = None) -> Column:
         return c.try_cast("bigint")
     if src_type is not None and isinstance(src_type, (T.FractionalType,)):
         return F.when(F.isnan(c.cast("double")), F.lit(None).cast("bigint")).otherwise(c.try_cast("bigint"))
-    as_double = c.try_cast("double")
+    as_double = _text_to_double(c)
     return F.coalesce(
         c.try_cast("bigint"),
         F.when(F.isnan(as_double), F.lit(None).cast("bigint")).otherwise(as_double.try_cast("bigint")),
     )
 
 
-def to_double_lenient(c) -> Column:
+# how a number, an infinity or a NaN begins: a failing parse of other text as DOUBLE costs an exception a row
+_NUMBER_BEGINS = r"^\s*[+-]?[0-9.iInN]"
+
+
+def _text_to_double(c: Column) -> Column:
+    return F.when(c.rlike(_NUMBER_BEGINS), c.try_cast("double"))
+
+
+def to_double_lenient(c, src_type: T.DataType | None = None) -> Column:
     """String/number -> DOUBLE; NaN -> NULL, so one bad cell does not spoil an average."""
-    x = _c(c).try_cast("double")
+    c = _c(c)
+    x = _text_to_double(c) if isinstance(src_type, T.StringType) else c.try_cast("double")
     return F.when(~F.isnan(x), x)
 
 
@@ -50,13 +59,13 @@ def to_type_lenient(c, src_type: T.DataType, to: T.DataType) -> Column:
     if src_type == to:
         return c
     if isinstance(src_type, (T.StructType, T.MapType, T.ArrayType)):
-        c, src_type = F.to_json(c), T.StringType()
+        return F.to_json(c) if isinstance(to, T.StringType) else F.lit(None).cast(to)   # an object is no number, time or flag
     if isinstance(to, T.StringType):
         return c.cast("string")
     if isinstance(to, T.LongType):
         return to_long_lenient(c, src_type)
     if isinstance(to, T.DoubleType):
-        return to_double_lenient(c)
+        return to_double_lenient(c, src_type)
     return c.try_cast(to)
 
 

@@ -38,10 +38,9 @@ def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start:
     p = points.select([F.col(c).alias(point_prefix + c) for c in points.columns])
     pk, pt = point_prefix + key, point_prefix + point
     newest = p.groupBy(F.col(pk).alias("_key")).agg(F.max(pt).alias("_newest"))
-    # only open intervals (few per key) look for it; closed ones pass by
-    opened = intervals.where(F.col(end).isNull())
-    opened = opened.join(newest, opened[key] == newest["_key"], "left").drop("_key").withColumn("_last", F.coalesce("_newest", start)).drop("_newest")
-    ranged = intervals.where(F.col(end).isNotNull()).withColumn("_last", F.col(end)).unionByName(opened)
+    # one pass over the intervals; the join takes one row per key, so a hot key splits on the intervals' side
+    ranged = (intervals.join(newest, F.col(end).isNull() & (intervals[key] == newest["_key"]), "left")
+              .withColumn("_last", F.coalesce(F.col(end), F.col("_newest"), F.col(start))).drop("_key", "_newest"))
     first = _month_start(F.col(start))
     last = F.greatest(_month_start(F.col("_last")), first)
     # a NULL start spans no month and matches no point, but the interval stays (explode_outer)

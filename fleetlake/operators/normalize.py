@@ -13,8 +13,8 @@ Per column, in this order:
   N11 any type outside the allow-list -> string
   N12 configured columns that are absent are skipped
   N14 optional: promote struct fields to top-level columns instead of N8
-N0/N1 (ragged records -> union of columns; a column holding objects beside scalars keeps the objects as
-JSON text) are done by Spark's JSON schema inference in ``sources.pages``.
+N0/N1 (ragged records -> union of columns; nested cells, and columns of several kinds, as the text that was sent) are done by
+``sources.pages``; N8 here serves frames that hold structs, maps and arrays.
 All steps compose into one ``select`` — one Project node, no withColumn chain.
 """
 
@@ -50,7 +50,9 @@ def _column_expr(name: str, dtype: T.DataType, cfg: EndpointConfig, double_cols:
     typed = False
     configured = name in cfg.datetime_cols or name in cfg.long_int_cols or name in cfg.boolean_cols or name in double_cols
     if configured and isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
-        c, dtype = F.to_json(c, _JSON_OPTS), T.StringType()     # its text does not cast, so the cell is NULL
+        # an object has no configured type: NULL, known without reading it
+        to = ("double" if name in double_cols else "boolean" if name in cfg.boolean_cols else "bigint" if name in cfg.long_int_cols else "timestamp")
+        return F.lit(None).cast(to)
     if name in cfg.datetime_cols:                               # N3
         c, dtype, typed = to_timestamp_lenient(c), T.TimestampType(), True
     if name in cfg.long_int_cols:                               # N4
@@ -58,7 +60,7 @@ def _column_expr(name: str, dtype: T.DataType, cfg: EndpointConfig, double_cols:
     if name in cfg.boolean_cols:                                # N5
         c, dtype, typed = to_boolean_lenient(c), T.BooleanType(), True
     if name in double_cols:                                     # N6
-        c, dtype, typed = to_double_lenient(c), T.DoubleType(), True
+        c, dtype, typed = to_double_lenient(c, dtype), T.DoubleType(), True
     if typed:
         return c
     if isinstance(dtype, T.NullType):                           # N7

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +47,24 @@ def missing_tables(spark: SparkSession, names: Sequence[str], database: str | No
     """V6: which of ``names`` the catalog does not have."""
     return [n for n in names
             if not spark.catalog.tableExists(n if database is None else f"{database}.{n}")]
+
+
+def schema_relation(spark: SparkSession, tables: Mapping[str, DataFrame], declared: Mapping[str, T.StructType]) -> DataFrame:
+    """V6 as rows (table_name, column_name, expected_type, actual_type, filled, status), for every declared or present column.
+
+    ``status`` is ``ok``, ``differs`` (another type), ``missing`` (a column, or its whole table, is not there) or ``undeclared``;
+    ``filled`` counts the rows that hold a value, by one aggregation per table."""
+    def row(table: str, column: str, expected: str | None, actual: str | None, filled: Column) -> Column:
+        status = "missing" if actual is None else "undeclared" if expected is None else "ok" if expected == actual else "differs"
+        return F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(expected).cast("string").alias("expected_type"),
+                        F.lit(actual).cast("string").alias("actual_type"), filled.alias("filled"), F.lit(status).alias("status"))
+
+    parts = []
+    for name, schema in declared.items():
+        expected = {f.name: f.dataType.simpleString() for f in schema}
+        present = {f.name: f.dataType.simpleString() for f in tables[name].schema} if name in tables else {}
+        rows = [row(name, c, expected.get(c), present.get(c), F.count(F.col(f"`{c}`")) if c in present else F.lit(0).cast("bigint"))
+                for c in dict.fromkeys([*expected, *present])]
+        one = tables[name] if present else spark.range(0)
+        parts.append(one.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
+    return reduce(DataFrame.unionAll, parts)

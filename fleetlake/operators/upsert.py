@@ -1,4 +1,4 @@
-"""Keyed upsert ("MERGE: matched -> update all, else insert all") without a row-level catalog.
+"""Keyed upsert ("MERGE: matched -> update all, else insert all"), by MERGE where the catalog can, else per partition.
 
 Result rows = target rows whose key is not in the source  UNION ALL  source rows. NULL keys never
 match, so a NULL-keyed row stays on both sides, as MERGE does. The source must hold one row per key
@@ -20,8 +20,9 @@ as MERGE does.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.casts import to_type_lenient
@@ -47,18 +48,33 @@ def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], evo
     return kept.unionByName(source)
 
 
+def merge_rows(lake: Lake, name: str, source: DataFrame, keys: Sequence[str], evolve: bool = False) -> None:
+    """I7, I8 as MERGE: matched rows updated whole, the others inserted. The keys may match in any partition."""
+    target = lake.read(name)
+    aligned, _ = align_source(source, target, evolve)
+    table = lake.table_name(name)
+    same = [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys]
+    merge = aligned.alias("source").mergeInto(table, reduce(Column.__and__, same))
+    if evolve:
+        merge = merge.withSchemaEvolution()
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def upsert_table(lake: Lake, name: str, source: DataFrame, keys: Sequence[str], partition_col: str | None = "date",
                  evolve: bool = False, source_staged: bool = False) -> None:
     """Upsert ``source`` into table ``name`` of ``lake``; creates the table when it does not exist.
 
-    Plain file tables only: copy-on-write swaps and deletes partition folders, which a transaction-log
-    format (Delta, Iceberg) must do through its own MERGE instead.
+    A table whose catalog can change rows (``lake.can_merge``) is merged by it, in its own transaction; tables of plain
+    files are rewritten per partition (copy-on-write).
 
     The source is read more than once below, so it is staged first unless ``source_staged`` says it
     already is a read of written files (the loaders stage their deduplicated batch)."""
     if not lake.exists(name):
         lake.overwrite(name, source, partition_by=[partition_col] if partition_col else ())
         return
+    if lake.can_merge(name):
+        merge_rows(lake, name, source, keys, evolve)
+        return
     with lake.staging():                                 # this upsert's staged copies go when it succeeds
         _upsert_existing(lake, name, source, keys, partition_col, evolve, source_staged)
 
@@ -98,6 +114,6 @@ def _upsert_existing(lake: Lake, name: str, source: DataFrame, keys: Sequence[st
     here = target.where(touched)
     new_content = here.join(src_keys, [here[k] == src_keys[k] for k in keys], "left_anti").unionByName(src)
     staged = lake.stage(name, new_content, partition_by=[partition_col])
+    staged_at = lake.last_staged
     left = {r["day"] for r in staged.select(day).distinct().collect()}
-    lake.overwrite_partitions(name, staged, [partition_col])
-    lake.delete_partitions(name, partition_col, dates - left)
+    lake.replace_partitions(name, staged, staged_at, partition_col, dates - left)

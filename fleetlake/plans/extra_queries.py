@@ -33,7 +33,7 @@ for _fn in (B.b1_expanded_billing, B.b3_monthly_charges,
             K.k1_kpi_cards, K.k2_utilization_trend, K.k3_make_distribution, K.k4_top_assets,
             K.k5_status_split, K.k6_filtered_kpis, K.k7_star_view,
             V.v1_null_asset_ids, V.v2_duplicate_asset_days, V.v3_duplicate_metrics, V.v4_row_count,
-            V.v5_date_ranges, V.v2_repeated_order_lines, V.v3_line_profile, j5_interval_join_pairs):
+            V.v5_date_ranges, V.v6_schema_check, V.v2_repeated_order_lines, V.v3_line_profile, j5_interval_join_pairs):
     register(_fn.__name__, _on_fleet(_fn))
 
 QUERY_SQL.update(B.ORACLE)

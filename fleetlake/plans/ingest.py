@@ -2,11 +2,11 @@
 
 E1  pages -> records -> normalise (one select) -> overwrite table -> metrics; after all tables
     succeeded, stamp the control row. Any failure aborts before the stamp.
-E2  last successful run (I1) -> watermark = newest loaded date, else the run's date (I2) ->
-    records with date >= watermark (I3, inclusive: the last day is re-read) -> normalise -> keep-last
+E2  last successful run (I1) -> watermark = newest loaded date, else the run's date (I2) -> landings that no load has
+    taken in (I3, ``ledger``) -> their records with date >= watermark (inclusive: the last day is re-read) -> normalise -> keep-last
     per merge key / (asset_id, date) / whole row (I4-I6) -> stage (rows counted) -> empty: stop, no log
     (S13) -> upsert (I7-I9) or create partitioned by date (S6) -> row count + duplicates in one pass (I10, I11) -> warn (I12) ->
-    append the run log (I13). A failing write raises and logs nothing (I14).
+    append the run log (I13) and the load's metrics (S12). A failing write raises and logs nothing (I14).
 A batch is complete or it fails: there is no "keep the partial pages and log success".
 Driver traffic: the watermark scalar, the metric row, the touched dates (bounded by days).
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,7 +26,8 @@ from fleetlake.operators.dedup import keep_last
 from fleetlake.operators.normalize import blank_candidates, blank_columns, normalize
 from fleetlake.operators.quality import table_profile
 from fleetlake.operators.upsert import upsert_table
-from fleetlake.sources.pages import SEQ, read_pages
+from fleetlake.sources import landings
+from fleetlake.sources.pages import SEQ, read_known, read_pages
 from fleetlake.sources.tables import RUN_LOG_TABLE, Lake, write_with_metrics
 
 log = logging.getLogger("fleetlake.ingest")
@@ -121,41 +123,67 @@ def prepare(records: DataFrame, cfg: EndpointConfig, blank_all_null: bool = True
 # E2 -------------------------------------------------------------------------------------------------------
 def load_daily(spark: SparkSession, lake: Lake, landed: str, endpoint: str, now: _dt.datetime | None = None,
                evolve: bool = False, records: DataFrame | None = None, use_watermark: bool = True,
-               verify_table: bool = True) -> LoadResult:
-    """E2 for one endpoint. ``records`` replaces reading ``landed`` (the stream passes its batch and
+               verify_table: bool = True, ledger: bool = False) -> LoadResult:
+    """E2 for one endpoint. With ``ledger``, ``landed`` is a root of landing folders and only what no earlier load has
+    taken in is opened (I3). ``records`` replaces reading ``landed`` (the stream passes its batch and
     turns the watermark off: a file stream only ever sees new files). ``verify_table=False`` skips
     the whole-table check (I10-I12), for a caller that verifies once after several batches."""
     cfg = endpoint_config(endpoint)
     now = now or _now(spark)
     wm = watermark(lake, cfg) if use_watermark else None
-    recs = records if records is not None else read_pages(spark, landed)
-    if not [c for c in recs.columns if c != SEQ]:                       # nothing landed at all
+    fresh = landings.unread(lake, endpoint, landed) if ledger else []
+    if ledger and not fresh:
         return _nothing_new(cfg)
     with lake.staging():                                                 # staged copies go on success
-        return _load_batch(lake, cfg, recs, endpoint, now, evolve, verify_table, wm)
+        present = None
+        if records is None:
+            records, present = _landed_records(spark, lake, cfg, [x for s in fresh for x in s.landings] if ledger else landed, evolve)
+        if not [c for c in records.columns if c != SEQ]:                    # nothing landed at all
+            res = _nothing_new(cfg)
+        else:
+            res = _load_batch(lake, cfg, records, endpoint, now, evolve, verify_table, wm, present)
+    landings.record(lake, endpoint, fresh, now)                          # taken in, whether or not it held new rows
+    return res
+
+
+def _landed_records(spark: SparkSession, lake: Lake, cfg: EndpointConfig, landed, evolve: bool) -> tuple[DataFrame, Callable[[str], bool] | None]:
+    """The landed records and, where the table's columns were read, which of them the batch holds at all.
 
+    A table that exists says which columns to read and as what, so its loads parse each landed byte once and stage no text.
+    ``evolve`` must see every key, so it infers, as the first load does."""
+    if evolve or not lake.exists(cfg.table):
+        return read_pages(spark, landed, stage=lake.stage_lines), None
+    sent_as = {v: k for k, v in cfg.renames.items()}
+    types = {sent_as.get(f.name, f.name): f.dataType for f in lake.read(cfg.table).schema}
+    seen = Observation("cells")
+    records = read_known(spark, landed, types, as_text=[c for c in types if c in cfg.configured], seen=seen)
+    places = {cfg.renames.get(c, c): f"p{i}" for i, c in enumerate(types)}
+    return records, lambda column: seen.get[places[column]] > 0
 
-def _load_batch(lake: Lake, cfg: EndpointConfig, recs: DataFrame, endpoint: str, now: _dt.datetime,
-                evolve: bool, verify_table: bool, wm) -> LoadResult:
-    # the deduplicated batch is staged (lineage cut); its row count and the non-NULL count of every
-    # column N2 may blank are observed while it is written, so neither the emptiness check nor N2
-    # costs a pass of its own
+
+def _load_batch(lake: Lake, cfg: EndpointConfig, recs: DataFrame, endpoint: str, now: _dt.datetime, evolve: bool,
+                verify_table: bool, wm, present: Callable[[str], bool] | None = None) -> LoadResult:
+    # the deduplicated batch is staged (lineage cut); the non-NULL count of every column N2 may blank is observed while it
+    # is written, and its rows come from the written files' footers, so neither costs a pass of its own. An
+    # observed count may be too high after a retried task: it only tells none from some
     candidates = blank_candidates(recs, cfg, keep=(SEQ,))
     obs = Observation("batch")
     staged = lake.stage(cfg.table + "_batch", prepare(recs, cfg, blank_all_null=False, wm=wm), observation=obs,
                         metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
     m = obs.get
-    n = m["rows"]
+    n = staged.count()
     if n == 0:                                                           # S13: no write, no run-log row
         return _nothing_new(cfg)
-    # N2, on the first load or where the table's column is text: an all-NULL number stays NULL
+    # N2, on the first load or where the table's column is text: an all-NULL number stays NULL, as does a column the batch lacks
     stored = {f.name: f.dataType.simpleString() for f in lake.read(cfg.table).schema} if lake.exists(cfg.table) else {}
-    src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0 and stored.get(c, "string") == "string"})
+    src = blank_columns(staged, {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0 and stored.get(c, "string") == "string"
+                                 and (present is None or present(c))})
     keys = merge_keys(cfg, src.columns)
     upsert_table(lake, cfg.table, src, keys, partition_col="date" if "date" in src.columns else None,
                  evolve=evolve, source_staged=True)
-    res = verify(lake, cfg, keys, n, src if "date" in keys else None) if verify_table else LoadResult(cfg.table, n)
+    res = verify(lake, cfg, keys, n, src if "date" in keys else None) if verify_table else LoadResult(cfg.table, n, columns=len(src.columns))
     lake.log_run(endpoint, now, n)                                       # only after a successful write
+    lake.log_metrics(endpoint, now, res, checked=verify_table)
     return res
 
 
@@ -183,24 +211,26 @@ def verify(lake: Lake, cfg: EndpointConfig, keys: list[str], records: int, batch
 
 
 # E1 -------------------------------------------------------------------------------------------------------
-def load_static(spark: SparkSession, lake: Lake, landed: str, endpoint: str,
-                records: DataFrame | None = None) -> LoadResult:
+def load_static(spark: SparkSession, lake: Lake, landed: str, endpoint: str, records: DataFrame | None = None,
+                now: _dt.datetime | None = None) -> LoadResult:
     """E1 for one endpoint. N2 is decided by the write itself: the non-NULL count of every column it
     may blank is observed while the table is written; only if a column turns out all-NULL (rare) is
-    the table rewritten, from a staged copy, with that column as "". The landed JSON is parsed once
-    for the write instead of once more for N2."""
+    the table rewritten, from a staged copy, with that column as ""."""
     cfg = endpoint_config(endpoint)
-    recs = records if records is not None else read_pages(spark, landed)
-    keep = (SEQ,) if SEQ in recs.columns else ()
-    candidates = blank_candidates(recs, cfg, keep=keep)
-    df = normalize(recs, cfg, keep=keep, blank_all_null=False).drop(*keep)
-    m = write_with_metrics(df, lambda d: lake.overwrite(cfg.table, d),
-                           metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
-    blanks = {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0}
-    if blanks:                                                            # N2
-        with lake.staging():
+    with lake.staging():
+        recs = records if records is not None else read_pages(spark, landed, stage=lake.stage_lines)
+        keep = (SEQ,) if SEQ in recs.columns else ()
+        candidates = blank_candidates(recs, cfg, keep=keep)
+        df = normalize(recs, cfg, keep=keep, blank_all_null=False).drop(*keep)
+        m = write_with_metrics(df, lambda d: lake.overwrite(cfg.table, d),
+                               metrics=[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(candidates)])
+        blanks = {c for i, c in enumerate(candidates) if m[f"nn{i}"] == 0}
+        if blanks:                                                        # N2
             lake.overwrite(cfg.table, lake.stage(cfg.table, blank_columns(lake.read(cfg.table), blanks)))
-    return LoadResult(cfg.table, m["rows"], m["rows"], 0, m["columns"])
+    rows = lake.read(cfg.table).count()                                   # from the footers
+    res = LoadResult(cfg.table, rows, rows, 0, m["columns"])
+    lake.log_metrics(endpoint, now or _now(spark), res, checked=False)
+    return res
 
 
 def refresh_static(spark: SparkSession, lake: Lake, landing_root: str, pipeline: str = "fleet_static_tables",
@@ -208,6 +238,6 @@ def refresh_static(spark: SparkSession, lake: Lake, landing_root: str, pipeline:
     """All static endpoints in turn; the control row says 'success' only if every one loaded."""
     now = now or _now(spark)
     lake.init_control(pipeline, now)
-    results = [load_static(spark, lake, f"{landing_root}/{c.endpoint}", c.endpoint) for c in endpoints]
+    results = [load_static(spark, lake, f"{landing_root}/{c.endpoint}", c.endpoint, now=now) for c in endpoints]
     lake.stamp_control(pipeline, now, "success")
     return results

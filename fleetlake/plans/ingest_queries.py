@@ -154,7 +154,7 @@ def n14_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.from_json("props", "k bigint").alias("props"), F.col("event_id").alias("seq")),
                landing, "seq")
     cfg = EndpointConfig("events", "events", datetime_cols=("ts",), long_int_cols=("event_id", "user_id"))
-    return normalize(read_pages(spark, landing), cfg, keep=(SEQ,), flatten_structs=True).drop(SEQ)
+    return normalize(read_pages(spark, landing, structs=True), cfg, keep=(SEQ,), flatten_structs=True).drop(SEQ)
 
 
 def s2_csv_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:

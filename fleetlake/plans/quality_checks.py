@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.config import DAILY_ENDPOINTS
+from fleetlake.config import DAILY_ENDPOINTS, declared_schemas
 from fleetlake.functions.dates import as_of_col
-from fleetlake.operators.quality import table_profile
+from fleetlake.operators.quality import schema_relation, table_profile
 from fleetlake.plans.views import AS_OF_EVENTS
 
 Tables = Mapping[str, DataFrame]
@@ -50,6 +50,11 @@ def v5_date_ranges(t: Tables, as_of=AS_OF_EVENTS) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def v6_schema_check(t: Tables) -> DataFrame:
+    """V6: every declared column of the fourteen tables against what is there, and how often it is filled."""
+    return schema_relation(t["assets"].sparkSession, t, declared_schemas())
+
+
 # The same checks over the order lines, which do repeat keys, lack values and lie outside the range
 LINE_KEYS = ("l_orderkey", "l_linenumber")
 LINE_CLOCK = "1996-06-30 00:00:00"
@@ -75,7 +80,26 @@ def v3_line_profile(t: Tables) -> DataFrame:
 
 E = f"TIMESTAMP '{AS_OF_EVENTS}'"
 
+_KINDS = "map {'VARCHAR': 'string', 'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'BOOLEAN': 'boolean', 'DATE': 'date', 'TIMESTAMP': 'timestamp'}"
+
+
+def _v6_sql() -> str:
+    """The declared columns as values, the present ones from DuckDB's own types and counts."""
+    declared = ", ".join(f"('{table}', '{f.name}', '{f.dataType.simpleString()}')" for table, schema in declared_schemas().items() for f in schema)
+    present = "\nUNION ALL\n".join(
+        f"""SELECT '{n}' AS table_name, kinds.column_name, kinds.kind, counts.filled
+            FROM (UNPIVOT (SELECT typeof(any_value(COLUMNS(*))) FROM {n}) ON COLUMNS(*) INTO NAME column_name VALUE kind) kinds
+            JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM {n}) ON COLUMNS(*) INTO NAME column_name VALUE filled) counts USING (column_name)""" for n in declared_schemas())
+    return f"""
+        WITH declared(table_name, column_name, expected_type) AS (VALUES {declared}), present AS ({present})
+        SELECT table_name, column_name, expected_type, {_KINDS}[kind] AS actual_type, coalesce(filled, 0) AS filled,
+               CASE WHEN kind IS NULL THEN 'missing' WHEN expected_type IS NULL THEN 'undeclared'
+                    WHEN expected_type = {_KINDS}[kind] THEN 'ok' ELSE 'differs' END AS status
+        FROM declared FULL JOIN present USING (table_name, column_name)"""
+
+
 ORACLE = {
+    "v6_schema_check": _v6_sql(),
     "v2_repeated_order_lines": """
         SELECT l_orderkey, l_linenumber, duplicate_count
         FROM (SELECT l_orderkey, l_linenumber, row_number() OVER key AS nth, count(*) OVER key_all AS duplicate_count FROM lineitem

@@ -9,34 +9,151 @@ start at 0 again still comes after the one before, and pages without an offset k
 
 A page that is not whole JSON, or that has no ``results``, fails the read: a batch is complete or it fails.
 
-Schema: Spark's JSON inference over *all* records (``samplingRatio=1``) gives the union of the record
-keys (ragged records) and widens a column that holds objects beside scalars to string, keeping each
-object as its JSON text — the N0/N1 behaviour. No record is ever collected to the driver.
+The landed files are scanned once (N0, N1), in one of two ways:
+
+* ``read_pages``, where the columns are not known. The scan takes each record as its text, exactly as it was sent, and stages
+  it as JSON lines; the schema of all records (``schema_of_variant_agg``) is observed by that same write, so the union of ragged
+  keys is known when the staged lines are read into columns. A column that holds objects or arrays, or scalars of several
+  kinds, is text: each cell as it was sent, but for blanks between the tokens of an object.
+* ``read_known``, where they are (a declared schema, or the table that an earlier load made). The scan takes each record as
+  key -> text and casts the known cells leniently; nothing is inferred and nothing staged.
+
+No record is ever collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.functions.casts import to_type_lenient
+from fleetlake.session import shared_dir
+
 SEQ = "_seq"
+TEXT_PAGES = "offset STRING, results ARRAY<STRING>"
+CELL_PAGES = "offset STRING, results ARRAY<MAP<STRING, STRING>>"
+
+# What a variant's type becomes as a column
+_SCALARS: dict[str, T.DataType] = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType(), "BOOLEAN": T.BooleanType(), "STRING": T.StringType()}
+
 
+@dataclass(frozen=True)
+class Landing:
+    """A folder (or file, or pattern) of landed pages; with ``after``, only its files that changed after that time."""
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               multi_line: bool = False) -> DataFrame:
-    """Records of all landed pages under ``path`` as a flat DataFrame plus ``_seq``."""
-    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+    path: str
+    after: str | None = None
+
+
+def _scan(spark: SparkSession, landed: str | Sequence[Landing], pages: str | T.StructType, multi_line: bool) -> DataFrame:
+    """One JSON scan over all landings; those with a time of their own are scans beside it."""
+    landings = [Landing(landed)] if isinstance(landed, str) else list(landed)
+    by_time: dict[str | None, list[str]] = {}
+    for x in landings:
+        by_time.setdefault(x.after, []).append(x.path)
+    out = None
+    for after, paths in by_time.items():
+        reader = spark.read.schema(pages).option("multiLine", multi_line).option("mode", "FAILFAST").option("timeZone", "UTC")
+        part = page_records((reader.option("modifiedAfter", after) if after else reader).json(paths))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no landing to read")
+    return out
+
+
+def read_pages(spark: SparkSession, landed: str | Sequence[Landing], schema: T.StructType | str | None = None, multi_line: bool = False,
+               structs: bool = False, stage: Callable[..., str] | None = None) -> DataFrame:
+    """Records of all landed pages as a flat DataFrame plus ``_seq``. ``schema`` is that of the pages, where it is known.
+
+    ``structs`` keeps the objects of a record as structs, one level deep (for N14). ``stage`` writes the records' text
+    (``Lake.stage_lines``); by default it lies under the shared checkpoint folder until the owner clears that."""
     if schema is not None:
-        return page_records(reader.schema(schema).json(path))
-    pages = reader.option("samplingRatio", 1.0).json(path)
-    if not pages.columns:                                               # nothing landed
+        return _scan(spark, landed, schema, multi_line)
+    return infer_records(_scan(spark, landed, TEXT_PAGES, multi_line), structs, stage)
+
+
+def infer_records(texts: DataFrame, structs: bool = False, stage: Callable[..., str] | None = None) -> DataFrame:
+    """Typed columns of records given as text (``value``, ``_seq``): staged once as JSON lines, their schema seen by that write."""
+    spark, seen = texts.sparkSession, Observation("records")
+    # line breaks of a record lie between its tokens: inside a string they are escaped
+    record = F.coalesce(F.regexp_replace("value", r"[\r\n]+", " "), F.lit("null"))
+    lines = texts.select(F.concat(F.lit('{"seq":'), F.to_json(SEQ), F.lit(',"record":'), record, F.lit("}")).alias("value"), F.parse_json("value").alias("_variant"))
+    lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"), F.expr("schema_of_variant_agg(_variant)").alias("kind")).select("value")
+    if stage is None:
+        path = shared_dir(spark, "records")
+        lines.write.text(path)
+    else:
+        path = stage("records", lines)
+    found = seen.get
+    if not found["rows"]:                                               # nothing landed
         return spark.createDataFrame([], T.StructType([T.StructField(SEQ, T.LongType())]))
-    return page_records(pages)
+    if not found["kind"].startswith("OBJECT<"):
+        raise ValueError(f"the landed records are no objects but {found['kind']}")
+    fields = T.StructType([T.StructField(n, _column_type(k, structs)) for n, k in object_fields(found["kind"])])
+    whole = T.StructType([T.StructField("seq", texts.schema[SEQ].dataType), T.StructField("record", fields)])
+    back = spark.read.schema(whole).option("mode", "FAILFAST").json(path)
+    return back.select(*[_as_sent(F.col("record").getField(f.name), f.dataType).alias(f.name) for f in fields], F.col("seq").alias(SEQ))
+
+
+def _as_sent(cell: Column, kind: T.DataType) -> Column:
+    """A cell read as text, without the blanks between the tokens of an object or array: keys in their order, numbers as written."""
+    if not isinstance(kind, T.StringType):
+        return cell
+    tokens = F.regexp_replace(cell, r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s++', "$1")
+    return F.when(cell.rlike(r"^[\[{]") & F.try_parse_json(cell).isNotNull(), tokens).otherwise(cell)
+
+
+def object_fields(kind: str) -> list[tuple[str, str]]:
+    """The (name, type) pairs of ``OBJECT<name: type, ...>``, as ``schema_of_variant_agg`` writes it; odd names are in backquotes."""
+    out, at, body = [], 0, kind[len("OBJECT<"):-1]
+    while at < len(body):
+        if body[at] == "`":
+            end = at + 1
+            while body[end] != "`" or body[end:end + 2] == "``":
+                end += 2 if body[end] == "`" else 1
+            name, at = body[at + 1:end].replace("``", "`"), end + 3         # `: 
+        else:
+            end = body.index(": ", at)
+            name, at = body[at:end], end + 2
+        depth, start, quoted = 0, at, False
+        while at < len(body) and (depth or quoted or body[at] != ","):
+            quoted ^= body[at] == "`"
+            depth += 0 if quoted else (body[at] in "<(") - (body[at] in ">)")
+            at += 1
+        out.append((name, body[start:at]))
+        at += 2
+    return out
+
+
+def _column_type(kind: str, structs: bool = False) -> T.DataType:
+    """Numbers with a fraction or beyond 64 bits are doubles; what is nested or of several kinds is text."""
+    if kind.startswith("DECIMAL"):
+        return T.DoubleType()
+    if kind.startswith("OBJECT<") and structs and len(kind) > len("OBJECT<>"):
+        return T.StructType([T.StructField(n, _column_type(k)) for n, k in object_fields(kind)])
+    return _SCALARS.get(kind, T.StringType())
+
+
+def read_known(spark: SparkSession, landed: str | Sequence[Landing], types: Mapping[str, T.DataType], multi_line: bool = False,
+               as_text: Sequence[str] = (), seen: Observation | None = None) -> DataFrame:
+    """The ``types``' columns of all records plus ``_seq``, from one scan: cells cast leniently from their text, those of ``as_text``
+    left as text, keys that a record lacks NULL. ``seen`` observes how many records hold each column (``p0``, ``p1``, ...)."""
+    records = _scan(spark, landed, CELL_PAGES, multi_line)
+    if seen is not None:
+        records = records.observe(seen, *[F.count_if(F.map_contains_key("value", F.lit(n))).alias(f"p{i}") for i, n in enumerate(types)])
+
+    def cell(name: str, kind: T.DataType) -> Column:
+        text = F.try_element_at("value", F.lit(name))
+        return (text if name in as_text else to_type_lenient(_as_sent(text, kind), T.StringType(), kind)).alias(name)
+    return records.select(*[cell(n, k) for n, k in types.items()], SEQ)
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """One row per record of ``pages`` (a batch or a stream of JSON files), with ``_seq``."""
+    """One row per record of ``pages`` (a batch or a stream of JSON files), with ``_seq``; records that are no structs are one column ``value``."""
     if "results" not in pages.columns:
         raise ValueError("the landed pages have no results")
     rec_type = pages.schema["results"].dataType.elementType

@@ -4,10 +4,16 @@
 cluster's shared file system. Writes never overwrite a path that the same job reads: new content is
 staged to a fresh path first and the table is rewritten from the stage, so a lost executor can
 recompute any task from files that still exist.
+
+A change that takes several steps (partitions overwritten, then emptied ones deleted; a table's folder swapped) is first written
+down as an intent beside the tables. The intent goes when the last step is done. Whoever opens a table whose intent is
+still there finishes its steps first: each can be done twice. So a writer that dies in between leaves no half change to be seen.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -27,6 +33,17 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("last_run_time", T.TimestampType(), False),
     T.StructField("records_processed", T.LongType(), False),
 ])
+METRICS_SCHEMA = T.StructType([
+    T.StructField("endpoint_name", T.StringType(), False),
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("load_time", T.TimestampType(), False),
+    T.StructField("records", T.LongType(), False),
+    T.StructField("columns", T.LongType(), False),
+    T.StructField("table_rows", T.LongType()),
+    T.StructField("duplicates", T.LongType()),
+    T.StructField("warning", T.StringType()),
+])
+METRICS_TABLE = "_load_metrics"      # not a fleet table: names that begin so are not listed
 CONTROL_TABLE = "control_last_run"
 RUN_LOG_TABLE = "pipeline_last_run"
 
@@ -57,9 +74,16 @@ class CatalogTables(Mapping):
         return len(self.spark.catalog.listTables(self.database))
 
 
+# the intents that this process is carrying out now; an intent of its own that is not among them was cut
+_UNDER_WAY: set[str] = set()
+
+
 class Lake(Mapping):
     """Named tables as directories under ``root``."""
 
+    # another application's intent is left alone for so many seconds: its writer may be at it
+    LEASE = 900
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._staged: list[str] = []
@@ -92,8 +116,49 @@ class Lake(Mapping):
     def stage_path(self, name: str) -> str:
         return f"{self.root}/_staging/{simple_name(name)}-{uuid.uuid4().hex[:12]}"
 
+    # intents ------------------------------------------------------------------------------------
+    def _intent_path(self, name: str) -> str:
+        return f"{self.root}/_intents/{simple_name(name)}.json"
+
+    @contextmanager
+    def _intent(self, name: str, steps: dict):
+        """Write the steps down, let the block carry them out, forget them once it has."""
+        fs, p = self._fs(self._intent_path(name))
+        mine = uuid.uuid4().hex
+        text = json.dumps({**steps, "application": self.spark.sparkContext.applicationId, "writer": mine})
+        out = fs.create(p, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        _UNDER_WAY.add(mine)
+        try:
+            yield
+            fs.delete(p, False)
+        finally:
+            _UNDER_WAY.discard(mine)
+
+    def finish_intents(self, name: str) -> bool:
+        """Finish the steps that a writer of ``name`` was cut off from; whether there were any."""
+        fs, p = self._fs(self._intent_path(name))
+        if not fs.exists(p):
+            return False
+        status = fs.getFileStatus(p)
+        steps = json.loads(self.spark.read.text(p.toString(), wholetext=True).first()[0])    # one small file
+        if steps["writer"] in _UNDER_WAY:
+            return False
+        if steps["application"] != self.spark.sparkContext.applicationId and time.time() - status.getModificationTime() / 1000 < self.LEASE:
+            return False
+        if "fresh" in steps:
+            self._finish_swap(steps["fresh"], self.path(name), steps["old"])
+        else:
+            staged = self.spark.read.parquet(steps["staged"])
+            self.overwrite_partitions(name, staged, steps["partition_by"])
+            self.delete_partitions(name, steps["partition_by"][0], set(steps["gone"]))
+        fs.delete(p, False)
+        return True
+
     # S9 / S10 ---------------------------------------------------------------------------------
     def exists(self, name: str) -> bool:
+        self.finish_intents(name)
         return self._has_data(self.path(name))
 
     def tables(self) -> list[str]:
@@ -148,8 +213,17 @@ class Lake(Mapping):
 
     def read(self, name: str) -> DataFrame:
         """The table's rows. All files of a table have one schema."""
+        self.finish_intents(name)
         return self.spark.read.parquet(self.path(name))
 
+    def can_merge(self, name: str) -> bool:
+        """Whether the table's rows can be changed in place; plain files can't."""
+        return False
+
+    def table_name(self, name: str) -> str:
+        """How SQL names the table."""
+        return f"parquet.`{self.path(name)}`"
+
     # S5 / S6 / S7 -----------------------------------------------------------------------------------
     @staticmethod
     def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -170,23 +244,36 @@ class Lake(Mapping):
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(fresh)
-        self._swap(fresh, self.path(name))
+        old = self.stage_path("replaced")
+        with self._intent(name, {"fresh": fresh, "old": old}):
+            self._finish_swap(fresh, self.path(name), old)
 
-    def _swap(self, fresh: str, path: str) -> None:
-        """Put the folder ``fresh`` in the place of ``path``. The old one steps aside first and comes back if the
-        new one can't take its place."""
+    def _finish_swap(self, fresh: str, path: str, old: str) -> None:
+        """Put the folder ``fresh`` in the place of ``path``, which steps aside to ``old``: from wherever an earlier try stopped."""
         fs, target = self._fs(path)
-        _, new = self._fs(fresh)
-        _, old = self._fs(self.stage_path("replaced"))
-        there = fs.exists(target)
-        if there and not fs.rename(target, old):
-            raise OSError(f"{path} can't be moved aside")
-        if not fs.rename(new, target):
-            if there:
-                fs.rename(old, target)
-            raise OSError(f"{fresh} can't take the place of {path}")
-        if there:
-            fs.delete(old, True)
+        new, aside = self._fs(fresh)[1], self._fs(old)[1]
+        if fs.exists(new):
+            if fs.exists(target):
+                fs.mkdirs(aside.getParent())
+                if not fs.rename(target, aside):
+                    raise OSError(f"{path} can't be moved aside")
+            if not fs.rename(new, target):
+                if fs.exists(aside):
+                    fs.rename(aside, target)
+                raise OSError(f"{fresh} can't take the place of {path}")
+        if fs.exists(aside):
+            fs.delete(aside, True)
+
+    def replace_partitions(self, name: str, staged: DataFrame, staged_at: str, column: str, gone: set) -> None:
+        """Overwrite the partitions that ``staged`` holds and delete those of ``gone``, as one change."""
+        with self._intent(name, {"staged": staged_at, "partition_by": [column], "gone": sorted(gone, key=lambda v: (v is None, v))}):
+            try:
+                self.overwrite_partitions(name, staged, [column])
+            except Exception:                  # the write was aborted: the table is as it was, and so it stays
+                fs, p = self._fs(self._intent_path(name))
+                fs.delete(p, False)
+                raise
+            self.delete_partitions(name, column, gone)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
         """Replace only the partitions present in ``df`` (dynamic partition overwrite). ``df`` is a
@@ -214,8 +301,16 @@ class Lake(Mapping):
             w = w.partitionBy(*partition_by)
         w.parquet(p)
         self._staged.append(p)
+        self.last_staged = p
         return self.spark.read.parquet(p)
 
+    def stage_lines(self, name: str, lines: DataFrame) -> str:
+        """Write a frame of text lines aside; where it lies."""
+        p = self.stage_path(name)
+        lines.write.text(p)
+        self._staged.append(p)
+        return p
+
     @contextmanager
     def staging(self):
         """Scope of one load: the copies it staged are deleted when the block succeeds (nothing
@@ -246,6 +341,22 @@ class Lake(Mapping):
         row = self.spark.createDataFrame([(endpoint, now, int(records))], RUN_LOG_SCHEMA)
         self.append(RUN_LOG_TABLE, row.withColumn("endpoint", F.col("endpoint_name")), partition_by=["endpoint"])
 
+    # Metrics of each load ----------------------------------------------------------------------
+    def log_metrics(self, endpoint: str, now, load, checked: bool = True) -> None:
+        """Append one row for a finished load; duplicates are NULL where none were looked for.
+
+        Numbers come from the footers of written files and from queries, never from observed counts, which a
+        retried task may add to twice."""
+        warning = f"{load.duplicates} duplicate keys in table" if checked and load.duplicates else None
+        row = (endpoint, load.table, now, int(load.records), int(load.columns), int(load.table_rows) or None,
+               int(load.duplicates) if checked else None, warning)
+        frame = self.spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1)
+        self.append(METRICS_TABLE, frame.withColumn("endpoint", F.col("endpoint_name")), partition_by=["endpoint"])
+
+    def metrics(self) -> DataFrame:
+        """One row per finished load."""
+        return self.read(METRICS_TABLE).select(*METRICS_SCHEMA.names)
+
     def runs(self) -> DataFrame:
         """The run log."""
         return self.read(RUN_LOG_TABLE).select(*RUN_LOG_SCHEMA.names)
