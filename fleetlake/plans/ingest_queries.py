@@ -18,11 +18,15 @@ from fleetlake.operators.dedup import keep_last
 from fleetlake.operators.normalize import normalize
 from fleetlake.operators.upsert import upsert_table
 from fleetlake.plans.ingest import load_daily, load_static, prepare, refresh_static
+from fleetlake.plans.oracle import QUERY_SQL
+from fleetlake.plans.queries import q14_site_rollup
 from fleetlake.plans.views import TestDataFleet
 from fleetlake.session import shared_dir
+from fleetlake.sources import landings
+from fleetlake.sources.catalog import CatalogLake
 from fleetlake.sources.csv import UTILIZATION_CSV_SCHEMA, read_csv, write_csv
 from fleetlake.sources.pages import SEQ, land_pages, page_schema_of, read_pages
-from fleetlake.sources.tables import CONTROL_TABLE, Lake
+from fleetlake.sources.tables import CONTROL_TABLE, CatalogTables, Lake
 from fleetlake.streaming.incremental import run_incremental_stream
 
 CUT_TARGET = "2024-01-20 00:00:00"      # first load: days before this
@@ -249,6 +253,56 @@ def e2_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("asset_utilizations_daily")
 
 
+CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-01-25 12:00:00")
+
+
+def i3_landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings under one root, a load after each and one more when nothing is new. A landing is read by one load: its
+    row holds the records of that load alone (an earlier landing read again would add its last day's)."""
+    ev = TestDataFleet(spark, sf_dir)["events"]
+    root = shared_dir(spark, "i3")
+    lake, ep = Lake(spark, f"{root}/lake"), "asset-utilizations-daily"
+    at = [F.lit(c).cast("timestamp_ntz") for c in CUTS]
+    slices = (F.col("ts") < at[0], (F.col("ts") >= at[0]) & (F.col("ts") < at[1]), F.col("ts") >= at[2])
+    for i, part in enumerate(slices):
+        land_pages(_events_daily_rows(ev.where(part)), f"{root}/landing/batch{i}", "seq")
+        load_daily(spark, lake, f"{root}/landing", ep, now=_utc(2024, 2, 1 + i, 2), ledger=True)
+        load_daily(spark, lake, f"{root}/landing", ep, now=_utc(2024, 2, 1 + i, 3), ledger=True)
+    taken = landings.ledger(lake).select("endpoint_name", "landing", F.col("load_time").alias("last_run_time"))
+    return taken.join(lake.runs(), ["endpoint_name", "last_run_time"])
+
+
+def i12_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics rows of a refresh and of two daily loads, where rows without an asset repeat."""
+    t = TestDataFleet(spark, sf_dir)
+    root = shared_dir(spark, "i12")
+    lake = Lake(spark, f"{root}/lake")
+    land_pages(t["assets"].select("*", F.col("asset_id").alias("seq")), f"{root}/landing/assets", "seq")
+    load_static(spark, lake, f"{root}/landing/assets", "assets", now=_utc(2024, 2, 1, 2))
+    ev = t["events"]
+    for i, part in enumerate((F.col("ts") < F.lit(CUT_TARGET).cast("timestamp_ntz"), F.col("ts") >= F.lit(CUT_SOURCE).cast("timestamp_ntz"))):
+        rows = _events_daily_rows(ev.where(part)).withColumn("asset_id", F.nullif("asset_id", F.lit(1)))
+        land_pages(rows, f"{root}/landing/daily{i}", "seq")
+        load_daily(spark, lake, f"{root}/landing/daily{i}", "asset-utilizations-daily", now=_utc(2024, 2, 2 + i, 2))
+    return lake.metrics()
+
+
+def s3_catalog_site_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14 over tables loaded into the catalog, read by their names; the asset table is loaded, then refreshed."""
+    t = TestDataFleet(spark, sf_dir)
+    root = shared_dir(spark, "s3")
+    lake = CatalogLake(spark, f"{root}/lake", "fleet_" + root.rsplit("-", 1)[-1])
+    for endpoint, key in (("asset-site-history", "asset_site_history_id"), ("asset-site-daily-utilizations", "asset_site_daily_utilization_id"), ("assets", "asset_id")):
+        cfg = endpoint_config(endpoint)
+        rows = t[cfg.table].select("*", F.col(key).alias("seq"))
+        if endpoint == "assets":
+            land_pages(rows.where("seq % 2 = 0").drop("make"), f"{root}/landing/half", "seq")
+            load_static(spark, lake, f"{root}/landing/half", endpoint)
+        land_pages(rows, f"{root}/landing/{endpoint}", "seq")
+        load_static(spark, lake, f"{root}/landing/{endpoint}", endpoint)
+    return q14_site_rollup(CatalogTables(spark, lake.database))
+
+
 _DAILY_ROWS_SQL = """
     SELECT user_id AS asset_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
            CAST(COUNT(*) * 3600 AS BIGINT) AS active_run_seconds,
@@ -258,7 +312,27 @@ _DAILY_ROWS_SQL = """
 _FIRST = _DAILY_ROWS_SQL.format(cond=f"ts < TIMESTAMP '{CUT_TARGET}'")
 _SECOND = _DAILY_ROWS_SQL.format(cond=f"ts >= TIMESTAMP '{CUT_SOURCE}'")
 
+_SLICES = [_DAILY_ROWS_SQL.format(cond=c) for c in (f"ts < TIMESTAMP '{CUTS[0]}'", f"ts >= TIMESTAMP '{CUTS[0]}' AND ts < TIMESTAMP '{CUTS[1]}'", f"ts >= TIMESTAMP '{CUTS[2]}'")]
+
 ORACLE = {
+    "s3_catalog_site_rollup": QUERY_SQL["q14_site_rollup"],
+    "i3_landing_ledger": f"""
+        WITH b0 AS ({_SLICES[0]}), b1 AS (SELECT * FROM ({_SLICES[1]}) x WHERE date >= (SELECT max(date) FROM b0)),
+             b2 AS (SELECT * FROM ({_SLICES[2]}) x WHERE date >= (SELECT max(date) FROM b1))
+        SELECT 'asset-utilizations-daily' AS endpoint_name, landing, TIMESTAMP '2024-02-01 02:00:00' + days * INTERVAL 1 DAY AS last_run_time, records_processed
+        FROM (SELECT 'batch0' AS landing, 0 AS days, count(*) AS records_processed FROM b0 UNION ALL SELECT 'batch1', 1, count(*) FROM b1
+              UNION ALL SELECT 'batch2', 2, count(*) FROM b2)""",
+    "i12_load_metrics": f"""
+        WITH b0 AS (SELECT nullif(asset_id, 1) AS asset_id, date FROM ({_FIRST}) x),
+             b1 AS (SELECT nullif(asset_id, 1) AS asset_id, date FROM ({_SECOND}) x WHERE date >= (SELECT max(date) FROM b0)),
+             loaded AS (SELECT * FROM b0 WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.asset_id = b0.asset_id AND b1.date = b0.date) UNION ALL SELECT * FROM b1),
+             daily AS (SELECT 2 AS day, (SELECT count(*) FROM b0) AS records, (SELECT count(*) FROM b0) AS table_rows, (SELECT count(*) FROM b0 WHERE asset_id IS NULL) AS duplicates
+                       UNION ALL SELECT 3, (SELECT count(*) FROM b1), (SELECT count(*) FROM loaded),
+                                        (SELECT count(*) FROM loaded WHERE asset_id IS NULL AND date IN (SELECT date FROM b1)))
+        SELECT 'asset-utilizations-daily' AS endpoint_name, 'asset_utilizations_daily' AS table_name, make_timestamp(2024, 2, day, 2, 0, 0) AS load_time, records,
+               CAST(5 AS BIGINT) AS columns, table_rows, duplicates, if(duplicates > 0, duplicates || ' duplicate keys in table', NULL) AS warning FROM daily
+        UNION ALL
+        SELECT 'assets', 'assets', TIMESTAMP '2024-02-01 02:00:00', count(*), 8, count(*), NULL, NULL FROM assets""",
     "s2_csv_utilization": """
         SELECT CAST(asset_id AS VARCHAR) AS asset_id, date, utilization_percentage, CAST(active_run_seconds AS DOUBLE) AS active_hours,
                CASE WHEN asset_id % 2 > 0 THEN 'Pit "' || asset_id || '", north' END AS site_name,
@@ -331,4 +405,5 @@ ORACLE = {
 
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
             s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events, s7_run_log, s8_static_refresh,
-            i4_surrogate_load, e2_type_drift, s2_csv_utilization, n8_normalize_types)
+            i4_surrogate_load, e2_type_drift, s2_csv_utilization, n8_normalize_types, i3_landing_ledger, i12_load_metrics,
+            s3_catalog_site_rollup)
