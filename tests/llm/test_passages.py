@@ -193,11 +193,23 @@ def test_leaks(spark, documents):
     assert got == brute_leaks(rows, [x for x in items if x[0] != 22])
     assert len(got) > 20
     kept = [r["doc_id"] for r in dc.clean(documents(rows), benchmark).collect()]
-    assert sorted(kept, key=str) == sorted((i for i, _ in rows if i is None or i not in {a for a, _ in got}), key=str)
+    assert sorted(kept, key=str) == sorted((i for i, _ in rows if i not in {a for a, _ in got}), key=str)
     assert dc.contaminated(documents([]), benchmark).count() == 0
     assert dc.contaminated(documents(rows), benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bitmap", [dc.BITMAP_HEADS, 0])
+def test_leaks_of_rows_that_share_an_id(spark, documents, monkeypatch, bitmap):
+    """Another row's text, which begins a diagonal alike, hides nothing; a row goes by its own text."""
+    monkeypatch.setattr(dc, "BITMAP_HEADS", bitmap)
+    item = "alpha bravo charlie delta echo foxtrot golf hotel india juliett kilo lima mike november".split()
+    part, whole = " ".join(item[:3] + ["other"] * 11), " ".join(item)
+    benchmark = spark.createDataFrame([(1, whole)], "item_id bigint, text string")
+    rows = [(5, part), (5, whole), (None, part), (None, whole), (6, part), (7, "word " * 100_000 + whole)]
+    assert [tuple(r)[:2] for r in sorted(dc.contaminated(documents(rows), benchmark).collect(), key=str)] == [(5, 1), (7, 1), (None, 1)]
+    assert sorted(((r["doc_id"], r["text"]) for r in dc.clean(documents(rows), benchmark).collect()), key=str) == [(5, part), (6, part), (None, part)]
+
+
 def test_leaks_of_long_items(spark, documents):
     """A lone seed far before the copied part, on the same diagonal, does not hide it."""
     rnd = random.Random(12)
