@@ -94,6 +94,18 @@ def t1_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("asset_utilizations_daily")
 
 
+def t1_late_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 over two runs of one stream: the later landing arrives first, the earlier one after it; the later one's records stay."""
+    root = shared_dir(spark, "t1-late")
+    _land_two_batches(spark, sf_dir, f"{root}/made")
+    schema = page_schema_of(spark, f"{root}/made/*")
+    lake = Lake(spark, f"{root}/lake")
+    for i, batch in enumerate(("batch2", "batch1")):
+        spark.read.text(f"{root}/made/{batch}").write.text(f"{root}/landing/{batch}")
+        run_incremental_stream(spark, lake, f"{root}/landing/*", "asset-utilizations-daily", f"{root}/checkpoint", schema, now=_utc(2024, 1, 30 + i, 2))
+    return lake.read("asset_utilizations_daily")
+
+
 def i8_upsert_moved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I7 single key with rows that move to another date partition (and partitions left empty)."""
     ev = TestDataFleet(spark, sf_dir)["events"]
@@ -384,6 +396,9 @@ ORACLE = {
         WITH t AS ({_FIRST}), s AS ({_SECOND})
         SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.asset_id = t.asset_id AND s.date = t.date)
         UNION ALL SELECT * FROM s""",
+    "t1_late_landing": f"""
+        WITH earlier AS ({_FIRST}), later AS ({_SECOND})
+        SELECT * FROM later UNION ALL SELECT * FROM earlier ANTI JOIN later USING (asset_id, date)""",
     "i8_upsert_moved_rows": f"""
         WITH base AS (SELECT event_id, user_id AS asset_id, event_type, value,
                              CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date FROM events),
@@ -406,4 +421,4 @@ ORACLE = {
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
             s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events, s7_run_log, s8_static_refresh,
             i4_surrogate_load, e2_type_drift, s2_csv_utilization, n8_normalize_types, i3_landing_ledger, i12_load_metrics,
-            s3_catalog_site_rollup)
+            s3_catalog_site_rollup, t1_late_landing)

@@ -158,9 +158,10 @@ def page_records(pages: DataFrame) -> DataFrame:
         raise ValueError("the landed pages have no results")
     rec_type = pages.schema["results"].dataType.elementType
     offset = F.col("offset").try_cast("bigint") if "offset" in pages.columns else F.lit(None).cast("bigint")
-    # lines of one file block are read in order by one task, so its running id orders them
+    # lines of one file block are read in order by one task, so its running id orders them; a stream has no such id
+    line = F.lit(0).cast("bigint") if pages.isStreaming else F.monotonically_increasing_id()
     page = F.struct(F.regexp_extract("_metadata.file_path", "^(.*)/", 1).alias("landing"), F.coalesce(offset, F.lit(0)).alias("offset"),
-                    F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+                    F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), line.alias("line"))
     whole = F.when(F.col("results").isNull(), F.raise_error(F.concat(F.lit("a page without results in "), F.col("_metadata.file_path")))).otherwise(F.col("results"))
     recs = pages.select(page.alias("_page"), whole.alias("_results")).select("_page", F.posexplode("_results").alias("_pos", "_rec"))
     if isinstance(rec_type, T.StructType):

@@ -215,3 +215,20 @@ def test_drift_sparse_batches_and_bad_dates(spark, scratch):
     assert dict(t.dtypes)["n"] == "bigint" and dict(t.dtypes)["active_run_seconds"] == "bigint"
     got = {r.asset_id: (r.date and r.date.day, r.active_run_seconds, r.n, r.note) for r in t.collect()}
     assert got == {"a": (1, 10, 100, "x"), "nodate": (None, 10, 100, "x"), "b": (2, None, 7, None), "nodate2": (None, None, None, None), "c": (3, None, None, None)}
+
+
+def test_a_late_landing_does_not_overwrite_a_later_one(spark, scratch):
+    """Three runs of one stream; the order in which landings arrive doesn't matter, the order of their names does."""
+    arrivals = [("f2", [_rec("a", 1, 222), _rec("b", 1, 5)]), ("f1", [_rec("a", 1, 111), _rec("c", 1, 9)]), ("f3", [_rec("c", 1, 10, spelled="2025-01-01T00:00:00")])]
+    for name, records in arrivals:
+        _land(f"{scratch}/all/{name}", 0, records)
+    schema = page_schema_of(spark, scratch + "/all/*")
+    lake = Lake(spark, scratch + "/lake")
+    for name, records in arrivals:
+        _land(f"{scratch}/landing/{name}", 0, records)
+        run_incremental_stream(spark, lake, scratch + "/landing/*", EP, scratch + "/ckpt", schema, now=dt.datetime(2025, 1, 3))
+    rows = sorted((r.asset_id, r.active_run_seconds) for r in lake.read("asset_utilizations_daily").collect())
+    assert rows == [("a", 222), ("b", 5), ("c", 10)]
+    one = Lake(spark, scratch + "/one")
+    load_daily(spark, one, scratch + "/all/*", EP, now=dt.datetime(2025, 1, 3))
+    assert rows == sorted((r.asset_id, r.active_run_seconds) for r in one.read("asset_utilizations_daily").collect())
