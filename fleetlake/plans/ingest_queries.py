@@ -19,7 +19,7 @@ from fleetlake.operators.normalize import normalize
 from fleetlake.operators.upsert import upsert_table
 from fleetlake.plans.ingest import load_daily, load_static, prepare, refresh_static
 from fleetlake.plans.oracle import QUERY_SQL
-from fleetlake.plans.queries import q14_site_rollup
+from fleetlake.plans.queries import q14_site_rollup, q16_daily_consistency
 from fleetlake.plans.views import TestDataFleet
 from fleetlake.session import shared_dir
 from fleetlake.sources import landings
@@ -315,6 +315,16 @@ def s3_catalog_site_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q14_site_rollup(CatalogTables(spark, lake.database))
 
 
+def j2_clustered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q16 over its three facts, loaded into catalog tables clustered by asset and day: its joins need no exchange."""
+    t = TestDataFleet(spark, sf_dir)
+    root = shared_dir(spark, "j2")
+    lake = CatalogLake(spark, f"{root}/lake", "facts_" + root.rsplit("-", 1)[-1])
+    for name in ("asset_readings_daily", "asset_utilizations_daily", "asset_net_working_hours_daily"):
+        lake.cluster(name, t[name], ["asset_id", "date"])
+    return q16_daily_consistency(CatalogTables(spark, lake.database))
+
+
 _DAILY_ROWS_SQL = """
     SELECT user_id AS asset_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
            CAST(COUNT(*) * 3600 AS BIGINT) AS active_run_seconds,
@@ -327,6 +337,7 @@ _SECOND = _DAILY_ROWS_SQL.format(cond=f"ts >= TIMESTAMP '{CUT_SOURCE}'")
 _SLICES = [_DAILY_ROWS_SQL.format(cond=c) for c in (f"ts < TIMESTAMP '{CUTS[0]}'", f"ts >= TIMESTAMP '{CUTS[0]}' AND ts < TIMESTAMP '{CUTS[1]}'", f"ts >= TIMESTAMP '{CUTS[2]}'")]
 
 ORACLE = {
+    "j2_clustered_facts": QUERY_SQL["q16_daily_consistency"],
     "s3_catalog_site_rollup": QUERY_SQL["q14_site_rollup"],
     "i3_landing_ledger": f"""
         WITH b0 AS ({_SLICES[0]}), b1 AS (SELECT * FROM ({_SLICES[1]}) x WHERE date >= (SELECT max(date) FROM b0)),
@@ -421,4 +432,4 @@ ORACLE = {
 BUILDERS = (s1_pages_events, i4_keep_last_events, e2_daily_load, t1_stream_load, i8_upsert_moved_rows,
             s2_csv_assets, e1_static_refresh, i6_exact_row_dedup, n14_flatten_events, s7_run_log, s8_static_refresh,
             i4_surrogate_load, e2_type_drift, s2_csv_utilization, n8_normalize_types, i3_landing_ledger, i12_load_metrics,
-            s3_catalog_site_rollup, t1_late_landing)
+            s3_catalog_site_rollup, t1_late_landing, j2_clustered_facts)

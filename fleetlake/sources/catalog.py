@@ -8,6 +8,7 @@ catalog holds name, schema, partitioning and partitions, which follow each write
     daily load        dynamic INSERT OVERWRITE of the touched partitions through the catalog (``insertInto``)
     emptied dates     folders deleted, partitions synchronised
     append            ``insertInto``
+    clustered copy    bucketed and sorted by the keys of its joins (``cluster``), so that these need no exchange
 
 ``can_merge`` asks the catalog whether a table takes row-level changes (a table of a connector with its own MERGE).
 """
@@ -92,6 +93,22 @@ class CatalogLake(Lake):
             self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parted} LOCATION '{self.path(name)}'")
         self._synchronise(name, bool(partition_by))
 
+    def cluster(self, name: str, df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> None:
+        """S5 for a fact that is joined again and again: replace table ``name`` by ``df``, bucketed and sorted by ``keys``. Facts with
+        the same keys and bucket count (by default the session's shuffle partitions) join bucket by bucket."""
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        fresh, old = self.stage_path(name), self.stage_path("replaced")
+        written = f"`{self.database}`.`{simple_name(name)}_{fresh.rsplit('-', 1)[-1]}`"
+        # rows of a bucket are gathered first: one file per bucket, instead of one per bucket and task
+        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", fresh).saveAsTable(written))
+        self.spark.sql(f"DROP TABLE {written}")                    # external: the files stay
+        with self._intent(name, {"fresh": fresh, "old": old}):
+            self._finish_swap(fresh, self.path(name), old)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)}")
+        self.spark.sql(f"CREATE TABLE {self.table_name(name)} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.path(name)}'")
+
     def _synchronise(self, name: str, partitioned: bool) -> None:
         """Partitions as the folders are now; cached listings forgotten."""
         if partitioned:

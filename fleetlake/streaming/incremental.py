@@ -77,12 +77,15 @@ def run_incremental_stream(spark: SparkSession, lake: Lake, landing_dir: str, en
     # the file of each page goes along: it orders the records within the batch
     pages = reader.option("mode", "FAILFAST").json(landing_dir).select("*", "_metadata")
     if ordered:
-        if spark.conf.get(STATE_STORE, None) in (None, "", DEFAULT_STORE):
-            spark.conf.set(STATE_STORE, ROCKSDB)
         pages = newest_records(pages, cfg)
     w = pages.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    store = spark.conf.get(STATE_STORE, DEFAULT_STORE)
+    if store == DEFAULT_STORE:
+        spark.conf.set(STATE_STORE, ROCKSDB)                   # fixed for the query at its start
     q = w.start()
+    if store == DEFAULT_STORE:
+        spark.conf.unset(STATE_STORE)
     if not available_now:
         return StreamLoad(q)
     q.awaitTermination()

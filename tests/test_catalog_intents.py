@@ -184,3 +184,19 @@ def test_metrics_of_loads(spark, scratch):
     got = sorted((r.endpoint_name, r.load_time, r.records, r.columns, r.table_rows, r.duplicates, r.warning) for r in lake.metrics().collect())
     assert got == [(EP, D[1], 2, 3, 2, 1, "1 duplicate keys in table"), (EP, D[2], 2, 3, 3, 2, "2 duplicate keys in table"), ("assets", D[0], 2, 1, 2, None, None)]
     assert lake.tables() == ["asset_utilizations_daily", "assets", "pipeline_last_run"]
+
+
+def test_clustered_facts_join_without_an_exchange(spark, catalog_lake):
+    rows = [(i % 7, D[i % 5], i) for i in range(200)]
+    for name in ("l", "r"):
+        catalog_lake.cluster(name, spark.createDataFrame(rows, "asset_id long, date timestamp, n long"), ["asset_id", "date"])
+    catalog_lake.cluster("l", spark.createDataFrame(rows[:100], "asset_id long, date timestamp, n long"), ["asset_id", "date"])     # replaced
+    by_name = CatalogTables(spark, catalog_lake.database)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = by_name["l"].join(by_name["r"].withColumnRenamed("n", "m"), ["asset_id", "date"])
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == sum(1 for a in rows[:100] for b in rows if a[:2] == b[:2])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

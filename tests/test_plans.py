@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 # entries that write (land / load / upsert) when built are checked by the oracle run instead
 # (the training-data operators have tests of their own)
-SIDE_EFFECTS = ("s1_", "s3_", "e1_", "e2_", "t1_", "i3_", "i8_", "i12_", "s2_", "i6_", "n14_")
+SIDE_EFFECTS = ("s1_", "s3_", "j2_", "e1_", "e2_", "t1_", "i3_", "i8_", "i12_", "s2_", "i6_", "n14_")
 READ_ONLY = sorted(n for n in entry.queries() if not n.startswith(SIDE_EFFECTS) and not n.startswith("op") and n != "pipeline")
 
 
