@@ -107,6 +107,9 @@ def segments(pos: np.ndarray, source: np.ndarray) -> list[list[int]]:
     """The matches of every chain, cut at gaps over MAX_GAP words."""
     out = []
     for chain in chains(pos, source):
+        if len(chain) == 1:
+            out.append(chain)
+            continue
         cuts = np.flatnonzero((np.diff(pos[chain]) > MAX_GAP) | (np.diff(source[chain]) > MAX_GAP)) + 1
         out += [chain[a:b] for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(chain)], strict=True)]
     return out
@@ -288,6 +291,11 @@ def stretches(i: np.ndarray, j: np.ndarray, seed: np.ndarray) -> list[tuple[int,
     return out
 
 
+def may_hold(d: np.ndarray, s: np.ndarray) -> bool:
+    """Whether a passage fits into two windows: no alignment of them has more words than their longest common subsequence."""
+    return common_words(d, s) * 100 >= AGREE * MIN_WORDS
+
+
 def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(start, words, source start, source words, equal words) of the passages that two texts share.
 
@@ -304,7 +312,7 @@ def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int
         a, b, x, y, same = aligned(d, s, d0, d1, s0, s1)
         if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x):
             found.append((a, b, x, y, same))
-        else:
+        elif d1 - d0 >= 2 * MIN_WORDS or may_hold(d[max(d0 - MARGIN, 0):d1 + MARGIN], s[max(s0 - MARGIN, 0):s1 + MARGIN]):
             found += [(*z, common_words(d[z[0]:z[1]], s[z[2]:z[3]])) for z in stretches(*paired(d, s, p[chain].tolist(), q[chain].tolist()))]
     out: list[list] = []
     for a, b, x, y, same in sorted(found):
@@ -319,10 +327,12 @@ def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in SPANS.split(", ")]
     for batch in batches:
-        out = []
+        out, known = [], {}  # copies of a document bring the same two windows: they are aligned once
         for r in batch.to_pylist():
-            d, s, by, sy = np.frombuffer(r["dw"], "<u4"), np.frombuffer(r["sw"], "<u4"), r["d_from"], r["s_from"]
-            out += [(r["doc_id"], r["source"], a + by, n, x + sy, m, same) for a, n, x, m, same in passages(d, s)]
+            windows, by, sy = (r["dw"], r["sw"]), r["d_from"], r["s_from"]
+            if windows not in known:
+                known[windows] = passages(*(np.frombuffer(w, "<u4") for w in windows))
+            out += [(r["doc_id"], r["source"], a + by, n, x + sy, m, same) for a, n, x, m, same in known[windows]]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(7)], names)
 
 
