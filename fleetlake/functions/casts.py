@@ -33,13 +33,15 @@ def to_long_lenient(c, src_type: T.DataType | None = None) -> Column:
         return F.when(F.isnan(c.cast("double")), F.lit(None).cast("bigint")).otherwise(c.try_cast("bigint"))
     as_double = _text_to_double(c)
     return F.coalesce(
-        c.try_cast("bigint"),
+        F.when(c.rlike(_WHOLE_NUMBER), c.try_cast("bigint")),
         F.when(F.isnan(as_double), F.lit(None).cast("bigint")).otherwise(as_double.try_cast("bigint")),
     )
 
 
-# how a number, an infinity or a NaN begins: a failing parse of other text as DOUBLE costs an exception a row
-_NUMBER_BEGINS = r"^\s*[+-]?[0-9.iInN]"
+# a parse that fails costs an exception a row, so text that can't be a whole number, or doesn't begin like a number, an infinity or a
+# NaN, is told by its looks
+_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER_BEGINS = r"^\s*[+-]?(?:\.?[0-9]|(?i:inf|nan))"
 
 
 def _text_to_double(c: Column) -> Column:
