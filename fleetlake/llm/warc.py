@@ -6,8 +6,8 @@ index (record id, offset, compressed length) beside it. ``read_archives`` opens
 
 Defined results: a null html is an empty payload; a null or unusable url leaves out the target line; line
 breaks in a url are percent-encoded; equal payloads of at least ``MIN_REVISIT`` bytes have one response record
-(smallest page_id, null last) and revisits that name it, smaller ones are all responses; rows with equal or
-null page_id are all written; an empty table gives archives without records; other columns are ignored.
+(smallest page_id; rows that share it are all responses) and revisits that name it, rows with a null page_id among them; payloads that only
+rows without an id hold, and smaller ones, are all responses; every row is written; an empty table gives archives without records; other columns are ignored.
 
 Files are written under a temporary name and renamed when whole; a task that runs again writes the same names.
 """
@@ -64,9 +64,15 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     rows = rows.select("*", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
     large = rows.where(F.col("payload_bytes") >= MIN_REVISIT).select("page_id", "payload_digest")
     first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    again = (large.join(staged(first.where("n > 1"), "responses"), "payload_digest").where("page_id > first_id")
+    shared = staged(first.where("n > 1 and first_id is not null"), "responses")
+    again = (large.join(shared, "payload_digest").where("page_id > first_id")
              .groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("payload_digest", "first_id"))).alias("firsts")))
-    return rows.join(small_or_not(staged(again, "revisits"), BROADCAST_REVISITS), "page_id", "left").select(*rows.columns, F.col("firsts")[F.col("payload_digest")].alias("refers_to"))
+    known = rows.where("page_id is not null")
+    named = known.join(small_or_not(staged(again, "revisits"), BROADCAST_REVISITS), "page_id", "left").select(*rows.columns, F.col("firsts")[F.col("payload_digest")].alias("refers_to"))
+    # rows without an id come last: by their digests, as no id tells them apart
+    by_digest = small_or_not(shared.select(F.col("payload_digest").alias("of"), F.col("first_id").alias("refers_to")), BROADCAST_REVISITS)
+    nameless = rows.where("page_id is null").join(by_digest, F.col("payload_digest") == F.col("of"), "left").select(*rows.columns, "refers_to")
+    return named.unionByName(nameless)
 
 
 def _record_id(page_id) -> str:

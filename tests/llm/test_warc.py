@@ -29,7 +29,7 @@ def test_round_trip(spark, scratch, monkeypatch, broadcast):
     for r in got:
         p = text[r["page_id"]]
         assert r["payload_bytes"] == len(p) and r["payload_digest"] == hashlib.sha256(p).hexdigest()
-        revisit = {5: 3, 9: 3, 6: 4}.get(r["page_id"])
+        revisit = {5: 3, 9: 3, 6: 4, None: 3}.get(r["page_id"])
         assert (r["record_type"], r["refers_to"]) == (("revisit", revisit) if revisit else ("response", None))
         assert r["payload"] == (None if revisit else p)
     # every indexed member is a gzip file of its own with one record; the monolithic file is one stream
@@ -62,3 +62,9 @@ def test_a_cut_stream_is_an_error():
     assert len(list(warc.records(io.BufferedReader(warc._Inflated(File(whole)))))) == 1
     with pytest.raises((EOFError, zlib.error)):
         list(warc.records(io.BufferedReader(warc._Inflated(File(whole[:-40])))))
+
+
+def test_payloads_of_rows_without_an_id(spark, scratch):
+    rows = [(None, "http://a", "x" * 200), (None, "http://b", "x" * 200), (None, "http://c", "y" * 200), (2, "http://d", "y" * 200)]
+    got = {r["url"]: (r["record_type"], r["refers_to"]) for r in warc.with_revisits(_pages(spark, rows)).selectExpr("url", "if(refers_to is null, 'response', 'revisit') record_type", "refers_to").collect()}
+    assert got == {"http://a": ("response", None), "http://b": ("response", None), "http://c": ("revisit", 2), "http://d": ("response", None)}
