@@ -10,9 +10,10 @@ larger, smaller and equal, given both set sizes; what may reach the limit is ver
 No pairs within a group are listed. Documents with equal sets are one class. In each bucket every class is
 first compared with the bucket's smallest, its leader; connected components follow. The classes that share a bucket with
 one leader are its cluster. Only clusters that still hold more than one component are looked at again: there, classes
-outside the leader's component are compared with all others, in blocks that stay in memory with their full sets, and
-a block returns verified links that join components, at most one less than it has classes. So no link between
-different components is left out, however large the group, and no more rows leave a block than entered it.
+outside the leader's component, the probes, are compared with all members, in blocks of some probes and some members that
+stay in memory with their full sets, and a block returns verified links that join components, at most one less than it
+has classes. So no link between different components is left out, however large the group, and no more rows leave a
+block than entered it. With M members and P probes, M * ceil(P / BLOCK) + P * ceil(M / BLOCK) rows are sent.
 
 A pair of similarity 0.8 shares no band with a chance of 2e-5 (0.8^6 over 36 bands), which is all that
 can be missed; one at 0.85, 1e-8.
@@ -32,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import batches_of_bytes, discard, prepare, small_or_not, staged, texts
@@ -43,7 +44,7 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 MARGIN = 0.15  # five standard errors of the estimate at 0.8
-BLOCK = 128  # classes of a block; with their full sets they are in memory together
+BLOCK = 128  # probes and members of a block, about; with their full sets they are in memory together
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that are broadcast at most; more join by a shuffle
 SKETCHES = "doc_id bigint, n_shingles bigint, digest binary, registers binary"
 
@@ -193,6 +194,25 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     return links
 
 
+def blocked(near: DataFrame) -> DataFrame:
+    """(leader, rep, comp, probe, block, part) from members (leader, rep, comp) of clusters: in clusters of several components
+    every probe, a class outside the leader's component, meets every member in one (block of probes, part of members)."""
+    per = near.groupBy("leader", "comp").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("rep") == F.col("leader")).alias("home"))
+    split = per.groupBy("leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("home"), F.col("comp"))).alias("home"),
+                                      F.sum("n").alias("size"), F.sum(F.when(~F.col("home"), F.col("n"))).alias("probes")).where("low <> high")
+    split = split.select(F.col("leader").alias("split_leader"), "home", F.ceil(F.col("probes") / BLOCK).alias("blocks"), F.ceil(F.col("size") / BLOCK).alias("parts"))
+    rest = near.join(split, near["leader"] == split["split_leader"]).select("leader", "rep", "comp", "home", "blocks", "parts")
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("rep"), F.col(n))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    return (rest.select("leader", "rep", "comp", F.lit(False).alias("probe"), every("blocks").alias("block"), own("parts").alias("part"))
+            .unionByName(rest.where("comp <> home").select("leader", "rep", "comp", F.lit(True).alias("probe"), own("blocks").alias("block"), every("parts").alias("part"))))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -221,21 +241,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # a leader's cluster: every class that shares a bucket with it, once, with its component
     near = staged(members.join(label, members["rep"] == label["node"], "left").select("leader", "rep", F.coalesce("label", "rep").alias("comp")), "clusters")
     discard(members, buckets, label)
-    home = F.min(F.when(F.col("rep") == F.col("leader"), F.col("comp")))
-    split = near.groupBy("leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), home.alias("home"), F.count(F.lit(1)).alias("size"))
-    split = staged(split.where("low <> high").select(F.col("leader").alias("split_leader"), "home", F.ceil(F.col("size") / BLOCK).alias("blocks")), "split")
-    rest = staged(near.join(split, near["leader"] == split["split_leader"]).select("leader", "rep", "comp", "home", "blocks"), "split-clusters")
+    rest = staged(blocked(near), "blocks")
     ids = staged(rest.select(F.col("rep").alias("doc_id")).distinct(), "ids")
     full = _sets(docs, ids, k)
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    every = F.sequence(F.lit(0).cast("bigint"), (F.col("blocks") - 1).cast("bigint"))
-    sent = (rest.select("leader", "rep", "comp", F.lit(False).alias("probe"), own.alias("block"), F.explode(every).alias("probes"))
-            .unionByName(rest.where("comp <> home").select("leader", "rep", "comp", F.lit(True).alias("probe"), F.explode(every).alias("block"), own.alias("probes"))))
-    sent = (sent.join(classes.select("rep", "n", "registers"), "rep").join(full, F.col("rep") == full["doc_id"])
-            .select("leader", "block", "probes", "rep", "comp", "probe", "n", "registers", "shingles"))
-    more = staged(sent.groupBy("leader", "block", "probes").applyInPandas(_across(percent), "a bigint, b bigint").distinct(), "links")
+    sent = (rest.join(classes.select("rep", "n", "registers"), "rep").join(full, F.col("rep") == full["doc_id"])
+            .select("leader", "block", "part", "rep", "comp", "probe", "n", "registers", "shingles"))
+    more = staged(sent.groupBy("leader", "block", "part").applyInPandas(_across(percent), "a bigint, b bigint").distinct(), "links")
     label = components(links.union(more))
-    discard(near, split, rest, ids, full, links, more)
+    discard(near, rest, ids, full, links, more)
 
     found = (sketches.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
              .join(label, F.col("rep") == F.col("node"), "left"))

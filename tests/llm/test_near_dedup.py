@@ -94,3 +94,21 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: top(x) for x in root}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_blocks_grow_with_the_probes(spark, monkeypatch):
+    """Of a cluster of 900 with 5 outsiders, each member goes to one block of probes; every outsider meets every member once."""
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    near = [(1, i, 1) for i in range(1, 901)] + [(1, 2000 + i, 2000 + i % 2) for i in range(5)] + [(3000, 3000 + i, 3000) for i in range(50)]
+    near += [(5000, 5000 + i, 5000 + i) for i in range(60)]  # no two linked yet
+    rows = nd.blocked(spark.createDataFrame(near, "leader bigint, rep bigint, comp bigint")).collect()
+    for leader, size, probes in ((1, 905, 5), (5000, 60, 59)):
+        mine = [r for r in rows if r["leader"] == leader]
+        assert len(mine) <= size * -(-probes // 16) + probes * -(-size // 16)
+        members, asks = ({(r["rep"], r["block"], r["part"]) for r in mine if r["probe"] == p} for p in (False, True))
+        by: dict = {}
+        for rep, *cell in members:
+            by.setdefault(tuple(cell), []).append(rep)
+        met = [(a, b) for a, *cell in asks for b in by.get(tuple(cell), [])]
+        assert len(met) == len(set(met)) == size * probes
+    assert not [r for r in rows if r["leader"] == 3000]  # one component: nothing is sent
