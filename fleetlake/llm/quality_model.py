@@ -6,7 +6,8 @@ shrunk towards the corpus's and each path's towards its host's, by as much as th
 of moments), so a site with few documents says little. A document's verdict adds its own evidence and
 what its path's posterior, without the document itself, says beyond the corpus.
 
-``documents`` has no address: a source of the form host/path is split, and where it has no path the language stands for it.
+``documents`` has no address: a source of the form host/path is split at its first slash (host/a/b and
+host/a/c are two paths), and where it has no path the language stands for it.
 
 Defined results: null or empty texts are scored like any other (no words); a null source or language is a site of
 its own; repeated rows are scored each; without labels of both kinds every document is kept with probability 1/2; an
@@ -169,7 +170,7 @@ def scored_documents(docs: DataFrame, labels: DataFrame, label: str = "quality",
     prepare(docs.sparkSession)
     model = document_model(docs, labels, label, rows)
     source = F.col("source").cast("string")
-    path = F.when(F.instr(source, "/") > 0, F.element_at(F.split(source, "/"), 2)).otherwise(F.col("lang").cast("string"))
+    path = F.when(F.instr(source, "/") > 0, F.substr(source, F.instr(source, "/") + F.lit(1))).otherwise(F.col("lang").cast("string"))
     rows_ = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.substring_index(source, "/", 1).alias("host"), path.alias("path"), *(c.alias(k) for k, c in (also or {}).items()))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows_.schema if f.name != "text") + ", doc_prob double"

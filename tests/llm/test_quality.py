@@ -115,3 +115,46 @@ def test_target_is_of_all_trusted_labels(documents, labels):
     marks = labels([(i, i % 2, 0) for i in range(80)])
     few, every = ({r["doc_id"]: r["score"] for r in qr.quality_rules(docs, marks, rows=n).collect()} for n in (4, 1000))
     assert few == pytest.approx(every) and len(set(every.values())) > 1
+
+
+def test_repeated_ids_give_one_threshold(documents, labels):
+    """Rows of one id with other texts: scores and verdicts don't depend on how the table is dealt."""
+    rnd = random.Random(4)
+    rows = [(i // 3, " ".join(rnd.choice(["good", "fine", "text", "junk***", "|", "word"][:6 - i % 3]) + str(rnd.randint(0, 5)) for _ in range(30))) for i in range(180)]
+    marks = labels([(i, i % 2, 0) for i in range(60)])
+
+    def run(docs):
+        return sorted((r["doc_id"], r["n_words"], r["score"], r["kept"]) for r in qr.quality_rules(docs, marks).collect())
+    assert run(documents(rows).repartition(1)) == run(documents(rows[::-1]).repartition(7)) == run(documents(rows).repartition(5, "text"))
+
+
+def _odds(p):
+    p = min(max(p, qm.CLIP), 1 - qm.CLIP)
+    return np.log(p / (1 - p))
+
+
+def test_scores_equal_plain_posteriors(documents, labels):
+    """Host and path posteriors and scores of the job against sums made in one place."""
+    rnd = random.Random(8)
+    sources = ["h1/a/b", "h1/a/c", "h1", "h2/x", "h2/", None, "/p"]
+    rows = [(i, " ".join(rnd.choice(["good", "Fine.", "text", "junk***", "|"]) for _ in range(rnd.randint(0, 40))), rnd.choice(["en", "de", None]), rnd.choice(sources)) for i in range(200)]
+    got = {r["doc_id"]: r for r in qm.quality_scores(documents(rows), labels([(i, int("junk" not in rows[i][1][:20]), 0) for i in range(0, 200, 2)])).collect()}
+    site = {i: (s.partition("/")[0], s.partition("/")[2] if "/" in s else lang) if s is not None else (None, lang) for i, _, lang, s in rows}
+    assert site[next(i for i, *_, s in rows if s == "h1/a/b")] != site[next(i for i, *_, s in rows if s == "h1/a/c")]
+    p = {i: got[i]["doc_prob"] for i in got}
+    n, mean = len(p), np.mean(list(p.values()))
+    within = max(np.mean([x * x for x in p.values()]) - mean * mean, 1e-9)
+    hosts, paths = ({k: [p[i] for i in p if cut(site[i]) == k] for k in {cut(s) for s in site.values()}} for cut in (lambda s: s[0], lambda s: s))
+
+    def strength(groups, centre):
+        between = sum(len(v) * (np.mean(v) - centre(k)) ** 2 for k, v in groups.items()) / n
+        return within / max(between - len(groups) * within / n, within * 1e-4)
+    h = strength(hosts, lambda k: mean)
+    host_mean = {k: (sum(v) + h * mean) / (len(v) + h) for k, v in hosts.items()}
+    s = strength(paths, lambda k: host_mean[k[0]])
+    for i, r in got.items():
+        v = paths[site[i]]
+        path_mean = (sum(v) - p[i] + s * host_mean[site[i][0]]) / (len(v) - 1 + s)
+        score = 1 / (1 + np.exp(-(_odds(p[i]) + qm.SITE_WEIGHT * (_odds(path_mean) - _odds(mean)))))
+        assert (r["host_mean"], r["path_mean"], r["score"]) == pytest.approx((host_mean[site[i][0]], path_mean, score))
+        assert r["kept"] == (r["score"] >= 0.5)
