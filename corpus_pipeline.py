@@ -7,6 +7,7 @@ repeated passages are cut out of all but the first document that holds them, doc
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,30 +17,23 @@ from fleetlake.llm import decontamination, near_dedup, packing, quality_model, s
 from fleetlake.llm.common import discard, prepare, read_table, scratch, small_or_not, staged, without_ids
 from fleetlake.llm.queries import tokenizer_file
 
-# what the stage before has staged: it may go when the next stage is called, as its result is then written
-_BEFORE: list[DataFrame] = []
 
-
-def stage(first: bool = False):
-    def wrap(fn):
-        @wraps(fn)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            if not first:
-                discard(*_BEFORE)
-            _BEFORE.clear()
-            prepare(spark)
-            with scratch() as made:
-                out = fn(spark, docs, sf_dir)
-            _BEFORE.extend(made)
-            return out
-        return run_stage
-    return wrap
+def stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage whose result names, as ``reads``, the tables staged for it: they may go once the result is written."""
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        with scratch() as made:
+            out = fn(spark, docs, sf_dir)
+        out.reads = made
+        return out
+    return run_stage
 
 
 FEW = 1_000_000  # ids (16 bytes each) that are broadcast at most; more join by a shuffle
 
 
-@stage(first=True)
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. A row is judged by its own text, also where ids repeat or are null."""
     own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
@@ -48,7 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(rejected, docs["doc_id"].cast("bigint").eqNullSafe(rejected["doc_id"]) & (own == rejected["text_hash"]), "left_anti")
 
 
-@stage()
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
     found = staged(near_dedup.near_duplicates(docs, k=5, percent=80).select("doc_id", "kept").where("doc_id is not null"), "kept")
@@ -60,19 +54,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_ids(left, again, FEW).unionByName(without_ids(left, again, FEW, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
-@stage()
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one of smaller id holds too."""
     return substring_dedup.cut_passages(docs, substring_dedup.repeated_passages(docs))
 
 
-@stage()
+@stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontamination.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-@stage()
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document: its sequence and place there."""
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
@@ -86,11 +80,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written and read again."""
+    """All stages over ``documents``; each but the last is written and read again, and then what it and the one before had staged goes."""
     docs, last = read_table(spark, sf_dir, "documents"), None
     for name, fn in STAGES[:-1]:
-        docs = staged(fn(spark, docs, sf_dir), name)
-        if last is not None:
-            discard(last)
+        out = fn(spark, docs, sf_dir)
+        docs = staged(out, name)
+        discard(*out.reads, *([last] if last is not None else []))
         last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
