@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_OPEN: list[list[DataFrame]] = []
+_OPEN: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("open", default=())  # of this thread or task alone
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.staged_at = path
-    for made in _OPEN:
+    for made in _OPEN.get():
         made.append(back)
     return back
 
@@ -55,11 +56,11 @@ def discard(*tables: DataFrame) -> None:
 def scratch() -> Iterator[list[DataFrame]]:
     """The tables staged inside, for whoever knows when they may go."""
     made: list[DataFrame] = []
-    _OPEN.append(made)
+    before = _OPEN.set((*_OPEN.get(), made))
     try:
         yield made
     finally:
-        _OPEN.remove(made)
+        _OPEN.reset(before)
 
 
 def small_or_not(table: DataFrame, rows: int) -> DataFrame:

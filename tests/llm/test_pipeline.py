@@ -72,3 +72,14 @@ def test_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_a_stage_called_twice(spark, scratch, documents, labels):
+    """Neither another call of a stage nor a whole run in between takes the files of a result that is not read yet."""
+    rows = [(i, f"word{i % 7} " * 30 + f"end{i}.") for i in range(20)]
+    folder = os.path.join(scratch, "twice")
+    _tables(spark, folder, documents(rows), spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id bigint, text string"), labels([(1, 1, 0), (2, 0, 0)]))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one, two = (cp.near_duplicates(spark, docs, folder) for _ in range(2))
+    ran = cp.run(spark, folder)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and ran.count() <= len(rows)
