@@ -4,11 +4,12 @@ A template is any function from a list of turns to a string. Successive prefixes
 rendered, and what a longer prefix adds to the output of the one before is that turn's span. A template whose
 longer output does not start with the shorter one rewrites history, and the conversation is marked so.
 
-A conversation of any length is cut into blocks of ``BLOCK`` turns. Each block is rendered behind the
-``CONTEXT`` turns before it, so work grows with the turns and not with their square, and no task holds a
-whole conversation: a conversation that holds a third of all turns is many blocks. A conversation of up to
-``BLOCK`` turns is rendered from its first turn. What a template does to turns further back than a block and
-its context is not looked at.
+Of a template nothing is known but what it returns, so every prefix is rendered whole from the first turn, whatever the
+length: a conversation is one task's work, which grows with the square of its turns. A template may declare how many turns
+it looks back (``looks_back``; ``turn_template`` declares none). Then a conversation is cut into blocks of ``BLOCK``
+turns, each rendered behind as many turns as declared and ``CHECKED`` more: work grows with the turns, and a
+conversation that holds a third of all turns is many blocks. At every border the declaration is put to the test: a
+block whose text changes with the turns beyond those declared marks its conversation as rewritten.
 
 Defined results: turns are ordered by turn (null first), then role and text; null role or text is empty;
 repeated turns are all kept; a null conv_id is a conversation of its own; an empty table gives an empty result;
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, CONTEXT = 64, 2
+BLOCK, CHECKED = 64, 2
 OPEN, CLOSE = "### ", " </turn>\n"
 NAMES = {"system": "System", "user": "User", "assistant": "Assistant"}
 _HEAD = re.compile(r"### (?:(System|User|Assistant)|=((?:[^\\:]|\\.)*)): ", re.S)
@@ -51,6 +52,15 @@ def role_name(role: str) -> str:
     return NAMES.get(role) or "=" + re.sub(r"[\\#:<]", lambda m: "\\" + m[0], role)
 
 
+def looks_back(turns: int) -> Callable[[Template], Template]:
+    """Declares that what a template writes for a turn depends on it and this many turns before it alone."""
+    def mark(template: Template) -> Template:
+        template.looks_back = turns
+        return template
+    return mark
+
+
+@looks_back(0)
 def turn_template(turns: list[dict]) -> str:
     """``### Role: text </turn>`` and a line feed per turn; control strings inside texts are escaped."""
     return "".join(f"{OPEN}{role_name(t['role'])}: {escape(t['text'])}{CLOSE}" for t in turns)
@@ -70,13 +80,16 @@ def spans(turns: list[dict], template: Template, context: int = 0) -> tuple[str,
     return last[len(base):], starts, ends, rewrites
 
 
-def _render(template: Template):
+def _render(template: Template, back: int | None):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at", kind="stable")
         block = int(rows["block"].iloc[0])
         context = int((rows["at"] < block * BLOCK).sum())
         turns = [{"role": r, "text": t} for r, t in zip(rows["role"], rows["text"], strict=True)]
         text, starts, ends, rewrites = spans(turns, template, context)
+        if back is not None and context > back:
+            near = turns[context - back:]
+            rewrites = rewrites or template(near)[len(template(near[:back])) if back else 0:] != text
         conv = rows["conv_id"].iloc[0]
         return pd.DataFrame({"conv_id": pd.array([None if pd.isna(conv) else int(conv)], dtype="Int64"), "block": [block],
                              "n_turns": [len(turns) - context], "rewrites_history": [rewrites], "formatted": [text],
@@ -102,11 +115,13 @@ def format_conversations(conversations: DataFrame, template: Template = turn_tem
     placed = (rows.withColumn("k", F.row_number().over(inside) - 1)
               .join(sizes, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("span").eqNullSafe(F.col("s")))
               .select("conv_id", "role", "text", (F.col("base") + F.col("k")).alias("at")))
-    own = F.floor(F.col("at") / BLOCK)
-    # a turn near the end of its block is context of the next one; a block of context alone has no turn of its own
-    ahead = F.when(F.col("at") % BLOCK >= BLOCK - CONTEXT, F.array(own, own + 1)).otherwise(F.array(own))
-    blocks = placed.withColumn("block", F.explode(ahead))
-    done = blocks.groupBy("conv_id", "block").applyInPandas(_render(template), SPANS)
+    back = getattr(template, "looks_back", None)
+    if back is None:
+        blocks = placed.withColumn("block", F.lit(0).cast("bigint"))
+    else:
+        # a turn near the end of its block is context of those after it; a block of context alone has no turn of its own
+        blocks = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / BLOCK), F.floor((F.col("at") + back + CHECKED) / BLOCK))))
+    done = blocks.groupBy("conv_id", "block").applyInPandas(_render(template, back), SPANS)
     return done.where("n_turns > 0")
 
 

@@ -54,3 +54,35 @@ def test_a_template_that_rewrites_history():
     turns = [{"role": "user", "text": x} for x in "abc"]
     assert chat.spans(turns, last_first)[3]
     assert not chat.spans(turns, chat.turn_template)[3]
+
+
+def _formatted(spark, template, n=200):
+    rows = [(1, i, "system" if i == 0 else ("assistant", "user")[i % 2], f"t{i}") for i in range(n)] + [(2, 0, "user", "short")]
+    got = chat.format_conversations(_frame(spark, rows), template).orderBy("conv_id", "block").collect()
+    one = [r for r in got if r["conv_id"] == 1]
+    return "".join(r["formatted"] for r in one), any(r["rewrites_history"] for r in one), len(one), any(r["rewrites_history"] for r in got if r["conv_id"] == 2)
+
+
+def test_templates_that_look_far_back(spark):
+    """Undeclared templates get every prefix whole; a declaration that is wrong is seen at the borders of blocks."""
+    def numbered(turns):
+        return "".join(f"{i + 1}. {t['text']}\n" for i, t in enumerate(turns))
+
+    def system_again(turns):
+        return "".join(f"[{turns[0]['text']}] {t['text']}\n" for t in turns)
+
+    def last_hundred(turns):
+        return "".join(t["text"] + "\n" for t in turns[-100:])
+
+    def after(turns):
+        return "".join(f"{turns[i - 1]['text'] if i else ''}>{t['text']}\n" for i, t in enumerate(turns))
+
+    turns = [{"text": f"t{i}"} for i in range(200)]
+    assert _formatted(spark, numbered) == (numbered(turns), False, 1, False)
+    assert _formatted(spark, system_again) == (system_again(turns), False, 1, False)
+    assert _formatted(spark, last_hundred)[1] and not _formatted(spark, last_hundred, 100)[1]
+    assert _formatted(spark, chat.looks_back(1)(after)) == (after(turns), False, 4, False)
+    assert _formatted(spark, chat.looks_back(100)(after)) == (after(turns), False, 4, False)
+    assert _formatted(spark, chat.looks_back(0)(after))[1]
+    assert _formatted(spark, chat.looks_back(0)(numbered))[1:] == (True, 4, False)
+    assert _formatted(spark, chat.looks_back(5)(system_again))[1]
