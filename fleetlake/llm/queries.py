@@ -49,7 +49,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), shared_dir(spark, "token-cache"))
+    counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), token_counts.lasting_cache(spark, sf_dir))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 

@@ -1,7 +1,8 @@
 """Token counts through a digest cache (operator 7).
 
 Every text's digest is joined with a stored table of counts per tokenizer version; only distinct texts that
-the table lacks are encoded, and their counts are appended to it.
+the table lacks are encoded, and their counts are appended to it. Each call appends a folder of its own, so a call that fails
+leaves nothing that is read, and two that run at once don't disturb each other; a digest that both stored counts once.
 
 Defined results: a null text counts as empty (0 tokens); null or repeated ids are kept, one row in, one row
 out; equal texts are encoded once however many rows share them; an empty table gives an empty result; other
@@ -10,12 +11,17 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import batches_of_bytes, prepare, texts
 from fleetlake.llm.tokenize import byte_level_counts, file_digest
+from fleetlake.session import ensure_checkpoint_dir
 
 CACHE_SCHEMA = "digest binary, n_tokens bigint"
 
@@ -32,12 +38,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stored_counts(spark: SparkSession, cache_dir: str, version: str) -> DataFrame:
-    """(digest, n_tokens) stored for one tokenizer version. A cache has one writer at a time, which appends only
-    what the table lacks, so a digest is stored once and no pass over the table has to make it so."""
+    """(digest, n_tokens) stored for one tokenizer version; a digest that two calls found missing at once is there twice."""
     path = f"{cache_dir}/tokenizer={version}"
     if not _exists(spark, path):
         return spark.createDataFrame([], CACHE_SCHEMA)
-    return spark.read.schema(CACHE_SCHEMA).parquet(path)
+    return spark.read.schema(CACHE_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+
+
+def lasting_cache(spark: SparkSession, of: str) -> str:
+    """The cache folder for texts of the tables at ``of``: the same on every call and in every application that shares
+    ``spark.checkpoint.dir``. Tables at another place have a cache of their own."""
+    own = ensure_checkpoint_dir(spark)
+    return os.path.join(spark.conf.get("spark.checkpoint.dir", own), "token-cache", hashlib.sha256(of.rstrip("/").encode()).hexdigest()[:16])
 
 
 def _counted(path: str):
@@ -62,6 +74,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_dir: str) -> DataFr
     known = stored_counts(spark, cache_dir, version)
     missing = keyed.groupBy("digest").agg(F.first("text").alias("text")).join(known, "digest", "left_anti")
     fresh = missing.select("digest", "text").mapInArrow(_counted(tokenizer_path), CACHE_SCHEMA)
-    fresh.write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
+    fresh.write.parquet(f"{cache_dir}/tokenizer={version}/call={uuid.uuid4().hex}")
     narrow = keyed.select("doc_id", "digest", F.octet_length("text").cast("bigint").alias("n_bytes"))
-    return narrow.join(stored_counts(spark, cache_dir, version), "digest").select("doc_id", "digest", "n_bytes", "n_tokens")
+    # the join needs the counts by digest anyway: making each one row adds no shuffle
+    counts = stored_counts(spark, cache_dir, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    return narrow.join(counts, "digest").select("doc_id", "digest", "n_bytes", "n_tokens")

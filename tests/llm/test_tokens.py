@@ -7,9 +7,9 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from fleetlake.llm import packing
-from fleetlake.llm.token_counts import token_counts
-from fleetlake.llm.tokenize import byte_level_counts, space_free_ids
+from fleetlake.llm import packing, queries
+from fleetlake.llm.token_counts import lasting_cache, token_counts
+from fleetlake.llm.tokenize import byte_level_counts, file_digest, space_free_ids
 
 ALPHABET = [" ", "\n", "\t", "a", "é", "1", "!", "'s", "<|endoftext|>", " ", "́", "Σ", "\x1c", "\x85", " ", "中", "\r", "\0", "  ", "I", "<|startoftext|>", "İ", "e", ".", ",", "word"]
 
@@ -54,6 +54,22 @@ def test_counts_and_cache(spark, documents, tokenizer, scratch):
     assert run(documents(rows)) == want and spark.read.parquet(scratch).count() == stored  # all hits: nothing appended
     assert run(documents([*rows, (9, "new")]))[-2:] != [] and spark.read.parquet(scratch).count() == stored + 1
     assert run(documents([])) == []
+    # a second writer that stored the same digests, and one that died, change no result
+    cache = f"{scratch}/tokenizer={file_digest(path)}"
+    spark.read.parquet(cache).select("digest", "n_tokens").write.parquet(f"{cache}/call=other")
+    spark.read.parquet(cache).select("digest").limit(2).write.parquet(f"{cache}/call=dead/_temporary/0")
+    assert run(documents(rows)) == want
+
+
+def test_the_query_finds_its_cache(spark):
+    """The second call of the registered query encodes nothing."""
+    sf = "/root/testdata/sf0.001"
+    folder = lasting_cache(spark, sf)
+    first = sorted(map(tuple, queries.op7_token_counts(spark, sf).collect()))
+    stored = spark.read.parquet(folder).count()
+    assert sorted(map(tuple, queries.op7_token_counts(spark, sf + "/").collect())) == first
+    assert stored == spark.read.parquet(folder).count() == spark.read.parquet(f"{sf}/documents.parquet").selectExpr("coalesce(text, '') t").distinct().count()
+    assert lasting_cache(spark, "/elsewhere") != folder
 
 
 def _best_fit_decreasing(lengths, capacity):
