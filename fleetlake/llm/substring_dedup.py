@@ -151,8 +151,14 @@ def _word_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence, by bit-parallel rows over ``b``."""
-    if len(a) == len(b) and np.array_equal(a, b):
-        return len(a)
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    ahead = int(differ[0]) if len(differ) else n
+    differ = np.flatnonzero(a[len(a) - n + ahead:][::-1] != b[len(b) - n + ahead:][::-1])
+    behind = int(differ[0]) if len(differ) else n - ahead
+    a, b = a[ahead:len(a) - behind], b[ahead:len(b) - behind]  # words alike at the ends align
+    if not (len(a) and len(b)):
+        return ahead + behind
     places: dict[int, int] = {}
     for i, w in enumerate(b.tolist()):
         places[w] = places.get(w, 0) | (1 << i)
@@ -162,7 +168,7 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
         if here:
             kept = row & here
             row = ((row + kept) | (row - kept)) & full
-    return len(b) - row.bit_count()
+    return ahead + behind + len(b) - row.bit_count()
 
 
 def _reach(equal: np.ndarray) -> int:
@@ -296,6 +302,41 @@ def may_hold(d: np.ndarray, s: np.ndarray) -> bool:
     return common_words(d, s) * 100 >= AGREE * MIN_WORDS
 
 
+def _dense(hit: np.ndarray, percent: int, less: int) -> np.ndarray:
+    """The places that lie in a stretch of MIN_WORDS words or more that has hits at ``percent`` of its places, but for ``less`` hits."""
+    n = len(hit)
+    if 100 * (int(np.count_nonzero(hit)) + less) < percent * MIN_WORDS:
+        return np.zeros(n, bool)
+    total = np.concatenate([[0], np.cumsum(100 * hit - percent)])
+    rest = np.maximum.accumulate(total[::-1])[::-1]
+    far = np.searchsorted(-rest, 100 * less - total, "right") - 1  # the last end that a stretch from here may have
+    start = np.flatnonzero(far - np.arange(n + 1) >= MIN_WORDS)
+    edge = np.zeros(n + 1, "i8")
+    np.add.at(edge, start, 1)
+    np.add.at(edge, far[start], -1)
+    return np.cumsum(edge)[:n] > 0
+
+
+def _occurs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether each entry of ``x`` is one of ``y``."""
+    y = np.sort(y)
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def where_passages_fit(d: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The places of ``d`` that a passage shared with ``s`` can hold.
+
+    AGREE percent of its words occur in ``s``. Of its m aligned words in n, those next to each other in both texts are m - 1
+    less the words that do not align, in either: 2 (n - m) at most, so m - 1 - 2 (n - m) >= (3 AGREE - 200) n / 100 - 1 word pairs
+    occur in ``s`` too.
+    """
+    if min(len(d), len(s)) < MIN_WORDS * AGREE // 100:
+        return np.zeros(len(d), bool)
+    pairs = _occurs(*((x[:-1].astype("u8") << np.uint64(32)) | x[1:] for x in (d, s)))
+    fits = _dense(np.append(pairs, False), 3 * AGREE - 200, 1)
+    return fits & _dense(_occurs(d, s), AGREE, 0) if fits.any() else fits
+
+
 def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(start, words, source start, source words, equal words) of the passages that two texts share.
 
@@ -303,16 +344,30 @@ def passages(d: np.ndarray, s: np.ndarray) -> list[tuple[int, int, int, int, int
     repeats itself matches its source at every turn). A segment that does not agree as a whole gives the stretches of it that
     do. Passages that overlap are one, with the alignment of the longest.
     """
+    if len(d) == len(s) >= MIN_WORDS and np.array_equal(d, s):
+        return [(0, len(d), 0, len(d), len(d))]
+    fits = []
+    for own, other in ((d, s), (s, d)):
+        fits.append(np.concatenate([[0], np.cumsum(where_passages_fit(own, other))]))
+        if not fits[-1][-1]:
+            return []
     p, q = matches(d, s)
     found: list[tuple[int, int, int, int, int]] = []
+    tried: dict[tuple[int, int, int, int], bool] = {}  # short segments of one place lie in the same windows
     for chain in sorted(segments(p, q), key=lambda x: (p[x[0]] - p[x[-1]], p[x[0]], q[x[0]])) if len(p) else ():
         d0, d1, s0, s1 = int(p[chain[0]]), int(p[chain[-1]]) + K, int(q[chain[0]]), int(q[chain[-1]]) + K
         if any(a <= d0 and d1 <= b for a, b, *_ in found):
             continue
+        around = max(d0 - MARGIN, 0), min(d1 + MARGIN, len(d)), max(s0 - MARGIN, 0), min(s1 + MARGIN, len(s))
+        if fits[0][around[0]] == fits[0][around[1]] or fits[1][around[2]] == fits[1][around[3]]:
+            continue
         a, b, x, y, same = aligned(d, s, d0, d1, s0, s1)
         if b - a >= MIN_WORDS and same * 100 >= AGREE * max(b - a, y - x):
             found.append((a, b, x, y, same))
-        elif d1 - d0 >= 2 * MIN_WORDS or may_hold(d[max(d0 - MARGIN, 0):d1 + MARGIN], s[max(s0 - MARGIN, 0):s1 + MARGIN]):
+            continue
+        if around not in tried:
+            tried[around] = d1 - d0 >= 2 * MIN_WORDS or may_hold(d[around[0]:around[1]], s[around[2]:around[3]])
+        if tried[around]:
             found += [(*z, common_words(d[z[0]:z[1]], s[z[2]:z[3]])) for z in stretches(*paired(d, s, p[chain].tolist(), q[chain].tolist()))]
     out: list[list] = []
     for a, b, x, y, same in sorted(found):
