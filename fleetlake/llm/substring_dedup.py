@@ -3,7 +3,8 @@
 Words are lower-cased runs of non-space bytes. Of every ``WINDOW`` adjacent ``K``-word seeds of a document the one with
 the smallest hash is kept, so two equal runs of ``K + WINDOW - 1`` words share a seed. Each seed's first place (smallest doc_id,
 then position) gives its source; every other document's places of the seed are matched with that source's places alone,
-so matches grow with the words and not with the square of a group. The matches of a document with one source document
+so matches grow with the words and not with the square of a group. Where neighbouring seeds of a document have different
+sources, the two together are a seam: its first holder is tried as well, as it may hold both parts at once. The matches of a document with one source document
 are chained, and the windows around them matched again on every seed, whoever owns it: the best score ending in a match is that of the best chain before it in both texts, less a cost
 for the words skipped, found by a Fenwick tree over the source positions. Chains are cut at gaps over
 ``MAX_GAP`` words, extended while the texts agree, and aligned (longest common subsequence). A passage of at
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import batches_of_bytes, discard, free_name, prepare, small_or_not, staged, texts
 from fleetlake.llm.words import hashed_words, runs
 
-K, WINDOW = 6, 14
+K, WINDOW = 6, 11
 MAX_GAP = 60
 GAP_COST = 0.01  # of a skipped word, where a match counts 1
 MARGIN = 64  # words beyond a chain's ends that its extension may reach
@@ -40,7 +41,7 @@ DROP = 6  # an extension ends where it has lost this much (a word that agrees ga
 MIN_WORDS, AGREE = 50, 80
 TURNS = 32  # places of one run in a source that are all matched
 BROADCAST_IDS = 1_000_000
-PAIRS = "doc_id bigint, source bigint, d0 array<int>, d1 array<int>, s0 array<int>, s1 array<int>"
+PAIRS = "doc_id bigint, source bigint, d0 array<int>, d1 array<int>, s0 array<int>, s1 array<int>, seam bigint"
 SPANS = "doc_id bigint, dup_of bigint, start_word bigint, n_words bigint, source_start bigint, source_words bigint, equal_words bigint"
 
 
@@ -115,10 +116,20 @@ def segments(pos: np.ndarray, source: np.ndarray) -> list[list[int]]:
     return out
 
 
+def seams(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of matches (doc_id, source, pos, source_pos, half a seed) the neighbours in a document whose sources differ: the rows
+    of the one before and the one behind, and both halves."""
+    by = rows[np.lexsort((rows[:, 2], rows[:, 0]))]
+    a, b = by[:-1], by[1:]
+    at = np.flatnonzero((a[:, 0] == b[:, 0]) & (a[:, 1] != b[:, 1]) & (b[:, 2] - a[:, 2] <= MAX_GAP))
+    a, b = a[at], b[at]
+    return a, b, (a[:, 4] << 32) | (b[:, 4] & 0xFFFFFFFF)
+
+
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches in order of (doc_id, source, pos) to PAIRS; the last pair of a batch waits for the next one."""
-    wait = np.zeros((0, 4), "i8")
-    fields = pa.schema([("doc_id", pa.int64()), ("source", pa.int64()), *((c, pa.list_(pa.int32())) for c in ("d0", "d1", "s0", "s1"))])
+    """Matches in order of (doc_id, source, pos) to PAIRS; the last document of a batch waits for the next one."""
+    hold: list[np.ndarray] = []
+    fields = pa.schema([("doc_id", pa.int64()), ("source", pa.int64()), *((c, pa.list_(pa.int32())) for c in ("d0", "d1", "s0", "s1")), ("seam", pa.int64())])
 
     def emit(rows: np.ndarray) -> pa.RecordBatch:
         edges = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
@@ -127,19 +138,21 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, s = rows[a:b, 2], rows[a:b, 3]
             d0, d1, s0, s1 = zip(*((int(p[x[0]]), int(p[x[-1]]) + K, int(s[x[0]]), int(s[x[-1]]) + K) for x in segments(p, s)), strict=True)
             out.append({"doc_id": int(rows[a, 0]), "source": int(rows[a, 1]), "d0": d0, "d1": d1, "s0": s0, "s1": s1})
+        for a, b, seam in zip(*(x.tolist() for x in seams(rows)), strict=True):
+            out.append({"doc_id": a[0], "d0": [a[2]], "d1": [b[2] + K], "seam": seam})
         return pa.RecordBatch.from_pylist(out, fields)
 
     for batch in batches:
-        rows = np.concatenate([wait, np.column_stack([batch.column(i).to_numpy().astype("i8") for i in range(4)])])
+        rows = np.column_stack([batch.column(i).to_numpy().astype("i8") for i in range(5)])
         if not len(rows):
             continue
-        last = np.flatnonzero(np.any(rows[:, :2] != rows[-1, :2], axis=1))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut:
-            yield emit(rows[:cut])
-        wait = rows[cut:]
-    if len(wait):
-        yield emit(wait)
+        cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+        if hold and (cut or hold[-1][-1, 0] != rows[-1, 0]) or cut:
+            yield emit(np.concatenate([*hold, rows[:cut]]))
+            hold = []
+        hold.append(rows[cut:])
+    if hold:
+        yield emit(np.concatenate(hold))
 
 
 def _word_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,10 +418,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
              .where((F.size("at") > 1) & (F.size("at") <= TURNS)).select("seed", "source", F.explode("at").alias("source_pos")))
     later = staged(later.join(first, ["seed", "source", "source_pos"], "left_anti").select(*first.columns), "later-places")
     # the pairs' later matches come beside the others; of one place the later source first, as a chain takes a place once
-    matches = first.unionByName(later).join(seeds, "seed").where("doc_id <> source").select("doc_id", "source", "pos", "source_pos")
+    matches = first.unionByName(later).join(seeds, "seed").where("doc_id <> source").select("doc_id", "source", "pos", "source_pos", F.shiftright("seed", 32).cast("int").alias("half"))
     pairs = (matches.repartition("doc_id").sortWithinPartitions("doc_id", "source", "pos", F.desc("source_pos"))
              .mapInArrow(_chained, PAIRS))
-    pairs = staged(pairs, "chains")
+    pairs = _with_seams(staged(pairs, "chains"))
     ids = staged(pairs.select("doc_id").union(pairs.select("source")).distinct(), "ids")
     discard(seeds, first, later)
     words = staged(rows.join(small_or_not(ids, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_word_table, "doc_id bigint, words binary"), "words")
@@ -420,10 +433,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     own = pairs.join(words, "doc_id").select(*pairs.columns, *cut("d0", "d1", "d"))
     both = own.join(words.withColumnRenamed("doc_id", "source"), "source").select(*own.columns, *cut("s0", "s1", "s"))
     spans = staged(both.mapInArrow(_aligned, SPANS).dropDuplicates(["doc_id", "dup_of", "start_word", "n_words"]), "spans")
-    discard(pairs, ids, words)
+    discard(*pairs.reads, ids, words)
     return spans
 
 
+def _with_seams(found: DataFrame) -> DataFrame:
+    """The pairs among ``found`` and those of documents with the first holders of their seams; ``reads`` names their tables."""
+    pairs = found.where("seam is null").drop("seam")
+    places = found.where("seam is not null").select("seam", "doc_id", F.col("d0")[0].alias("d0"), F.col("d1")[0].alias("d1"))
+    first = (places.groupBy("seam").agg(F.min(F.struct("doc_id", "d0", "d1")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
+             .select("seam", F.col("first.doc_id").alias("source"), F.col("first.d0").alias("s0"), F.col("first.d1").alias("s1")))
+    first = staged(first, "seam-sources")
+    more = (places.join(first, "seam").where("doc_id <> source").join(pairs.select("doc_id", "source"), ["doc_id", "source"], "left_anti")
+            .groupBy("doc_id", "source").agg(*(F.collect_set(c).alias(c) for c in ("d0", "d1", "s0", "s1"))))  # as bounds alone, in any order
+    more = staged(more, "seams")
+    both = pairs.unionByName(more)
+    both.reads = [found, first, more]
+    return both
+
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 

@@ -127,6 +127,61 @@ def test_passages_of_shared_owners(documents):
         assert max((r["equal_words"] for r in got if r["doc_id"] == i), default=0) >= least, i
 
 
+def test_where_passages_fit():
+    """Every place of a passage, whatever its changes, is one that the filter leaves; texts without common words leave none."""
+    rnd = random.Random(31)
+    for _ in range(200):
+        words = _words(rnd, rnd.randint(50, 120), 10**7)
+        changed = []
+        for w in words:
+            kind = rnd.random()
+            changed += [] if kind < 0.05 else [f"i{len(changed)}", w] if kind < 0.1 else [f"s{len(changed)}"] if kind < 0.2 else [w]
+        same = sd.common_words(_ids(changed), _ids(words))
+        if 100 * same < sd.AGREE * max(len(changed), len(words)) or len(changed) < sd.MIN_WORDS:
+            continue
+        d, s = _ids(_words(rnd, 70, 10**7) + changed + _words(rnd, 70, 10**7)), _ids(_words(rnd, 20, 10**7) + words)
+        assert sd.where_passages_fit(d, s)[70:70 + len(changed)].all() and sd.where_passages_fit(s, d)[20:].all()
+        assert not sd.where_passages_fit(d, _ids(_words(rnd, 200, 10**7))).any()
+
+
+def test_seams():
+    """Neighbouring seeds of different sources, within MAX_GAP words, in order of the document."""
+    rows = np.array([[1, 7, 50, 0, 11], [1, 7, 60, 0, 12], [1, 8, 55, 0, -13], [1, 9, 300, 0, 14], [2, 7, 310, 0, 15], [2, 8, 330, 0, 16]])
+    a, b, seam = sd.seams(rows)
+    assert a[:, 4].tolist() == [11, -13, 15] and b[:, 4].tolist() == [-13, 12, 16] and len(set(seam.tolist())) == 3
+    assert sd.seams(np.zeros((0, 5), "i8"))[2].tolist() == []
+
+
+def test_halves_of_other_owners(documents):
+    """Smaller ids own each half of a passage that only later documents hold whole; one group of them is large."""
+    rnd = random.Random(14)
+    rows = []
+    for n in range(30):
+        p = _words(rnd, 60, 10**7)
+        own = [_words(rnd, 25, 10**7) for _ in range(5)]
+        rows += [(200 * n + 1, own[0] + p[:30] + own[1]), (200 * n + 2, own[2] + p[30:]), (200 * n + 3, own[3] + p + own[4])]
+        rows += [(200 * n + k, _words(rnd, 25, 10**7) + p + _words(rnd, 9, 10**7)) for k in range(4, 100 if n == 0 else 5)]
+    got = sd.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])).collect()
+    whole = {i for i, _ in rows if i % 200 > 3}
+    assert {r["doc_id"] for r in got if r["equal_words"] >= 60} == whole and len(got) == len(whole)
+
+
+def test_recall_of_changed_passages(documents):
+    """Passages of 60 words with random changes that agree in 80 %: at least nine in ten are found."""
+    rnd = random.Random(77)
+    for percent, least in ((0, 1.0), (10, 0.95), (15, 0.9), (20, 0.85)):
+        rows, n = [], 0
+        while n < 100:
+            p = _words(rnd, 60, 10**7)
+            q = [w if i in (0, 59) or rnd.random() * 100 >= percent else f"c{n}.{i}" for i, w in enumerate(p)]
+            if sum(a == b for a, b in zip(p, q)) < 48:
+                continue
+            rows += [(2 * n, _words(rnd, 30, 10**7) + p + _words(rnd, 20, 10**7)), (2 * n + 1, _words(rnd, 20, 10**7) + q + _words(rnd, 30, 10**7))]
+            n += 1
+        got = sd.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])).collect()
+        assert len({r["doc_id"] for r in got}) >= 100 * least, percent
+
+
 def test_cut(documents, planted):
     rows, want = planted
     docs = documents([*rows, (200, rows[0][1]), (201, None), (202, "")])
