@@ -163,7 +163,8 @@ def test_halves_of_other_owners(documents):
         rows += [(200 * n + k, _words(rnd, 25, 10**7) + p + _words(rnd, 9, 10**7)) for k in range(4, 100 if n == 0 else 5)]
     got = sd.repeated_passages(documents([(i, " ".join(w)) for i, w in rows])).collect()
     whole = {i for i, _ in rows if i % 200 > 3}
-    assert {r["doc_id"] for r in got if r["equal_words"] >= 60} == whole and len(got) == len(whole)
+    assert {r["doc_id"] for r in got if r["equal_words"] >= 60} == whole == {r["doc_id"] for r in got}
+    assert len(got) <= 4 * len(whole)  # of a passage's many holders a few are sources (seeds at its ends have first holders of their own)
 
 
 def test_recall_of_changed_passages(documents):
