@@ -4,8 +4,9 @@ Words and pairs of adjacent words are hashed into ``BUCKETS`` buckets. Two multi
 counted: the raw corpus from every document, the target from trusted documents. A document's score is the mean,
 over its n-grams, of log p(target) - log p(raw), so it does not grow with length. The threshold is fixed by
 documents that the target has not seen: trusted documents are dealt in two by a hash of their id, one part
-makes the target, the other and the rejected ones set the threshold that errs least (losing a trusted document
-counts ``KEEP_WEIGHT`` times keeping a rejected one; of equal ones the lowest).
+makes the target, the other and the rejected ones, every one of them, set the threshold that errs least (losing a
+trusted document counts ``KEEP_WEIGHT`` times keeping a rejected one; of equal ones the lowest). Scores of labelled
+documents that a task can't rank alone are ranked range by range, so their number is not bounded.
 Every document is then kept or not by its base rules and that threshold alone.
 
 Defined results: null or empty texts and texts without words have 0 words and fail the base rules; repeated rows are
@@ -19,11 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import batches_of_bytes, prepare, small_or_not, staged, texts
-from fleetlake.llm.labelled import LABELLED_ROWS, labelled_sample
 from fleetlake.llm.words import SPACES, hashed_words, mapped, mixed, runs
 
 BITS = 17
@@ -31,6 +31,7 @@ BUCKETS = 1 << BITS
 SMOOTHING = 0.5
 KEEP_WEIGHT = 10
 BROADCAST_LABELS = 1_000_000
+RANKED_ROWS = 100_000  # different scores that are ranked at once
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 _SYMBOL = np.zeros(256, bool)
@@ -133,20 +134,44 @@ def threshold(scores: np.ndarray, trusted: np.ndarray) -> float:
     return float((at[best] + below) / 2)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = LABELLED_ROWS) -> DataFrame:
-    """(doc_id, base measures, base_failed, score, kept) of every row of ``docs``. ``labels``: 1 is trusted."""
+def ranked_threshold(held: DataFrame, rows: int = RANKED_ROWS) -> float:
+    """``threshold`` of the (score, trusted) rows of ``held``: of all of them, ``rows`` different scores in a range."""
+    one = held.groupBy("score").agg(F.count_if("trusted").alias("good"), F.count_if(~F.col("trusted")).alias("bad"))
+    counted = staged(one, "held")
+    n = counted.count()
+    # dealt by ranges once and written, so that every later step sees the same ranges
+    dealt = staged(counted.repartitionByRange(n // rows + 1, "score").withColumn("range", F.spark_partition_id()), "ranges")
+    ranges = sorted(dealt.groupBy("range").agg(F.min("score").alias("low"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect(), key=lambda r: r["low"])
+    goods, bads = sum(r["good"] for r in ranges), sum(r["bad"] for r in ranges)
+    if not goods or not bads:
+        return float("-inf")
+    before, good, bad = [], 0, 0
+    for r in ranges:
+        before.append((r["range"], good, bad))
+        good, bad = good + r["good"], bad + r["bad"]
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.join(F.broadcast(held.sparkSession.createDataFrame(before, "range int, good_before bigint, bad_before bigint")), "range")
+    lost = (F.col("good_before") + F.coalesce(F.sum("good").over(below), F.lit(0))) / F.lit(goods)
+    kept = F.lit(1.0) - (F.col("bad_before") + F.coalesce(F.sum("bad").over(below), F.lit(0))) / F.lit(bads)
+    best = ranked.select("score", (KEEP_WEIGHT * lost + kept).alias("cost")).agg(F.min_by("score", F.struct("cost", "score")).alias("at")).first()["at"]
+    lower = counted.where(F.col("score") < F.lit(best)).agg(F.max("score").alias("at")).first()["at"]
+    return best if lower is None else (best + lower) / 2
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = RANKED_ROWS) -> DataFrame:
+    """(doc_id, base measures, base_failed, score, kept) of every row of ``docs``. ``labels``: 1 is trusted.
+
+    ``rows``: how many different scores of labelled documents are ranked at once; more are ranked in as many ranges."""
     spark = docs.sparkSession
     prepare(spark)
-    sample = labelled_sample(labels, label, rows=rows)
-    # the target grows with the labels; the threshold alone is fitted on the sample
     every = staged(labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("label_id"))
                    .agg(F.max(F.col(label).cast("int")).alias("label")), "labels")
     known = texts(docs).join(small_or_not(every, BROADCAST_LABELS), F.col("doc_id") == F.col("label_id"), "left")
     known = known.select("doc_id", "text", "label", F.coalesce((F.col("label") == 1) & (F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0), F.lit(False)).alias("target"))
     ratio = spark.sparkContext.broadcast(log_ratio(known.mapInArrow(_counted, "bucket int, raw bigint, target bigint")))
     scored = staged(known.mapInArrow(_scored(ratio), f"doc_id bigint, {MEASURES}, score double, label int, target boolean"), "scores")
-    held = scored.where("label is not null and not target").join(F.broadcast(sample.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi").groupBy("doc_id").agg(F.min("score").alias("score"), F.max("label").alias("label")).toArrow()
-    at = threshold(held["score"].to_numpy(), held["label"].to_numpy() == 1)
+    held = scored.where("label is not null and not target").groupBy("doc_id").agg(F.min("score").alias("score"), F.max("label").alias("label"))
+    at = ranked_threshold(held.select("score", (F.col("label") == 1).alias("trusted")), rows)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "score",
                          (~failed & (F.col("score") >= F.lit(at))).alias("kept"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fleetlake.llm import quality_model as qm
 from fleetlake.llm import quality_rules as qr
@@ -158,3 +159,24 @@ def test_scores_equal_plain_posteriors(documents, labels):
         score = 1 / (1 + np.exp(-(_odds(p[i]) + qm.SITE_WEIGHT * (_odds(path_mean) - _odds(mean)))))
         assert (r["host_mean"], r["path_mean"], r["score"]) == pytest.approx((host_mean[site[i][0]], path_mean, score))
         assert r["kept"] == (r["score"] >= 0.5)
+
+
+def test_threshold_of_all_labelled_documents(spark, documents, labels):
+    """Every labelled document takes part in the threshold, however many scores are ranked at once."""
+    rnd = random.Random(9)
+    held = [(rnd.choice([0.0, -0.25, rnd.gauss(0.3 * t, 0.5)]), bool(t)) for t in (rnd.randint(0, 1) for _ in range(3000))]
+    plain = qr.threshold(np.array([s for s, _ in held]), np.array([t for _, t in held]))
+    frame = spark.createDataFrame(held, "score double, trusted boolean")
+    assert [qr.ranked_threshold(frame, n) for n in (7, 400, 100_000)] == [plain] * 3
+    for kind in (True, False):
+        assert qr.ranked_threshold(frame.where(F.col("trusted") == kind), 7) == float("-inf")
+
+    rows = [(i, " ".join(rnd.choice(["good", "fine", "text", "junk***", "|", "word"][i % 2:4 + i % 2]) for _ in range(30))) for i in range(200)]
+    marks = labels([(i, i % 2, 0) for i in range(200)])
+    got = qr.quality_rules(documents(rows), marks).collect()
+    few = qr.quality_rules(documents(rows), marks, rows=4).collect()
+    assert sorted((r["doc_id"], r["kept"]) for r in few) == sorted((r["doc_id"], r["kept"]) for r in got)
+    target = {r["id"] for r in spark.range(200).where("id % 2 = 1 and pmod(xxhash64('half', id), 2) = 0").collect()}
+    own = [r for r in got if r["doc_id"] not in target]
+    at = qr.threshold(np.array([r["score"] for r in own]), np.array([r["doc_id"] % 2 == 1 for r in own]))
+    assert all(r["kept"] == (not r["base_failed"] and r["score"] >= at) for r in got)
