@@ -25,8 +25,13 @@ from fleetlake.plans.views import AS_OF_ORDERS
 TIERS = ((22, 1.00), (15, 0.75), (8, 0.50), (1, 0.25))
 
 
-def expanded_asset_billing(org_history: DataFrame, financials: DataFrame, as_of=AS_OF_ORDERS) -> DataFrame:
-    """B1: (asset_id, MonthYear, organization_department, days_on_job, internal_rental_rate)."""
+MONTHS = range(1, 13)
+
+
+def expanded_asset_billing(org_history: DataFrame, financials: DataFrame, as_of=AS_OF_ORDERS, month_total: bool = False) -> DataFrame:
+    """B1: (asset_id, MonthYear, organization_department, days_on_job, internal_rental_rate).
+
+    ``month_total`` adds ``_total``, the asset's days of the month in all departments, for B2."""
     now = as_of_col(as_of)
     h = org_history.select("asset_id", "organization_department", "from_date", "to_date")
     # how many intervals of an asset start on a day: on an end day, any but the interval itself makes it a handover
@@ -37,14 +42,23 @@ def expanded_asset_billing(org_history: DataFrame, financials: DataFrame, as_of=
     handover = F.coalesce(F.col("_starts"), F.lit(0)) > itself
     end_excl = F.when(end_day.isNull(), F.date_add(F.to_date(now), 1)).when(handover, end_day).otherwise(F.date_add(end_day, 1))
     x = month_day_overlaps(h.select("asset_id", "organization_department", "from_date", end_excl.alias("_end")), "from_date", F.col("_end"), month_col="_month")
-    # summed map-side first: an asset holding a third of all intervals is reduced per task before
-    # the shuffle; the tier window in B2 then shuffles only these sums (<= departments per asset-month)
-    days = (x.select("asset_id", month_key("_month").alias("MonthYear"), "organization_department", "_days")
-            .groupBy("asset_id", "MonthYear", "organization_department")
-            .agg(F.sum("_days").alias("days_on_job")))
+    # summed map-side first: an asset holding a third of all intervals is reduced per task before the shuffle. A row holds
+    # a year's months, so a task that sums has a row per asset, year and department in memory, not one per month
+    months = [F.expr(f"sum(_days) FILTER (WHERE month(_month) = {m})").alias(f"_m{m}") for m in MONTHS]
+    years = x.groupBy("asset_id", F.year("_month").alias("_year"), "organization_department").agg(*months)
     rate = financials.select(F.col("asset_id").alias("_fid"), "internal_rental_rate")
-    return (days.join(rate, days.asset_id == rate._fid, "left")
-            .select("asset_id", "MonthYear", "organization_department", "days_on_job", "internal_rental_rate"))
+    rated = years.join(rate, years.asset_id == rate._fid, "left")
+    of_month = {"days_on_job": [F.col(f"_m{m}") for m in MONTHS]}
+    if month_total:
+        # summed over the year's row for the same reason: a window over months would sort a row for each
+        year = Window.partitionBy("asset_id", "_year")
+        rated = rated.select("*", *[F.sum(f"_m{m}").over(year).alias(f"_t{m}") for m in MONTHS])
+        of_month["_total"] = [F.col(f"_t{m}") for m in MONTHS]
+    cells = F.array(*[F.struct(F.lit(m).alias("month"), *[c[m - 1].alias(n) for n, c in of_month.items()]) for m in MONTHS])
+    days = rated.select("asset_id", "_year", "organization_department", "internal_rental_rate", F.inline(cells))
+    return (days.where(F.col("days_on_job").isNotNull())                   # a month without days holds no interval
+            .select("asset_id", month_key(F.make_date("_year", "month", F.lit(1))).alias("MonthYear"),
+                    "organization_department", "days_on_job", "internal_rental_rate", *[n for n in of_month if n != "days_on_job"]))
 
 
 def billing_tier(total_days) -> F.Column:
@@ -56,9 +70,9 @@ def billing_tier(total_days) -> F.Column:
 
 
 def monthly_charges(expanded: DataFrame) -> DataFrame:
-    """B2 + B3 over an ExpandedAssetBilling frame. The month total is one window, reused."""
+    """B2 + B3 over an ExpandedAssetBilling frame. The month total is the frame's ``_total`` or one window, reused."""
     total = F.sum("days_on_job").over(Window.partitionBy("asset_id", "MonthYear"))
-    with_total = expanded.select("*", total.alias("_total"))
+    with_total = expanded if "_total" in expanded.columns else expanded.select("*", total.alias("_total"))
     tier = billing_tier(F.col("_total"))
     charge = (F.try_divide(F.col("days_on_job").cast("double"), F.col("_total").cast("double"))
               * (F.col("internal_rental_rate") * tier))
@@ -66,12 +80,12 @@ def monthly_charges(expanded: DataFrame) -> DataFrame:
                              tier.alias("billing_tier"), charge.alias("monthly_charge"))
 
 
-def b1_expanded_billing(t: Mapping[str, DataFrame], as_of=AS_OF_ORDERS) -> DataFrame:
-    return expanded_asset_billing(t["asset_organization_history"], t["asset_financials"], as_of)
+def b1_expanded_billing(t: Mapping[str, DataFrame], as_of=AS_OF_ORDERS, month_total: bool = False) -> DataFrame:
+    return expanded_asset_billing(t["asset_organization_history"], t["asset_financials"], as_of, month_total)
 
 
 def b3_monthly_charges(t: Mapping[str, DataFrame], as_of=AS_OF_ORDERS) -> DataFrame:
-    return monthly_charges(b1_expanded_billing(t, as_of))
+    return monthly_charges(b1_expanded_billing(t, as_of, month_total=True))
 
 
 # Oracles from the rule: one row per day of the calendar that an interval holds (not months and overlaps, as above)

@@ -71,3 +71,35 @@ def test_readings_running_total_runs_over_asset_days(spark):
     at = next(i for i, l in enumerate(lines) if "Window [sum(" in l)
     below = [l for l in lines[at + 1:] if re.search(r"(HashAggregate|Scan)", l)]
     assert "HashAggregate(keys=[user_id" in below[0]
+
+
+def test_billing_sums_a_row_per_year(spark):
+    """B1's days are summed, and B2's month totals windowed, over a row per asset, year and department, not one per month."""
+    plan = _plan(spark, "b3_monthly_charges")
+    line = next(l for l in plan.splitlines() if "partial_sum(_days" in l)
+    assert line.count("partial_sum(_days") == 12 and line.split("], functions=")[0].count("#") == 3
+    assert re.search(r"Window \[sum\(_m1#.*\], \[asset_id#\d+L, _year#\d+\]", plan)
+    assert plan.count("Window [sum(") == 1
+
+
+def test_billing_by_years_equals_billing_by_months(spark):
+    """Overlapping intervals, several rates of an asset and NULL keys: days and totals as from one row per month."""
+    from pyspark.sql import functions as F
+
+    from fleetlake.functions.dates import month_key
+    from fleetlake.operators.intervals import month_day_overlaps
+    from fleetlake.plans import billing
+
+    rows = [(1, "A", "2019-11-20", "2021-02-03"), (1, "A", "2020-01-31", "2020-02-29"), (1, "B", "2020-12-05", None), (1, None, "2021-01-01", "2021-01-01"),
+            (2, "A", "2020-02-01", "2020-02-29"), (None, "A", "2020-05-01", "2020-06-02"), (3, "C", None, "2020-01-01"), (4, "D", "2021-03-09", "2021-03-01")]
+    h = spark.createDataFrame(rows, "asset_id bigint, organization_department string, a string, b string").selectExpr(
+        "asset_id", "organization_department", "cast(a as timestamp) from_date", "cast(b as timestamp) to_date")
+    money = spark.createDataFrame([(1, 10.0), (1, 20.0), (3, 5.0)], "asset_id bigint, internal_rental_rate double")
+    got = billing.expanded_asset_billing(h, money, "2021-03-10 00:00:00", month_total=True)
+    # no day in these rows is a handover
+    end = F.coalesce(F.date_add("to_date", 1), F.lit("2021-03-11").cast("date"))
+    plain = (month_day_overlaps(h, "from_date", end, "m").groupBy("asset_id", month_key("m").alias("MonthYear"), "organization_department")
+             .agg(F.sum("_days").alias("days_on_job")).join(money, "asset_id", "left"))
+    assert sorted(map(str, got.drop("_total").collect())) == sorted(map(str, plain.select(got.drop("_total").columns).collect()))
+    charged = [sorted(map(str, billing.monthly_charges(x).collect())) for x in (got, got.drop("_total"))]
+    assert charged[0] == charged[1]
