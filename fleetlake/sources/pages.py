@@ -76,6 +76,11 @@ def read_pages(spark: SparkSession, landed: str | Sequence[Landing], schema: T.S
     return infer_records(_scan(spark, landed, TEXT_PAGES, multi_line), structs, stage)
 
 
+def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:
+    """Lines of JSON, compressed: keys, folders and file names repeat in each. A file is the work of one task, as its writing was."""
+    lines.write.mode(mode).option("compression", "gzip").text(path)
+
+
 def infer_records(texts: DataFrame, structs: bool = False, stage: Callable[..., str] | None = None) -> DataFrame:
     """Typed columns of records given as text (``value``, ``_seq``): staged once as JSON lines, their schema seen by that write."""
     spark, seen = texts.sparkSession, Observation("records")
@@ -85,7 +90,7 @@ def infer_records(texts: DataFrame, structs: bool = False, stage: Callable[...,
     lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"), F.expr("schema_of_variant_agg(_variant)").alias("kind")).select("value")
     if stage is None:
         path = shared_dir(spark, "records")
-        lines.write.text(path)
+        write_lines(lines, path)
     else:
         path = stage("records", lines)
     found = seen.get
@@ -185,14 +190,14 @@ def land_pages(df: DataFrame, path: str, seq_col: str, page_size: int = 100,
     ``page_size`` records, so each grouped row is bounded.
     """
     data_cols = [c for c in df.columns if c != seq_col]
-    rec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in data_cols]),
-                    {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format})
+    options = {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
     seq = F.col(seq_col).cast("bigint")
+    # columns are smaller to shuffle than their text, which is made behind it
     keyed = df.select((F.floor(seq / page_size) * page_size).cast("bigint").alias("offset"),
-                      (seq % page_size).alias("pos"), rec.alias("rec"))
-    pages = (keyed.groupBy("offset")
-             .agg(F.sort_array(F.collect_list(F.struct("pos", "rec"))).alias("items"))
+                      (seq % page_size).alias("pos"), F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("rec"))
+    pages = (keyed.groupBy("offset").agg(F.collect_list(F.struct("pos", "rec")).alias("items"))
+             .select("offset", F.sort_array(F.transform("items", lambda x: F.struct(x["pos"].alias("pos"), F.to_json(x["rec"], options).alias("rec")))).alias("items"))
              .select(F.concat(F.lit('{"offset":'), F.col("offset").cast("string"), F.lit(',"results":['),
                               F.array_join(F.transform("items", lambda x: x["rec"]), ","),
                               F.lit("]}")).alias("value")))
-    pages.write.mode(mode).text(path)
+    write_lines(pages, path, mode)

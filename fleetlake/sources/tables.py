@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.sources.pages import write_lines
+
 # Schemas of the two tracking tables (all fields NOT NULL)
 CONTROL_SCHEMA = T.StructType([
     T.StructField("pipeline_name", T.StringType(), False),
@@ -307,7 +309,7 @@ class Lake(Mapping):
     def stage_lines(self, name: str, lines: DataFrame) -> str:
         """Write a frame of text lines aside; where it lies."""
         p = self.stage_path(name)
-        lines.write.text(p)
+        write_lines(lines, p)
         self._staged.append(p)
         return p
 
