@@ -27,9 +27,9 @@ def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start:
     """``intervals LEFT JOIN points ON key = key AND point >= start AND (end IS NULL OR point <= end)``.
 
     Interval columns keep their names; point columns are prefixed with ``point_prefix``. An interval
-    with no point keeps one row per month it spans with NULL point columns — aggregates that ignore
-    NULLs (sum/avg/min/max/count(col)) are unchanged by those extra rows, so group by the interval's
-    columns afterwards as the SQL form does.
+    with no point in its first month keeps a row with NULL point columns for it — aggregates that ignore
+    NULLs (sum/avg/min/max/count(col)) are unchanged by that row, so group by the interval's
+    columns afterwards as the SQL form does. Its other months without a point leave none.
 
     The pair (interval, point) meets in the point's month, which lies in the interval's months whenever
     start <= point <= end, and, for an open interval, whenever start <= point, as no point of the key is newer
@@ -48,7 +48,8 @@ def interval_left_join(intervals: DataFrame, points: DataFrame, key: str, start:
     right = p.select("*", _month_start(F.col(pt)).alias("_p_bucket"))
     cond = ((F.col(key) == F.col(pk)) & (F.col("_bucket") == F.col("_p_bucket"))
             & (F.col(pt) >= F.col(start)) & (F.col(end).isNull() | (F.col(pt) <= F.col(end))))
-    return left.join(right, cond, "left").drop("_bucket", "_p_bucket")
+    first_or_met = F.col(pk).isNotNull() | F.col("_bucket").isNull() | (F.col("_bucket") == first)
+    return left.join(right, cond, "left").where(first_or_met).drop("_bucket", "_p_bucket")
 
 
 def month_day_overlaps(intervals: DataFrame, start: str, end_exclusive: Column,

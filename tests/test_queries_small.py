@@ -276,3 +276,13 @@ def test_billing_day_rule(spark):
     money = spark.createDataFrame([("a", 100.0)], "asset_id string, internal_rental_rate double")
     got = {(r.asset_id, r.MonthYear, r.organization_department): r.days_on_job for r in expanded_asset_billing(h, money, "2025-03-10 00:00:00").collect()}
     assert got == days and got["a", "2025-01", "X"] == 31 and [got["b", "2025-01", d] for d in "XYZ"] == [13, 8, 10]
+
+
+def test_interval_join_leaves_no_row_per_pointless_month(spark):
+    """A long visit keeps its pairs and at most its first month's empty row; one without a start keeps its row."""
+    visits = spark.createDataFrame([("a", "long", D(2020, 1, 5), D(2024, 12, 31)), ("a", "none", D(2018, 1, 1), D(2019, 12, 31)), ("a", "unknown", None, None)],
+                                   "asset_id string, site string, enter_date timestamp, exit_date timestamp")
+    daily = spark.createDataFrame([("a", D(2022, 3, 1), 1), ("a", D(2022, 3, 2), 2), ("a", D(2024, 12, 31), 3)], "asset_id string, date timestamp, secs int")
+    j = interval_left_join(visits, daily, "asset_id", "enter_date", "exit_date", "date")
+    got = sorted(((r.site, r._p_secs) for r in j.collect()), key=str)
+    assert got == sorted([("long", None), ("long", 1), ("long", 2), ("long", 3), ("none", None), ("unknown", None)], key=str)
