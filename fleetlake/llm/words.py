@@ -40,7 +40,7 @@ def split_words(texts: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray, np.
 def hashed_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of the batch, start of each text's words; one more at the end)."""
     distinct, index, starts = split_words(texts, lower)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.cast(pa.large_binary()).to_pylist()), "u8", len(distinct))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.cast(pa.large_binary()).to_numpy(zero_copy_only=False)), "u8", len(distinct))
     return hashes[index], starts
 
 

@@ -72,6 +72,80 @@ def test_passages_beside_foreign_words(gap):
             assert want <= got and len(got - want) <= gap + 6
 
 
+def _over_and_over(rnd, n):
+    """Texts that are runs of a word or two, or of single words, as ids."""
+    out = []
+    while len(out) < n:
+        words = rnd.integers(0, 5, rnd.integers(1, 3)).tolist() if rnd.random() < 0.7 else rnd.integers(5, 60, 9).tolist()
+        out += words * int(rnd.integers(1, 70) if words[0] < 5 else 1)
+    return np.array(out[:n], "u4")
+
+
+def test_texts_of_a_few_words_over_and_over(monkeypatch):
+    """Segments that are judged together give what they give one by one, and few of them are aligned."""
+    rnd = np.random.default_rng(11)
+    one, many, none, wide = sd.FEW, 0, 0, 0
+    for i in range(60):
+        d, s = _over_and_over(rnd, int(rnd.integers(50, 400))), _over_and_over(rnd, int(rnd.integers(50, 400)))
+        if i % 3 == 0:  # beside more words than a bit row per word is kept for
+            far = np.repeat(np.arange(1000, 1080, dtype="u4"), 2)
+            d, s, wide = np.concatenate([far[::-1], d]), np.concatenate([s, far]), wide + 1
+        monkeypatch.setattr(sd, "FEW", 1 << 30)
+        want = sd.passages(d, s)
+        for few, at_once in ((1, 8), (1, 256), (one, 256)):
+            monkeypatch.setattr(sd, "FEW", few)
+            monkeypatch.setattr(sd, "AT_ONCE", at_once)
+            assert sd.passages(d, s) == want
+        many, none = many + bool(want), none + (not want)
+    assert many > 5 and none > 5 and wide
+
+    calls = []
+    for name in ("aligned", "paired"):
+        monkeypatch.setattr(sd, name, lambda *x, f=getattr(sd, name): calls.append(0) or f(*x))
+    d, s = np.repeat([9, 1, 2], [64, 596, 55]), np.repeat([7, 8, 1, 3, 4], [20, 44, 44, 44, 10])
+    assert sd.passages(d.astype("u4"), s.astype("u4")) == [(64, 55, 64, 44, 44)]
+    assert len(calls) <= 40  # 2,286 one by one
+
+
+def test_common_rows():
+    """LCS of rows tried together: the same places as one by one, with a bit row per word and with all words compared."""
+    rnd = np.random.default_rng(12)
+    for n, size in ((4, 64), (40, 64), (4, 20), (90, 64)):
+        a, b = rnd.integers(0, n, (30, size)), rnd.integers(0, n, (30, size))
+        a[:3], b[:5] = -1, -2
+        a[10:13, :9], b[12:15, 11:] = -1, -2
+        at, rows = sd._common_rows(a, b, n)
+        own, other = sd._traced(at, rows, size)
+        for i in range(30):
+            want = sd.common_pairs(a[i], b[i])
+            assert [x for x, _ in want] == np.flatnonzero(own[i]).tolist() and [y for _, y in want] == np.flatnonzero(other[i]).tolist()
+            assert len(want) == int(np.bitwise_count(~rows[-1][i]))
+
+
+def test_minimisers():
+    """The smallest seed of every window of every text, the first of equal ones; no window lies across two texts."""
+    rnd = np.random.default_rng(13)
+    for _ in range(40):
+        words = [int(x) for x in rnd.integers(0, 40, 12)]
+        starts = np.concatenate([[0], np.cumsum(words)])
+        seeds = rnd.integers(0, 9, max(int(starts[-1]) - 5, 0)).astype("u8")
+        n = np.maximum(np.diff(starts) - 5, 0)
+        want = []
+        for a, m in zip(starts.tolist(), n.tolist()):
+            want += sorted({a + w + int(np.argmin(seeds[a + w:a + min(w + 7, m)])) for w in range(max(m - 6, 1))} if m else ())
+        assert sd.minimisers(seeds, starts[:-1], n, 7).tolist() == want
+
+
+def test_chains_that_rise():
+    """Matches that rise in both texts give the chains that they give with a match beside them that does not."""
+    rnd = np.random.default_rng(14)
+    for gap in (10, 45, 90):
+        pos, source = (np.cumsum(rnd.integers(1, gap, 80)) for _ in range(2))
+        got = sd.chains(pos, source)
+        far = sd.chains(np.append(pos, pos[-1] + 100_000), np.append(source, 0))
+        assert got == [x for x in far if x != [80]]
+
+
 @pytest.fixture(scope="module")
 def planted():
     """Documents with passages: exact, with substitutions, with insertions; others without any."""
